@@ -93,9 +93,11 @@ def activity_summary_joined(activity: DataFrame, params: ProfileParams) -> DataF
     c = recent_interaction(activity, params)
     d = interaction_list(activity)
 
-    def on(x: DataFrame, y: DataFrame) -> Column:
-        return (x["merchant_num"] == y["merchant_num"]) & (x["member_id"] == y["member_id"])
-
-    return (a.join(b, on(a, b), "left").join(c, on(a, c), "left").join(d, on(a, d), "left")
-            .select(a["merchant_num"], a["member_id"], b["exchange_time_list"], b["exchange_num"],
-                    c["join_num_90"], c["interactive_num"], d["interactive_time_list"]))
+    def on(x: str, y: str) -> Column:
+        return ((F.col(f"{x}.merchant_num") == F.col(f"{y}.merchant_num"))
+                & (F.col(f"{x}.member_id") == F.col(f"{y}.member_id")))
+
+    return (a.alias("a").join(b.alias("b"), on("a", "b"), "left").join(c.alias("c"), on("a", "c"), "left")
+            .join(d.alias("d"), on("a", "d"), "left")
+            .select("a.merchant_num", "a.member_id", "b.exchange_time_list", "b.exchange_num",
+                    "c.join_num_90", "c.interactive_num", "d.interactive_time_list"))

@@ -134,3 +134,26 @@ def pay_day_rank(orders: DataFrame, params: ProfileParams) -> DataFrame:
     # NULL keys form a group of their own in the reference's window: match them null-safely.
     cond = [rows[k].eqNullSafe(r[f"_r_{k}"]) for k in keys] + [rows["pay_day"] == r["_r_day"]]
     return rows.join(r, on=cond, how="inner").select(*keys, "order_id", "pay_day", "rn")
+
+
+def order_summary_joined(orders: DataFrame, params: ProfileParams) -> DataFrame:
+    """The reference's form of :func:`order_summary`: three grouped reads (one
+    over a pay-day ``rank()`` window) left-joined on the buyer key. For the
+    equivalence test and the benchmark only."""
+    a = order_window_count(orders, params)
+    b = (orders.where(paid_today(params))
+         .groupBy(F.col("merchant_num"), F.col("platform_open_id").alias("user_id"))
+         .agg(F.count(F.lit(1)).alias("today_order_num"), F.sum("payment").alias("today_order_amount")))
+    w = Window.partitionBy("merchant_num", "platform_open_id").orderBy(_pay_day().desc())
+    c = (orders.where(paid_in_window(params)).withColumn("rn", F.rank().over(w))
+         .groupBy(F.col("merchant_num"), F.col("platform_open_id").alias("user_id"))
+         .agg(F.when(F.max("rn") > 1, F.lit(2)).otherwise(F.lit(1)).cast("int").alias("pay_detail")))
+
+    def on(x: str, y: str) -> Column:
+        return ((F.col(f"{x}.merchant_num") == F.col(f"{y}.merchant_num"))
+                & (F.col(f"{x}.user_id") == F.col(f"{y}.user_id")))
+
+    return (a.alias("a").join(b.alias("b"), on("a", "b"), "left").join(c.alias("c"), on("a", "c"), "left")
+            .select("a.merchant_num", "a.user_id", "a.order_num_360",
+                    (F.col("a.order_num_360") - F.col("b.today_order_num")).alias("history_order_num_360"),
+                    "b.today_order_num", "b.today_order_amount", "c.pay_detail"))

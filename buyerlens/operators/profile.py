@@ -1,13 +1,16 @@
 """The labelled profile: J5-J7, P1, P2, P6, L1-L5.
 
-Plan shape, per side:
-
-* members: one shuffle on (merchant_num, member_id) to meet the activity and
-  points figures, which are aggregated on the same key and so arrive already
-  partitioned;
-* non-members: all carry ``member_id = 0``, one hot key per tenant. They meet
-  the ``member_id = 0`` figures through a salted join, so no single task gets
-  a tenant's whole non-member population.
+Plan shape at scale:
+
+* the three per-key aggregates (buyer facts, activity, points) are each one
+  scan + one partial/final aggregate, written once to the checkpoint folder;
+* member rows are shuffled once on (merchant_num, user_id) to meet the buyer
+  facts (the member ``distinct`` then needs no shuffle of its own) and once
+  on (merchant_num, member_id) to meet activity and then points;
+* non-member rows come straight from the buyer facts. All carry
+  ``member_id = 0``, one hot key per tenant; they meet the ``member_id = 0``
+  figures through a salted join, so no task gets a tenant's whole
+  non-member population.
 
 No row-wide ``distinct`` is needed after the joins: each right side is unique
 per key, so rows stay distinct.
@@ -26,6 +29,7 @@ from buyerlens.operators.members import members_with_facts, nonmembers_with_fact
 from buyerlens.operators.orders import buyer_facts
 from buyerlens.operators.points import points_total
 from buyerlens.params import ProfileParams
+from buyerlens.session import materialize as _materialize
 from buyerlens.schema import (
     ACTIVITY_COLUMNS,
     BASE_COLUMNS,
@@ -40,20 +44,20 @@ STAT_COLUMNS = [*ACTIVITY_COLUMNS, *POINTS_COLUMNS]
 JOINED_COLUMNS = [*BASE_COLUMNS, *ORDER_FACT_COLUMNS, *STAT_COLUMNS]
 
 
-def member_stats(activity: DataFrame, points: DataFrame, params: ProfileParams) -> DataFrame:
-    """Activity and points figures per (merchant, member): both aggregates
-    share the key, so the full join between them needs no further shuffle."""
-    a = activity_summary(activity, params).select(*MEMBER_KEYS, *ACTIVITY_COLUMNS)
-    p = points_total(points)
-    return a.join(p, on=MEMBER_KEYS, how="full")
-
-
-def profile_joined(members_side: DataFrame, nonmembers_side: DataFrame, stats: DataFrame,
-                   params: ProfileParams) -> DataFrame:
+def profile_joined(members_side: DataFrame, nonmembers_side: DataFrame, activity: DataFrame,
+                   points: DataFrame, params: ProfileParams) -> DataFrame:
     """J5-J7 + P1: 45 base columns, the order figures and the activity and
-    points figures (55 columns)."""
-    m = members_side.join(stats, on=MEMBER_KEYS, how="left")
-    hot = stats.where(F.col("member_id") == 0)
+    points figures (55 columns).
+
+    ``activity`` and ``points`` are the per-(merchant, member) aggregates.
+    Members meet them one after the other, so only the member rows are
+    shuffled. Non-members meet the few ``member_id = 0`` rows through a salted
+    join.
+    """
+    m = (members_side.join(activity, on=MEMBER_KEYS, how="left")
+         .join(points, on=MEMBER_KEYS, how="left"))
+    hot = (activity.where(F.col("member_id") == 0)
+           .join(points.where(F.col("member_id") == 0), on=MEMBER_KEYS, how="full"))
     n = salted_left_join(nonmembers_side, hot, MEMBER_KEYS, ["merchant_num", "user_id"], params.salt_buckets)
     return m.select(*JOINED_COLUMNS).unionByName(n.select(*JOINED_COLUMNS))
 
@@ -76,21 +80,30 @@ def label_profile(joined: DataFrame, buy_charact: Column | None = None,
     return joined.select(*[(exprs[c] if c in exprs else F.col(c)).alias(c) for c in PROFILE_COLUMNS])
 
 
-def joined_profile(inputs: Inputs, params: ProfileParams) -> DataFrame:
-    """Source to the 55-column joined profile."""
-    facts = buyer_facts(inputs.orders, params)
+def joined_profile(inputs: Inputs, params: ProfileParams, materialize: bool = True) -> DataFrame:
+    """Source to the 55-column joined profile.
+
+    With ``materialize`` the three per-key aggregates are written once under
+    the shared checkpoint folder: each input is then scanned and shuffled
+    once although two profile sides read the aggregates.
+    """
+    keep = _materialize if materialize else (lambda df, name: df)
+    facts = keep(buyer_facts(inputs.orders, params), "buyer_facts")
+    activity = keep(activity_summary(inputs.activity, params).select(*MEMBER_KEYS, *ACTIVITY_COLUMNS),
+                    "activity_stats")
+    points = keep(points_total(inputs.points), "points_stats")
     members_side = members_with_facts(inputs.members, facts, inputs.city_level)
     nonmembers_side = nonmembers_with_facts(facts)
-    stats = member_stats(inputs.activity, inputs.points, params)
-    return profile_joined(members_side, nonmembers_side, stats, params)
+    return profile_joined(members_side, nonmembers_side, activity, points, params)
 
 
-def user_profile(inputs: Inputs, params: ProfileParams, final_distinct: bool = True) -> DataFrame:
+def user_profile(inputs: Inputs, params: ProfileParams, final_distinct: bool = True,
+                 materialize: bool = True) -> DataFrame:
     """The 56-column labelled profile of every shop user.
 
     ``final_distinct`` keeps the reference's last ``distinct``: rows can only
     coincide there if tolerant casts map different texts to the same number.
     The cell sink passes ``False``; its one-row-per-rowkey step subsumes it.
     """
-    out = label_profile(joined_profile(inputs, params))
+    out = label_profile(joined_profile(inputs, params, materialize))
     return out.distinct() if final_distinct else out

@@ -21,6 +21,8 @@ from buyerlens.operators import orders as ords
 from buyerlens.operators import profile as prof
 from buyerlens.operators.points import points_total
 from buyerlens.params import FIXTURE_PARAMS, ProfileParams
+from buyerlens.schema import BASE_COLUMNS
+from buyerlens.session import materialize
 from buyerlens.sources.fixtures import fixture_inputs
 from buyerlens.sources.tables import Inputs, scan_inputs
 
@@ -135,8 +137,7 @@ def nonmembers_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = inputs(spark, sf_dir)
-    f = _facts(i)
-    from buyerlens.schema import BASE_COLUMNS
+    f = materialize(_facts(i), "buyer_facts")
     return mem.all_users(mem.members_with_facts(i.members, f, i.city_level),
                          mem.nonmembers_with_facts(f)).select(*BASE_COLUMNS)
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings applied by :func:`configure`; each is set only if the session does
 # not carry a value already, so a cluster's own tuning wins.
@@ -54,3 +55,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    read it back.
+
+    Cuts the lineage (a lost executor recomputes from the table, not from the
+    raw inputs), lets several consumers share one computation, and the read
+    gets column pruning and filter pushdown.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
