@@ -5,12 +5,16 @@ every non-NULL column gives one cell whose qualifier is the lower-cased
 column name and whose value is its text (arrays, maps and structs as JSON).
 Empty strings are kept; NULLs are dropped.
 
-Plan: ONE shuffle. Rows are grouped by rowkey to keep one whole row per key
-(a buyer that is both a member and a non-member yields two profile rows with
-one rowkey; the member row wins, further ties go to the greatest row), which
-also removes duplicate rows. The unpivot is a narrow ``Expand``; the sort is
-within partitions by (bucket, rowkey, family, qualifier), which is also the
-order the partitioned writer needs, so it adds no sort of its own.
+Plan: two shuffles. Rows are first grouped by rowkey to keep one whole row
+per key (a buyer that is both a member and a non-member yields two profile
+rows with one rowkey; the member row wins, further ties go to the greatest
+row), which also removes duplicate rows; this combines map-side, so a rowkey
+shared by very many rows is reduced before it moves. The unique rows are then
+range-partitioned by rowkey, so each task holds one contiguous key range and
+writes one file into one (rarely two) bucket folders, instead of one file per
+bucket per task. The unpivot is a narrow ``Expand``; the sort is within
+partitions by (bucket, rowkey, family, qualifier), which is also the order the
+partitioned writer needs.
 
 Rowkey and bucket are inferred: the reference's rowkey helper is not
 published. The rowkey is the first 8 hex digits of
@@ -97,14 +101,22 @@ def cell_values(profile: DataFrame, id_columns: Sequence[str]) -> DataFrame:
     return long.where(F.col("value").isNotNull())
 
 
-def cells(profile: DataFrame, n_buckets: int, families: Mapping[str, str] | None = None) -> DataFrame:
-    """One row per stored cell: rowkey, family, qualifier, value, bucket."""
+def cells(profile: DataFrame, n_buckets: int, families: Mapping[str, str] | None = None,
+          range_partitions: int | None = None) -> DataFrame:
+    """One row per stored cell: rowkey, family, qualifier, value, bucket.
+
+    ``range_partitions`` fixes the number of key ranges (tasks) of the sink;
+    by default it follows ``spark.sql.shuffle.partitions`` and AQE may merge
+    neighbouring ranges.
+    """
     families = dict(DEFAULT_FAMILIES if families is None else families)
     cols = list(profile.columns)
     check_families(cols, families)
     keyed = with_rowkey(profile, n_buckets)
     unique = one_row_per_key(keyed, "rowkey", [*cols, "bucket"])
-    long = cell_values(unique, ["rowkey", "bucket"])
+    ranged = (unique.repartitionByRange("rowkey") if range_partitions is None
+              else unique.repartitionByRange(range_partitions, "rowkey"))
+    long = cell_values(ranged, ["rowkey", "bucket"])
     return long.select("rowkey", family_of(families).alias("family"), "qualifier", "value", "bucket")
 
 
@@ -116,8 +128,9 @@ def sorted_cells(cell_df: DataFrame) -> DataFrame:
 def write_cells(cell_df: DataFrame, path: str, compression: str = "snappy") -> None:
     """Write sorted cells, one folder per bucket, replacing ``path``.
 
-    Each file holds one bucket's cells of one task, sorted by cell key; files
-    of a bucket cover disjoint key sets, as separately loadable sorted runs.
+    Each file holds the cells of one task's key range within one bucket,
+    sorted by cell key; the files of a bucket cover disjoint, contiguous key
+    ranges, as separately loadable sorted runs.
     """
     (sorted_cells(cell_df).write.mode("overwrite").option("compression", compression)
      .partitionBy("bucket").parquet(path))

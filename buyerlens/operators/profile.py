@@ -29,7 +29,7 @@ from buyerlens.operators.members import members_with_facts, nonmembers_with_fact
 from buyerlens.operators.orders import buyer_facts
 from buyerlens.operators.points import points_total
 from buyerlens.params import ProfileParams
-from buyerlens.session import materialize as _materialize
+from buyerlens.session import materialize_all
 from buyerlens.schema import (
     ACTIVITY_COLUMNS,
     BASE_COLUMNS,
@@ -87,11 +87,14 @@ def joined_profile(inputs: Inputs, params: ProfileParams, materialize: bool = Tr
     the shared checkpoint folder: each input is then scanned and shuffled
     once although two profile sides read the aggregates.
     """
-    keep = _materialize if materialize else (lambda df, name: df)
-    facts = keep(buyer_facts(inputs.orders, params), "buyer_facts")
-    activity = keep(activity_summary(inputs.activity, params).select(*MEMBER_KEYS, *ACTIVITY_COLUMNS),
-                    "activity_stats")
-    points = keep(points_total(inputs.points), "points_stats")
+    aggregates = {
+        "buyer_facts": buyer_facts(inputs.orders, params),
+        "activity_stats": activity_summary(inputs.activity, params).select(*MEMBER_KEYS, *ACTIVITY_COLUMNS),
+        "points_stats": points_total(inputs.points),
+    }
+    if materialize:
+        aggregates = materialize_all(aggregates)
+    facts, activity, points = (aggregates[k] for k in ("buyer_facts", "activity_stats", "points_stats"))
     members_side = members_with_facts(inputs.members, facts, inputs.city_level)
     nonmembers_side = nonmembers_with_facts(facts)
     return profile_joined(members_side, nonmembers_side, activity, points, params)

@@ -68,4 +68,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: no footer-reading job on the way back.
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_all(dfs: dict[str, DataFrame], parallel: bool = True) -> dict[str, DataFrame]:
+    """:func:`materialize` several independent DataFrames.
+
+    With ``parallel`` the writes are submitted as concurrent Spark jobs from a
+    small thread pool, so stages that do not fill the cluster overlap.
+    """
+    if not parallel or len(dfs) < 2:
+        return {k: materialize(v, k) for k, v in dfs.items()}
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        futures = {k: pool.submit(materialize, v, k) for k, v in dfs.items()}
+        return {k: f.result() for k, f in futures.items()}

@@ -9,8 +9,24 @@ derived columns, never by dropping rows.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 
+# Given tables read once per session: a read lists the files and infers the
+# schema from the parquet footers (a small job each time); the plan it yields
+# is immutable and safe to share between queries.
+_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
+def read_given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The given table ``table`` under ``sf_dir``, read once per session."""
+    per_session = _READS.setdefault(spark, {})
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
+
 MEMBER_SQL = """
 select cast(c_custkey % 7 as string) merchant_num, 'B' || cast(c_custkey % 3 as string) brand_code,
   'P' || cast(c_custkey % 2 as string) platform_type, cast(c_custkey as string) user_id, c_name nick,
@@ -84,7 +100,7 @@ FIXTURE_SQL: dict[str, tuple[str, tuple[str, ...]]] = {
 def fixture_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture view as a Spark DataFrame over ``sf_dir``'s parquet files."""
     text, tables = FIXTURE_SQL[name]
-    dfs = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
+    dfs = {t: read_given(spark, sf_dir, t) for t in tables}
     return spark.sql(text, **dfs)
 
 

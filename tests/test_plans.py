@@ -39,12 +39,15 @@ def test_fused_orders_one_shuffle(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_cells_one_shuffle(spark):
+def test_cells_dedupe_then_range_shuffle(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         path = tempfile.mkdtemp(prefix="profile-") + "/p"
         QUERIES["user_profile"](spark, SF_SMALL).write.parquet(path)
-        assert _exchanges(cells(spark.read.parquet(path), P.n_buckets)) == 1
+        plan = _plan(cells(spark.read.parquet(path), P.n_buckets))
+        assert len(re.findall(r"Exchange hashpartitioning\(rowkey", plan)) == 1
+        assert len(re.findall(r"Exchange rangepartitioning\(rowkey", plan)) == 1
+        assert _exchanges(cells(spark.read.parquet(path), P.n_buckets)) == 2
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
