@@ -8,10 +8,10 @@ key both sides are built on, so attaching them here saves that join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from buyerlens.functions.scalars import blank_to, strip_city_suffix
+from buyerlens.functions.scalars import blank_to, strip_city_suffix, tolerant_cast
 from buyerlens.operators.joins import checked_broadcast
 from buyerlens.operators.orders import BUYER_KEYS
 from buyerlens.schema import (
@@ -22,6 +22,11 @@ from buyerlens.schema import (
     pinned,
 )
 
+# Base columns the labelled profile casts from text to int (merchant_num is
+# not among them: the joins key on its raw text).
+EARLY_INT_COLUMNS = ("status", "channel", "member_identity", "point", "member_grade",
+                     "receive_province_code", "receive_city_code")
+
 # A city dimension larger than this is joined by a shuffle, not broadcast.
 CITY_BROADCAST_MAX_ROWS = 1_000_000
 
@@ -33,8 +38,17 @@ _RECEIVER_FROM_ORDER = {
 }
 
 
+def _cast_early(cols: list[Column], cast_early: bool) -> list[Column]:
+    """With ``cast_early``, the base columns the labelled profile casts to int
+    are cast here already, so the side's ``distinct`` sees the final values."""
+    if not cast_early:
+        return cols
+    return [tolerant_cast(c, "int").alias(name) if name in EARLY_INT_COLUMNS else c
+            for c, name in zip(cols, BASE_COLUMNS)]
+
+
 def members_with_facts(members: DataFrame, facts: DataFrame, city_level: DataFrame,
-                       city_max_rows: int = CITY_BROADCAST_MAX_ROWS) -> DataFrame:
+                       city_max_rows: int = CITY_BROADCAST_MAX_ROWS, cast_early: bool = False) -> DataFrame:
     """Member rows with receiver address, city level and order figures.
 
     J3: left join with the buyer facts on (merchant_num, user_id); the latest
@@ -57,7 +71,7 @@ def members_with_facts(members: DataFrame, facts: DataFrame, city_level: DataFra
         "city_level": F.col("_city_level"),
         **{k: F.col(f"latest_member_order.{v}") for k, v in _RECEIVER_FROM_ORDER.items()},
     }
-    cols = [pinned(c, special.get(c)) for c in BASE_COLUMNS]
+    cols = _cast_early([pinned(c, special.get(c)) for c in BASE_COLUMNS], cast_early)
     return joined.select(*cols, *ORDER_FACT_COLUMNS).distinct()
 
 
@@ -66,7 +80,7 @@ def members_enriched(members: DataFrame, facts: DataFrame, city_level: DataFrame
     return members_with_facts(members, facts, city_level).select(*BASE_COLUMNS)
 
 
-def nonmembers_with_facts(facts: DataFrame) -> DataFrame:
+def nonmembers_with_facts(facts: DataFrame, cast_early: bool = False) -> DataFrame:
     """One row per (merchant, buyer) with a non-member order: fields from the
     latest such order, fixed defaults for the rest, plus order figures."""
     src = {
@@ -78,7 +92,7 @@ def nonmembers_with_facts(facts: DataFrame) -> DataFrame:
         **{k: F.lit(v) for k, v in NONMEMBER_DEFAULTS.items()},
     }
     return (facts.where(F.col("latest_nonmember_order").isNotNull())
-            .select(*[pinned(c, src[c]) for c in BASE_COLUMNS], *ORDER_FACT_COLUMNS))
+            .select(*_cast_early([pinned(c, src[c]) for c in BASE_COLUMNS], cast_early), *ORDER_FACT_COLUMNS))
 
 
 def nonmembers_default(facts: DataFrame) -> DataFrame:
@@ -89,3 +103,20 @@ def nonmembers_default(facts: DataFrame) -> DataFrame:
 def all_users(members_side: DataFrame, nonmembers_side: DataFrame) -> DataFrame:
     """Every shop user; member duplicates are already removed."""
     return members_side.unionByName(nonmembers_side)
+
+
+def tenant_spellings_ambiguous(members: DataFrame, facts: DataFrame) -> bool:
+    """False when every raw ``merchant_num`` text is the canonical decimal
+    form of its int (or NULL), so no two different texts share a number.
+
+    Only if two texts shared one (say '7' and '07', or two non-numeric texts
+    both NULL) could two distinct profile rows become equal in the labelled
+    output: every other cast runs before the sides' ``distinct``, and every
+    joined figure is keyed by the raw tenant plus an output column. The check
+    is conservative (any non-canonical text counts) and needs no shuffle: a
+    filtered scan of one column that stops at the first hit.
+    """
+    m = F.col("merchant_num")
+    non_canonical = ~m.eqNullSafe(tolerant_cast(m, "int").cast("string"))
+    texts = members.select("merchant_num").unionByName(facts.select("merchant_num"))
+    return texts.where(non_canonical).limit(1).count() > 0

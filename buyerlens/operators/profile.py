@@ -25,7 +25,7 @@ from buyerlens.functions import labels
 from buyerlens.functions.scalars import tolerant_cast
 from buyerlens.operators.activity import activity_summary
 from buyerlens.operators.joins import salted_left_join
-from buyerlens.operators.members import members_with_facts, nonmembers_with_facts
+from buyerlens.operators.members import members_with_facts, nonmembers_with_facts, tenant_spellings_ambiguous
 from buyerlens.operators.orders import buyer_facts
 from buyerlens.operators.points import points_total
 from buyerlens.params import ProfileParams
@@ -80,13 +80,8 @@ def label_profile(joined: DataFrame, buy_charact: Column | None = None,
     return joined.select(*[(exprs[c] if c in exprs else F.col(c)).alias(c) for c in PROFILE_COLUMNS])
 
 
-def joined_profile(inputs: Inputs, params: ProfileParams, materialize: bool = True) -> DataFrame:
-    """Source to the 55-column joined profile.
-
-    With ``materialize`` the three per-key aggregates are written once under
-    the shared checkpoint folder: each input is then scanned and shuffled
-    once although two profile sides read the aggregates.
-    """
+def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool,
+                   cast_early: bool) -> tuple[DataFrame, DataFrame]:
     aggregates = {
         "buyer_facts": buyer_facts(inputs.orders, params),
         "activity_stats": activity_summary(inputs.activity, params).select(*MEMBER_KEYS, *ACTIVITY_COLUMNS),
@@ -95,18 +90,34 @@ def joined_profile(inputs: Inputs, params: ProfileParams, materialize: bool = Tr
     if materialize:
         aggregates = materialize_all(aggregates)
     facts, activity, points = (aggregates[k] for k in ("buyer_facts", "activity_stats", "points_stats"))
-    members_side = members_with_facts(inputs.members, facts, inputs.city_level)
-    nonmembers_side = nonmembers_with_facts(facts)
-    return profile_joined(members_side, nonmembers_side, activity, points, params)
+    members_side = members_with_facts(inputs.members, facts, inputs.city_level, cast_early=cast_early)
+    nonmembers_side = nonmembers_with_facts(facts, cast_early=cast_early)
+    return profile_joined(members_side, nonmembers_side, activity, points, params), facts
+
+
+def joined_profile(inputs: Inputs, params: ProfileParams, materialize: bool = True) -> DataFrame:
+    """Source to the 55-column joined profile (base columns as raw text).
+
+    With ``materialize`` the three per-key aggregates are written once under
+    the shared checkpoint folder: each input is then scanned and shuffled
+    once although two profile sides read the aggregates.
+    """
+    return _profile_parts(inputs, params, materialize, cast_early=False)[0]
 
 
-def user_profile(inputs: Inputs, params: ProfileParams, final_distinct: bool = True,
+def user_profile(inputs: Inputs, params: ProfileParams, final_distinct: bool | None = None,
                  materialize: bool = True) -> DataFrame:
     """The 56-column labelled profile of every shop user.
 
-    ``final_distinct`` keeps the reference's last ``distinct``: rows can only
-    coincide there if tolerant casts map different texts to the same number.
-    The cell sink passes ``False``; its one-row-per-rowkey step subsumes it.
+    The labelled rows must be distinct. The text-to-int casts of base columns
+    run before the sides' ``distinct``, so a final row-wide ``distinct`` (a
+    full shuffle of the profile) is needed only when two raw tenant texts
+    cast to the same number; ``final_distinct=None`` checks that on the
+    distinct tenants and adds the ``distinct`` only then. The cell sink passes
+    ``False``: its one-row-per-rowkey step subsumes it.
     """
-    out = label_profile(joined_profile(inputs, params, materialize))
+    joined, facts = _profile_parts(inputs, params, materialize, cast_early=True)
+    out = label_profile(joined)
+    if final_distinct is None:
+        final_distinct = tenant_spellings_ambiguous(inputs.members, facts)
     return out.distinct() if final_distinct else out

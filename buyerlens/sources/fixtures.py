@@ -115,7 +115,12 @@ def fixture_sql_for_duckdb(name: str) -> str:
     return text.format(**{t: t for t in tables})
 
 
-def fixture_ctes() -> str:
-    """``WITH`` clause defining all fixture views, for self-contained SQL."""
-    parts = [f"{name} as ({fixture_sql_for_duckdb(name)})" for name in FIXTURE_SQL]
+def fixture_ctes(placeholders: bool = False) -> str:
+    """``WITH`` clause defining all fixture views, for self-contained SQL.
+
+    With ``placeholders`` the given tables stay as ``{customer}``-style
+    placeholders, for ``spark.sql(text, customer=df, ...)``.
+    """
+    parts = [f"{name} as ({FIXTURE_SQL[name][0] if placeholders else fixture_sql_for_duckdb(name)})"
+             for name in FIXTURE_SQL]
     return "with " + ",\n".join(parts)

@@ -139,3 +139,26 @@ def test_bad_params():
         ProfileParams(as_of="2024-02-30")
     with pytest.raises(ValueError):
         ProfileParams(order_days=0)
+
+
+def test_rows_equal_after_casts_are_merged(spark):
+    from buyerlens.operators.members import tenant_spellings_ambiguous
+
+    # Differ only in texts that both cast to NULL: merged by the member-side distinct.
+    members = [member(user="u", status="x"), member(user="u", status="y")]
+    inp = make_inputs(spark, members=members)
+    prof = user_profile(inp, P, materialize=False)
+    assert prof.where("user_id = 'u'").count() == 1
+    assert not tenant_spellings_ambiguous(inp.members, buyer_facts(inp.orders, P))
+
+
+def test_tenant_spellings_trigger_final_distinct(spark):
+    from buyerlens.operators.members import tenant_spellings_ambiguous
+
+    members = [member(merchant="7", user="u"), member(merchant="07", user="u")]
+    inp = make_inputs(spark, members=members)
+    assert tenant_spellings_ambiguous(inp.members, buyer_facts(inp.orders, P))
+    prof = user_profile(inp, P, materialize=False)
+    rows = prof.where("user_id = 'u'").collect()
+    assert len(rows) == 1 and rows[0].merchant_num == 7
+    assert user_profile(inp, P, final_distinct=False, materialize=False).where("user_id = 'u'").count() == 2
