@@ -178,6 +178,16 @@ def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prof.user_profile(inputs(spark, sf_dir), P)
 
 
+def tenant_scoped_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: the profile of two tenants; every input is scoped, logs included."""
+    from dataclasses import replace
+
+    from buyerlens.plans.oracle import SCOPED_TENANTS
+
+    p = replace(P, tenants=SCOPED_TENANTS)
+    return prof.user_profile(inputs(spark, sf_dir, p), p)
+
+
 # --- cells -----------------------------------------------------------------
 
 def _sink_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,6 +243,7 @@ QUERIES: dict[str, Query] = {
     "label_pay_detail": label_pay_detail,
     "today_defaults": today_defaults,
     "user_profile": user_profile,
+    "tenant_scoped_profile": tenant_scoped_profile,
     "cell_values": cell_values,
     "cell_family": cell_family,
     "cell_rowkey_bucket": cell_rowkey_bucket,

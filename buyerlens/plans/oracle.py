@@ -40,13 +40,18 @@ def _sorted_set_text(expr: str, dialect: str) -> str:
     return f"coalesce(string_agg(distinct {expr}, ',' order by {expr}), '')"
 
 
-def stages(p: ProfileParams = FIXTURE_PARAMS, dialect: str = "duckdb", src: dict[str, str] | None = None) -> str:
+def stages(p: ProfileParams = FIXTURE_PARAMS, dialect: str = "duckdb", src: dict[str, str] | None = None,
+           tenants: tuple[str, ...] | None = None) -> str:
     """All CTEs after the fixture views, in dependency order.
 
     ``dialect="spark"`` swaps the one construct the two engines spell
     differently (the sorted distinct list), so the same unfused chain can run
     on Spark as a baseline. ``src`` renames the five input tables.
+    ``tenants`` adds the tenant predicate where the source applies it: both
+    snapshots and the final select (the logs stay whole).
     """
+    scope = "" if tenants is None else " and merchant_num in (" + ", ".join(_lit(t) for t in tenants) + ")"
+    final_scope = "" if tenants is None else " where " + scope[5:]
     src = {n: n for n in ("member_base_info_day", "user_orders", "hd_join_log", "right_change_log",
                           "city_level")} | (src or {})
     t_mem, t_ord, t_act, t_pts, t_city = (src[n] for n in ("member_base_info_day", "user_orders", "hd_join_log",
@@ -86,8 +91,8 @@ def stages(p: ProfileParams = FIXTURE_PARAMS, dialect: str = "duckdb", src: dict
         nonmember_select.append(f"cast({e} as {ty[c]}) as {c}")
 
     return f"""
-, temp_member_table as (select {member_cols} from {t_mem} where day_id = '{hi}')
-, temp_order_table as (select * from {t_ord} where day_id = '{hi}')
+, temp_member_table as (select {member_cols} from {t_mem} where day_id = '{hi}'{scope})
+, temp_order_table as (select * from {t_ord} where day_id = '{hi}'{scope})
 , temp_city_level as (select name, try_cast(level as integer) as level from {t_city})
 , paid_window as (
   select * from temp_order_table where {PAID} and substr(pay_at, 1, 10) between '{lo}' and '{hi}')
@@ -187,7 +192,7 @@ def stages(p: ProfileParams = FIXTURE_PARAMS, dialect: str = "duckdb", src: dict
        cast(0 as decimal(15, 3))) as l_today_order_amount
   from profile_joined)
 , user_profile as (
-  select distinct {", ".join(_profile_select())} from labelled)
+  select distinct {", ".join(_profile_select())} from labelled{final_scope})
 """
 
 
@@ -240,6 +245,8 @@ def _sink_profile() -> str:
 
 
 LABEL_KEYS = "merchant_num, user_id, is_member"
+# Tenants of the tenant-scoped query (T4).
+SCOPED_TENANTS = ("1", "3")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -284,6 +291,8 @@ def oracle_sql() -> dict[str, str]:
     }
     out = {k: _with() + v for k, v in q.items()}
     as_text = ", ".join(f"cast({c} as varchar) as {c}" for c in PROFILE_COLUMNS)
+    out["tenant_scoped_profile"] = (fixture_ctes() + stages(tenants=SCOPED_TENANTS)
+                                    + "select * from user_profile")
     out["cell_values"] = _with(_sink_profile(), f"""
 , as_text as (select merchant_num as row_merchant_num, user_id as row_user_id, is_member as row_is_member, {as_text}
   from labelled_sink)

@@ -41,13 +41,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder for lineage cuts.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) is a fresh scratch folder made and registered.
+    Read from the session (``spark.checkpoint.dir``); only when it has none
+    (local tests) is a fresh scratch folder made and registered. A Spark
+    Connect session has no driver-side context here: its server's setting
+    applies and ``None`` is returned.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        return spark.conf.get("spark.checkpoint.dir", None)
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="buyerlens-ckpt-")
@@ -65,7 +70,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no job descriptions from the client
+        return df.checkpoint(eager=True)
     sc.setJobDescription(f"materialize {name}")
     try:
         return df.checkpoint(eager=True)
