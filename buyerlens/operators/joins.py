@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -19,6 +20,26 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def _approx_bytes(name: str, data_type) -> Column:
+    col = F.col(name)
+    if isinstance(data_type, (StringType, BinaryType)):
+        size = F.length(col)
+    elif isinstance(data_type, (ArrayType, MapType, StructType)):
+        size = F.length(F.to_json(col))
+    else:
+        size = F.lit(8)
+    return F.coalesce(size, F.lit(0)).cast("bigint")
+
+
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows and about ``max_bytes``
+    of data. One small job over at most ``max_rows + 1`` rows; only the two
+    totals reach the driver."""
+    row_bytes = sum((_approx_bytes(f.name, f.dataType) for f in df.schema.fields), F.lit(0).cast("bigint"))
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+
+
 def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt_of: Sequence[str],
                      buckets: int) -> DataFrame:
     """``left`` LEFT JOIN ``right`` USING ``keys`` where few key values carry

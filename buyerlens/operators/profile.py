@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from buyerlens.functions import labels
 from buyerlens.functions.scalars import tolerant_cast
 from buyerlens.operators.activity import activity_summary
-from buyerlens.operators.joins import salted_left_join
+from buyerlens.operators.joins import fits_broadcast, salted_left_join
 from buyerlens.operators.members import members_with_facts, nonmembers_with_facts, tenant_spellings_ambiguous
 from buyerlens.operators.orders import buyer_facts
 from buyerlens.operators.points import points_total
@@ -51,14 +51,18 @@ def profile_joined(members_side: DataFrame, nonmembers_side: DataFrame, activity
 
     ``activity`` and ``points`` are the per-(merchant, member) aggregates.
     Members meet them one after the other, so only the member rows are
-    shuffled. Non-members meet the few ``member_id = 0`` rows through a salted
-    join.
+    shuffled. Non-members meet the ``member_id = 0`` rows (one per tenant) by
+    a broadcast when a size check proves them small, so they do not move at
+    all; beyond the bound, through a salted join.
     """
     m = (members_side.join(activity, on=MEMBER_KEYS, how="left")
          .join(points, on=MEMBER_KEYS, how="left"))
     hot = (activity.where(F.col("member_id") == 0)
            .join(points.where(F.col("member_id") == 0), on=MEMBER_KEYS, how="full"))
-    n = salted_left_join(nonmembers_side, hot, MEMBER_KEYS, ["merchant_num", "user_id"], params.salt_buckets)
+    if fits_broadcast(hot, params.hot_broadcast_max_rows, params.hot_broadcast_max_bytes):
+        n = nonmembers_side.join(F.broadcast(hot), on=MEMBER_KEYS, how="left")
+    else:
+        n = salted_left_join(nonmembers_side, hot, MEMBER_KEYS, ["merchant_num", "user_id"], params.salt_buckets)
     return m.select(*JOINED_COLUMNS).unionByName(n.select(*JOINED_COLUMNS))
 
 

@@ -14,8 +14,10 @@ class ProfileParams:
     ``as_of``: the default 360-day order window starts ``as_of - 359``.
     ``tenants`` restricts every input to those ``merchant_num`` values; ``None``
     keeps all tenants. ``n_buckets`` is the number of key ranges of the cell
-    sink. ``salt_buckets`` spreads the hot ``member_id = 0`` key of non-member
-    rows over that many join tasks.
+    sink. Non-member rows all carry ``member_id = 0``: they meet those
+    figures by a broadcast when the ``member_id = 0`` rows (one per tenant)
+    are within ``hot_broadcast_max_rows`` / ``hot_broadcast_max_bytes``, else
+    through a join salted over ``salt_buckets`` tasks.
     """
 
     as_of: str = "2024-01-30"
@@ -24,6 +26,8 @@ class ProfileParams:
     tenants: tuple[str, ...] | None = None
     n_buckets: int = 15
     salt_buckets: int = 64
+    hot_broadcast_max_rows: int = 100_000
+    hot_broadcast_max_bytes: int = 64 << 20
     paid_status: tuple[int, ...] = field(default=(3, 4, 5, 6, 101))
 
     def __post_init__(self) -> None:

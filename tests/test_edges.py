@@ -124,14 +124,30 @@ def test_nonmember_zero_key_gets_zero_member_figures(spark):
     assert (m0.member_id, m0.interactive_num, m0.total_point) == (10, 1, None)
 
 
-def test_salt_count_does_not_change_result(spark):
+def test_hot_key_strategies_agree(spark):
     orders = [order(i, user=f"u{i}", is_member=0) for i in range(40)]
     activity = [("1", 0, 2, 1, "2024-01-29 00:00:00")]
     inp = make_inputs(spark, orders=orders, activity=activity)
-    a = joined_profile(inp, ProfileParams(as_of="2024-01-30", activity_days=10, salt_buckets=1), False)
-    b = joined_profile(inp, ProfileParams(as_of="2024-01-30", activity_days=10, salt_buckets=7), False)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    def run(**kw):
+        return joined_profile(inp, ProfileParams(as_of="2024-01-30", activity_days=10, **kw), False)
+
+    a = run()                                                # broadcast (small)
+    b = run(salt_buckets=1, hot_broadcast_max_bytes=0)       # salted, one bucket
+    c = run(salt_buckets=7, hot_broadcast_max_rows=0)        # salted, seven buckets
+    for x in (b, c):
+        assert a.exceptAll(x).count() == 0 and x.exceptAll(a).count() == 0
     assert a.where("exchange_num = 1").count() == 40
+    assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fits_broadcast_bounds(spark):
+    from buyerlens.operators.joins import fits_broadcast
+
+    df = spark.createDataFrame([("x" * 100, 1)] * 10, "s string, n int")
+    assert fits_broadcast(df, 10, 10_000)
+    assert not fits_broadcast(df, 9, 10_000)
+    assert not fits_broadcast(df, 10, 500)
 
 
 def test_bad_params():
