@@ -1,0 +1,8 @@
+"""No stream operators.
+
+The job this package rebuilds is a daily batch. Its activity and points
+logs are fed by streams upstream, but the job reads them as ordinary tables:
+there is no watermark, event-time window, state or trigger to rebuild, so
+this package deliberately holds no operator. The logs are read by
+:mod:`buyerlens.sources.tables` like every other input.
+"""
