@@ -3,17 +3,20 @@
 Plan shape at scale:
 
 * the three per-key aggregates (buyer facts, activity, points) are each one
-  scan + one partial/final aggregate, written once to the checkpoint folder;
+  scan + one partial/final aggregate, checkpointed once into the shared
+  checkpoint folder;
 * member rows are shuffled once on (merchant_num, user_id) to meet the buyer
   facts (the member ``distinct`` then needs no shuffle of its own) and once
   on (merchant_num, member_id) to meet activity and then points;
 * non-member rows come straight from the buyer facts. All carry
   ``member_id = 0``, one hot key per tenant; they meet the ``member_id = 0``
-  figures through a salted join, so no task gets a tenant's whole
-  non-member population.
+  figures by a size-checked broadcast (they do not move), or beyond the
+  bound through a salted join, so no task gets a tenant's whole non-member
+  population.
 
-No row-wide ``distinct`` is needed after the joins: each right side is unique
-per key, so rows stay distinct.
+Each right side is unique per key, so the joins keep rows distinct; a final
+row-wide ``distinct`` is added only when tenant texts make it necessary (see
+:func:`user_profile`).
 """
 
 from __future__ import annotations
@@ -29,7 +32,6 @@ from buyerlens.operators.members import members_with_facts, nonmembers_with_fact
 from buyerlens.operators.orders import buyer_facts
 from buyerlens.operators.points import points_total
 from buyerlens.params import ProfileParams
-from buyerlens.session import materialize_all
 from buyerlens.schema import (
     ACTIVITY_COLUMNS,
     BASE_COLUMNS,
@@ -37,6 +39,7 @@ from buyerlens.schema import (
     POINTS_COLUMNS,
     PROFILE_COLUMNS,
 )
+from buyerlens.session import materialize_all
 from buyerlens.sources.tables import Inputs
 
 MEMBER_KEYS = ["merchant_num", "member_id"]
@@ -116,8 +119,8 @@ def user_profile(inputs: Inputs, params: ProfileParams, final_distinct: bool | N
     The labelled rows must be distinct. The text-to-int casts of base columns
     run before the sides' ``distinct``, so a final row-wide ``distinct`` (a
     full shuffle of the profile) is needed only when two raw tenant texts
-    cast to the same number; ``final_distinct=None`` checks that on the
-    distinct tenants and adds the ``distinct`` only then. The cell sink passes
+    can cast to the same number; ``final_distinct=None`` runs the cheap check
+    :func:`tenant_spellings_ambiguous` and adds the ``distinct`` only then. The cell sink passes
     ``False``: its one-row-per-rowkey step subsumes it.
     """
     joined, facts = _profile_parts(inputs, params, materialize, cast_early=True)
