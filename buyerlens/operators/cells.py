@@ -107,17 +107,24 @@ def cells(profile: DataFrame, n_buckets: int, families: Mapping[str, str] | None
 
     ``range_partitions`` fixes the number of key ranges (tasks) of the sink;
     by default it follows ``spark.sql.shuffle.partitions`` and AQE may merge
-    neighbouring ranges.
+    neighbouring ranges. Built with few DataFrame steps: the bucket is a
+    function of the rowkey, so it is derived after the per-rowkey step.
     """
     families = dict(DEFAULT_FAMILIES if families is None else families)
     cols = list(profile.columns)
     check_families(cols, families)
-    keyed = with_rowkey(profile, n_buckets)
-    unique = one_row_per_key(keyed, "rowkey", [*cols, "bucket"])
+    pick = F.max(F.struct(F.col("is_member").alias("_first"), *[F.col(c) for c in cols])).alias("_row")
+    unique = profile.groupBy(rowkey().alias("rowkey")).agg(pick)
     ranged = (unique.repartitionByRange("rowkey") if range_partitions is None
               else unique.repartitionByRange(range_partitions, "rowkey"))
-    long = cell_values(ranged, ["rowkey", "bucket"])
-    return long.select("rowkey", family_of(families).alias("family"), "qualifier", "value", "bucket")
+    rendered = ranged.select(
+        "rowkey",
+        bucket_of(F.col("rowkey"), n_buckets).alias("bucket"),
+        *[render_value(f"_row.{c}", profile.schema[c].dataType).alias(c.lower()) for c in cols],
+    )
+    long = rendered.unpivot(["rowkey", "bucket"], [c.lower() for c in cols], "qualifier", "value")
+    return long.where(F.col("value").isNotNull()).select(
+        "rowkey", family_of(families).alias("family"), "qualifier", "value", "bucket")
 
 
 def sorted_cells(cell_df: DataFrame) -> DataFrame:

@@ -70,19 +70,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     An eager reliable ``checkpoint()``: it cuts the lineage (a lost executor
     re-reads the checkpoint instead of recomputing from the raw inputs) and
-    lets several consumers share one computation. ``name`` labels the job.
+    lets several consumers share one computation. ``name`` names the
+    aggregate for the caller.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no job descriptions from the client
-        return df.checkpoint(eager=True)
-    sc.setJobDescription(f"materialize {name}")
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        sc.setJobDescription(None)
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def materialize_all(dfs: dict[str, DataFrame], parallel: bool = True) -> dict[str, DataFrame]:
