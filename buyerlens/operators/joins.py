@@ -9,17 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` marked for broadcast only if it has at most ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows (a short job on a
-    dimension table). A larger side is returned unhinted, so Catalyst/AQE
-    plan a shuffle join instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _approx_bytes(name: str, data_type) -> Column:
     col = F.col(name)
     if isinstance(data_type, (StringType, BinaryType)):

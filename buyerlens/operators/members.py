@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buyerlens.functions.scalars import blank_to, strip_city_suffix, tolerant_cast
-from buyerlens.operators.joins import checked_broadcast
 from buyerlens.operators.orders import BUYER_KEYS
 from buyerlens.schema import (
     BASE_COLUMNS,
@@ -47,19 +46,29 @@ def _cast_early(cols: list[Column], cast_early: bool) -> list[Column]:
             for c, name in zip(cols, BASE_COLUMNS)]
 
 
+def city_fits_broadcast(city_level: DataFrame, max_rows: int = CITY_BROADCAST_MAX_ROWS) -> bool:
+    """The size check behind the city dimension's broadcast."""
+    return city_level.limit(max_rows + 1).count() <= max_rows
+
+
 def members_with_facts(members: DataFrame, facts: DataFrame, city_level: DataFrame,
-                       city_max_rows: int = CITY_BROADCAST_MAX_ROWS, cast_early: bool = False) -> DataFrame:
+                       city_max_rows: int = CITY_BROADCAST_MAX_ROWS, cast_early: bool = False,
+                       city_broadcast: bool | None = None) -> DataFrame:
     """Member rows with receiver address, city level and order figures.
 
     J3: left join with the buyer facts on (merchant_num, user_id); the latest
     member order gives the receiver address. J4: left join with the city
-    dimension on the city name without its suffix (broadcast when small).
+    dimension on the city name without its suffix (broadcast when small;
+    ``city_broadcast`` passes a check already made).
     Duplicate member rows are removed here (the reference's union-distinct;
     non-member rows are unique by construction and never equal a member row).
     """
     f = facts.select(*BUYER_KEYS, "latest_member_order", *ORDER_FACT_COLUMNS)
-    dim = checked_broadcast(city_level.select(F.col("name").alias("_city_name"),
-                                              F.col("level").alias("_city_level")), city_max_rows)
+    dim = city_level.select(F.col("name").alias("_city_name"), F.col("level").alias("_city_level"))
+    if city_broadcast is None:
+        city_broadcast = city_fits_broadcast(dim, city_max_rows)
+    if city_broadcast:
+        dim = F.broadcast(dim)
     joined = (members.join(f, on=BUYER_KEYS, how="left")
               .join(dim, strip_city_suffix("city") == F.col("_city_name"), "left"))
 
@@ -105,6 +114,15 @@ def all_users(members_side: DataFrame, nonmembers_side: DataFrame) -> DataFrame:
     return members_side.unionByName(nonmembers_side)
 
 
+def non_canonical_tenant_text(df: DataFrame) -> bool:
+    """True if some ``merchant_num`` text of ``df`` is not the canonical
+    decimal form of its int (NULL counts as canonical). A filtered scan of one
+    column that stops at the first hit; no shuffle."""
+    m = F.col("merchant_num")
+    non_canonical = ~m.eqNullSafe(tolerant_cast(m, "int").cast("string"))
+    return df.select("merchant_num").where(non_canonical).limit(1).count() > 0
+
+
 def tenant_spellings_ambiguous(members: DataFrame, facts: DataFrame) -> bool:
     """False when every raw ``merchant_num`` text is the canonical decimal
     form of its int (or NULL), so no two different texts share a number.
@@ -113,10 +131,6 @@ def tenant_spellings_ambiguous(members: DataFrame, facts: DataFrame) -> bool:
     both NULL) could two distinct profile rows become equal in the labelled
     output: every other cast runs before the sides' ``distinct``, and every
     joined figure is keyed by the raw tenant plus an output column. The check
-    is conservative (any non-canonical text counts) and needs no shuffle: a
-    filtered scan of one column that stops at the first hit.
+    is conservative (any non-canonical text counts).
     """
-    m = F.col("merchant_num")
-    non_canonical = ~m.eqNullSafe(tolerant_cast(m, "int").cast("string"))
-    texts = members.select("merchant_num").unionByName(facts.select("merchant_num"))
-    return texts.where(non_canonical).limit(1).count() > 0
+    return non_canonical_tenant_text(members) or non_canonical_tenant_text(facts)

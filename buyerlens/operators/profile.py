@@ -28,7 +28,12 @@ from buyerlens.functions import labels
 from buyerlens.functions.scalars import tolerant_cast
 from buyerlens.operators.activity import activity_summary
 from buyerlens.operators.joins import fits_broadcast, salted_left_join
-from buyerlens.operators.members import members_with_facts, nonmembers_with_facts, tenant_spellings_ambiguous
+from buyerlens.operators.members import (
+    city_fits_broadcast,
+    members_with_facts,
+    non_canonical_tenant_text,
+    nonmembers_with_facts,
+)
 from buyerlens.operators.orders import buyer_facts
 from buyerlens.operators.points import points_total
 from buyerlens.params import ProfileParams
@@ -39,7 +44,8 @@ from buyerlens.schema import (
     POINTS_COLUMNS,
     PROFILE_COLUMNS,
 )
-from buyerlens.session import materialize_all
+from buyerlens.session import materialize as materialize_one
+from buyerlens.session import run_concurrently
 from buyerlens.sources.tables import Inputs
 
 MEMBER_KEYS = ["merchant_num", "member_id"]
@@ -47,22 +53,35 @@ STAT_COLUMNS = [*ACTIVITY_COLUMNS, *POINTS_COLUMNS]
 JOINED_COLUMNS = [*BASE_COLUMNS, *ORDER_FACT_COLUMNS, *STAT_COLUMNS]
 
 
+def hot_member_figures(activity: DataFrame, points: DataFrame) -> DataFrame:
+    """The ``member_id = 0`` figures: at most one row per tenant."""
+    return (activity.where(F.col("member_id") == 0)
+            .join(points.where(F.col("member_id") == 0), on=MEMBER_KEYS, how="full"))
+
+
+def hot_fits_broadcast(activity: DataFrame, points: DataFrame, params: ProfileParams) -> bool:
+    return fits_broadcast(hot_member_figures(activity, points), params.hot_broadcast_max_rows,
+                          params.hot_broadcast_max_bytes)
+
+
 def profile_joined(members_side: DataFrame, nonmembers_side: DataFrame, activity: DataFrame,
-                   points: DataFrame, params: ProfileParams) -> DataFrame:
+                   points: DataFrame, params: ProfileParams, hot_broadcast: bool | None = None) -> DataFrame:
     """J5-J7 + P1: 45 base columns, the order figures and the activity and
     points figures (55 columns).
 
     ``activity`` and ``points`` are the per-(merchant, member) aggregates.
     Members meet them one after the other, so only the member rows are
     shuffled. Non-members meet the ``member_id = 0`` rows (one per tenant) by
-    a broadcast when a size check proves them small, so they do not move at
-    all; beyond the bound, through a salted join.
+    a broadcast when a size check proves them small (``hot_broadcast`` passes
+    a check already made), so they do not move at all; beyond the bound,
+    through a salted join.
     """
     m = (members_side.join(activity, on=MEMBER_KEYS, how="left")
          .join(points, on=MEMBER_KEYS, how="left"))
-    hot = (activity.where(F.col("member_id") == 0)
-           .join(points.where(F.col("member_id") == 0), on=MEMBER_KEYS, how="full"))
-    if fits_broadcast(hot, params.hot_broadcast_max_rows, params.hot_broadcast_max_bytes):
+    hot = hot_member_figures(activity, points)
+    if hot_broadcast is None:
+        hot_broadcast = hot_fits_broadcast(activity, points, params)
+    if hot_broadcast:
         n = nonmembers_side.join(F.broadcast(hot), on=MEMBER_KEYS, how="left")
     else:
         n = salted_left_join(nonmembers_side, hot, MEMBER_KEYS, ["merchant_num", "user_id"], params.salt_buckets)
@@ -87,19 +106,40 @@ def label_profile(joined: DataFrame, buy_charact: Column | None = None,
     return joined.select(*[(exprs[c] if c in exprs else F.col(c)).alias(c) for c in PROFILE_COLUMNS])
 
 
-def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool,
-                   cast_early: bool) -> tuple[DataFrame, DataFrame]:
+def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cast_early: bool,
+                   tenant_check: bool = False) -> tuple[DataFrame, bool]:
+    """The joined profile, and whether tenant texts may be ambiguous.
+
+    Guard jobs run next to the work they do not depend on: the city size
+    check and the member half of the tenant-text check alongside the three
+    aggregate checkpoints; the hot-key size check and the facts half of the
+    tenant-text check together afterwards.
+    """
+    spark = inputs.orders.sparkSession
     aggregates = {
         "buyer_facts": buyer_facts(inputs.orders, params),
         "activity_stats": activity_summary(inputs.activity, params).select(*MEMBER_KEYS, *ACTIVITY_COLUMNS),
         "points_stats": points_total(inputs.points),
     }
+    first: dict = {"city": lambda: city_fits_broadcast(inputs.city_level)}
+    if tenant_check:
+        first["members_tenants"] = lambda: non_canonical_tenant_text(inputs.members)
+    if materialize:
+        first.update({k: (lambda v=v, k=k: materialize_one(v, k)) for k, v in aggregates.items()})
+    done = run_concurrently(spark, first)
     if materialize:
-        aggregates = materialize_all(aggregates)
+        aggregates = {k: done[k] for k in aggregates}
     facts, activity, points = (aggregates[k] for k in ("buyer_facts", "activity_stats", "points_stats"))
-    members_side = members_with_facts(inputs.members, facts, inputs.city_level, cast_early=cast_early)
+    second: dict = {"hot": lambda: hot_fits_broadcast(activity, points, params)}
+    if tenant_check and not done["members_tenants"]:
+        second["facts_tenants"] = lambda: non_canonical_tenant_text(facts)
+    later = run_concurrently(spark, second)
+    ambiguous = tenant_check and (done["members_tenants"] or later.get("facts_tenants", False))
+    members_side = members_with_facts(inputs.members, facts, inputs.city_level, cast_early=cast_early,
+                                      city_broadcast=done["city"])
     nonmembers_side = nonmembers_with_facts(facts, cast_early=cast_early)
-    return profile_joined(members_side, nonmembers_side, activity, points, params), facts
+    joined = profile_joined(members_side, nonmembers_side, activity, points, params, hot_broadcast=later["hot"])
+    return joined, ambiguous
 
 
 def joined_profile(inputs: Inputs, params: ProfileParams, materialize: bool = True) -> DataFrame:
@@ -119,12 +159,15 @@ def user_profile(inputs: Inputs, params: ProfileParams, final_distinct: bool | N
     The labelled rows must be distinct. The text-to-int casts of base columns
     run before the sides' ``distinct``, so a final row-wide ``distinct`` (a
     full shuffle of the profile) is needed only when two raw tenant texts
-    can cast to the same number; ``final_distinct=None`` runs the cheap check
-    :func:`tenant_spellings_ambiguous` and adds the ``distinct`` only then. The cell sink passes
+    can cast to the same number; ``final_distinct=None`` runs the cheap,
+    conservative tenant-text check (see
+    :func:`buyerlens.operators.members.tenant_spellings_ambiguous`) and adds
+    the ``distinct`` only then. The cell sink passes
     ``False``: its one-row-per-rowkey step subsumes it.
     """
-    joined, facts = _profile_parts(inputs, params, materialize, cast_early=True)
+    joined, ambiguous = _profile_parts(inputs, params, materialize, cast_early=True,
+                                       tenant_check=final_distinct is None)
     out = label_profile(joined)
     if final_distinct is None:
-        final_distinct = tenant_spellings_ambiguous(inputs.members, facts)
+        final_distinct = ambiguous
     return out.distinct() if final_distinct else out

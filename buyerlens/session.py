@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Settings applied by :func:`configure`; each is set only if the session does
 # not carry a value already, so a cluster's own tuning wins.
 JOB_CONF: dict[str, str] = {
@@ -77,22 +81,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize_all(dfs: dict[str, DataFrame], parallel: bool = True) -> dict[str, DataFrame]:
-    """:func:`materialize` several independent DataFrames.
-
-    With ``parallel`` the writes are submitted as concurrent Spark jobs from a
-    small thread pool, so stages that do not fill the cluster overlap.
-    """
-    if not parallel or len(dfs) < 2:
-        return {k: materialize(v, k) for k, v in dfs.items()}
+def run_concurrently(spark: SparkSession, tasks: dict[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent driver-side steps that each submit Spark jobs at the
+    same time, from threads that inherit the caller's job group and
+    properties (cancelling the caller's group cancels them too)."""
+    if len(tasks) < 2:
+        return {k: f() for k, f in tasks.items()}
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark import inheritable_thread_target
 
-    # Worker threads inherit the caller's job group and properties, so
-    # cancelling the caller's group cancels these jobs too.
-    spark = next(iter(dfs.values())).sparkSession
-    run = inheritable_thread_target(spark)(materialize)
-    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
-        futures = {k: pool.submit(run, v, k) for k, v in dfs.items()}
+    wrap = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = {k: pool.submit(wrap(f)) for k, f in tasks.items()}
         return {k: f.result() for k, f in futures.items()}
+
+
+def materialize_all(dfs: dict[str, DataFrame], parallel: bool = True) -> dict[str, DataFrame]:
+    """:func:`materialize` several independent DataFrames, as concurrent jobs
+    unless ``parallel`` is off (stages that do not fill the cluster overlap)."""
+    if not parallel or len(dfs) < 2:
+        return {k: materialize(v, k) for k, v in dfs.items()}
+    spark = next(iter(dfs.values())).sparkSession
+    return run_concurrently(spark, {k: (lambda v=v, k=k: materialize(v, k)) for k, v in dfs.items()})
