@@ -14,11 +14,15 @@ left-joined on their keys (for the whole profile: the oracle's SQL chain
 executed by Spark). ``job`` writes the sorted cells.
 
 Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...};
-``value`` sums the medians of our queries (baselines excluded).
+``value`` sums the medians of our queries (baselines excluded). ``work``
+gives, per query and run, the input rows read and the shuffle bytes written,
+taken from Spark's event log in the bench's scratch folder: the numbers that
+grow with the data.
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
@@ -84,11 +88,43 @@ def headline(spark, raw: dict, scratch: str) -> dict:
     }
 
 
+def work_from_event_log(folder: str, runs: int) -> dict[str, dict[str, float]]:
+    """Input rows and shuffle MB per job group (query), per run."""
+    stage_group: dict[int, str] = {}
+    totals: dict[str, dict[str, float]] = {}
+    for path in glob.glob(os.path.join(folder, "**", "*"), recursive=True):
+        if not os.path.isfile(path):
+            continue
+        with open(path, encoding="utf-8", errors="replace") as fh:
+            for line in fh:
+                try:
+                    e = json.loads(line)
+                except ValueError:
+                    continue
+                if e.get("Event") == "SparkListenerJobStart":
+                    g = (e.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in e.get("Stage IDs", []):
+                        stage_group[sid] = g
+                elif e.get("Event") == "SparkListenerTaskEnd":
+                    g = stage_group.get(e.get("Stage ID"))
+                    m = e.get("Task Metrics") or {}
+                    if not g:
+                        continue
+                    t = totals.setdefault(g, {"input_rows": 0.0, "shuffle_mb": 0.0})
+                    t["input_rows"] += m.get("Input Metrics", {}).get("Records Read", 0)
+                    t["shuffle_mb"] += m.get("Shuffle Write Metrics", {}).get("Shuffle Bytes Written", 0) / 1e6
+    return {g: {"input_rows": round(v["input_rows"] / runs), "shuffle_mb": round(v["shuffle_mb"] / runs, 3)}
+            for g, v in totals.items()}
+
+
 def main() -> None:
     shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(CPUS)))
-    spark = build_session(f"local[{CPUS}]", shuffle, app_name="buyerlens-bench",
-                          extra={"spark.driver.memory": "16g"})
     scratch = tempfile.mkdtemp(prefix="buyerlens-bench-")
+    events = os.path.join(scratch, "events")
+    os.makedirs(events)
+    spark = build_session(f"local[{CPUS}]", shuffle, app_name="buyerlens-bench",
+                          extra={"spark.driver.memory": "16g", "spark.eventLog.enabled": "true",
+                                 "spark.eventLog.dir": events, "spark.eventLog.compress": "false"})
     spark.sparkContext.setCheckpointDir(scratch + "/checkpoints")
     t = time.perf_counter()
     raw = stage_inputs(spark, scratch)
@@ -97,6 +133,7 @@ def main() -> None:
 
     times: dict[str, float] = {}
     for name, fn in headline(spark, raw, scratch).items():
+        spark.sparkContext.setJobGroup(name, name)
         fn()  # warm-up: JIT, file listing, broadcast of dimensions
         runs = []
         for _ in range(REPEAT):
@@ -104,6 +141,9 @@ def main() -> None:
             fn()
             runs.append(time.perf_counter() - t)
         times[name] = round(statistics.median(runs), 3)
+    spark.sparkContext.setJobGroup("bench-end", "bench-end")
+    spark.stop()  # flushes the event log
+    work = work_from_event_log(events, REPEAT + 1)
     ours = {k: v for k, v in times.items() if not k.endswith("_unfused")}
     m = re.search(r"sf([0-9.]+)", SF_DIR)
     print(json.dumps({
@@ -119,8 +159,8 @@ def main() -> None:
             k: round(times[f"{k}_unfused"] / times[k], 2)
             for k in ("order_summary", "activity_summary", "user_profile")
         },
+        "work": {k: work[k] for k in times if k in work},
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":
