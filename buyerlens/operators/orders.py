@@ -123,6 +123,8 @@ def pay_day_rank(orders: DataFrame, params: ProfileParams) -> DataFrame:
     (buyer, day) with a map-side combine; the running sum then runs over at
     most ``order_days`` rows per buyer, and the ranks are joined back on
     (buyer, day), a many-to-one equi-join that AQE can split when skewed.
+    The order rows are read twice (for the counts and for the join back):
+    the price of never putting all of a buyer's orders in one task.
     """
     keys = ["merchant_num", "platform_open_id"]
     rows = orders.where(paid_in_window(params)).select(*keys, "order_id", _pay_day().alias("pay_day"))
