@@ -147,7 +147,9 @@ def joined_profile(inputs: Inputs, params: ProfileParams, materialize: bool = Tr
 
     With ``materialize`` the three per-key aggregates are written once under
     the shared checkpoint folder: each input is then scanned and shuffled
-    once although two profile sides read the aggregates.
+    once although two profile sides read the aggregates. Without it the plan
+    stays lazy and the aggregates are recomputed per consumer (the buyer
+    facts twice): meant for small inputs and tests.
     """
     return _profile_parts(inputs, params, materialize, cast_early=False)[0]
 
