@@ -91,17 +91,17 @@ def stages(p: ProfileParams = FIXTURE_PARAMS, dialect: str = "duckdb", src: dict
         nonmember_select.append(f"cast({e} as {ty[c]}) as {c}")
 
     return f"""
-, temp_member_table as (select {member_cols} from {t_mem} where day_id = '{hi}'{scope})
-, temp_order_table as (select * from {t_ord} where day_id = '{hi}'{scope})
-, temp_city_level as (select name, try_cast(level as integer) as level from {t_city})
+, members_today as (select {member_cols} from {t_mem} where day_id = '{hi}'{scope})
+, orders_today as (select * from {t_ord} where day_id = '{hi}'{scope})
+, city_levels as (select name, try_cast(level as integer) as level from {t_city})
 , paid_window as (
-  select * from temp_order_table where {PAID} and substr(pay_at, 1, 10) between '{lo}' and '{hi}')
+  select * from orders_today where {PAID} and substr(pay_at, 1, 10) between '{lo}' and '{hi}')
 , o_a as (
   select merchant_num, platform_open_id as user_id, count(1) as order_num_360
   from paid_window group by merchant_num, platform_open_id)
 , o_b as (
   select merchant_num, platform_open_id as user_id, count(1) as today_order_num, sum(payment) as today_order_amount
-  from temp_order_table where {PAID} and substr(pay_at, 1, 10) = '{hi}'
+  from orders_today where {PAID} and substr(pay_at, 1, 10) = '{hi}'
   group by merchant_num, platform_open_id)
 , o_ranked as (
   select merchant_num, platform_open_id, order_id, substr(pay_at, 1, 10) as pay_day,
@@ -117,14 +117,14 @@ def stages(p: ProfileParams = FIXTURE_PARAMS, dialect: str = "duckdb", src: dict
   from o_a a
   left join o_b b on a.merchant_num = b.merchant_num and a.user_id = b.user_id
   left join o_c c on a.merchant_num = c.merchant_num and a.user_id = c.user_id)
-, t_temp_order as (
+, member_receivers as (
   select merchant_num, user_id, receive_province, receive_province_code, receive_city, receive_city_code from (
     select merchant_num, platform_open_id as user_id, province as receive_province,
       province_code as receive_province_code, city as receive_city, city_code as receive_city_code,
       row_number() over (partition by merchant_num, platform_open_id
         order by updated_at desc nulls last, order_id desc nulls last, province desc nulls last,
           province_code desc nulls last, city desc nulls last, city_code desc nulls last) as rn
-    from temp_order_table where is_member = 1) x
+    from orders_today where is_member = 1) x
   where rn = 1)
 , latest_nonmember as (
   select * from (
@@ -133,13 +133,13 @@ def stages(p: ProfileParams = FIXTURE_PARAMS, dialect: str = "duckdb", src: dict
         platform_type desc nulls last, nick desc nulls last, is_member desc nulls last,
         province desc nulls last, province_code desc nulls last, city desc nulls last,
         city_code desc nulls last) as rn
-    from temp_order_table where is_member = 0) x
+    from orders_today where is_member = 0) x
   where rn = 1)
 , members_enriched as (
   select {", ".join(member_select)}
-  from temp_member_table m
-  left join t_temp_order lo on m.merchant_num = lo.merchant_num and m.user_id = lo.user_id
-  left join temp_city_level cl on replace(m.city, '市', '') = cl.name)
+  from members_today m
+  left join member_receivers lo on m.merchant_num = lo.merchant_num and m.user_id = lo.user_id
+  left join city_levels cl on replace(m.city, '市', '') = cl.name)
 , nonmembers_default as (
   select {", ".join(nonmember_select)} from latest_nonmember)
 , all_users as (
@@ -252,15 +252,15 @@ SCOPED_TENANTS = ("1", "3")
 def oracle_sql() -> dict[str, str]:
     lo, hi, lo_a = FIXTURE_PARAMS.order_start, FIXTURE_PARAMS.as_of, FIXTURE_PARAMS.activity_start
     q = {
-        "member_snapshot": "select * from temp_member_table",
+        "member_snapshot": "select * from members_today",
         "order_snapshot_paid": "select order_id, merchant_num, platform_open_id, substr(pay_at, 1, 10) as pay_day,"
                                " status, payment from paid_window",
-        "city_level_dim": "select * from temp_city_level",
+        "city_level_dim": "select * from city_levels",
         "activity_log_window": "select merchant_num, member_id, activity_type, status, created_at from hd_join_log"
                                f" where substr(created_at, 1, 10) between '{lo_a}' and '{hi}'",
         "points_log_positive": "select merchant_num, member_id, right_type, num_change from right_change_log"
                                " where num_change > 0 and right_type = 1",
-        "latest_member_order": "select * from t_temp_order",
+        "latest_member_order": "select * from member_receivers",
         "latest_nonmember_order": "select merchant_num, platform_open_id, brand_code, platform_type, nick, is_member,"
                                   " province, province_code, city, city_code from latest_nonmember",
         "pay_day_rank": "select merchant_num, platform_open_id, order_id, pay_day, cast(rn as integer) as rn"
