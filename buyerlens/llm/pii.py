@@ -69,6 +69,11 @@ FAMILY = {
 }
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _hex(col: Column, i: Column) -> Column:
     """The i-th byte (from 0, in a ring of 64) of a 512-bit hex digest."""
     return F.conv(F.substring(col, (i % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int")
@@ -87,10 +92,10 @@ def _chars(text: Column, digest: Column, hexed: Column) -> Column:
     """Every letter and digit replaced by one of its kind; other characters stay."""
     def one(i: Column) -> Column:
         c, b = F.substring(text, i + 1, F.lit(1)), _hex(digest, i + F.floor(i / 64).cast("int") * 7)
-        return (F.when(hexed & c.rlike("[0-9a-f]"), F.lower(F.conv((b % 16).cast("string"), 10, 16)))
-                .when(c.rlike("[0-9]"), (b % 10).cast("string"))
-                .when(c.rlike("[a-z]"), F.char(b % 26 + 97))
-                .when(c.rlike("[A-Z]"), F.char(b % 26 + 65)).otherwise(c))
+        return _let(c, lambda c: F.when(hexed & c.rlike("[0-9a-f]"), F.lower(F.conv((b % 16).cast("string"), 10, 16)))
+                    .when(c.rlike("[0-9]"), (b % 10).cast("string"))
+                    .when(c.rlike("[a-z]"), F.char(b % 26 + 97))
+                    .when(c.rlike("[A-Z]"), F.char(b % 26 + 65)).otherwise(c))
 
     n = F.length(text)
     return F.when(n == 0, text).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), n - 1), one), ""))
@@ -106,27 +111,41 @@ def kind_of(mention: Column) -> Column:
 
 def parts_of(mention: Column) -> Column:
     """The entities in a mention, ``array<struct<kind, norm>>``: one, but for a name of two words."""
-    kind = kind_of(mention)
-    digits = F.regexp_replace(mention, r"\D", "")
+    return _let(kind_of(mention), lambda kind: F.when(kind == "person", _name_parts(mention)).otherwise(
+        F.array(_entity(kind, _normal(mention, kind)))))
+
+
+def _entity(kind: Column, norm: Column) -> Column:
+    return F.struct(kind.alias("kind"), norm.alias("norm"))
+
+
+def _normal(mention: Column, kind: Column) -> Column:
     value = F.regexp_extract(mention, rf"({SECRET_VALUE})$", 1)
-    norm = (F.when(kind == "email", F.lower(mention)).when(kind == "ip", mention)
-            .when(kind == "secret", F.when(value.rlike("^[0-9a-fA-F]+$"), F.lower(value)).otherwise(value))
-            .when(kind == "iban", F.regexp_replace(mention, " ", "")).otherwise(digits))
-    name = F.regexp_extract(mention, r"^\S+ (.*)$", 1)
+    return (F.when(kind == "email", F.lower(mention)).when(kind == "ip", mention)
+            .when(kind == "secret", _let(value, lambda v: F.when(v.rlike("^[0-9a-fA-F]+$"), F.lower(v)).otherwise(v)))
+            .when(kind == "iban", F.regexp_replace(mention, " ", "")).otherwise(F.regexp_replace(mention, r"\D", "")))
+
+
+def _name_parts(mention: Column) -> Column:
     address = F.regexp_extract(mention, r"^([^ .]+)", 1)
     gender = F.when(address.rlike(f"^(?:{MALE})$"), "male").when(address.rlike(f"^(?:{FEMALE})$"), "female").otherwise("any")
-    family, given = F.regexp_extract(name, r"(\S+)$", 1), F.regexp_extract(name, r"^(\S+) ", 1)
-    script = lambda c: F.when(c.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    entity = lambda k, n: F.struct(k.alias("kind"), n.alias("norm"))
-    last = entity(F.concat(F.lit("family "), script(family)), F.lower(family))
-    first = entity(F.concat(F.lit("given "), gender, F.lit(" "), script(given)), F.lower(given))
-    return (F.when((kind == "person") & (given != ""), F.array(first, last)).when(kind == "person", F.array(last))
-            .otherwise(F.array(entity(kind, norm))))
+
+    def of(words: Column) -> Column:
+        script = lambda c: F.when(c.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+        family = lambda c: _entity(F.concat(F.lit("family "), script(c)), F.lower(c))
+        given = lambda c: _entity(F.concat(F.lit("given "), gender, F.lit(" "), script(c)), F.lower(c))
+        return F.when(F.size(words) > 2, F.array(given(words[1]), family(words[2]))).otherwise(F.array(family(words[1])))
+
+    return _let(F.split(mention, " "), of)
 
 
 def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     """The stand-in of a normalised entity."""
-    h = F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), norm), 512)
+    digest = F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), norm), 512)
+    return _let(digest, lambda h: _surrogate(kind, norm, attempt, h))
+
+
+def _surrogate(kind: Column, norm: Column, attempt: Column, h: Column) -> Column:
     hexed = (kind == "secret") & norm.rlike("^[0-9a-f]+$")
     domain = F.regexp_extract(norm, r"(\.[a-z0-9-]+)$", 1)
     octets = F.concat_ws(".", *[(_hex(h, F.lit(i)) % 254 + 1).cast("string") for i in range(4)])
@@ -212,8 +231,7 @@ def exceptions(ents: DataFrame, key: str, rounds: int = 20) -> DataFrame | None:
 
 def _replaced(text: Column, found: Column, attempt_of) -> Column:
     def stand(m: Column) -> Column:
-        parts = parts_of(m)
-        return _render(m, parts, F.transform(parts, attempt_of))
+        return _let(parts_of(m), lambda parts: _let(F.transform(parts, attempt_of), lambda new: _render(m, parts, new)))
 
     pieces = F.split(text, ENTITY, -1)
     joined = F.zip_with(pieces, F.transform(found, stand), lambda p, s: F.concat(p, F.coalesce(s, F.lit(""))))
