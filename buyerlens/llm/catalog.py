@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from buyerlens.llm import bytebpe, packing, pii, quality, simhash, toxicity
+from buyerlens.llm import bytebpe, flatgraph, licenses, packing, pii, quality, simhash, toxicity, vptree
 from buyerlens.llm.base import table
 from buyerlens.llm.training import held_out
 
@@ -31,10 +31,19 @@ def _decided(scored: DataFrame, threshold: float) -> DataFrame:
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def op1_vptree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vptree.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     p = quality.QualityParams()
@@ -55,16 +64,23 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), tokenizer_pattern())
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_pattern())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vptree_search": op1_vptree_search,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op4_license_scan": op4_license_scan,
     "op5_quality_gam": op5_quality_gam,
     "op6_toxicity_cnn": op6_toxicity_cnn,
     "op7_pii_surrogates": op7_pii_surrogates,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLES: dict[str, str] = {}
