@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from buyerlens.llm import bytebpe, flatgraph, licenses, packing, pii, quality, simhash, toxicity, vptree
+from buyerlens.llm import bytebpe, flatgraph, licenses, packing, pages, pii, quality, simhash, toxicity, vptree
 from buyerlens.llm.base import table
 from buyerlens.llm.training import held_out
 
@@ -40,6 +40,10 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vptree_search": op1_vptree_search,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_html_text": op3_html_text,
     "op4_license_scan": op4_license_scan,
     "op5_quality_gam": op5_quality_gam,
     "op6_toxicity_cnn": op6_toxicity_cnn,
