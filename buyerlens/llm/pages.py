@@ -230,6 +230,11 @@ class Shard:
 
 # --- Spark -----------------------------------------------------------------
 
+def _objects(values) -> pd.Series:
+    """Texts as plain objects, whatever string type the pandas version prefers."""
+    return pd.Series([v if isinstance(v, str) else None for v in values], dtype=object)
+
+
 def _parsed(pages: DataFrame, settled: bool, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """The pages that markup settles, with their text, or those it leaves open, with their blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +277,8 @@ def _unique_runs(open_: DataFrame, p: PageParams) -> DataFrame:
 
     def runs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         got = Shard([list(x) for x in rows["open"]], p.depth).runs()
-        return pd.DataFrame({"host": key[0], "shard": key[1], "need": rows["need"].iloc[0], "run": [r for r, _ in got], "pages": [c for _, c in got]})
+        return pd.DataFrame({"host": _objects([key[0]] * len(got)), "shard": key[1], "need": rows["need"].iloc[0],
+                             "run": _objects(r for r, _ in got), "pages": [c for _, c in got]})
 
     counted = cut(dealt.select("host", "shard", "need", "open").groupBy("host", "shard")
                   .applyInPandas(runs, "host string, shard int, need long, run string, pages long"))
@@ -283,7 +289,8 @@ def _unique_runs(open_: DataFrame, p: PageParams) -> DataFrame:
 
     def texts(rows: pd.DataFrame, repeated: pd.DataFrame) -> pd.DataFrame:
         pages = [list(x) for x in rows["open"]]
-        return pd.DataFrame({"page_id": rows["page_id"], "url": rows["url"], "text": Shard(pages, p.depth).unique(set(repeated["run"]), len(pages))})
+        found = Shard(pages, p.depth).unique(set(repeated["run"]), len(pages))
+        return pd.DataFrame({"page_id": rows["page_id"].to_numpy(), "url": _objects(rows["url"]), "text": _objects(found)})
 
     return dealt.select("page_id", "url", "open", "host", "shard").groupBy("host", "shard").cogroup(back.groupBy("r_host", "r_shard")).applyInPandas(
         texts, "page_id long, url string, text string")

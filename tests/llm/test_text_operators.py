@@ -1,0 +1,322 @@
+"""SimHash, licenses, byte BPE, packing and surrogates against brute force."""
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from buyerlens.llm import bytebpe, licenses, packing, pii, simhash
+from buyerlens.llm.catalog import QUERIES, tokenizer_path, tokenizer_pattern
+from buyerlens.llm.components import connected_components
+
+SF = "/root/testdata/sf0.001"
+RANKS, FILE = "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.json"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, id string"
+
+
+def docs(spark, texts, ids=None):
+    ids = ids or range(len(texts))
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x", "y") for i, t in zip(ids, texts)], DOCS)
+
+
+def ascii_lower(t):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
+
+
+# --- components and SimHash ------------------------------------------------
+
+def groups(pairs, nodes):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def test_components_equal_union_find(spark):
+    rng = np.random.default_rng(5)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(1000 + i, 1001 + i) for i in range(40)]
+    pairs += [(2000, 2000 + i) for i in range(1, 60)] + [(7, 7)]
+    df = spark.createDataFrame([*pairs, (None, 3), (4, None)], "a long, b long")
+    got = {r.id: r.root for r in connected_components(df).collect()}
+    nodes = {x for p in pairs if p[0] != p[1] for x in p}
+    assert got == groups([p for p in pairs if p[0] != p[1]], nodes)
+    assert connected_components(df.limit(0)).count() == 0
+
+
+def brute_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(text or ""))
+    shingles = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if h and 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="aAbBé \t\n\x0b\x1c zZ", max_size=60))
+def test_fingerprint_equals_definition(text):
+    assert simhash.fingerprint(text.encode()) == brute_fingerprint(text)
+
+
+def test_fingerprint_of_many_shingles():
+    text = " ".join(f"w{i % 977}" for i in range(3000))
+    assert simhash.fingerprint(text.encode()) == brute_fingerprint(text)
+    assert simhash.fingerprint(None) == simhash.fingerprint(b" \n") == 0
+
+
+def test_keys_meet_for_every_pair_of_bits():
+    base = np.random.default_rng(1).integers(0, 1 << 63, 3).astype(np.uint64)
+    one, _ = simhash.keys_of(base)
+    for a in range(64):
+        for b in range(a, 64):
+            _, many = simhash.keys_of(base ^ np.uint64((1 << a) | (1 << b)))
+            assert all(set(o) & set(m.tolist()) for o, m in zip(one.tolist(), many))
+
+
+def test_simhash_components_equal_brute_force(spark):
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in QUERIES["op2_simhash_dedup"](spark, SF).collect()}
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    fps = {r.doc_id: brute_fingerprint(r.text) for r in rows}
+    ids = sorted(fps)
+    pairs = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1:] if (fps[a] ^ fps[b]).bit_count() <= 2]
+    want = groups(pairs, ids)
+    assert pairs and got == {i: (f"{fps[i]:016x}", want[i]) for i in ids}
+
+
+def test_simhash_edge_rows(spark):
+    df = docs(spark, [None, "", " ", "a b c d", "A b C d", "x", "x" * 200_000, "a b c d"], [5, 3, 9, 7, 2, 8, 1, None])
+    got = {(r.doc_id, r.component_id) for r in simhash.components(df).collect()}
+    assert got == {(5, 3), (3, 3), (9, 3), (7, 2), (2, 2), (8, 8), (1, 1), (None, 2)}
+    kept = simhash.one_per_component(df)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 2, 3, 8]
+    assert simhash.components(df.limit(0)).count() == 0
+
+
+# --- licenses --------------------------------------------------------------
+
+def base_row(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(text or ""))
+    at, labels = [], set()
+    for phrase, label in licenses.PHRASES.items():
+        p = phrase.split()
+        here = [i for i in range(len(words) - len(p) + 1) if words[i:i + len(p)] == p]
+        at += here
+        labels |= {label} if here else set()
+    return len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
+
+
+def met(text, threshold=0.85):
+    out = {}
+    span = max(len(licenses.words_of(t.encode())) for t in licenses.TEMPLATES.values())
+    for label, t in licenses.TEMPLATES.items():
+        want = set(licenses.words_of(t.encode()))
+        shares = [len(want & set(b)) / len(want) for b in licenses.blocks((text or "").encode(), span)]
+        if shares and max(shares) >= threshold - 1e-12:
+            out[label] = max(shares)
+    return out
+
+
+LICENSE_TEXTS = [None, "", "CC BY. cc-by cc  by", "All rights reserved\nall rights\nreserved all rights reserved",
+                 "Licensed under the Apache License, Version 2.0.", "under the apache license licensed version 2",
+                 "Released under the MIT-License", "mit license released", "é cc by ü", "general public\x7flicense",
+                 " ".join(f"w{i}" for i in range(500)) + " Released under the MIT License " + " ".join(f"v{i}" for i in range(500)),
+                 licenses.TEMPLATES["mit-text"][:-14], "word " * 30_000]
+
+
+def test_license_scan_equals_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    rows += [(10_000 + i, t) for i, t in enumerate(LICENSE_TEXTS)]
+    df = docs(spark, [t for _, t in rows] + ["cc by"], [i for i, _ in rows] + [None])
+    got = licenses.scan(df).collect()
+    assert len(got) == len(rows) + 1
+    by_id = {r.doc_id: r for r in got}
+    for i, t in rows:
+        r, hits = by_id[i], met(t)
+        want = base_row(t)
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == want
+        assert r.labels == ",".join(sorted(set(hits) | set(filter(None, want[4].split(",")))))
+        assert r.score == pytest.approx(1.0 if want[1] else max(hits.values(), default=0.0))
+    assert licenses.scan(df.limit(0)).count() == 0
+
+
+# --- byte BPE --------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def tiktoken_ref():
+    import tiktoken
+
+    ranks = bytebpe.read_ranks(tokenizer_path(RANKS))
+    return tiktoken.Encoding("own", pat_str=tokenizer_pattern(), mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def coder():
+    enc = bytebpe.encoder(tokenizer_path(RANKS), tokenizer_pattern(), True)
+    return enc, bytebpe.Decoder(enc.tokenizer)
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(alphabet=st.one_of(st.sampled_from(" \n\t'sabé日.,1 　\x85\x1c"), st.characters(codec="utf-8")), max_size=40))
+def test_ids_equal_tiktoken_and_round_trip(tiktoken_ref, coder, text):
+    enc, dec = coder
+    (ids,) = enc.encode([text])
+    assert np.frombuffer(ids, "<u4").tolist() == tiktoken_ref.encode_ordinary(text)
+    assert dec.decode(ids) == text.encode()
+
+
+def test_digests(spark, tiktoken_ref):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    rows += [(10_001, None), (10_002, ""), (10_003, "<|endoftext|> x"), (10_004, "ab " * 50_000), (10_005, "é\n\n  é")]
+    df = docs(spark, [t for _, t in rows], [i for i, _ in rows])
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256)
+           for r in bytebpe.digests(df, tokenizer_path(RANKS), tokenizer_pattern()).collect()}
+    for i, t in rows:
+        ids = tiktoken_ref.encode_ordinary(t or "")
+        assert got[i] == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+
+
+def test_offsets_and_decoding(spark):
+    df = docs(spark, ["naïve 日本 text", None])
+    enc = bytebpe.encoded(df, tokenizer_path(RANKS), tokenizer_pattern())
+    r = enc.where("doc_id = 0").first()
+    assert all(0 <= a <= b <= len("naïve 日本 text") for a, b in zip(r.starts, r.ends)) and r.ends[-1] == 13
+    back = {x.doc_id: x.text for x in bytebpe.decoded(enc, tokenizer_path(RANKS), tokenizer_pattern()).collect()}
+    assert back == {0: "naïve 日本 text", 1: ""}
+
+
+# --- packing ---------------------------------------------------------------
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=120), st.sampled_from([40, 64]))
+def test_plan_is_best_fit_decreasing(lengths, size):
+    counts = {n: lengths.count(n) for n in lengths}
+    slots, used = packing.plan(counts, size)
+    bins, ranks = {}, {}
+    for s in slots:
+        for r in range(s.lo, s.hi):
+            d = r - s.lo
+            bins.setdefault(s.sequence + d // s.per, []).append((s.offset + d % s.per * s.length, s.length))
+            ranks.setdefault(s.length, []).append(r)
+    assert {n: sorted(r) for n, r in ranks.items()} == {n: list(range(c)) for n, c in counts.items()}
+    assert sorted(bins) == list(range(used))
+    for content in bins.values():
+        at = 0
+        for offset, n in sorted(content):
+            assert offset == at
+            at += n
+        assert at <= size
+    room = []
+    for n in sorted(lengths, reverse=True):
+        fits = [i for i, r in enumerate(room) if r >= n]
+        if fits:
+            room[min(fits, key=lambda i: room[i])] -= n
+        else:
+            room.append(size - n)
+    assert used == len(room)
+
+
+def check_packing(rows, texts):
+    tok = bytebpe.tokenizer_file(tokenizer_path(FILE))
+    by_doc, bins = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for i, t in texts.items():
+        ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes()
+        parts = sorted(by_doc[i], key=lambda r: r.piece)
+        assert [(r.piece, r.start, r.length) for r in parts] == [(k, s, n) for k, (s, n) in enumerate(packing.cuts(len(ids) // 4, 1024))]
+        assert all(r.ids_crc32 == zlib.crc32(ids[4 * r.start:4 * (r.start + r.length)]) for r in parts)
+    for content in bins.values():
+        at = 0
+        for offset, n in sorted(content):
+            assert offset == at
+            at += n
+        assert at <= 1024
+    return len(bins)
+
+
+def test_packing_of_documents(spark):
+    rows = QUERIES["op10_best_fit_packing"](spark, SF).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    n = check_packing(rows, texts)
+    total = sum(r.length for r in rows)
+    assert -(-total // 1024) <= n <= -(-total // 1024) * 1.02 + 1
+    assert all(r.length == 1024 for r in rows if r.piece > 0)
+
+
+def test_packing_edge_rows(spark):
+    args = (tokenizer_path(FILE), tokenizer_pattern())
+    df = docs(spark, [None, "", "a", "a b " * 40_000, "same", "same"], [0, 1, 2, 3, 4, 4])
+    rows = packing.pack(df, *args).collect()
+    assert sum(r.doc_id == 4 for r in rows) == 2 and sum(r.doc_id == 0 for r in rows) == 1
+    places = [(r.sequence_id, r.offset) for r in rows]
+    assert len(set(places)) == len(places)
+    assert packing.pack(docs(spark, ["x"], [None]), *args).count() == 1
+    assert packing.pack(df.limit(0), *args).count() == 0
+
+
+# --- surrogates ------------------------------------------------------------
+
+PRIVATE = ["jo.81@mail3.example.com", "+1 (017) 555-7713", "97.51.17.173", "9807915762804490", "04dbebab91ab85687d33eeaaf9ac699e1188f962",
+           "123-45-6789", "DE89 3704 0044 0532 0130 00", "hunter2hunter", "John Smith", "Schmidt", "Петров"]
+PII_TEXTS = ["mail jo.81@mail3.example.com and JO.81@MAIL3.EXAMPLE.COM", "tel +1 (017) 555-7713, +1 017 555 7713.",
+             "ip 97.51.17.173 card 9807915762804490, 9807-9157-6280-4490", 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"',
+             "password: hunter2hunter ssn 123-45-6789 iban DE89 3704 0044 0532 0130 00.", "Mr. John Smith met Frau Schmidt; Dr. Smith left.",
+             "г-н Петров", None, "", "Licensed under CC BY-NC 4.0, version 2.0, 2024-01-02 10:33:44, page 12345."]
+
+
+def test_surrogates(spark):
+    df = docs(spark, PII_TEXTS)
+    out = pii.with_surrogates(df, "k", count_col="n")
+    assert out.columns == [*df.columns, "n"]
+    got = {r.doc_id: r.text for r in out.collect()}
+    text = "\n".join(t or "" for t in got.values())
+    assert not [p for p in PRIVATE if p in text]
+    assert got[7] is None and got[8] == "" and got[9] == PII_TEXTS[9]
+    a, b = re.fullmatch(r"mail (\S+) and (\S+)", got[0]).groups()
+    assert a.upper() == b and re.fullmatch(r"[a-z]{2}\.\d\d@[a-z]{4}\d\.[a-z]{7}\.com", a)
+    p, q = re.fullmatch(r"tel (\+1 \(\d{3}\) \d{3}-\d{4}), (\+1 \d{3} \d{3} \d{4})\.", got[1]).groups()
+    assert re.sub(r"\D", "", p) == re.sub(r"\D", "", q)
+    c, d = re.fullmatch(r"ip [\d.]+ card (\d{16}), (\d{4}(?:-\d{4}){3})", got[2]).groups()
+    assert c == d.replace("-", "")
+    assert re.fullmatch(r'token = "[0-9a-f]{40}"', got[3])
+    m = re.fullmatch(r"Mr\. (\S+) (\S+) met Frau (\S+); Dr\. (\S+) left\.", got[5])
+    assert m[2] == m[4] and m[1] in pii.GIVEN[("male", "latin")].split() and m[2] != m[3]
+    assert re.fullmatch(r"г-н [Ѐ-ӿ]+", got[6])
+    again = {r.doc_id: r.text for r in pii.with_surrogates(df.repartition(3), "k").collect()}
+    assert again == got
+    assert {r.text for r in pii.with_surrogates(df, "other").collect()} != set(got.values())
+    assert pii.with_surrogates(df.limit(0), "k").count() == 0
+
+
+def test_colliding_names_stay_distinct(spark):
+    names = [f"Mrs. {a}{b}x" for a in ("Ab", "Cd", "Ef", "Gh", "Ij", "Kl", "Mn", "Op", "Qr", "St") for b in "abcdefghijklmnopqrstuvwxyz"]
+    names += [f"{n}y" for n in names]
+    df = docs(spark, [f"{n} and {n}" for n in names])
+    assert pii.exceptions(pii.entities(df), "k") is not None
+    got = [re.fullmatch(r"(Mrs\. \S+) and (Mrs\. \S+)", r.text).groups() for r in pii.with_surrogates(df, "k").collect()]
+    assert all(a == b for a, b in got) and len({a for a, _ in got}) == len(names)
+
+
+def test_surrogates_leave_clean_documents_alone(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    out = pii.with_surrogates(df, "k", count_col="n")
+    both = out.where("n = 0").join(df.select("doc_id", F.col("text").alias("old")), "doc_id")
+    assert both.where(~F.col("text").eqNullSafe(F.col("old"))).count() == 0
+    changed = out.where("n > 0").select("doc_id", "text").join(df.select("doc_id", F.col("text").alias("old")), "doc_id").collect()
+    assert changed
+    for r in changed:
+        for private in re.findall(r"\S+@\S+\.\w+|\d{16}|\+1 \(\d{3}\) \d{3}-\d{4}|\d+\.\d+\.\d+\.\d+|[0-9a-f]{40}", r.old):
+            assert private not in r.text
