@@ -9,9 +9,9 @@ cluster job reads, and the same inputs for both plans compared.
 
 Each query is forced in full with the no-op writer (nothing is collected);
 one warm-up run, then the median of $BENCH_REPEAT runs. ``*_unfused`` rows run
-the source's plan shape on the same engine and inputs: the grouped reads
-left-joined on their keys (for the whole profile: the oracle's SQL chain
-executed by Spark). ``job`` writes the sorted cells.
+plain plans on the same engine and inputs (``tests/plain_forms.py``): separate
+grouped reads left-joined on their keys, cells unpivoted before the pick.
+``job`` writes the sorted cells.
 
 Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...};
 ``value`` sums the medians of our queries (baselines excluded). ``work``
@@ -31,17 +31,18 @@ import sys
 import tempfile
 import time
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [HERE, os.path.join(HERE, "tests")]
 
 from buyerlens.operators import activity as act  # noqa: E402
 from buyerlens.operators import members as mem  # noqa: E402
 from buyerlens.operators import orders as ords  # noqa: E402
-from buyerlens.operators.cells import cells  # noqa: E402
+import plain_forms as plain  # noqa: E402
+from buyerlens.operators.cells import cells, write_cells  # noqa: E402
 from buyerlens.operators.points import points_total  # noqa: E402
 from buyerlens.operators.profile import user_profile  # noqa: E402
 from buyerlens.params import FIXTURE_PARAMS as P  # noqa: E402
 from buyerlens.plans.job import run_job  # noqa: E402
-from buyerlens.plans.oracle import unfused_profile_sql_for_spark  # noqa: E402
 from buyerlens.session import build_session  # noqa: E402
 from buyerlens.sources.fixtures import FIXTURE_SQL, fixture_inputs  # noqa: E402
 from buyerlens.sources.tables import scan_inputs  # noqa: E402
@@ -69,22 +70,28 @@ def headline(spark, raw: dict, scratch: str) -> dict:
     def inp():
         return scan_inputs(raw, P)
 
+    def sink():
+        return user_profile(inp(), P, final_distinct=False, keyed=True)
+
     def job():
         run_job(spark, raw, P, tempfile.mkdtemp(prefix="cells-", dir=scratch) + "/cells")
 
     return {
         "order_summary": lambda: _noop(ords.order_summary(inp().orders, P)),
-        "order_summary_unfused": lambda: _noop(ords.order_summary_joined(inp().orders, P)),
+        "order_summary_unfused": lambda: _noop(plain.order_summary(inp().orders, P)),
         "activity_summary": lambda: _noop(act.activity_summary(inp().activity, P)),
-        "activity_summary_unfused": lambda: _noop(act.activity_summary_joined(inp().activity, P)),
+        "activity_summary_unfused": lambda: _noop(plain.activity_summary(inp().activity, P)),
         "points_total": lambda: _noop(points_total(inp().points)),
         "pay_day_rank": lambda: _noop(ords.pay_day_rank(inp().orders, P)),
         "members_enriched": lambda: _noop(mem.members_enriched(
             inp().members, ords.buyer_facts(inp().orders, P), inp().city_level)),
         "user_profile": lambda: _noop(user_profile(inp(), P)),
-        "user_profile_unfused": lambda: _noop(spark.sql(unfused_profile_sql_for_spark(over_inputs=True), **raw)),
-        "cells": lambda: _noop(cells(user_profile(inp(), P, final_distinct=False), P.n_buckets)),
+        "user_profile_unfused": lambda: _noop(plain.user_profile(inp(), P)),
+        "cells": lambda: _noop(cells(sink(), P.n_buckets)),
+        "cells_unfused": lambda: _noop(plain.cells(sink(), P.n_buckets)),
         "job": job,
+        "job_unfused": lambda: write_cells(plain.cells(sink(), P.n_buckets).repartitionByRange("bucket", "rowkey"),
+                                           tempfile.mkdtemp(prefix="cells-", dir=scratch) + "/cells"),
     }
 
 
@@ -157,7 +164,7 @@ def main() -> None:
         "stage_inputs_sec": staged,
         "fused_vs_unfused": {
             k: round(times[f"{k}_unfused"] / times[k], 2)
-            for k in ("order_summary", "activity_summary", "user_profile")
+            for k in ("order_summary", "activity_summary", "user_profile", "cells", "job")
         },
         "work": {k: work[k] for k in times if k in work},
     }))

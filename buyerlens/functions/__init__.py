@@ -1,35 +1 @@
 """Column-expression helpers: scalar functions and labels (all JVM-side)."""
-
-from buyerlens.functions.labels import (
-    buy_charact,
-    buy_subdivision,
-    is_silent,
-    pay_detail_label,
-    today_order_amount_or_zero,
-    today_order_num_or_zero,
-)
-from buyerlens.functions.scalars import (
-    blank_to,
-    day_of,
-    render_value,
-    second_of,
-    sorted_set_text,
-    strip_city_suffix,
-    tolerant_cast,
-)
-
-__all__ = [
-    "blank_to",
-    "buy_charact",
-    "buy_subdivision",
-    "day_of",
-    "is_silent",
-    "pay_detail_label",
-    "render_value",
-    "second_of",
-    "sorted_set_text",
-    "strip_city_suffix",
-    "today_order_amount_or_zero",
-    "today_order_num_or_zero",
-    "tolerant_cast",
-]

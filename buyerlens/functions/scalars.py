@@ -51,6 +51,18 @@ def sorted_set_text(c: Column | str, sep: str = ",") -> Column:
     return F.array_join(F.array_sort(F.collect_set(_col(c))), sep)
 
 
+def default_rowkey(user_col: str = "user_id", merchant_col: str = "merchant_num") -> Column:
+    """Hex prefix of the key hash, then tenant and user, of their raw texts.
+
+    Different (tenant, user) pairs have different keys: NULL is ``\\N``, a
+    backslash is doubled, and an underscore of the tenant gets one before it.
+    """
+    text = lambda c: F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\"))
+    u = F.coalesce(text(user_col), F.lit("\\N"))
+    m = F.coalesce(F.replace(text(merchant_col), F.lit("_"), F.lit("\\_")), F.lit("\\N"))
+    return F.concat(F.substring(F.md5(F.concat(u, F.lit("_"), m)), 1, 8), F.lit("_"), m, F.lit("_"), u)
+
+
 def render_value(c: Column | str, data_type: DataType) -> Column:
     """Cell text of a value: arrays, maps and structs as JSON, anything else
     as its string form; NULL stays NULL (the cell is then dropped)."""

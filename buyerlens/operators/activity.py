@@ -1,18 +1,19 @@
 """Activity-participation aggregates (A5-A10, J2) per (merchant, member).
 
-:func:`activity_summary` is the fused form: ONE scan and ONE shuffle of the
-log with filtered aggregates. The reference reads the log four times and
-left-joins three grouped reads onto the distinct keys. The NULL guards below
-reproduce exactly what those left joins yield:
+:func:`activity_summary` is the fused form: ONE scan of the
+log with filtered aggregates. Its NULL rules:
 
 * exchange list / count: NULL unless the key has a row of type 2; then the
   list may be ``''`` and the count 0;
 * window flag / interaction count: NULL unless the key has a row in the window;
 * all-time list: ``''`` when every ``created_at`` is NULL;
-* a key with a NULL part matches nothing in a join, so all five are NULL.
+* a key with a NULL part has no figures: all five are NULL.
 
-Time lists are sets of distinct seconds; ``collect_set`` de-duplicates
-map-side before the shuffle and the set is sorted so the text is stable.
+Rows are first counted per (key, second), so a hot key's raw rows spread over
+tasks and combine map-side; then each distinct second of a key is collected
+once, with a flag that tells whether it is an exchange's. Keys with a NULL part
+collect nothing. The list of a key is part of its output row, so it is as long
+as the key has distinct seconds.
 """
 
 from __future__ import annotations
@@ -44,15 +45,17 @@ def _exchange() -> Column:
 def activity_summary(activity: DataFrame, params: ProfileParams) -> DataFrame:
     """J2 + A5-A10 fused: one row per distinct (merchant, member) of the log."""
     in_win = _in_window(params)
-    g = activity.groupBy(*MEMBER_KEYS).agg(
-        F.count_if(_exchange()).alias("_n_exchange"),
-        sorted_set_text(F.when(_exchange(), second_of("created_at"))).alias("_exchange_list"),
-        F.count_if(_exchange() & _ok()).alias("_n_exchange_ok"),
-        F.count_if(in_win).alias("_n_window"),
-        F.count_if(in_win & _ok()).alias("_n_window_ok"),
-        sorted_set_text(second_of("created_at")).alias("_all_list"),
-    )
     keyed = F.col("merchant_num").isNotNull() & F.col("member_id").isNotNull()
+    per_second = activity.groupBy(*MEMBER_KEYS, second_of("created_at").alias("_second")).agg(
+        F.count_if(_exchange()).alias("_x"), F.count_if(_exchange() & _ok()).alias("_x_ok"),
+        F.count_if(in_win).alias("_w"), F.count_if(in_win & _ok()).alias("_w_ok"))
+    moment = F.when(keyed & F.col("_second").isNotNull(), F.struct("_second", (F.col("_x") > 0).alias("x")))
+    g = per_second.groupBy(*MEMBER_KEYS).agg(
+        F.sum("_x").alias("_n_exchange"), F.sum("_x_ok").alias("_n_exchange_ok"),
+        F.sum("_w").alias("_n_window"), F.sum("_w_ok").alias("_n_window_ok"),
+        F.array_sort(F.collect_list(moment)).alias("_moments"))
+    text = lambda moments: F.array_join(F.transform(moments, lambda m: m["_second"]), ",")
+    g = g.select("*", text(F.filter("_moments", lambda m: m["x"])).alias("_exchange_list"), text("_moments").alias("_all_list"))
     has_x = keyed & (F.col("_n_exchange") > 0)
     has_w = keyed & (F.col("_n_window") > 0)
     return g.select(
@@ -84,20 +87,3 @@ def interaction_list(activity: DataFrame) -> DataFrame:
     """All-time sorted participation-time list of every key."""
     return activity.groupBy(*MEMBER_KEYS).agg(sorted_set_text(second_of("created_at")).alias("interactive_time_list"))
 
-
-def activity_summary_joined(activity: DataFrame, params: ProfileParams) -> DataFrame:
-    """The reference's form: distinct keys left-joined with the three grouped
-    reads. For the equivalence test only (four scans, several shuffles)."""
-    a = activity.select(*MEMBER_KEYS).distinct()
-    b = exchange_stats(activity)
-    c = recent_interaction(activity, params)
-    d = interaction_list(activity)
-
-    def on(x: str, y: str) -> Column:
-        return ((F.col(f"{x}.merchant_num") == F.col(f"{y}.merchant_num"))
-                & (F.col(f"{x}.member_id") == F.col(f"{y}.member_id")))
-
-    return (a.alias("a").join(b.alias("b"), on("a", "b"), "left").join(c.alias("c"), on("a", "c"), "left")
-            .join(d.alias("d"), on("a", "d"), "left")
-            .select("a.merchant_num", "a.member_id", "b.exchange_time_list", "b.exchange_num",
-                    "c.join_num_90", "c.interactive_num", "d.interactive_time_list"))

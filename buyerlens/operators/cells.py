@@ -5,21 +5,22 @@ every non-NULL column gives one cell whose qualifier is the lower-cased
 column name and whose value is its text (arrays, maps and structs as JSON).
 Empty strings are kept; NULLs are dropped.
 
-Plan: two shuffles. Rows are first grouped by rowkey to keep one whole row
-per key (a buyer that is both a member and a non-member yields two profile
-rows with one rowkey; the member row wins, further ties go to the greatest
-row), which also removes duplicate rows; this combines map-side, so a rowkey
-shared by very many rows is reduced before it moves. The unique rows are then
-range-partitioned by rowkey, so each task holds one contiguous key range and
-writes one file into one (rarely two) bucket folders, instead of one file per
-bucket per task. The unpivot is a narrow ``Expand``; the sort is within
-partitions by (bucket, rowkey, family, qualifier), which is also the order the
-partitioned writer needs.
-
-Rowkey and bucket are inferred: the reference's rowkey helper is not
-published. The rowkey is the first 8 hex digits of
-``md5(user_id || '_' || merchant_num)`` then ``_merchant_num_user_id``;
-``n`` buckets are equal ranges of the 32-bit prefix.
+A buyer that is both a member and a non-member yields two profile rows with
+one rowkey. Its cells are the union of both rows': per column the member row's
+value, else the non-member row's (among equals of a side, the greatest text).
+
+Plan: two shuffles. Values are rendered where the rows are, then one grouping
+by rowkey picks per column, which also removes duplicate rows and combines
+map-side. The keys are then range-partitioned, so each task holds one
+contiguous key range and writes one file into one (rarely two) bucket folders.
+The unpivot is a narrow ``Expand``; the sort is within partitions by (bucket,
+rowkey, family, qualifier), which is also the order the partitioned writer
+needs.
+
+Rowkey and bucket are inferred: no published helper defines them. The rowkey
+comes with the profile (:func:`buyerlens.functions.scalars.default_rowkey`, or
+the user's own column); ``n`` buckets are equal ranges of its first eight hex
+digits, so an own rowkey starts with those.
 """
 
 from __future__ import annotations
@@ -36,13 +37,6 @@ CELL_COLUMNS = ["rowkey", "family", "qualifier", "value", "bucket"]
 PREFIX_SPACE = 1 << 32
 
 
-def rowkey(user_col: str = "user_id", merchant_col: str = "merchant_num") -> Column:
-    """Hex prefix of the key hash, then tenant and user, as text."""
-    u = F.coalesce(F.col(user_col).cast("string"), F.lit(""))
-    m = F.coalesce(F.col(merchant_col).cast("string"), F.lit(""))
-    return F.concat(F.substring(F.md5(F.concat(u, F.lit("_"), m)), 1, 8), F.lit("_"), m, F.lit("_"), u)
-
-
 def bucket_of(key: Column, n: int) -> Column:
     """``n`` equal ranges over the 32-bit value of the first 8 hex digits.
 
@@ -53,10 +47,6 @@ def bucket_of(key: Column, n: int) -> Column:
     return F.least(F.floor(prefix / F.lit(width)), F.lit(n - 1)).cast("int")
 
 
-def with_rowkey(profile: DataFrame, n_buckets: int) -> DataFrame:
-    return profile.withColumn("rowkey", rowkey()).withColumn("bucket", bucket_of(F.col("rowkey"), n_buckets))
-
-
 def check_families(columns: Sequence[str], families: Mapping[str, str]) -> None:
     """C6 guard: every column must map to a family, and lower-cased names
     must stay distinct. Raised before any job runs."""
@@ -80,16 +70,6 @@ def family_of(families: Mapping[str, str]) -> Column:
     return expr
 
 
-def one_row_per_key(df: DataFrame, key: str, columns: Sequence[str], first: str = "is_member") -> DataFrame:
-    """One whole row per ``key``: greatest ``first``, then greatest row.
-
-    A ``max`` over a struct of the row: it combines map-side, so a key with
-    very many duplicate rows is reduced before the shuffle.
-    """
-    pick = F.max(F.struct(F.col(first).alias("_first"), *[F.col(c) for c in columns])).alias("_row")
-    return df.groupBy(key).agg(pick).select(key, *[F.col(f"_row.{c}").alias(c) for c in columns])
-
-
 def cell_values(profile: DataFrame, id_columns: Sequence[str]) -> DataFrame:
     """Unpivot to (ids..., qualifier, value), NULL values dropped."""
     value_cols = [c for c in profile.columns if c not in id_columns]
@@ -101,28 +81,30 @@ def cell_values(profile: DataFrame, id_columns: Sequence[str]) -> DataFrame:
     return long.where(F.col("value").isNotNull())
 
 
+def _picked(column: str) -> Column:
+    """The member row's text of a column, else the non-member row's."""
+    member = F.col("_member")
+    return F.coalesce(F.max(F.when(member, F.col(column))), F.max(F.when(~member, F.col(column)))).alias(column)
+
+
 def cells(profile: DataFrame, n_buckets: int, families: Mapping[str, str] | None = None,
           range_partitions: int | None = None) -> DataFrame:
     """One row per stored cell: rowkey, family, qualifier, value, bucket.
 
-    ``range_partitions`` fixes the number of key ranges (tasks) of the sink;
-    by default it follows ``spark.sql.shuffle.partitions`` and AQE may merge
-    neighbouring ranges. Built with few DataFrame steps: the bucket is a
-    function of the rowkey, so it is derived after the per-rowkey step.
+    ``profile`` has ``rowkey`` beside its columns. ``range_partitions`` fixes
+    the number of key ranges (tasks) of the sink; by default it follows
+    ``spark.sql.shuffle.partitions`` and AQE may merge neighbouring ranges.
     """
     families = dict(DEFAULT_FAMILIES if families is None else families)
-    cols = list(profile.columns)
+    cols = [c for c in profile.columns if c != "rowkey"]
     check_families(cols, families)
-    pick = F.max(F.struct(F.col("is_member").alias("_first"), *[F.col(c) for c in cols])).alias("_row")
-    unique = profile.groupBy(rowkey().alias("rowkey")).agg(pick)
+    names = [c.lower() for c in cols]
+    is_member = F.coalesce(F.col("is_member") == 1, F.lit(False)).alias("_member")
+    rendered = profile.select("rowkey", is_member, *[render_value(c, profile.schema[c].dataType).alias(c.lower()) for c in cols])
+    unique = rendered.groupBy("rowkey").agg(*[_picked(c) for c in names])
     ranged = (unique.repartitionByRange("rowkey") if range_partitions is None
               else unique.repartitionByRange(range_partitions, "rowkey"))
-    rendered = ranged.select(
-        "rowkey",
-        bucket_of(F.col("rowkey"), n_buckets).alias("bucket"),
-        *[render_value(f"_row.{c}", profile.schema[c].dataType).alias(c.lower()) for c in cols],
-    )
-    long = rendered.unpivot(["rowkey", "bucket"], [c.lower() for c in cols], "qualifier", "value")
+    long = ranged.withColumn("bucket", bucket_of(F.col("rowkey"), n_buckets)).unpivot(["rowkey", "bucket"], names, "qualifier", "value")
     return long.where(F.col("value").isNotNull()).select(
         "rowkey", family_of(families).alias("family"), "qualifier", "value", "bucket")
 

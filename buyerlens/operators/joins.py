@@ -22,10 +22,10 @@ def _approx_bytes(name: str, data_type) -> Column:
 
 def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
     """True if ``df`` has at most ``max_rows`` rows and about ``max_bytes``
-    of data. One small job over at most ``max_rows + 1`` rows; only the two
+    of data. Counts and lengths are added up where the rows are; only the two
     totals reach the driver."""
     row_bytes = sum((_approx_bytes(f.name, f.dataType) for f in df.schema.fields), F.lit(0).cast("bigint"))
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
     return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 

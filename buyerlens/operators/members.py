@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buyerlens.functions.scalars import blank_to, strip_city_suffix, tolerant_cast
+from buyerlens.operators.joins import fits_broadcast
 from buyerlens.operators.orders import BUYER_KEYS
 from buyerlens.schema import (
     BASE_COLUMNS,
@@ -28,6 +29,7 @@ EARLY_INT_COLUMNS = ("status", "channel", "member_identity", "point", "member_gr
 
 # A city dimension larger than this is joined by a shuffle, not broadcast.
 CITY_BROADCAST_MAX_ROWS = 1_000_000
+CITY_BROADCAST_MAX_BYTES = 64 << 20
 
 _RECEIVER_FROM_ORDER = {
     "receive_province": "province",
@@ -46,9 +48,10 @@ def _cast_early(cols: list[Column], cast_early: bool) -> list[Column]:
             for c, name in zip(cols, BASE_COLUMNS)]
 
 
-def city_fits_broadcast(city_level: DataFrame, max_rows: int = CITY_BROADCAST_MAX_ROWS) -> bool:
+def city_fits_broadcast(city_level: DataFrame, max_rows: int = CITY_BROADCAST_MAX_ROWS,
+                        max_bytes: int = CITY_BROADCAST_MAX_BYTES) -> bool:
     """The size check behind the city dimension's broadcast."""
-    return city_level.limit(max_rows + 1).count() <= max_rows
+    return fits_broadcast(city_level, max_rows, max_bytes)
 
 
 def members_with_facts(members: DataFrame, facts: DataFrame, city_level: DataFrame,
@@ -60,8 +63,8 @@ def members_with_facts(members: DataFrame, facts: DataFrame, city_level: DataFra
     member order gives the receiver address. J4: left join with the city
     dimension on the city name without its suffix (broadcast when small;
     ``city_broadcast`` passes a check already made).
-    Duplicate member rows are removed here (the reference's union-distinct;
-    non-member rows are unique by construction and never equal a member row).
+    Duplicate member rows stay; the union removes them (non-member rows are
+    unique by construction and never equal a member row).
     """
     f = facts.select(*BUYER_KEYS, "latest_member_order", *ORDER_FACT_COLUMNS)
     dim = city_level.select(F.col("name").alias("_city_name"), F.col("level").alias("_city_level"))
@@ -81,7 +84,7 @@ def members_with_facts(members: DataFrame, facts: DataFrame, city_level: DataFra
         **{k: F.col(f"latest_member_order.{v}") for k, v in _RECEIVER_FROM_ORDER.items()},
     }
     cols = _cast_early([pinned(c, special.get(c)) for c in BASE_COLUMNS], cast_early)
-    return joined.select(*cols, *ORDER_FACT_COLUMNS).distinct()
+    return joined.select(*cols, *ORDER_FACT_COLUMNS)
 
 
 def members_enriched(members: DataFrame, facts: DataFrame, city_level: DataFrame) -> DataFrame:
@@ -110,27 +113,21 @@ def nonmembers_default(facts: DataFrame) -> DataFrame:
 
 
 def all_users(members_side: DataFrame, nonmembers_side: DataFrame) -> DataFrame:
-    """Every shop user; member duplicates are already removed."""
-    return members_side.unionByName(nonmembers_side)
+    """Every shop user, once."""
+    return members_side.distinct().unionByName(nonmembers_side)
 
 
 def non_canonical_tenant_text(df: DataFrame) -> bool:
     """True if some ``merchant_num`` text of ``df`` is not the canonical
     decimal form of its int (NULL counts as canonical). A filtered scan of one
-    column that stops at the first hit; no shuffle."""
+    column that stops at the first hit; no shuffle.
+
+    Only if two texts shared a number (say '7' and '07', or two non-numeric
+    texts both NULL) could two distinct profile rows become equal in the
+    labelled output: every other cast runs before the sides' ``distinct``, and
+    every joined figure is keyed by the raw tenant plus an output column.
+    """
     m = F.col("merchant_num")
     non_canonical = ~m.eqNullSafe(tolerant_cast(m, "int").cast("string"))
     return df.select("merchant_num").where(non_canonical).limit(1).count() > 0
 
-
-def tenant_spellings_ambiguous(members: DataFrame, facts: DataFrame) -> bool:
-    """False when every raw ``merchant_num`` text is the canonical decimal
-    form of its int (or NULL), so no two different texts share a number.
-
-    Only if two texts shared one (say '7' and '07', or two non-numeric texts
-    both NULL) could two distinct profile rows become equal in the labelled
-    output: every other cast runs before the sides' ``distinct``, and every
-    joined figure is keyed by the raw tenant plus an output column. The check
-    is conservative (any non-canonical text counts).
-    """
-    return non_canonical_tenant_text(members) or non_canonical_tenant_text(facts)

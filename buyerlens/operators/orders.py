@@ -3,7 +3,6 @@
 :func:`buyer_facts` is the fused form used by the job: ONE scan and ONE
 shuffle of the orders give, per (merchant, buyer), the 360-day count, today's
 count and amount, the pay-day spread and the latest member / non-member order.
-The reference reads the orders five times and joins three of the reads.
 """
 
 from __future__ import annotations
@@ -43,44 +42,61 @@ def paid_today(params: ProfileParams) -> Column:
     return paid(params) & (_pay_day() == F.lit(params.as_of))
 
 
-def buyer_facts(orders: DataFrame, params: ProfileParams) -> DataFrame:
-    """Everything the job needs from orders, one row per (merchant, buyer).
+def _figures(params: ProfileParams) -> list[Column]:
+    """Aggregates of a buyer's orders: all numbers, so they hash-aggregate. Two pay days have two hashes."""
+    in_win, today = paid_in_window(params), paid_today(params)
+    day = F.when(in_win, F.xxhash64(_pay_day()))
+    return [F.count_if(in_win).alias("_n_win"), F.count_if(today).alias("_n_today"),
+            F.sum(F.when(today, F.col("payment"))).alias("_amount_today"),
+            F.min(day).alias("_low_day"), F.max(day).alias("_high_day")]
 
-    Columns: merchant_num, user_id, order_num_360, history_order_num_360,
-    today_order_num, today_order_amount, pay_detail (all NULL when the buyer
-    has no paid order in the window; the today figures and history are NULL
-    when nothing was paid today), latest_member_order and
-    latest_nonmember_order structs (NULL when the buyer has no such order).
-    """
-    in_win = paid_in_window(params)
-    today = paid_today(params)
-    g = orders.groupBy(F.col("merchant_num"), F.col("platform_open_id").alias("user_id")).agg(
-        F.count_if(in_win).alias("_n_win"),
-        F.count_if(today).alias("_n_today"),
-        F.sum(F.when(today, F.col("payment"))).alias("_amount_today"),
-        F.min(F.when(in_win, _pay_day())).alias("_first_day"),
-        F.max(F.when(in_win, _pay_day())).alias("_last_day"),
-        latest_struct(LATEST_ORDER, MEMBER_ORDER_PAYLOAD, F.col("is_member") == 1, "latest_member_order"),
-        latest_struct(LATEST_ORDER, NONMEMBER_ORDER_PAYLOAD, F.col("is_member") == 0, "latest_nonmember_order"),
-    )
-    # The reference left-joins its grouped reads on the buyer key; a key with
-    # a NULL part matches nothing there, so its joined figures are NULL.
+
+def _figure_columns() -> list[Column]:
+    """The order figures; those of today and the pay detail need a key without a NULL part."""
     keyed = F.col("merchant_num").isNotNull() & F.col("user_id").isNotNull()
     has_win = F.col("_n_win") > 0
     has_today = keyed & (F.col("_n_today") > 0)
-    return g.select(
-        "merchant_num",
-        "user_id",
+    return [
         F.when(has_win, F.col("_n_win")).alias("order_num_360"),
         F.when(has_today, F.col("_n_win") - F.col("_n_today")).alias("history_order_num_360"),
         F.when(has_today, F.col("_n_today")).alias("today_order_num"),
         F.when(has_today, F.col("_amount_today")).alias("today_order_amount"),
         # A4: the highest pay-day rank exceeds 1 iff there are >= 2 pay days.
-        F.when(keyed & has_win, F.when(F.col("_first_day") != F.col("_last_day"), F.lit(2)).otherwise(F.lit(1)))
+        F.when(keyed & has_win, F.when(F.col("_low_day") != F.col("_high_day"), F.lit(2)).otherwise(F.lit(1)))
         .cast("int").alias("pay_detail"),
-        "latest_member_order",
-        "latest_nonmember_order",
-    )
+    ]
+
+
+def _by_buyer(orders: DataFrame):
+    return orders.groupBy(F.col("merchant_num"), F.col("platform_open_id").alias("user_id"))
+
+
+def _latest(kind: int, payload: list[str], name: str) -> Column:
+    return latest_struct(LATEST_ORDER, payload, F.col("is_member") == kind, name)
+
+
+def buyer_facts(orders: DataFrame, params: ProfileParams) -> DataFrame:
+    """Everything the job needs from orders, one row per (merchant, buyer).
+
+    Columns: merchant_num, user_id, order_num_360, history_order_num_360,
+    today_order_num, today_order_amount, pay_detail (all NULL when the buyer
+    has no paid order in the window; the today figures and history are NULL
+    when nothing was paid today), latest_member_order and
+    latest_nonmember_order structs (NULL when the buyer has no such order).
+    """
+    g = _by_buyer(orders).agg(*_figures(params), _latest(1, MEMBER_ORDER_PAYLOAD, "latest_member_order"),
+                              _latest(0, NONMEMBER_ORDER_PAYLOAD, "latest_nonmember_order"))
+    return g.select("merchant_num", "user_id", *_figure_columns(), "latest_member_order", "latest_nonmember_order")
+
+
+def latest_member_orders(orders: DataFrame) -> DataFrame:
+    """The latest member order of each buyer that has one; the filter is pushed into the scan."""
+    return _by_buyer(orders.where(F.col("is_member") == 1)).agg(_latest(1, MEMBER_ORDER_PAYLOAD, "latest_member_order"))
+
+
+def latest_nonmember_orders(orders: DataFrame) -> DataFrame:
+    """The latest non-member order of each buyer that has one."""
+    return _by_buyer(orders.where(F.col("is_member") == 0)).agg(_latest(0, NONMEMBER_ORDER_PAYLOAD, "latest_nonmember_order"))
 
 
 SUMMARY_COLUMNS = ["merchant_num", "user_id", "order_num_360", "history_order_num_360",
@@ -88,8 +104,9 @@ SUMMARY_COLUMNS = ["merchant_num", "user_id", "order_num_360", "history_order_nu
 
 
 def order_summary(orders: DataFrame, params: ProfileParams) -> DataFrame:
-    """J1 + A1-A4 fused: buyers with a paid order in the window."""
-    return buyer_facts(orders, params).where(F.col("order_num_360").isNotNull()).select(*SUMMARY_COLUMNS)
+    """J1 + A1-A4 fused: buyers with a paid order in the window (today lies in it), filtered before grouping."""
+    g = _by_buyer(orders.where(paid_in_window(params))).agg(*_figures(params))
+    return g.select("merchant_num", "user_id", *_figure_columns()).select(*SUMMARY_COLUMNS)
 
 
 def order_window_count(orders: DataFrame, params: ProfileParams) -> DataFrame:
@@ -137,25 +154,3 @@ def pay_day_rank(orders: DataFrame, params: ProfileParams) -> DataFrame:
     cond = [rows[k].eqNullSafe(r[f"_r_{k}"]) for k in keys] + [rows["pay_day"] == r["_r_day"]]
     return rows.join(r, on=cond, how="inner").select(*keys, "order_id", "pay_day", "rn")
 
-
-def order_summary_joined(orders: DataFrame, params: ProfileParams) -> DataFrame:
-    """The reference's form of :func:`order_summary`: three grouped reads (one
-    over a pay-day ``rank()`` window) left-joined on the buyer key. For the
-    equivalence test and the benchmark only."""
-    a = order_window_count(orders, params)
-    b = (orders.where(paid_today(params))
-         .groupBy(F.col("merchant_num"), F.col("platform_open_id").alias("user_id"))
-         .agg(F.count(F.lit(1)).alias("today_order_num"), F.sum("payment").alias("today_order_amount")))
-    w = Window.partitionBy("merchant_num", "platform_open_id").orderBy(_pay_day().desc())
-    c = (orders.where(paid_in_window(params)).withColumn("rn", F.rank().over(w))
-         .groupBy(F.col("merchant_num"), F.col("platform_open_id").alias("user_id"))
-         .agg(F.when(F.max("rn") > 1, F.lit(2)).otherwise(F.lit(1)).cast("int").alias("pay_detail")))
-
-    def on(x: str, y: str) -> Column:
-        return ((F.col(f"{x}.merchant_num") == F.col(f"{y}.merchant_num"))
-                & (F.col(f"{x}.user_id") == F.col(f"{y}.user_id")))
-
-    return (a.alias("a").join(b.alias("b"), on("a", "b"), "left").join(c.alias("c"), on("a", "c"), "left")
-            .select("a.merchant_num", "a.user_id", "a.order_num_360",
-                    (F.col("a.order_num_360") - F.col("b.today_order_num")).alias("history_order_num_360"),
-                    "b.today_order_num", "b.today_order_amount", "c.pay_detail"))

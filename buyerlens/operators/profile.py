@@ -21,11 +21,13 @@ row-wide ``distinct`` is added only when tenant texts make it necessary (see
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buyerlens.functions import labels
-from buyerlens.functions.scalars import tolerant_cast
+from buyerlens.functions.scalars import default_rowkey, tolerant_cast
 from buyerlens.operators.activity import activity_summary
 from buyerlens.operators.joins import fits_broadcast, salted_left_join
 from buyerlens.operators.members import (
@@ -78,6 +80,9 @@ def profile_joined(members_side: DataFrame, nonmembers_side: DataFrame, activity
     """
     m = (members_side.join(activity, on=MEMBER_KEYS, how="left")
          .join(points, on=MEMBER_KEYS, how="left"))
+    if not params.nonmember_figures:
+        n = nonmembers_side.select("*", *[F.lit(None).cast(dict(m.dtypes)[c]).alias(c) for c in STAT_COLUMNS])
+        return m.select(*JOINED_COLUMNS).unionByName(n.select(*JOINED_COLUMNS))
     hot = hot_member_figures(activity, points)
     if hot_broadcast is None:
         hot_broadcast = hot_fits_broadcast(activity, points, params)
@@ -88,9 +93,18 @@ def profile_joined(members_side: DataFrame, nonmembers_side: DataFrame, activity
     return m.select(*JOINED_COLUMNS).unionByName(n.select(*JOINED_COLUMNS))
 
 
-def label_profile(joined: DataFrame, buy_charact: Column | None = None,
-                  buy_subdivision: Column | None = None) -> DataFrame:
-    """P2 + P6 + L1-L5: the 56 output columns with their casts and labels."""
+@dataclass(frozen=True)
+class Rules:
+    """What a user replaces: the two purchase labels (L1, L2) and the rowkey (C1), as columns over the
+    joined profile, where tenant and user are still raw text."""
+
+    buy_charact: Column | None = None
+    buy_subdivision: Column | None = None
+    rowkey: Column | None = None
+
+
+def label_profile(joined: DataFrame, rules: Rules = Rules(), keyed: bool = False) -> DataFrame:
+    """P2 + P6 + L1-L5: the 56 output columns with their casts and labels; with ``keyed`` also ``rowkey``."""
     to_int = {c: tolerant_cast(c, "int") for c in (
         "merchant_num", "status", "channel", "member_identity", "point", "total_point", "member_grade",
         "receive_province_code", "receive_city_code", "exchange_num", "interactive_num")}
@@ -98,12 +112,13 @@ def label_profile(joined: DataFrame, buy_charact: Column | None = None,
         **to_int,
         "today_order_num": labels.today_order_num_or_zero(),
         "today_order_amount": labels.today_order_amount_or_zero(),
-        "buy_charact": labels.buy_charact() if buy_charact is None else buy_charact,
-        "buy_subdivision": labels.buy_subdivision() if buy_subdivision is None else buy_subdivision,
+        "buy_charact": labels.buy_charact() if rules.buy_charact is None else rules.buy_charact,
+        "buy_subdivision": labels.buy_subdivision() if rules.buy_subdivision is None else rules.buy_subdivision,
         "is_silent": labels.is_silent(),
         "pay_detail": labels.pay_detail_label(),
     }
-    return joined.select(*[(exprs[c] if c in exprs else F.col(c)).alias(c) for c in PROFILE_COLUMNS])
+    key = [(default_rowkey() if rules.rowkey is None else rules.rowkey).alias("rowkey")] if keyed else []
+    return joined.select(*[(exprs[c] if c in exprs else F.col(c)).alias(c) for c in PROFILE_COLUMNS], *key)
 
 
 def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cast_early: bool,
@@ -125,7 +140,7 @@ def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cas
     if tenant_check:
         first["members_tenants"] = lambda: non_canonical_tenant_text(inputs.members)
     if materialize:
-        first.update({k: (lambda v=v, k=k: materialize_one(v, k)) for k, v in aggregates.items()})
+        first.update({k: (lambda v=v: materialize_one(v)) for k, v in aggregates.items()})
     done = run_concurrently(spark, first)
     if materialize:
         aggregates = {k: done[k] for k in aggregates}
@@ -136,7 +151,7 @@ def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cas
     later = run_concurrently(spark, second)
     ambiguous = tenant_check and (done["members_tenants"] or later.get("facts_tenants", False))
     members_side = members_with_facts(inputs.members, facts, inputs.city_level, cast_early=cast_early,
-                                      city_broadcast=done["city"])
+                                      city_broadcast=done["city"]).distinct()
     nonmembers_side = nonmembers_with_facts(facts, cast_early=cast_early)
     joined = profile_joined(members_side, nonmembers_side, activity, points, params, hot_broadcast=later["hot"])
     return joined, ambiguous
@@ -155,7 +170,7 @@ def joined_profile(inputs: Inputs, params: ProfileParams, materialize: bool = Tr
 
 
 def user_profile(inputs: Inputs, params: ProfileParams, final_distinct: bool | None = None,
-                 materialize: bool = True) -> DataFrame:
+                 materialize: bool = True, rules: Rules = Rules(), keyed: bool = False) -> DataFrame:
     """The 56-column labelled profile of every shop user.
 
     The labelled rows must be distinct. The text-to-int casts of base columns
@@ -163,13 +178,13 @@ def user_profile(inputs: Inputs, params: ProfileParams, final_distinct: bool | N
     full shuffle of the profile) is needed only when two raw tenant texts
     can cast to the same number; ``final_distinct=None`` runs the cheap,
     conservative tenant-text check (see
-    :func:`buyerlens.operators.members.tenant_spellings_ambiguous`) and adds
-    the ``distinct`` only then. The cell sink passes
-    ``False``: its one-row-per-rowkey step subsumes it.
+    :func:`buyerlens.operators.members.non_canonical_tenant_text`) and adds
+    the ``distinct`` only then. The cell sink passes ``False`` (its step per
+    rowkey subsumes it) and ``keyed``, as the rowkey is made of the raw texts.
     """
     joined, ambiguous = _profile_parts(inputs, params, materialize, cast_early=True,
                                        tenant_check=final_distinct is None)
-    out = label_profile(joined)
+    out = label_profile(joined, rules, keyed)
     if final_distinct is None:
         final_distinct = ambiguous
     return out.distinct() if final_distinct else out

@@ -17,7 +17,9 @@ class ProfileParams:
     sink. Non-member rows all carry ``member_id = 0``: they meet those
     figures by a broadcast when the ``member_id = 0`` rows (one per tenant)
     are within ``hot_broadcast_max_rows`` / ``hot_broadcast_max_bytes``, else
-    through a join salted over ``salt_buckets`` tasks.
+    through a join salted over ``salt_buckets`` tasks. With
+    ``nonmember_figures`` off, non-members have no activity and points figures
+    (a choice of meaning: the ``member_id = 0`` lists are no buyer's own).
     """
 
     as_of: str = "2024-01-30"
@@ -28,6 +30,7 @@ class ProfileParams:
     salt_buckets: int = 64
     hot_broadcast_max_rows: int = 100_000
     hot_broadcast_max_bytes: int = 64 << 20
+    nonmember_figures: bool = True
     paid_status: tuple[int, ...] = field(default=(3, 4, 5, 6, 101))
 
     def __post_init__(self) -> None:

@@ -1,12 +1,13 @@
 """Named queries over the fixture inputs, one per operator group.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame that reads
-the fixture views over the whole given tables. The matching DuckDB texts are
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+fixture views; the profile queries checkpoint their aggregates when built. The matching DuckDB texts are
 in :mod:`buyerlens.plans.oracle`.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from buyerlens.operators import profile as prof
 from buyerlens.operators.points import points_total
 from buyerlens.params import FIXTURE_PARAMS, ProfileParams
 from buyerlens.schema import BASE_COLUMNS
-from buyerlens.session import materialize
+from buyerlens.session import checkpoint_dir, materialize
 from buyerlens.sources.fixtures import fixture_inputs
 from buyerlens.sources.tables import Inputs, scan_inputs
 
@@ -69,7 +70,7 @@ def points_log_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- orders ----------------------------------------------------------------
 
 def latest_member_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _facts(inputs(spark, sf_dir)).where(F.col("latest_member_order").isNotNull())
+    f = ords.latest_member_orders(inputs(spark, sf_dir).orders)
     return f.select("merchant_num", "user_id", *[
         F.col(f"latest_member_order.{src}").alias(dst) for dst, src in (
             ("receive_province", "province"), ("receive_province_code", "province_code"),
@@ -77,7 +78,7 @@ def latest_member_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_nonmember_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _facts(inputs(spark, sf_dir)).where(F.col("latest_nonmember_order").isNotNull())
+    f = ords.latest_nonmember_orders(inputs(spark, sf_dir).orders)
     return f.select("merchant_num", F.col("user_id").alias("platform_open_id"),
                     *[F.col(f"latest_nonmember_order.{c}").alias(c) for c in ords.NONMEMBER_ORDER_PAYLOAD])
 
@@ -137,7 +138,7 @@ def nonmembers_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = inputs(spark, sf_dir)
-    f = materialize(_facts(i), "buyer_facts")
+    f = materialize(_facts(i))
     return mem.all_users(mem.members_with_facts(i.members, f, i.city_level),
                          mem.nonmembers_with_facts(f)).select(*BASE_COLUMNS)
 
@@ -191,11 +192,11 @@ def tenant_scoped_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- cells -----------------------------------------------------------------
 
 def _sink_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prof.user_profile(inputs(spark, sf_dir), P, final_distinct=False)
+    return prof.user_profile(inputs(spark, sf_dir), P, final_distinct=False, keyed=True)
 
 
 def cell_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _sink_profile(spark, sf_dir)
+    p = _sink_profile(spark, sf_dir).drop("rowkey")
     ids = p.select(F.col("merchant_num").alias("row_merchant_num"), F.col("user_id").alias("row_user_id"),
                    F.col("is_member").alias("row_is_member"), *p.columns)
     return cl.cell_values(ids, ["row_merchant_num", "row_user_id", "row_is_member"])
@@ -207,14 +208,29 @@ def cell_family(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cell_rowkey_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = cl.with_rowkey(_sink_profile(spark, sf_dir), P.n_buckets)
-    return p.select("merchant_num", "user_id", "is_member", "rowkey", "bucket")
+    p = _sink_profile(spark, sf_dir)
+    return p.select("merchant_num", "user_id", "is_member", "rowkey", cl.bucket_of(F.col("rowkey"), P.n_buckets).alias("bucket"))
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.cells(_sink_profile(spark, sf_dir), P.n_buckets)
 
 
+def cells_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells written twice to a shared folder and read back: per bucket their number, the first and
+    last rowkey, and the neighbours within a file that are out of order."""
+    path = f"{checkpoint_dir(spark)}/cells-{uuid.uuid4().hex}"
+    c = cells(spark, sf_dir)
+    for _ in range(2):
+        cl.write_cells(c, path)
+    back = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    key = F.struct("rowkey", "family", "qualifier")
+    nxt = back.select("file", (F.col("at") - 1).alias("at"), key.alias("next"))
+    pairs = back.select("file", "at", "bucket", "rowkey", key.alias("key")).join(nxt, ["file", "at"], "left")
+    return pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_cells"), F.min("rowkey").alias("first_key"), F.max("rowkey").alias("last_key"),
+                                       F.count_if(F.col("next") <= F.col("key")).alias("out_of_order"))
+
+
 QUERIES: dict[str, Query] = {
     "member_snapshot": member_snapshot,
     "order_snapshot_paid": order_snapshot_paid,
@@ -248,4 +264,5 @@ QUERIES: dict[str, Query] = {
     "cell_family": cell_family,
     "cell_rowkey_bucket": cell_rowkey_bucket,
     "cells": cells,
+    "cells_stored": cells_stored,
 }

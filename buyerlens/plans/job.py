@@ -3,20 +3,21 @@
 Usage (tables by catalog name, or parquet paths when the value has a '/')::
 
     python -m buyerlens.plans.job --as-of 2024-01-30 --out /shared/cells \\
-        --table member_base_info_day=dws_customer.member_base_info_day \\
-        --table user_orders=dwd_trade.user_orders \\
-        --table hd_join_log=ods.t_hd_join_log \\
-        --table right_change_log=ods.t_right_change_logs \\
-        --table city_level=dim_common.common_city_level
+        --table member_base_info_day=db.members \\
+        --table user_orders=db.orders \\
+        --table hd_join_log=db.activity \\
+        --table right_change_log=db.points \\
+        --table city_level=db.cities
 
 Stages and their shuffles:
 
-1. three aggregates (buyer facts, activity, points), one shuffle each,
-   written to the checkpoint folder (restart point after executor loss);
-2. profile: member rows shuffled twice (buyer key, then member key),
-   non-member rows once (salted member key);
-3. cells: one shuffle by rowkey, then unpivot, sort within partitions and a
-   partitioned write, one folder per key range.
+1. three aggregates (buyer facts, activity, points), written to the
+   checkpoint folder (restart point after executor loss);
+2. profile: member rows meet the buyer facts, then activity and points;
+   non-member rows meet the ``member_id = 0`` figures by a size-checked
+   broadcast, or beyond the bound by a salted join;
+3. cells: a shuffle by rowkey and one by key range, then unpivot, sort within
+   partitions and a partitioned write, one folder per bucket.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ import argparse
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from buyerlens.operators.cells import cells, write_cells
-from buyerlens.operators.profile import user_profile
+from buyerlens.operators.profile import Rules, user_profile
+from buyerlens.schema import DEFAULT_FAMILIES
 from buyerlens.params import ProfileParams
 from buyerlens.session import configure
 from buyerlens.sources.tables import scan_inputs
@@ -40,19 +43,20 @@ def read_table(spark: SparkSession, ref: str) -> DataFrame:
     return spark.read.parquet(ref) if "/" in ref else spark.table(ref)
 
 
-def build_cells(raw: Mapping[str, DataFrame], params: ProfileParams,
-                families: Mapping[str, str] | None = None) -> DataFrame:
+def build_cells(raw: Mapping[str, DataFrame], params: ProfileParams, families: Mapping[str, str] | None = None,
+                rules: Rules = Rules()) -> DataFrame:
     """The cell DataFrame of one run (lazy except for the aggregate tables)."""
     inputs = scan_inputs(dict(raw), params)
-    profile = user_profile(inputs, params, final_distinct=False, materialize=True)
+    profile = user_profile(inputs, params, final_distinct=False, rules=rules, keyed=True)
     return cells(profile, params.n_buckets, families)
 
 
 def run_job(spark: SparkSession, raw: Mapping[str, DataFrame], params: ProfileParams, out_path: str,
-            families: Mapping[str, str] | None = None, compression: str = "snappy") -> None:
-    """Build and write the cells of one day; a rerun replaces the output."""
+            families: Mapping[str, str] | None = None, compression: str = "snappy", rules: Rules = Rules()) -> None:
+    """Build and write the cells of one day; a rerun replaces the output. ``rules`` and ``families`` are the
+    user's own labels, rowkey and column families."""
     configure(spark)
-    write_cells(build_cells(raw, params, families), out_path, compression)
+    write_cells(build_cells(raw, params, families, rules), out_path, compression)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -64,6 +68,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--order-days", type=int, default=360)
     ap.add_argument("--activity-days", type=int, default=90)
     ap.add_argument("--buckets", type=int, default=15)
+    ap.add_argument("--family", action="append", default=[], help="column=family, where it is not the default")
+    ap.add_argument("--buy-charact", help="SQL expression of the label, over the joined profile")
+    ap.add_argument("--buy-subdivision", help="SQL expression of the label")
+    ap.add_argument("--rowkey", help="SQL expression; it starts with eight hex digits")
+    ap.add_argument("--checkpoint-dir", help="shared folder, unless spark.checkpoint.dir names one")
     args = ap.parse_args(argv)
     refs = dict(t.split("=", 1) for t in args.table)
     missing = [n for n in INPUT_NAMES if n not in refs]
@@ -72,7 +81,11 @@ def main(argv: list[str] | None = None) -> None:
     spark = configure(SparkSession.builder.getOrCreate())
     params = ProfileParams(as_of=args.as_of, order_days=args.order_days, activity_days=args.activity_days,
                            tenants=tuple(args.tenant) if args.tenant else None, n_buckets=args.buckets)
-    run_job(spark, {n: read_table(spark, refs[n]) for n in INPUT_NAMES}, params, args.out)
+    if args.checkpoint_dir:
+        spark.sparkContext.setCheckpointDir(args.checkpoint_dir)
+    rules = Rules(*[F.expr(x) if x else None for x in (args.buy_charact, args.buy_subdivision, args.rowkey)])
+    families = {**DEFAULT_FAMILIES, **dict(f.split("=", 1) for f in args.family)}
+    run_job(spark, {n: read_table(spark, refs[n]) for n in INPUT_NAMES}, params, args.out, families, rules=rules)
 
 
 if __name__ == "__main__":

@@ -1,10 +1,10 @@
 """DuckDB oracle: one self-contained SQL text per catalog query.
 
 Each text starts with the fixture views as CTEs (DuckDB has only the given
-tables) and then states the query in its plain, unfused form: separate
-grouped reads left-joined on their keys, ``row_number``/``rank`` windows and
-UNION for de-duplication. The Spark side computes the fused forms, so a
-match checks the rewrites, not a copy of them.
+tables), pins their code columns, and then states every figure from its
+definition: one set of definitions per buyer, per member and per day, the
+latest order as the first of an ordered list, a cell as the best candidate of
+its coordinate. The Spark side plans these differently, so a match checks both.
 
 Tie-breaks and set orders that the Spark side makes deterministic are spelled
 out here the same way (latest order: ``updated_at``, then ``order_id``, then
@@ -13,12 +13,20 @@ the payload, all descending with NULLs last; time lists sorted).
 
 from __future__ import annotations
 
+from buyerlens.operators.orders import MEMBER_ORDER_PAYLOAD as MEMBER_PAYLOAD
+from buyerlens.operators.orders import NONMEMBER_ORDER_PAYLOAD as NONMEMBER_PAYLOAD
 from buyerlens.params import FIXTURE_PARAMS, ProfileParams
-from buyerlens.schema import BASE_COLUMNS, DERIVED_COLUMNS, NONMEMBER_DEFAULTS, PROFILE_COLUMNS, RECEIVER_COLUMNS
+from buyerlens.schema import (
+    BASE_COLUMNS,
+    DERIVED_COLUMNS,
+    NONMEMBER_DEFAULTS,
+    NONMEMBER_FROM_ORDER,
+    PROFILE_COLUMNS,
+    RECEIVER_COLUMNS,
+)
 from buyerlens.sources.fixtures import fixture_ctes
 from buyerlens.sources.tables import MEMBER_COLUMNS
 
-PAID = "status in (3, 4, 5, 6, 101)"
 TO_INT = ("merchant_num", "status", "channel", "member_identity", "point", "total_point", "member_grade",
           "receive_province_code", "receive_city_code", "exchange_num", "interactive_num")
 
@@ -34,165 +42,112 @@ def _types() -> dict[str, str]:
     return {k: {"string": "string", "int": "integer", "bigint": "bigint"}[v] for k, v in BASE_TYPES.items()}
 
 
-def _sorted_set_text(expr: str, dialect: str) -> str:
-    if dialect == "spark":
-        return f"array_join(array_sort(collect_set({expr})), ',')"
-    return f"coalesce(string_agg(distinct {expr}, ',' order by {expr}), '')"
+LATEST = "updated_at desc nulls last, order_id desc nulls last"
 
 
-def stages(p: ProfileParams = FIXTURE_PARAMS, dialect: str = "duckdb", src: dict[str, str] | None = None,
-           tenants: tuple[str, ...] | None = None) -> str:
-    """All CTEs after the fixture views, in dependency order.
+def _newest(payload: list[str], kind: int) -> str:
+    """Per buyer, the newest order of a kind as a struct: first of the list in the order of the tie-breaks."""
+    ties = ", ".join(f"{c} desc nulls last" for c in payload)
+    fields = ", ".join(f"{c} := {c}" for c in payload)
+    return (f"select merchant_num, platform_open_id as user_id, list(struct_pack({fields}) order by {LATEST}, {ties})[1] as o"
+            f" from orders_today where is_member = {kind} group by all")
 
-    ``dialect="spark"`` swaps the one construct the two engines spell
-    differently (the sorted distinct list), so the same unfused chain can run
-    on Spark as a baseline. ``src`` renames the five input tables.
-    ``tenants`` adds the tenant predicate where the source applies it: both
-    snapshots and the final select (the logs stay whole).
-    """
+
+def stages(p: ProfileParams = FIXTURE_PARAMS, tenants: tuple[str, ...] | None = None) -> str:
+    """All CTEs after the fixture views, in dependency order. ``tenants`` scopes both snapshots and the result."""
     scope = "" if tenants is None else " and merchant_num in (" + ", ".join(_lit(t) for t in tenants) + ")"
-    final_scope = "" if tenants is None else " where " + scope[5:]
-    src = {n: n for n in ("member_base_info_day", "user_orders", "hd_join_log", "right_change_log",
-                          "city_level")} | (src or {})
-    t_mem, t_ord, t_act, t_pts, t_city = (src[n] for n in ("member_base_info_day", "user_orders", "hd_join_log",
-                                                             "right_change_log", "city_level"))
-    xs = _sorted_set_text("substr(created_at, 1, 19)", dialect)
-    lo, hi, lo_a = p.order_start, p.as_of, p.activity_start
     ty = _types()
-    member_cols = ", ".join(MEMBER_COLUMNS)
-
-    member_select = []
-    for c in BASE_COLUMNS:
-        if c == "is_member":
-            e = "1"
-        elif c == "birthday":
-            e = "if(m.birthday = '', '0001-01-01', substr(m.birthday, 1, 10))"
-        elif c == "unbind_time":
-            e = "if(m.unbind_time = '', '0001-01-01 00:00:00', m.unbind_time)"
-        elif c == "city":
-            e = "replace(m.city, '市', '')"
-        elif c == "city_level":
-            e = "cl.level"
-        elif c in RECEIVER_COLUMNS:
-            e = f"lo.{c}"
-        else:
-            e = f"m.{c}"
-        member_select.append(f"cast({e} as {ty[c]}) as {c}")
+    paid = f"status in ({', '.join(map(str, p.paid_status))})"
 
-    from_order = {
-        "merchant_num": "merchant_num", "brand_code": "brand_code", "platform_type": "platform_type",
-        "user_id": "platform_open_id", "nick": "nick", "platform_open_id": "platform_open_id",
-        "is_member": "is_member", "receive_province": "province", "receive_province_code": "province_code",
-        "receive_city": "city", "receive_city_code": "city_code",
+    of_member = {
+        "is_member": "1", "birthday": "case m.birthday when '' then '0001-01-01' else m.birthday[:10] end",
+        "unbind_time": "case m.unbind_time when '' then '0001-01-01 00:00:00' else m.unbind_time end",
+        "city": "replace(m.city, '市', '')", "city_level": "cl.level",
+        **{c: f"r.o.{c.removeprefix('receive_')}" for c in RECEIVER_COLUMNS},
     }
-    nonmember_select = []
-    for c in BASE_COLUMNS:
-        e = from_order[c] if c in from_order else _lit(NONMEMBER_DEFAULTS[c])
-        nonmember_select.append(f"cast({e} as {ty[c]}) as {c}")
+    member_select = ", ".join(f"try_cast({of_member.get(c, 'm.' + c)} as {ty[c]}) as {c}" for c in BASE_COLUMNS)
+    of_order = {"merchant_num": "merchant_num", "user_id": "user_id", "platform_open_id": "user_id",
+                **{c: f"o.{src}" for c, src in NONMEMBER_FROM_ORDER.items() if src in NONMEMBER_PAYLOAD}}
+    nonmember_select = ", ".join(f"try_cast({of_order.get(c) or _lit(NONMEMBER_DEFAULTS[c])} as {ty[c]}) as {c}" for c in BASE_COLUMNS)
+    member_pins = ", ".join(f"try_cast({c} as {ty[c]}) as {c}" for c in MEMBER_COLUMNS)
 
     return f"""
-, members_today as (select {member_cols} from {t_mem} where day_id = '{hi}'{scope})
-, orders_today as (select * from {t_ord} where day_id = '{hi}'{scope})
-, city_levels as (select name, try_cast(level as integer) as level from {t_city})
-, paid_window as (
-  select * from orders_today where {PAID} and substr(pay_at, 1, 10) between '{lo}' and '{hi}')
-, o_a as (
-  select merchant_num, platform_open_id as user_id, count(1) as order_num_360
-  from paid_window group by merchant_num, platform_open_id)
-, o_b as (
-  select merchant_num, platform_open_id as user_id, count(1) as today_order_num, sum(payment) as today_order_amount
-  from orders_today where {PAID} and substr(pay_at, 1, 10) = '{hi}'
-  group by merchant_num, platform_open_id)
-, o_ranked as (
-  select merchant_num, platform_open_id, order_id, substr(pay_at, 1, 10) as pay_day,
-    rank() over (partition by merchant_num, platform_open_id order by substr(pay_at, 1, 10) desc) as rn
-  from paid_window)
-, o_c as (
-  select merchant_num, platform_open_id as user_id, if(max(rn) > 1, 2, 1) as pay_detail
-  from o_ranked group by merchant_num, platform_open_id)
+, members_today as (select {member_pins} from member_base_info_day where day_id = '{p.as_of}'{scope})
+, orders_today as (
+  select * replace (try_cast(status as integer) as status) from user_orders where day_id = '{p.as_of}'{scope})
+, activity as (
+  select merchant_num, member_id, try_cast(activity_type as integer) as activity_type, try_cast(status as integer) as status, created_at
+  from hd_join_log)
+, points as (
+  select merchant_num, member_id, try_cast(right_type as integer) as right_type, try_cast(num_change as bigint) as num_change
+  from right_change_log)
+, city_levels as (select name, try_cast(level as integer) as level from city_level)
+, paid_orders as (
+  select merchant_num, platform_open_id as user_id, order_id, payment, status, pay_at[:10] as pay_day
+  from orders_today where {paid} and pay_at[:10] between '{p.order_start}' and '{p.as_of}')
+, buyer_days as (
+  select merchant_num, user_id, pay_day, count(*) as n, sum(payment) as amount from paid_orders group by all)
+, buyers as (
+  select merchant_num, user_id, sum(n)::bigint as n_orders, count(*) as n_days,
+    (sum(n) filter (pay_day = '{p.as_of}'))::bigint as n_today, sum(amount) filter (pay_day = '{p.as_of}') as amount_today,
+    merchant_num is not null and user_id is not null as keyed
+  from buyer_days group by merchant_num, user_id)
 , order_summary as (
-  select a.merchant_num, a.user_id, a.order_num_360, a.order_num_360 - b.today_order_num as history_order_num_360,
-    b.today_order_num, cast(b.today_order_amount as decimal(25, 2)) as today_order_amount,
-    cast(c.pay_detail as integer) as pay_detail
-  from o_a a
-  left join o_b b on a.merchant_num = b.merchant_num and a.user_id = b.user_id
-  left join o_c c on a.merchant_num = c.merchant_num and a.user_id = c.user_id)
-, member_receivers as (
-  select merchant_num, user_id, receive_province, receive_province_code, receive_city, receive_city_code from (
-    select merchant_num, platform_open_id as user_id, province as receive_province,
-      province_code as receive_province_code, city as receive_city, city_code as receive_city_code,
-      row_number() over (partition by merchant_num, platform_open_id
-        order by updated_at desc nulls last, order_id desc nulls last, province desc nulls last,
-          province_code desc nulls last, city desc nulls last, city_code desc nulls last) as rn
-    from orders_today where is_member = 1) x
-  where rn = 1)
-, latest_nonmember as (
-  select * from (
-    select *, row_number() over (partition by merchant_num, platform_open_id
-      order by updated_at desc nulls last, order_id desc nulls last, brand_code desc nulls last,
-        platform_type desc nulls last, nick desc nulls last, is_member desc nulls last,
-        province desc nulls last, province_code desc nulls last, city desc nulls last,
-        city_code desc nulls last) as rn
-    from orders_today where is_member = 0) x
-  where rn = 1)
+  select merchant_num, user_id, n_orders as order_num_360, case when keyed then n_orders - n_today end as history_order_num_360,
+    case when keyed then n_today end as today_order_num, case when keyed then amount_today::decimal(25, 2) end as today_order_amount,
+    case when keyed then least(n_days, 2)::integer end as pay_detail
+  from buyers)
+, newest_member_order as ({_newest(MEMBER_PAYLOAD, 1)})
+, newest_nonmember_order as ({_newest(NONMEMBER_PAYLOAD, 0)})
 , members_enriched as (
-  select {", ".join(member_select)}
-  from members_today m
-  left join member_receivers lo on m.merchant_num = lo.merchant_num and m.user_id = lo.user_id
-  left join city_levels cl on replace(m.city, '市', '') = cl.name)
-, nonmembers_default as (
-  select {", ".join(nonmember_select)} from latest_nonmember)
-, all_users as (
-  select * from members_enriched union select * from nonmembers_default)
-, j_a as (select merchant_num, member_id from {t_act} group by merchant_num, member_id)
-, exchange_stats as (
-  select merchant_num, member_id,
-    {xs} as exchange_time_list,
-    count(if(status = 1, 1, null)) as exchange_num
-  from {t_act} where activity_type = 2 group by merchant_num, member_id)
-, recent_interaction as (
-  select merchant_num, member_id, 1 as join_num_90, count(if(status = 1, 1, null)) as interactive_num
-  from {t_act} where substr(created_at, 1, 10) between '{lo_a}' and '{hi}'
-  group by merchant_num, member_id)
-, interaction_list as (
-  select merchant_num, member_id,
-    {xs} as interactive_time_list
-  from {t_act} group by merchant_num, member_id)
+  select {member_select} from members_today m
+  left join newest_member_order r using (merchant_num, user_id)
+  left join city_levels cl on cl.name = replace(m.city, '市', ''))
+, nonmembers_default as (select {nonmember_select} from newest_nonmember_order)
+, all_users as (select distinct * from (from members_enriched union all from nonmembers_default))
+, moments as (
+  select merchant_num, member_id, created_at[:19] as second, count(*) as n, count(*) filter (activity_type = 2) as n_exchange,
+    count(*) filter (activity_type = 2 and status = 1) as n_exchange_ok, count(*) filter (status = 1) as n_ok,
+    coalesce(created_at[:10] between '{p.activity_start}' and '{p.as_of}', false) as recent
+  from activity group by merchant_num, member_id, second, recent)
+, actors as (
+  select merchant_num, member_id, merchant_num is not null and member_id is not null as keyed,
+    sum(n_exchange)::bigint as exchanges, sum(n_exchange_ok)::bigint as exchanges_ok,
+    coalesce(sum(n) filter (recent), 0)::bigint as recents, coalesce(sum(n_ok) filter (recent), 0)::bigint as recents_ok,
+    array_to_string(list_sort(list(distinct second) filter (second is not null and n_exchange > 0)), ',') as exchange_times,
+    array_to_string(list_sort(list(distinct second) filter (second is not null)), ',') as all_times
+  from moments group by merchant_num, member_id)
 , activity_summary as (
-  select a.merchant_num, a.member_id, b.exchange_time_list, b.exchange_num, c.join_num_90,
-    c.interactive_num, d.interactive_time_list
-  from j_a a
-  left join exchange_stats b on a.merchant_num = b.merchant_num and a.member_id = b.member_id
-  left join recent_interaction c on a.merchant_num = c.merchant_num and a.member_id = c.member_id
-  left join interaction_list d on a.merchant_num = d.merchant_num and a.member_id = d.member_id)
+  select merchant_num, member_id, case when keyed and exchanges > 0 then coalesce(exchange_times, '') end as exchange_time_list,
+    case when keyed and exchanges > 0 then exchanges_ok end as exchange_num, case when keyed and recents > 0 then 1 end as join_num_90,
+    case when keyed and recents > 0 then recents_ok end as interactive_num,
+    case when keyed then coalesce(all_times, '') end as interactive_time_list
+  from actors)
 , points_total as (
-  select merchant_num, member_id, cast(sum(coalesce(num_change, 0)) as bigint) as total_point
-  from {t_pts} where num_change > 0 and right_type = 1 group by merchant_num, member_id)
+  select merchant_num, member_id, sum(num_change)::bigint as total_point
+  from points where right_type = 1 and num_change > 0 group by all)
 , profile_joined as (
   select distinct u.*, o.history_order_num_360, o.today_order_num, o.today_order_amount, o.pay_detail,
-    j.join_num_90, j.exchange_time_list, j.exchange_num, j.interactive_num, j.interactive_time_list,
-    p.total_point
+    j.join_num_90, j.exchange_time_list, j.exchange_num, j.interactive_num, j.interactive_time_list, p.total_point
   from all_users u
-  left join order_summary o on u.merchant_num = o.merchant_num and u.user_id = o.user_id
-  left join activity_summary j on u.merchant_num = j.merchant_num and u.member_id = j.member_id
-  left join points_total p on u.merchant_num = p.merchant_num and u.member_id = p.member_id)
+  left join order_summary o using (merchant_num, user_id)
+  left join activity_summary j using (merchant_num, member_id)
+  left join points_total p using (merchant_num, member_id))
+, facts as (
+  select *, coalesce(is_member = 1, false) as member, coalesce(today_order_num, 0) > 0 as bought,
+    coalesce(history_order_num_360, 0) > 0 as bought_before
+  from profile_joined)
 , labelled as (
   select *,
-    cast(case when coalesce(today_order_num, 0) = 0 then 0
-              when not coalesce(is_member = 1, false) then 3
-              when coalesce(history_order_num_360, 0) = 0 then 1 else 2 end as integer) as l_buy_charact,
-    cast(case when coalesce(is_member = 1, false) and coalesce(today_order_num, 0) > 0
-                and coalesce(is_new_member = 1, false) then 1
-              when coalesce(is_member = 1, false) and coalesce(today_order_num, 0) > 0
-                and coalesce(history_order_num_360, 0) = 0 then 2 else 0 end as integer) as l_buy_subdivision,
-    cast(if(join_num_90 >= 1 and member_id > 1, 1, 0) as integer) as l_is_silent,
-    cast(coalesce(pay_detail, 0) as integer) as l_pay_detail,
+    (case when not bought then 0 when not member then 3 when bought_before then 2 else 1 end)::integer as l_buy_charact,
+    (case when not (member and bought) then 0 when is_new_member = 1 then 1 when bought_before then 0 else 2 end)::integer as l_buy_subdivision,
+    coalesce(join_num_90 >= 1 and member_id > 1, false)::integer as l_is_silent,
+    coalesce(pay_detail, 0)::integer as l_pay_detail,
     coalesce(today_order_num, 0) as l_today_order_num,
-    if(today_order_amount is not null, try_cast(today_order_amount as decimal(15, 3)),
-       cast(0 as decimal(15, 3))) as l_today_order_amount
-  from profile_joined)
+    case when today_order_amount is null then 0::decimal(15, 3) else try_cast(today_order_amount as decimal(15, 3)) end as l_today_order_amount
+  from facts)
 , user_profile as (
-  select distinct {", ".join(_profile_select())} from labelled{final_scope})
+  select distinct {", ".join(_profile_select())} from labelled{" where " + scope[5:] if scope else ""})
 """
 
 
@@ -210,27 +165,21 @@ def _profile_select() -> list[str]:
 
 
 def _cells_stages(p: ProfileParams = FIXTURE_PARAMS) -> str:
+    """A coordinate's candidates are the non-NULL values of all its rows; the member's comes first, then the greatest."""
     width = (1 << 32) // p.n_buckets
-    cols = [*PROFILE_COLUMNS, "bucket"]
-    order = ", ".join(f"{c} desc nulls last" for c in ["is_member", *cols])
     as_text = ", ".join(f"cast({c} as varchar) as {c}" for c in PROFILE_COLUMNS)
     model = ", ".join(f"'{c}'" for c in DERIVED_COLUMNS)
     return f"""
-, keyed as (
-  select *, substr(md5(coalesce(cast(user_id as varchar), '') || '_' || coalesce(cast(merchant_num as varchar), '')), 1, 8)
-    || '_' || coalesce(cast(merchant_num as varchar), '') || '_' || coalesce(cast(user_id as varchar), '') as rowkey
-  from labelled_sink)
 , bucketed as (
-  select *, cast(least(cast(('0x' || substr(rowkey, 1, 8)) as bigint) // {width}, {p.n_buckets - 1}) as integer) as bucket
-  from keyed)
-, one_per_key as (
-  select * exclude (rn) from (
-    select *, row_number() over (partition by rowkey order by {order}) as rn from bucketed) x
-  where rn = 1)
-, as_text as (select rowkey, bucket, {as_text} from one_per_key)
-, cells as (
-  select rowkey, case when qualifier in ({model}) then 'model' else 'base' end as family, qualifier, value, bucket
+  select *, cast(least(cast(('0x' || rowkey[:8]) as bigint) // {width}, {p.n_buckets - 1}) as integer) as bucket from keyed)
+, as_text as (select rowkey, bucket, coalesce(is_member = 1, false) as of_member, {as_text} from bucketed)
+, candidates as (
+  select rowkey, bucket, of_member, qualifier, value
   from (unpivot as_text on {", ".join(PROFILE_COLUMNS)} into name qualifier value value))
+, cells as (
+  select rowkey, case when qualifier in ({model}) then 'model' else 'base' end as family, qualifier,
+    coalesce(max(value) filter (of_member), max(value)) as value, bucket
+  from candidates group by rowkey, qualifier, bucket)
 """
 
 
@@ -239,9 +188,11 @@ def _with(*tail: str) -> str:
 
 
 def _sink_profile() -> str:
-    # The cell sink reads the profile before its last distinct (one row per
-    # rowkey subsumes it).
-    return f"\n, labelled_sink as (select {', '.join(_profile_select())} from labelled)\n"
+    """The profile with the rowkey of its raw texts, before the last distinct (a cell's candidates subsume it)."""
+    user = "coalesce(replace(user_id, '\\', '\\\\'), '\\N')"
+    tenant = "coalesce(replace(replace(merchant_num, '\\', '\\\\'), '_', '\\_'), '\\N')"
+    return (f"\n, keyed as (select md5({user} || '_' || {tenant})[:8] || '_' || {tenant} || '_' || {user} as rowkey,"
+            f" {', '.join(_profile_select())} from labelled)\n")
 
 
 LABEL_KEYS = "merchant_num, user_id, is_member"
@@ -250,29 +201,33 @@ SCOPED_TENANTS = ("1", "3")
 
 
 def oracle_sql() -> dict[str, str]:
-    lo, hi, lo_a = FIXTURE_PARAMS.order_start, FIXTURE_PARAMS.as_of, FIXTURE_PARAMS.activity_start
+    hi, lo_a = FIXTURE_PARAMS.as_of, FIXTURE_PARAMS.activity_start
     q = {
         "member_snapshot": "select * from members_today",
-        "order_snapshot_paid": "select order_id, merchant_num, platform_open_id, substr(pay_at, 1, 10) as pay_day,"
-                               " status, payment from paid_window",
+        "order_snapshot_paid": "select order_id, merchant_num, user_id as platform_open_id, pay_day, status, payment"
+                               " from paid_orders",
         "city_level_dim": "select * from city_levels",
-        "activity_log_window": "select merchant_num, member_id, activity_type, status, created_at from hd_join_log"
-                               f" where substr(created_at, 1, 10) between '{lo_a}' and '{hi}'",
-        "points_log_positive": "select merchant_num, member_id, right_type, num_change from right_change_log"
+        "activity_log_window": "select merchant_num, member_id, activity_type, status, created_at from activity"
+                               f" where created_at[:10] between '{lo_a}' and '{hi}'",
+        "points_log_positive": "select merchant_num, member_id, right_type, num_change from points"
                                " where num_change > 0 and right_type = 1",
-        "latest_member_order": "select * from member_receivers",
-        "latest_nonmember_order": "select merchant_num, platform_open_id, brand_code, platform_type, nick, is_member,"
-                                  " province, province_code, city, city_code from latest_nonmember",
-        "pay_day_rank": "select merchant_num, platform_open_id, order_id, pay_day, cast(rn as integer) as rn"
-                        " from o_ranked",
-        "order_window_count": "select * from o_a",
-        "today_orders": "select merchant_num, user_id, today_order_num,"
-                        " cast(today_order_amount as decimal(15, 3)) as today_order_amount from o_b",
+        "latest_member_order": "select merchant_num, user_id, " + ", ".join(f"o.{c} as receive_{c}" for c in MEMBER_PAYLOAD)
+                               + " from newest_member_order",
+        "latest_nonmember_order": "select merchant_num, user_id as platform_open_id, "
+                                  + ", ".join(f"o.{c}" for c in NONMEMBER_PAYLOAD) + " from newest_nonmember_order",
+        # Rank one plus the buyer's orders on later days.
+        "pay_day_rank": "select o.merchant_num, o.user_id as platform_open_id, o.order_id, o.pay_day,"
+                        " (1 + coalesce((select sum(d.n) from buyer_days d where d.merchant_num is not distinct from o.merchant_num"
+                        " and d.user_id is not distinct from o.user_id and d.pay_day > o.pay_day), 0))::integer as rn from paid_orders o",
+        "order_window_count": "select merchant_num, user_id, n_orders as order_num_360 from buyers",
+        "today_orders": "select merchant_num, user_id, n_today as today_order_num,"
+                        " amount_today::decimal(15, 3) as today_order_amount from buyers where n_today > 0",
         "order_summary": "select * from order_summary",
-        "pay_detail": "select merchant_num, user_id, cast(pay_detail as integer) as pay_detail from o_c",
-        "exchange_stats": "select * from exchange_stats",
-        "recent_interaction": "select * from recent_interaction",
-        "interaction_list": "select * from interaction_list",
+        "pay_detail": "select merchant_num, user_id, least(n_days, 2)::integer as pay_detail from buyers",
+        "exchange_stats": "select merchant_num, member_id, coalesce(exchange_times, '') as exchange_time_list,"
+                          " exchanges_ok as exchange_num from actors where exchanges > 0",
+        "recent_interaction": "select merchant_num, member_id, 1 as join_num_90, recents_ok as interactive_num from actors where recents > 0",
+        "interaction_list": "select merchant_num, member_id, coalesce(all_times, '') as interactive_time_list from actors",
         "activity_summary": "select * from activity_summary",
         "points_total": "select * from points_total",
         "members_enriched": "select * from members_enriched",
@@ -295,7 +250,7 @@ def oracle_sql() -> dict[str, str]:
                                     + "select * from user_profile")
     out["cell_values"] = _with(_sink_profile(), f"""
 , as_text as (select merchant_num as row_merchant_num, user_id as row_user_id, is_member as row_is_member, {as_text}
-  from labelled_sink)
+  from keyed)
 """) + (f"select row_merchant_num, row_user_id, row_is_member, qualifier, value from "
         f"(unpivot as_text on {', '.join(PROFILE_COLUMNS)} into name qualifier value value)")
     out["cell_family"] = _with(_sink_profile(), _cells_stages()) + \
@@ -303,18 +258,6 @@ def oracle_sql() -> dict[str, str]:
     out["cell_rowkey_bucket"] = _with(_sink_profile(), _cells_stages()) + \
         "select merchant_num, user_id, is_member, rowkey, bucket from bucketed"
     out["cells"] = _with(_sink_profile(), _cells_stages()) + "select * from cells"
+    out["cells_stored"] = _with(_sink_profile(), _cells_stages()) + (
+        "select bucket, count(*) as n_cells, min(rowkey) as first_key, max(rowkey) as last_key, 0::bigint as out_of_order from cells group by bucket")
     return out
-
-
-def unfused_profile_sql_for_spark(p: ProfileParams = FIXTURE_PARAMS, over_inputs: bool = False) -> str:
-    """The whole unfused chain ending in the labelled profile, in Spark SQL.
-
-    Placeholders are bound with ``spark.sql(text, name=df, ...)``: by default
-    the given tables (``{customer}`` ...), with ``over_inputs`` the five input
-    tables themselves (``{user_orders}`` ...). Used as the benchmark baseline:
-    the source's plan shape on the same engine."""
-    if over_inputs:
-        names = ("member_base_info_day", "user_orders", "hd_join_log", "right_change_log", "city_level")
-        body = stages(p, "spark", {n: "{" + n + "}" for n in names}).lstrip().lstrip(",")
-        return "with " + body + "select * from user_profile"
-    return fixture_ctes(placeholders=True) + stages(p, "spark") + "select * from user_profile"

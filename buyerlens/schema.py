@@ -174,6 +174,6 @@ assert set(NONMEMBER_DEFAULTS) | set(NONMEMBER_FROM_ORDER) == set(BASE_COLUMNS)
 
 
 def pinned(name: str, value: Column | object | None = None) -> Column:
-    """``value`` (default: the column ``name``) cast to the pinned base type."""
+    """``value`` (default: the column ``name``) in the pinned base type; NULL where it does not parse."""
     col = F.col(name) if value is None else (value if isinstance(value, Column) else F.lit(value))
-    return col.cast(BASE_TYPES[name]).alias(name)
+    return col.try_cast(BASE_TYPES[name]).alias(name)

@@ -52,8 +52,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder for lineage cuts.
 
-    Read from the session (``spark.checkpoint.dir``); only when it has none
-    (local tests) is a fresh scratch folder made and registered. A Spark
+    Read from the session (``spark.checkpoint.dir``); only a local session
+    that has none gets a fresh scratch folder, a cluster must name a shared one. A Spark
     Connect session has no driver-side context here: its server's setting
     applies and ``None`` is returned.
     """
@@ -62,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     except Exception:  # Spark Connect
         return spark.conf.get("spark.checkpoint.dir", None)
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not d and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="buyerlens-ckpt-")
     if not sc.getCheckpointDir():
@@ -69,13 +71,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return d
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and keep it in the shared checkpoint folder.
 
     An eager reliable ``checkpoint()``: it cuts the lineage (a lost executor
     re-reads the checkpoint instead of recomputing from the raw inputs) and
-    lets several consumers share one computation. ``name`` names the
-    aggregate for the caller.
+    lets several consumers share one computation.
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -96,11 +97,3 @@ def run_concurrently(spark: SparkSession, tasks: dict[str, Callable[[], T]]) ->
         futures = {k: pool.submit(wrap(f)) for k, f in tasks.items()}
         return {k: f.result() for k, f in futures.items()}
 
-
-def materialize_all(dfs: dict[str, DataFrame], parallel: bool = True) -> dict[str, DataFrame]:
-    """:func:`materialize` several independent DataFrames, as concurrent jobs
-    unless ``parallel`` is off (stages that do not fill the cluster overlap)."""
-    if not parallel or len(dfs) < 2:
-        return {k: materialize(v, k) for k, v in dfs.items()}
-    spark = next(iter(dfs.values())).sparkSession
-    return run_concurrently(spark, {k: (lambda v=v, k=k: materialize(v, k)) for k, v in dfs.items()})

@@ -4,7 +4,8 @@ Each view is one SQL text that runs unchanged in Spark and in DuckDB. In Spark
 the ``{customer}``-style placeholders are bound to DataFrames read from the
 parquet files (no global temp views); for DuckDB they become the plain table
 names. All rows of the given tables are kept: branches are exercised by
-derived columns, never by dropping rows.
+derived columns, never by dropping rows; some members come twice. Code columns
+are text with blanks and junk in between, as a log may hold them.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ def read_given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 MEMBER_SQL = """
 select cast(c_custkey % 7 as string) merchant_num, 'B' || cast(c_custkey % 3 as string) brand_code,
   'P' || cast(c_custkey % 2 as string) platform_type, cast(c_custkey as string) user_id, c_name nick,
-  cast(c_custkey as string) platform_open_id, c_name user_name, c_custkey member_id, cast(c_custkey % 3 as int) sex,
+  cast(c_custkey as string) platform_open_id, c_name user_name, c_custkey member_id, case when c_custkey % 17 = 0 then '' else cast(c_custkey % 3 as string) end sex,
   case when c_custkey % 5 = 0 then '' when c_custkey % 5 = 1 then cast(null as string) else '1990-02-03 11:00:00' end birthday,
   cast(20 + c_custkey % 50 as int) age, 'T' || cast(c_custkey as string) phone, 'M' || cast(c_custkey as string) mix_mobile,
   '1' status, '2023-06-01 00:00:00' register_time,
@@ -45,9 +46,9 @@ select cast(c_custkey % 7 as string) merchant_num, 'B' || cast(c_custkey % 3 as
   cast(c_custkey % 2 as int) is_focus, 't' || cast(c_custkey % 4 as string) tags_list,
   '2025-01-01 00:00:00' member_point_end_time, '2025-01-01 00:00:00' member_grade_end_time,
   '2025-01-01 00:00:00' medal_end_time, 1 member_ship_num, cast(c_custkey % 8 as int) receive_msg_num,
-  case when c_custkey % 50 = 49 then '2024-01-29' else '2024-01-30' end day_id
-from {customer} join {nation} on c_nationkey = n_nationkey
-where c_mktsegment <> 'MACHINERY'
+  case when c_custkey % 50 = 49 or c_mktsegment = 'MACHINERY' then '2024-01-29' else '2024-01-30' end day_id
+from (select * from {customer} union all select * from {customer} where c_custkey % 40 = 7) c
+join {nation} on c_nationkey = n_nationkey
 """
 
 ORDER_SQL = """
@@ -55,8 +56,8 @@ select o_orderkey order_id, cast(o_custkey % 7 as string) merchant_num, 'B' || c
   'P' || cast(o_custkey % 2 as string) platform_type, cast(o_custkey as string) platform_open_id, c_name nick,
   case when c_mktsegment <> 'MACHINERY' and o_orderkey % 97 <> 0 then 1 else 0 end is_member,
   cast(date '2024-01-30' - cast(o_orderkey % 400 as int) as string) || ' 10:00:00' pay_at,
-  case when o_custkey % 4 = 0 and o_orderkey % 400 > 20 then 2
-       when o_orderstatus = 'F' then 3 when o_orderstatus = 'O' then 101 else 1 end status,
+  case when o_orderkey % 83 = 1 then '' when o_orderkey % 89 = 1 then 'paid?' when o_custkey % 4 = 0 and o_orderkey % 400 > 20 then '2'
+       when o_orderstatus = 'F' then '3' when o_orderstatus = 'O' then '101' else '1' end status,
   cast(o_totalprice as decimal(15,2)) payment, substr(cast(o_orderdate as string), 1, 19) updated_at,
   n_name province, cast(n_regionkey as string) province_code, n_name city, cast(n_nationkey as string) city_code,
   case when o_orderkey % 50 = 49 then '2024-01-29' else '2024-01-30' end day_id
@@ -66,8 +67,8 @@ from {orders} join {customer} on o_custkey = c_custkey join {nation} on c_nation
 ACTIVITY_SQL = """
 select event_id, cast(user_id % 7 as string) merchant_num,
   case when event_id % 101 = 0 then cast(null as bigint) else user_id end member_id,
-  case when event_type = 'purchase' and user_id % 10 <> 3 then 2 when event_type = 'click' then 1 else 3 end activity_type,
-  case when value >= 20 then 1 else 0 end status,
+  case when event_id % 67 = 1 then 'x' when event_type = 'purchase' and user_id % 10 <> 3 then '2' when event_type = 'click' then '1' else '3' end activity_type,
+  case when event_id % 71 = 1 then '' when value >= 20 then '1' else '0' end status,
   case when event_type = 'error' and event_id % 5 = 0 then cast(null as string)
        when user_id % 10 = 4 and ts >= timestamp '2024-01-10 00:00:00'
          then substr(cast(ts - interval '30' day as string), 1, 19)
@@ -77,8 +78,8 @@ from {events}
 
 POINTS_SQL = """
 select cast(user_id % 7 as string) merchant_num, user_id member_id,
-  case when event_type in ('signup', 'view') then 1 else 2 end right_type,
-  cast(round(value) as bigint) - 30 num_change
+  case when event_type in ('signup', 'view') then '1' when event_type = 'error' then '' else '2' end right_type,
+  case when event_id % 73 = 1 then 'n/a' else cast(cast(round(value) as bigint) - 30 as string) end num_change
 from {events}
 """
 

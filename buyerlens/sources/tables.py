@@ -21,6 +21,11 @@ ORDER_COLUMNS = [
     "is_member", "pay_at", "status", "payment", "updated_at",
     "province", "province_code", "city", "city_code",
 ]
+# Columns that the job compares as numbers: text that does not parse is NULL.
+MEMBER_TYPES = {c: t for c, t in BASE_TYPES.items() if c in MEMBER_COLUMNS}
+ORDER_TYPES = {"is_member": "int", "status": "int", "payment": "decimal(15,2)"}
+ACTIVITY_TYPES = {"member_id": "bigint", "activity_type": "int", "status": "int"}
+POINTS_TYPES = {"member_id": "bigint", "right_type": "int", "num_change": "bigint"}
 ACTIVITY_COLUMNS = ["merchant_num", "member_id", "activity_type", "status", "created_at"]
 POINTS_COLUMNS = ["merchant_num", "member_id", "right_type", "num_change"]
 
@@ -42,14 +47,29 @@ def _tenant(df: DataFrame, params: ProfileParams) -> DataFrame:
     return df.where(F.col("merchant_num").isin(list(params.tenants)))
 
 
+def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Columns of other types than pinned become them by ``try_cast``; those of the pinned type stay
+    plain columns, so their filters are pushed into the scan."""
+    have = dict(df.dtypes)
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if c in have and have[c] != t})
+
+
+def _with_order_id(df: DataFrame) -> DataFrame:
+    """Orders without an ``order_id`` get a hash of the whole row: a tie-break that a rerun repeats."""
+    if "order_id" in df.columns:
+        return df
+    return df.withColumn("order_id", F.xxhash64(*[F.col(c).cast("string") for c in sorted(df.columns)]))
+
+
 def scan_members(df: DataFrame, params: ProfileParams) -> DataFrame:
     """The member snapshot of ``as_of`` (tenant scoped)."""
-    return _tenant(df.where(F.col("day_id") == params.as_of), params).select(*MEMBER_COLUMNS)
+    return _typed(_tenant(df.where(F.col("day_id") == params.as_of), params).select(*MEMBER_COLUMNS), MEMBER_TYPES)
 
 
 def scan_orders(df: DataFrame, params: ProfileParams) -> DataFrame:
     """The order snapshot of ``as_of`` (tenant scoped)."""
-    return _tenant(df.where(F.col("day_id") == params.as_of), params).select(*ORDER_COLUMNS)
+    today = _tenant(df.where(F.col("day_id") == params.as_of), params)
+    return _typed(_with_order_id(today).select(*ORDER_COLUMNS), ORDER_TYPES)
 
 
 def scan_activity(df: DataFrame, params: ProfileParams) -> DataFrame:
@@ -58,12 +78,12 @@ def scan_activity(df: DataFrame, params: ProfileParams) -> DataFrame:
     Scoping the logs by tenant does not change the result: every later join
     keys on ``merchant_num``.
     """
-    return _tenant(df, params).select(*ACTIVITY_COLUMNS)
+    return _typed(_tenant(df, params).select(*ACTIVITY_COLUMNS), ACTIVITY_TYPES)
 
 
 def scan_points(df: DataFrame, params: ProfileParams) -> DataFrame:
     """The points-change log (whole history, tenant scoped)."""
-    return _tenant(df, params).select(*POINTS_COLUMNS)
+    return _typed(_tenant(df, params).select(*POINTS_COLUMNS), POINTS_TYPES)
 
 
 def scan_city_level(df: DataFrame) -> DataFrame:

@@ -11,7 +11,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from buyerlens.operators.cells import PREFIX_SPACE, bucket_of, cell_values, cells, rowkey, write_cells
+from buyerlens.functions.scalars import default_rowkey
+from buyerlens.operators.cells import PREFIX_SPACE, bucket_of, cell_values, cells, write_cells
+
+
+def keyed(df):
+    return df.withColumn("rowkey", default_rowkey())
 
 
 def test_rendering_and_sparsity(spark):
@@ -25,25 +30,61 @@ def test_rendering_and_sparsity(spark):
 def test_unmapped_column_fails_early(spark):
     df = spark.createDataFrame([("u", "1", 1, "x")], "user_id string, merchant_num string, is_member int, extra string")
     with pytest.raises(ValueError, match="extra"):
-        cells(df, 15, {"user_id": "base", "merchant_num": "base", "is_member": "base"})
+        cells(keyed(df), 15, {"user_id": "base", "merchant_num": "base", "is_member": "base"})
 
 
 def test_case_collision_fails(spark):
     df = spark.createDataFrame([("u", "1", 1, "x")], "user_id string, merchant_num string, is_member int, User_Id string")
     with pytest.raises(ValueError):
-        cells(df, 15, {"user_id": "base", "merchant_num": "base", "is_member": "base"})
+        cells(df.withColumn("rowkey", F.lit("k")), 15, {"user_id": "base", "merchant_num": "base", "is_member": "base"})
 
 
 def test_rowkey_matches_python_md5(spark):
-    users = ["u1", "😀user", "", None, "中文"]
-    df = spark.createDataFrame([(u, 7) for u in users], "user_id string, merchant_num int")
-    got = [r.k for r in df.select(rowkey().alias("k")).collect()]
+    users = ["u1", "😀user", "", None, "中文", "\\N"]
+    df = spark.createDataFrame([(u, "7") for u in users], "user_id string, merchant_num string")
+    got = [r.k for r in df.select(default_rowkey().alias("k")).collect()]
     for u, k in zip(users, got):
-        uu = u or ""
+        uu = "\\N" if u is None else u.replace("\\", "\\\\")
         want = hashlib.md5(f"{uu}_7".encode("utf-8")).hexdigest()[:8] + f"_7_{uu}"
         assert k == want
 
 
+def test_rowkeys_are_distinct(spark):
+    pairs = [("A1", "u"), ("B2", "u"), ("1", ""), ("1", None), (None, "u"), ("", "u"), ("a_b", "c"), ("a", "b_c"), ("\\N", "u"), ("7", "u"), ("07", "u")]
+    df = spark.createDataFrame(pairs, "merchant_num string, user_id string")
+    assert df.select(default_rowkey()).distinct().count() == len(pairs)
+
+
+def test_every_tenant_text_keeps_its_cells(spark):
+    """Tenants that are no numbers, and empty and NULL users, are rows of their own."""
+    from buyerlens.operators.profile import user_profile
+    from buyerlens.params import ProfileParams
+    from frames import make_inputs, member
+
+    inp = make_inputs(spark, members=[member("A1", "u"), member("B2", "u"), member("1", ""), member("1", None)])
+    p = ProfileParams(as_of="2024-01-30")
+    prof = user_profile(inp, p, final_distinct=False, materialize=False, keyed=True)
+    assert cells(prof, 4).select("rowkey").distinct().count() == 4
+
+
+def test_codec_is_snappy(spark):
+    out = tempfile.mkdtemp(prefix="cells-codec-") + "/cells"
+    df = keyed(spark.createDataFrame([("u", "1", 1, "x")], "user_id string, merchant_num string, is_member int, note string"))
+    write_cells(cells(df, 2, {"user_id": "base", "merchant_num": "base", "is_member": "base", "note": "model"}), out)
+    (f,) = glob.glob(os.path.join(out, "bucket=*", "*.parquet"))
+    assert pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "SNAPPY"
+
+
+def test_mixed_buyer_keeps_both_rows_columns(spark):
+    """Per column the member's value, else the other row's; arrays and maps come as JSON, mixed-case names in lower case."""
+    df = keyed(spark.createDataFrame(
+        [("u", "1", 1, "m", None, [1, 2], None), ("u", "1", 0, "n", "only", None, {"k": 1}), ("u", "1", 1, "a", None, None, None)],
+        "user_id string, merchant_num string, is_member int, Note string, other string, Arr array<int>, Map map<string,int>"))
+    fam = {c.lower(): "base" for c in df.columns}
+    got = {r.qualifier: r.value for r in cells(df, 4, fam).collect()}
+    assert got == {"user_id": "u", "merchant_num": "1", "is_member": "1", "note": "m", "other": "only", "arr": "[1,2]", "map": '{"k":1}'}
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(min_value=0, max_value=PREFIX_SPACE - 1), min_size=1, max_size=30),
        st.integers(min_value=1, max_value=40))
@@ -64,7 +105,7 @@ def test_one_row_per_rowkey_member_first(spark):
         [("u", "1", 0, "nonmember"), ("u", "1", 1, "member"), ("v", "1", 0, None), ("v", "1", 0, None)],
         "user_id string, merchant_num string, is_member int, note string")
     fam = {"user_id": "base", "merchant_num": "base", "is_member": "base", "note": "model"}
-    c = cells(df, 4, fam).collect()
+    c = cells(keyed(df), 4, fam).collect()
     notes = {(r.rowkey.split("_")[-1], r.qualifier): r.value for r in c}
     assert notes[("u", "note")] == "member"
     assert ("v", "note") not in notes                # NULL cell dropped
@@ -79,8 +120,8 @@ def test_written_cells_sorted_and_rerun_replaces(spark):
 
     fam = {"user_id": "base", "merchant_num": "base", "is_member": "base", "note": "model"}
     out = tempfile.mkdtemp(prefix="cells-test-") + "/cells"
-    write_cells(cells(frame(300), 5, fam), out)
-    write_cells(cells(frame(50), 5, fam), out)   # rerun with fewer rows replaces the folder
+    write_cells(cells(keyed(frame(300)), 5, fam), out)
+    write_cells(cells(keyed(frame(50)), 5, fam), out)   # rerun with fewer rows replaces the folder
     back = spark.read.parquet(out)
     assert back.count() == 50 * 4
     files = glob.glob(os.path.join(out, "bucket=*", "*.parquet"))
@@ -104,7 +145,7 @@ def test_sort_is_utf8_byte_order(spark):
     fam = {"user_id": "base", "merchant_num": "base", "is_member": "base"}
     out = tempfile.mkdtemp(prefix="cells-utf8-") + "/cells"
     # One bucket and one range: every cell in one sorted file.
-    write_cells(cells(df, 1, fam, range_partitions=1), out)
+    write_cells(cells(keyed(df), 1, fam, range_partitions=1), out)
     files = glob.glob(os.path.join(out, "bucket=*", "*.parquet"))
     assert len(files) == 1
     keys = [(r["rowkey"], r["family"], r["qualifier"]) for r in

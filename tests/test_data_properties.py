@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from buyerlens.operators.cells import one_row_per_key, with_rowkey
+from buyerlens.operators.profile import user_profile
 from buyerlens.params import FIXTURE_PARAMS as P
 from buyerlens.plans.catalog import QUERIES, inputs
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 
 
 def test_city_names_unique(spark):
@@ -19,12 +19,13 @@ def test_one_profile_row_per_user_and_side(spark):
     assert dup.count() == 0
 
 
-def test_cells_per_row_equal_non_null_columns(spark):
-    prof = QUERIES["user_profile"](spark, SF_SMALL)
-    cols = prof.columns
-    unique = one_row_per_key(with_rowkey(prof, P.n_buckets), "rowkey", cols)
-    non_null = unique.select("rowkey", sum(F.col(c).isNotNull().cast("int") for c in cols).alias("want"))
-    got = QUERIES["cells"](spark, SF_SMALL).groupBy("rowkey").agg(F.count(F.lit(1)).alias("got"))
-    joined = non_null.join(got, "rowkey", "full")
-    assert joined.where(F.col("want").isNull() | F.col("got").isNull() | (F.col("want") != F.col("got"))).count() == 0
-    assert joined.count() == unique.count()
+def test_no_coordinate_is_lost(spark):
+    """Every (rowkey, column) that some row of the profile fills is a cell, and no other; mixed buyers included."""
+    prof = user_profile(inputs(spark, SF_MID), P, final_distinct=False, keyed=True).cache()
+    cols = [c for c in prof.columns if c != "rowkey"]
+    want = prof.groupBy("rowkey").agg(*[F.max(F.col(c).isNotNull()).alias(c) for c in cols], F.count_distinct("is_member").alias("_sides"))
+    n = sum(F.col(c).cast("int") for c in cols).alias("want")
+    got = QUERIES["cells"](spark, SF_MID).groupBy("rowkey").agg(F.count(F.lit(1)).alias("got"))
+    both = want.select("rowkey", n, "_sides").join(got, "rowkey", "full")
+    assert both.where("not (want <=> got)").count() == 0 and both.where("_sides = 2").count() > 50
+    prof.unpersist()

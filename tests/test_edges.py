@@ -7,7 +7,7 @@ from buyerlens.operators.activity import activity_summary
 from buyerlens.operators.orders import buyer_facts
 from buyerlens.operators.profile import joined_profile, user_profile
 from buyerlens.params import ProfileParams
-from frames import make_inputs, member, order
+from frames import MEMBER_SCHEMA, ORDER_SCHEMA, make_inputs, member, order
 
 P = ProfileParams(as_of="2024-01-30", order_days=360, activity_days=10)
 
@@ -158,23 +158,73 @@ def test_bad_params():
 
 
 def test_rows_equal_after_casts_are_merged(spark):
-    from buyerlens.operators.members import tenant_spellings_ambiguous
+    from buyerlens.operators.members import non_canonical_tenant_text
 
     # Differ only in texts that both cast to NULL: merged by the member-side distinct.
     members = [member(user="u", status="x"), member(user="u", status="y")]
     inp = make_inputs(spark, members=members)
     prof = user_profile(inp, P, materialize=False)
     assert prof.where("user_id = 'u'").count() == 1
-    assert not tenant_spellings_ambiguous(inp.members, buyer_facts(inp.orders, P))
+    assert not non_canonical_tenant_text(inp.members)
 
 
 def test_tenant_spellings_trigger_final_distinct(spark):
-    from buyerlens.operators.members import tenant_spellings_ambiguous
+    from buyerlens.operators.members import non_canonical_tenant_text
 
     members = [member(merchant="7", user="u"), member(merchant="07", user="u")]
     inp = make_inputs(spark, members=members)
-    assert tenant_spellings_ambiguous(inp.members, buyer_facts(inp.orders, P))
+    assert non_canonical_tenant_text(inp.members)
     prof = user_profile(inp, P, materialize=False)
     rows = prof.where("user_id = 'u'").collect()
     assert len(rows) == 1 and rows[0].merchant_num == 7
     assert user_profile(inp, P, final_distinct=False, materialize=False).where("user_id = 'u'").count() == 2
+
+
+def test_text_inputs_with_junk_are_null(spark):
+    from buyerlens.sources.tables import scan_activity, scan_members, scan_orders, scan_points
+
+    o = spark.createDataFrame([("1", "2024-01-30", s) for s in ("3", "", "paid", None)], "merchant_num string, day_id string, status string")
+    o = o.selectExpr("*", "'B' brand_code", "'P' platform_type", "'u' platform_open_id", "'n' nick", "'1' is_member", "'2024-01-30 10:00:00' pay_at",
+                     "'x' payment", "'2024-01-30' updated_at", "'p' province", "'1' province_code", "'c' city", "'2' city_code")
+    got = scan_orders(o, P)
+    assert sorted(r.status or 0 for r in got.collect()) == [0, 0, 0, 3]
+    assert [r.payment for r in got.collect()] == [None] * 4 and dict(got.dtypes)["order_id"] == "bigint"
+    assert buyer_facts(got, P).first().order_num_360 == 1
+    a = spark.createDataFrame([("1", "7", "2", "1", "2024-01-29 00:00:00"), ("1", "", "x", "", "t")],
+                              "merchant_num string, member_id string, activity_type string, status string, created_at string")
+    assert {(r.member_id, r.activity_type, r.status) for r in scan_activity(a, P).collect()} == {(7, 2, 1), (None, None, None)}
+    p = spark.createDataFrame([("1", "7", "1", "5"), ("1", "7", "1", "n/a")], "merchant_num string, member_id string, right_type string, num_change string")
+    from buyerlens.operators.points import points_total
+
+    assert points_total(scan_points(p, P)).first().total_point == 5
+    m = spark.createDataFrame([member()], MEMBER_SCHEMA).drop("sex").selectExpr("*", "'' sex", "'2024-01-30' day_id")
+    assert scan_members(m, P).first().sex is None
+
+
+def test_members_enriched_keeps_repeated_rows(spark):
+    from buyerlens.operators.members import all_users, members_enriched, nonmembers_default
+
+    inp = make_inputs(spark, members=[member(user="u"), member(user="u")])
+    facts = buyer_facts(inp.orders, P)
+    side = members_enriched(inp.members, facts, inp.city_level)
+    assert side.count() == 2 and all_users(side, nonmembers_default(facts)).count() == 1
+
+
+def test_nonmembers_without_figures(spark):
+    inp = make_inputs(spark, orders=[order(1, user="a", is_member=0)], activity=[("1", 0, 2, 1, "2024-01-29 00:00:00")])
+    on = joined_profile(inp, P, False).first()
+    off = joined_profile(inp, ProfileParams(as_of="2024-01-30", nonmember_figures=False), False).first()
+    assert on.exchange_num == 1 and off.exchange_num is None and off.user_id == "a"
+
+
+def test_filters_reach_the_scan_of_single_queries(spark):
+    import tempfile
+
+    from buyerlens.operators.orders import latest_member_orders, order_summary
+
+    path = tempfile.mkdtemp(prefix="orders-") + "/o"
+    spark.createDataFrame([order(1)], ORDER_SCHEMA).write.parquet(path)
+    o = spark.read.parquet(path)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "In(status" in plan(order_summary(o, P)) and "EqualTo(is_member,1)" in plan(latest_member_orders(o))
+    assert "SortAggregate" not in plan(order_summary(o, P))

@@ -6,7 +6,7 @@ import tempfile
 from buyerlens.operators.activity import activity_summary
 from buyerlens.operators.cells import cells
 from buyerlens.operators.orders import buyer_facts
-from buyerlens.operators.profile import joined_profile
+from buyerlens.operators.profile import joined_profile, user_profile
 from buyerlens.params import FIXTURE_PARAMS as P
 from buyerlens.plans.catalog import QUERIES, inputs
 from conftest import SF_SMALL
@@ -20,10 +20,12 @@ def _exchanges(df) -> int:
     return len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition", _plan(df)))
 
 
-def test_fused_activity_one_shuffle(spark):
+def test_fused_activity_two_small_shuffles(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        assert _exchanges(activity_summary(inputs(spark, SF_SMALL).activity, P)) == 1
+        # Per (key, second), then per key: no task holds a hot key's raw rows.
+        a = activity_summary(inputs(spark, SF_SMALL).activity, P)
+        assert _exchanges(a) == 2 and "SinglePartition" not in _plan(a)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
@@ -43,7 +45,7 @@ def test_cells_dedupe_then_range_shuffle(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         path = tempfile.mkdtemp(prefix="profile-") + "/p"
-        QUERIES["user_profile"](spark, SF_SMALL).write.parquet(path)
+        user_profile(inputs(spark, SF_SMALL), P, final_distinct=False, keyed=True).write.parquet(path)
         plan = _plan(cells(spark.read.parquet(path), P.n_buckets))
         # One hash exchange (per-rowkey step, on the rowkey expression), one range exchange.
         assert len(re.findall(r"Exchange hashpartitioning\(", plan)) == 1

@@ -1,4 +1,4 @@
-"""Randomised equivalence: fused forms vs the source's joined / window forms
+"""Randomised equivalence: fused forms vs the plain forms
 on small generated inputs with NULL keys, NULL times and ties."""
 
 from decimal import Decimal
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from buyerlens.operators import activity as act
 from buyerlens.operators import orders as ords
-from buyerlens.operators.latest import latest_by, latest_by_window
+import plain_forms as plain
 from buyerlens.params import ProfileParams
 from frames import ACTIVITY_SCHEMA, ORDER_SCHEMA
 from helpers import assert_df_equal
@@ -44,25 +44,23 @@ def _orders(spark, rows):
 @given(st.lists(order_row, min_size=1, max_size=25))
 def test_order_summary_fused_equals_joined(spark, rows):
     o = _orders(spark, rows)
-    assert_df_equal(ords.order_summary(o, P), ords.order_summary_joined(o, P))
+    assert_df_equal(ords.order_summary(o, P), plain.order_summary(o, P))
 
 
 @SETTINGS
 @given(st.lists(order_row, min_size=1, max_size=25))
 def test_latest_by_equals_window(spark, rows):
     o = _orders(spark, rows)
-    keys = ["merchant_num", "platform_open_id"]
-    payload = ["province", "order_id", "pay_at"]
-    for where in (F.col("is_member") == 1, None):
-        assert_df_equal(latest_by(o, keys, ["updated_at", "order_id"], payload, where),
-                        latest_by_window(o, keys, ["updated_at", "order_id"], payload, where))
+    got = ords.latest_member_orders(o).select("merchant_num", F.col("user_id").alias("platform_open_id"), "latest_member_order.*")
+    want = plain.newest(o.where("is_member = 1"), ["merchant_num", "platform_open_id"], ords.MEMBER_ORDER_PAYLOAD)
+    assert_df_equal(got.select(*want.columns), want)
 
 
 @SETTINGS
 @given(st.lists(activity_row, min_size=1, max_size=25))
 def test_activity_summary_fused_equals_joined(spark, rows):
     a = spark.createDataFrame(rows, ACTIVITY_SCHEMA)
-    assert_df_equal(act.activity_summary(a, P), act.activity_summary_joined(a, P))
+    assert_df_equal(act.activity_summary(a, P), plain.activity_summary(a, P))
 
 
 @SETTINGS

@@ -1,5 +1,7 @@
 """The checkpoint folder comes from the session; a scratch one only if unset."""
 
+import pytest
+
 from buyerlens.session import checkpoint_dir
 
 
@@ -12,9 +14,10 @@ class _Conf:
 
 
 class _Context:
-    def __init__(self, current=None):
+    def __init__(self, current=None, master="local[2]"):
         self.current = current
         self.set_to = None
+        self.master = master
 
     def getCheckpointDir(self):
         return self.current
@@ -54,5 +57,10 @@ def test_scratch_folder_only_when_unset():
     assert d and "buyerlens-ckpt-" in d and sc.set_to == d
 
 
+def test_a_cluster_must_name_its_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_Session({}, _Context(master="spark://host:7077")))
+
+
 def test_connect_session_defers_to_server():
     assert checkpoint_dir(_Session({"spark.checkpoint.dir": "/shared/ckpt"})) == "/shared/ckpt"

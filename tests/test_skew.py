@@ -28,7 +28,7 @@ def test_hot_member_key_is_split(spark):
         inp = make_inputs(spark, members=members, orders=orders)
         # As in the profile: the buyer facts are materialized, so both join
         # sides are plain shuffle stages, the pattern AQE's skew split needs.
-        facts = materialize(buyer_facts(inp.orders, p), "buyer_facts")
+        facts = materialize(buyer_facts(inp.orders, p))
         df = members_with_facts(inp.members, facts, inp.city_level)
         assert len(df.collect()) == 60000
         plan = df._jdf.queryExecution().executedPlan().toString()
