@@ -3,7 +3,7 @@
 Plan shape at scale:
 
 * the three per-key aggregates (buyer facts, activity, points) are each one
-  scan + one partial/final aggregate, checkpointed once into the shared
+  scan with partial aggregation, written once as Parquet below the shared
   checkpoint folder;
 * member rows are shuffled once on (merchant_num, user_id) to meet the buyer
   facts (the member ``distinct`` then needs no shuffle of its own) and once
@@ -61,32 +61,28 @@ def hot_member_figures(activity: DataFrame, points: DataFrame) -> DataFrame:
             .join(points.where(F.col("member_id") == 0), on=MEMBER_KEYS, how="full"))
 
 
-def hot_fits_broadcast(activity: DataFrame, points: DataFrame, params: ProfileParams) -> bool:
-    return fits_broadcast(hot_member_figures(activity, points), params.hot_broadcast_max_rows,
-                          params.hot_broadcast_max_bytes)
+def hot_fits_broadcast(hot: DataFrame, params: ProfileParams) -> bool:
+    return fits_broadcast(hot, params.hot_broadcast_max_rows, params.hot_broadcast_max_bytes)
 
 
 def profile_joined(members_side: DataFrame, nonmembers_side: DataFrame, activity: DataFrame,
-                   points: DataFrame, params: ProfileParams, hot_broadcast: bool | None = None) -> DataFrame:
+                   points: DataFrame, params: ProfileParams, hot: DataFrame | None = None) -> DataFrame:
     """J5-J7 + P1: 45 base columns, the order figures and the activity and
     points figures (55 columns).
 
     ``activity`` and ``points`` are the per-(merchant, member) aggregates.
     Members meet them one after the other, so only the member rows are
     shuffled. Non-members meet the ``member_id = 0`` rows (one per tenant) by
-    a broadcast when a size check proves them small (``hot_broadcast`` passes
-    a check already made), so they do not move at all; beyond the bound,
-    through a salted join.
+    a broadcast when a size check proves them small (``hot`` passes rows already
+    made), so they do not move at all; beyond the bound, through a salted join.
     """
     m = (members_side.join(activity, on=MEMBER_KEYS, how="left")
          .join(points, on=MEMBER_KEYS, how="left"))
     if not params.nonmember_figures:
         n = nonmembers_side.select("*", *[F.lit(None).cast(dict(m.dtypes)[c]).alias(c) for c in STAT_COLUMNS])
         return m.select(*JOINED_COLUMNS).unionByName(n.select(*JOINED_COLUMNS))
-    hot = hot_member_figures(activity, points)
-    if hot_broadcast is None:
-        hot_broadcast = hot_fits_broadcast(activity, points, params)
-    if hot_broadcast:
+    hot = hot_member_figures(activity, points) if hot is None else hot
+    if hot_fits_broadcast(hot, params):
         n = nonmembers_side.join(F.broadcast(hot), on=MEMBER_KEYS, how="left")
     else:
         n = salted_left_join(nonmembers_side, hot, MEMBER_KEYS, ["merchant_num", "user_id"], params.salt_buckets)
@@ -127,7 +123,7 @@ def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cas
 
     Guard jobs run next to the work they do not depend on: the city size
     check and the member half of the tenant-text check alongside the three
-    aggregate checkpoints; the hot-key size check and the facts half of the
+    aggregate tables; the ``member_id = 0`` table and the facts half of the
     tenant-text check together afterwards.
     """
     spark = inputs.orders.sparkSession
@@ -145,7 +141,8 @@ def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cas
     if materialize:
         aggregates = {k: done[k] for k in aggregates}
     facts, activity, points = (aggregates[k] for k in ("buyer_facts", "activity_stats", "points_stats"))
-    second: dict = {"hot": lambda: hot_fits_broadcast(activity, points, params)}
+    hot = hot_member_figures(activity, points)
+    second: dict = {"hot": lambda: materialize_one(hot) if materialize else hot} if params.nonmember_figures else {}
     if tenant_check and not done["members_tenants"]:
         second["facts_tenants"] = lambda: non_canonical_tenant_text(facts)
     later = run_concurrently(spark, second)
@@ -153,7 +150,7 @@ def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cas
     members_side = members_with_facts(inputs.members, facts, inputs.city_level, cast_early=cast_early,
                                       city_broadcast=done["city"]).distinct()
     nonmembers_side = nonmembers_with_facts(facts, cast_early=cast_early)
-    joined = profile_joined(members_side, nonmembers_side, activity, points, params, hot_broadcast=later["hot"])
+    joined = profile_joined(members_side, nonmembers_side, activity, points, params, later.get("hot"))
     return joined, ambiguous
 
 

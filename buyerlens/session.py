@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 from typing import TypeVar
 
@@ -72,14 +73,21 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the shared checkpoint folder.
+    """Compute ``df`` once, as a Parquet table below the shared checkpoint folder, and read it back.
 
-    An eager reliable ``checkpoint()``: it cuts the lineage (a lost executor
-    re-reads the checkpoint instead of recomputing from the raw inputs) and
-    lets several consumers share one computation.
+    It cuts the lineage (a lost executor re-reads the table instead of
+    recomputing from the raw inputs) and lets several consumers share one
+    computation, each with its own columns and filters pushed into the scan. A
+    Spark Connect session whose folder is not known here gets a reliable
+    ``checkpoint()``.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    folder = checkpoint_dir(spark)
+    if not folder:
+        return df.checkpoint(eager=True)
+    path = f"{folder}/tables-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def run_concurrently(spark: SparkSession, tasks: dict[str, Callable[[], T]]) -> dict[str, T]:
