@@ -34,3 +34,19 @@ def test_job_cli_tenant_scope(spark):
     merchants = {r.value for r in spark.read.parquet(f"{scratch}/cells").where("qualifier = 'merchant_num'")
                  .select("value").distinct().collect()}
     assert merchants == {"2"}
+
+
+def test_job_cli_takes_own_rules_rowkey_and_families(spark):
+    scratch = tempfile.mkdtemp(prefix="job-test-")
+    args = ["--as-of", "2024-01-30", "--activity-days", "10", "--out", f"{scratch}/cells", "--buy-charact", "cast(7 as int)",
+            "--buy-subdivision", "cast(member_id % 2 as int)", "--family", "nick=names",
+            "--rowkey", "concat(substring(md5(user_id), 1, 8), '|', merchant_num, '|', user_id)"]
+    for name, df in fixture_inputs(spark, SF_SMALL).items():
+        df.write.parquet(f"{scratch}/in/{name}")
+        args += ["--table", f"{name}={scratch}/in/{name}"]
+    main(args)
+    written = spark.read.parquet(f"{scratch}/cells")
+    assert {r.value for r in written.where("qualifier = 'buy_charact'").collect()} == {"7"}
+    assert {r.value for r in written.where("qualifier = 'buy_subdivision'").collect()} == {"0", "1"}
+    assert {r.family for r in written.where("qualifier = 'nick'").collect()} == {"names"}
+    assert written.where("rowkey not rlike '^[0-9a-f]{8}[|]'").count() == 0
