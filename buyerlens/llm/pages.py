@@ -45,12 +45,32 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 TRACKED = (BLOCK | {"span", "button", "select"}) - {"html", "body", "hr"}
 # What a part of a class, id or role says about an element.
-SIGNS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb"
+SIGNS = frozenset("ad ads aside side disclaimer notification notifications feedback discussion advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb"
                   " breadcrumbs sidebar widget widgets footer topbar masthead cookie cookies consent gdpr notice notices alert popup modal overlay"
                   " newsletter subscribe subscription signup login share sharing social related recommended recommendations comment comments"
                   " commentlist respond disqus reply replies copyright pagination pager contentinfo complementary search dialog".split())
 
 
+# What says that it holds the main part, on pages without such an element.
+CONTENT = frozenset("article story entry post".split())
+
+
+def _names(attrs: str, which: tuple[str, ...]) -> set[str]:
+    """The words of an element's class, id, role or the like."""
+    out: set[str] = set()
+    for name, a, b, c in _ATTR.findall(attrs):
+        if name.lower() in which:
+            out |= set(_NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower()))
+    return out
+
+
+def _main(tag: str, attrs: str) -> bool:
+    if tag == "main" or not attrs:
+        return tag == "main"
+    names = _names(attrs, ("class", "id", "role", "itemprop"))
+    return tag in ("div", "section") and bool(names & CONTENT or {"main", "content"} <= names) or _names(attrs, ("role",)) == {"main"}
+
+
 def _sign(tag: str, attrs: str, in_article: bool) -> bool:
     """Whether an element is no part of a main text."""
     if tag in DROPPED or (tag == "header" and not in_article):
@@ -59,15 +79,10 @@ def _sign(tag: str, attrs: str, in_article: bool) -> bool:
         return False
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs):
         return True
-    for name, a, b, c in _ATTR.findall(attrs):
-        name, value = name.lower(), a or b or c
-        if name in ("class", "id", "role"):
-            parts = set(_NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
-            if parts & SIGNS or ("header" in parts and not in_article):
-                return True
-        elif name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+    parts = _names(attrs, ("class", "id", "role"))
+    if parts & SIGNS or ("header" in parts and not in_article):
+        return True
+    return bool(re.search(r"aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none", attrs))
 
 
 def blocks(page: str) -> tuple[list[str], bool]:
@@ -132,7 +147,7 @@ def blocks(page: str) -> tuple[list[str], bool]:
             attrs = m["attrs"] or ""
             out = state[0] or _sign(tag, attrs, state[1] or state[2])
             article = state[1] or (tag == "article" and not out)
-            main = state[2] or (not out and (tag == "main" or bool(re.search(r"role\s*=\s*[\"']?main\b", attrs))))
+            main = state[2] or (not out and _main(tag, attrs))
             if out and not state[0] and tag not in BLOCK:
                 close()
             if not attrs.endswith("/"):
