@@ -51,6 +51,8 @@ from buyerlens.session import run_concurrently
 from buyerlens.sources.tables import Inputs
 
 MEMBER_KEYS = ["merchant_num", "member_id"]
+STAT_TYPES = {"join_num_90": "int", "exchange_time_list": "string", "exchange_num": "bigint", "interactive_num": "bigint",
+              "interactive_time_list": "string", "total_point": "bigint"}
 STAT_COLUMNS = [*ACTIVITY_COLUMNS, *POINTS_COLUMNS]
 JOINED_COLUMNS = [*BASE_COLUMNS, *ORDER_FACT_COLUMNS, *STAT_COLUMNS]
 
@@ -65,6 +67,11 @@ def hot_fits_broadcast(hot: DataFrame, params: ProfileParams) -> bool:
     return fits_broadcast(hot, params.hot_broadcast_max_rows, params.hot_broadcast_max_bytes)
 
 
+def without_figures(side: DataFrame) -> DataFrame:
+    """A side whose activity and points figures are all NULL."""
+    return side.select("*", *[F.lit(None).cast(STAT_TYPES[c]).alias(c) for c in STAT_COLUMNS]).select(*JOINED_COLUMNS)
+
+
 def profile_joined(members_side: DataFrame, nonmembers_side: DataFrame, activity: DataFrame,
                    points: DataFrame, params: ProfileParams, hot: DataFrame | None = None) -> DataFrame:
     """J5-J7 + P1: 45 base columns, the order figures and the activity and
@@ -79,8 +86,7 @@ def profile_joined(members_side: DataFrame, nonmembers_side: DataFrame, activity
     m = (members_side.join(activity, on=MEMBER_KEYS, how="left")
          .join(points, on=MEMBER_KEYS, how="left"))
     if not params.nonmember_figures:
-        n = nonmembers_side.select("*", *[F.lit(None).cast(dict(m.dtypes)[c]).alias(c) for c in STAT_COLUMNS])
-        return m.select(*JOINED_COLUMNS).unionByName(n.select(*JOINED_COLUMNS))
+        return m.select(*JOINED_COLUMNS).unionByName(without_figures(nonmembers_side))
     hot = hot_member_figures(activity, points) if hot is None else hot
     if hot_fits_broadcast(hot, params):
         n = nonmembers_side.join(F.broadcast(hot), on=MEMBER_KEYS, how="left")
@@ -118,8 +124,9 @@ def label_profile(joined: DataFrame, rules: Rules = Rules(), keyed: bool = False
 
 
 def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cast_early: bool,
-                   tenant_check: bool = False) -> tuple[DataFrame, bool]:
+                   tenant_check: bool = False, figures: bool = True) -> tuple[DataFrame, bool]:
     """The joined profile, and whether tenant texts may be ambiguous.
+    Without ``figures`` neither log is read.
 
     Guard jobs run next to the work they do not depend on: the city size
     check and the member half of the tenant-text check alongside the three
@@ -131,7 +138,7 @@ def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cas
         "buyer_facts": buyer_facts(inputs.orders, params),
         "activity_stats": activity_summary(inputs.activity, params).select(*MEMBER_KEYS, *ACTIVITY_COLUMNS),
         "points_stats": points_total(inputs.points),
-    }
+    } if figures else {"buyer_facts": buyer_facts(inputs.orders, params)}
     first: dict = {"city": lambda: city_fits_broadcast(inputs.city_level)}
     if tenant_check:
         first["members_tenants"] = lambda: non_canonical_tenant_text(inputs.members)
@@ -140,9 +147,11 @@ def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cas
     done = run_concurrently(spark, first)
     if materialize:
         aggregates = {k: done[k] for k in aggregates}
-    facts, activity, points = (aggregates[k] for k in ("buyer_facts", "activity_stats", "points_stats"))
-    hot = hot_member_figures(activity, points)
-    second: dict = {"hot": lambda: materialize_one(hot) if materialize else hot} if params.nonmember_figures else {}
+    facts = aggregates["buyer_facts"]
+    second: dict = {}
+    if figures and params.nonmember_figures:
+        hot = hot_member_figures(aggregates["activity_stats"], aggregates["points_stats"])
+        second["hot"] = lambda: materialize_one(hot) if materialize else hot
     if tenant_check and not done["members_tenants"]:
         second["facts_tenants"] = lambda: non_canonical_tenant_text(facts)
     later = run_concurrently(spark, second)
@@ -150,20 +159,24 @@ def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cas
     members_side = members_with_facts(inputs.members, facts, inputs.city_level, cast_early=cast_early,
                                       city_broadcast=done["city"]).distinct()
     nonmembers_side = nonmembers_with_facts(facts, cast_early=cast_early)
-    joined = profile_joined(members_side, nonmembers_side, activity, points, params, later.get("hot"))
+    if not figures:
+        return without_figures(members_side).unionByName(without_figures(nonmembers_side)), ambiguous
+    joined = profile_joined(members_side, nonmembers_side, aggregates["activity_stats"], aggregates["points_stats"], params,
+                            later.get("hot"))
     return joined, ambiguous
 
 
-def joined_profile(inputs: Inputs, params: ProfileParams, materialize: bool = True) -> DataFrame:
+def joined_profile(inputs: Inputs, params: ProfileParams, materialize: bool = True, figures: bool = True) -> DataFrame:
     """Source to the 55-column joined profile (base columns as raw text).
 
     With ``materialize`` the three per-key aggregates are written once under
     the shared checkpoint folder: each input is then scanned and shuffled
     once although two profile sides read the aggregates. Without it the plan
     stays lazy and the aggregates are recomputed per consumer (the buyer
-    facts twice): meant for small inputs and tests.
+    facts twice): meant for small inputs and tests. Without ``figures`` the
+    activity and points figures are NULL and their logs are not read.
     """
-    return _profile_parts(inputs, params, materialize, cast_early=False)[0]
+    return _profile_parts(inputs, params, materialize, cast_early=False, figures=figures)[0]
 
 
 def user_profile(inputs: Inputs, params: ProfileParams, final_distinct: bool | None = None,

@@ -147,8 +147,9 @@ def profile_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prof.joined_profile(inputs(spark, sf_dir), P)
 
 
-def _labelled(spark: SparkSession, sf_dir: str, *cols) -> DataFrame:
-    j = prof.joined_profile(inputs(spark, sf_dir), P)
+def _labelled(spark: SparkSession, sf_dir: str, *cols, figures: bool = False) -> DataFrame:
+    """A label beside its inputs; most need the orders alone."""
+    j = prof.joined_profile(inputs(spark, sf_dir), P, figures=figures)
     return j.select(*LABEL_KEYS, *cols)
 
 
@@ -163,7 +164,7 @@ def label_buy_subdivision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_is_silent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _labelled(spark, sf_dir, "member_id", "join_num_90", labels.is_silent().alias("is_silent"))
+    return _labelled(spark, sf_dir, "member_id", "join_num_90", labels.is_silent().alias("is_silent"), figures=True)
 
 
 def label_pay_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
