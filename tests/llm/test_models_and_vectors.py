@@ -224,6 +224,23 @@ def test_given_embeddings(spark):
     assert {i: got[i][0] for i in ids} == dict(zip(ids, n.tolist()))
 
 
+def border_links(seed, n=2400, dim=64, flat=5):
+    """Vectors that lie near a flat of few dimensions: links go along the directions between centres."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, flat)) @ np.linalg.qr(rng.normal(size=(dim, flat)))[0].T
+    return x / np.linalg.norm(x, axis=1, keepdims=True) + 0.005 * rng.normal(size=(n, dim))
+
+
+def test_links_across_borders_with_production_parameters(spark):
+    x = border_links(6)
+    got = {r.vec_id: (r.n_links, r.kept) for r in flatgraph.dedup(frame(spark, list(enumerate(x.tolist())))).collect()}
+    u = x.astype(np.float32).astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    n = (u @ u.T >= 0.95).sum(1) - 1
+    lost = sum(abs(got[i][0] - k) for i, k in enumerate(n.tolist()))
+    assert lost <= 0.001 * n.sum()
+
+
 # --- pipeline --------------------------------------------------------------
 
 def test_pipeline_stages(spark):
