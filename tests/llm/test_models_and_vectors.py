@@ -241,6 +241,21 @@ def test_links_across_borders_with_production_parameters(spark):
     assert lost <= 0.001 * n.sum()
 
 
+def test_audit_counts_vectors_that_have_links(spark):
+    rng = np.random.default_rng(8)
+    hot = np.eye(32)[0] + 0.01 * rng.normal(size=(400, 32))
+    pairs = np.repeat(rng.normal(size=(300, 32)), 2, axis=0) + 0.01 * rng.normal(size=(600, 32))
+    alone = rng.normal(size=(200, 32))
+    x = np.concatenate([hot, pairs, alone])
+    classes = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "id long, v array<double>, weight long")
+    p = flatgraph.GraphParams()
+    hot_only = spark.createDataFrame([(i, 399, 399, 0) for i in range(400)], flatgraph.STARS)
+    assert flatgraph._recall(classes, hot_only, len(x), 32, p)[0] < 0.1
+    every = hot_only.unionByName(spark.createDataFrame([(i, 1, 1, i - i % 2) for i in range(400, 1000)], flatgraph.STARS))
+    assert flatgraph._recall(classes, every, len(x), 32, p)[0] == 1.0
+    assert flatgraph._recall(classes.where("id >= 1000"), every, 200, 32, p) == (None, 200)
+
+
 # --- pipeline --------------------------------------------------------------
 
 def test_pipeline_stages(spark):
