@@ -51,6 +51,10 @@ SIGNS = frozenset("ad ads aside side disclaimer notification notifications feedb
                   " commentlist respond disqus reply replies copyright pagination pager contentinfo complementary search dialog".split())
 
 
+# Names of lists that can hold articles of others.
+OTHERS = frozenset("comment comments commentlist respond disqus reply replies discussion feedback related recommended recommendations widget widgets".split())
+OTHER, OUT = 1 << 10, 1 << 20  # signs: more than other names, and than all names, can add up to
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())  # whose ids, in an article, name its parts
 # What says that it holds the main part, on pages without such an element.
 CONTENT = frozenset("article story entry post".split())
 
@@ -71,36 +75,42 @@ def _main(tag: str, attrs: str) -> bool:
     return tag in ("div", "section") and bool(names & CONTENT or {"main", "content"} <= names) or _names(attrs, ("role",)) == {"main"}
 
 
-def _sign(tag: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element is no part of a main text."""
+def _sign(tag: str, attrs: str, in_article: bool) -> int:
+    """Whether an element is no part of a main text: OUT with all inside it, OTHER or 1 by its names alone, which a
+    main part inside it can outweigh, or 0."""
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+        return OUT
     if not attrs or tag in ("body", "html", "main"):
-        return False
-    if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs):
-        return True
-    parts = _names(attrs, ("class", "id", "role"))
-    if parts & SIGNS or ("header" in parts and not in_article):
-        return True
-    return bool(re.search(r"aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none", attrs))
+        return 0
+    if re.search(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none", attrs):
+        return OUT
+    named = ("class", "role") if in_article and tag in TITLED else ("class", "id", "role")
+    parts = _names(attrs, named)
+    if tag == "article" and parts & CONTENT:
+        return 0
+    return OTHER if parts & OTHERS else int(bool(parts & SIGNS or ("header" in parts and not in_article)))
 
 
 def blocks(page: str) -> tuple[list[str], bool]:
-    """The page's blocks that markup does not rule out, and whether they are an article's (or main part's)."""
-    found: list[tuple[str, bool, bool]] = []  # text, in an article, in a main part
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, out, article, main
+    """The page's blocks that markup does not rule out, and whether they are an article's (or main part's).
+
+    Articles or main parts stay with as few names against them as the page has; beside one with some, blocks outside
+    it that nothing speaks against stay too.
+    """
+    found: list[tuple[str, int, bool, bool]] = []  # text, signs against it, in an article, in a main part
+    stack: list[tuple[str, int, bool, bool]] = []  # tag, signs, article, main
     parts: list[str] = []
-    state = (False, False, False)
+    state = (0, False, False)
 
     def close() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
-            if text and not state[0]:
-                found.append((text, state[1], state[2]))
+            if text and state[0] < OUT:
+                found.append((text, *state))
             parts.clear()
 
-    def now() -> tuple[bool, bool, bool]:
-        return stack[-1][1:] if stack else (False, False, False)
+    def now() -> tuple[int, bool, bool]:
+        return stack[-1][1:] if stack else (0, False, False)
 
     at = 0
     while True:
@@ -145,19 +155,21 @@ def blocks(page: str) -> tuple[list[str], bool]:
                         break
             state = now()
             attrs = m["attrs"] or ""
-            out = state[0] or _sign(tag, attrs, state[1] or state[2])
-            article = state[1] or (tag == "article" and not out)
-            main = state[2] or (not out and _main(tag, attrs))
-            if out and not state[0] and tag not in BLOCK:
+            sign = _sign(tag, attrs, state[1] or state[2])
+            out = state[0] + sign
+            article = state[1] or (tag == "article" and out < OUT)
+            main = state[2] or (out < OUT and not sign and _main(tag, attrs))
+            if sign and tag not in BLOCK:
                 close()
             if not attrs.endswith("/"):
                 stack.append((tag, out, article, main))
         state = now()
     close()
-    for k in (1, 2):
-        if any(b[k] for b in found):
-            return [b[0] for b in found if b[k]], True
-    return [b[0] for b in found], False
+    signs = [min((b[1] for b in found if b[k]), default=OUT) for k in (2, 3)]
+    k = 2 if signs[0] < OTHER or signs[0] <= signs[1] else 3
+    if (least := signs[k - 2]) < OUT:
+        return [b[0] for b in found if (b[k] and b[1] == least) or (least and not b[1])], True
+    return [b[0] for b in found if not b[1]], False
 
 
 # --- suffixes --------------------------------------------------------------

@@ -107,6 +107,21 @@ def test_blocks_by_markup(spark):
     assert pages.main_text(df.limit(0)).count() == 0
 
 
+SIGNED = [
+    ('<div class="content-sidebar-wrap"><p>menu</p><article><p>body</p></article></div>', "body"),
+    ('<div class="has-sidebar"><main><p>body</p><div class="share">no</div></main><div id="comments"><article>nor</article></div></div>', "body"),
+    ('<article class="post comment-open"><p>body</p></article>', "body"),
+    ('<article><h2 id="discussion">Talk</h2><p>a</p><section id="search">b</section><h3 id="related-work">Work</h3><div class="related">no</div></article>',
+     "Talk\na\nb\nWork"),
+    ('<article>body</article><div class="comments"><article class="comment">no</article></div>', "body"),
+    ('<div><p>body</p></div><div class="related"><article>next</article></div>', "body\nnext"),
+    ('<nav class="x"><article>no</article></nav><p>body</p>', "body")]
+
+
+def test_names_of_wrappers_and_headings_lose_no_article():
+    assert ["\n".join(pages.blocks(h)[0]) for h, _ in SIGNED] == [t for _, t in SIGNED]
+
+
 def test_runs_of_a_host_go_and_copies_stay(spark):
     menu = "home news sport weather travel jobs cars homes about contact"
     rows = [(i, "https://a.example/%d" % i, f"<div>{menu}</div><p>story number {i} tells of {i * 7} things</p><p>{menu} last{i}</p>") for i in range(600)]
