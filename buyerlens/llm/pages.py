@@ -1,19 +1,25 @@
 """Main text of web pages: markup first, then a host's repeated runs of words.
 
-Markup settles most blocks: menus, page headers, footers, sidebars, notices,
-adverts, forms, scripts and reader comments go, and blocks of an article (or
-main part) stay, also where other pages of the host repeat them. A page
-without either leaves its blocks open. For those, the words of a host's pages
-are concatenated, shard by shard, and their suffixes sorted to a fixed depth:
-suffixes that agree to it begin the same long run of words. Runs on enough
-distinct pages of the host, whichever shards hold them, are boilerplate; what
-they do not cover is the text.
+Markup rules out menus, page headers, footers, sidebars, notices, adverts,
+forms, scripts and reader comments, and where a page has an article (or main
+part) all outside it. The words of the blocks that are left are concatenated
+for a host's pages, shard by shard, and their suffixes sorted to a fixed depth:
+suffixes that agree to it begin the same long run of words. A run may go over
+the borders of blocks that it covers whole, and a shorter block is a run by
+itself. Copies are told from boilerplate by their pages: a run counts on pages
+that have a passage of their own, and an article only if enough of it is. Runs
+on enough such pages of the host, whichever shards hold them, are boilerplate
+(an article's blocks need more pages, its headings stay); what they do not
+cover is the text. Runs meet across shards by 64 bits of hash.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
+import pickle
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from buyerlens.llm.base import cut, prepare
+from buyerlens.llm.base import prepare
 
 
 @dataclass(frozen=True)
 class PageParams:
     depth: int = 8  # words of a run, a power of two
-    min_pages: int = 2  # distinct pages that hold a boilerplate run,
-    min_share: float = 0.1  # and this share of the host's pages with open blocks
+    min_pages: int = 2  # distinct pages that hold a boilerplate run
+    article_pages: int = 3  # and one that goes from an article
+    own_share: float = 0.2  # of an article's words that no other page repeats, where it is no copy
     shard_pages: int = 256  # pages of a host whose words are sorted together
 
 
@@ -54,7 +61,8 @@ SIGNS = frozenset("ad ads aside side disclaimer notification notifications feedb
 # Names of lists that can hold articles of others.
 OTHERS = frozenset("comment comments commentlist respond disqus reply replies discussion feedback related recommended recommendations widget widgets".split())
 OTHER, OUT = 1 << 10, 1 << 20  # signs: more than other names, and than all names, can add up to
-TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())  # whose ids, in an article, name its parts
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TITLED = HEADINGS | {"section"}  # whose ids, in an article, name its parts
 # What says that it holds the main part, on pages without such an element.
 CONTENT = frozenset("article story entry post".split())
 
@@ -91,13 +99,13 @@ def _sign(tag: str, attrs: str, in_article: bool) -> int:
     return OTHER if parts & OTHERS else int(bool(parts & SIGNS or ("header" in parts and not in_article)))
 
 
-def blocks(page: str) -> tuple[list[str], bool]:
-    """The page's blocks that markup does not rule out, and whether they are an article's (or main part's).
+def blocks(page: str) -> tuple[list[str], bool, list[bool]]:
+    """The page's blocks that markup does not rule out, whether they are an article's (or main part's), and which are headings.
 
     Articles or main parts stay with as few names against them as the page has; beside one with some, blocks outside
     it that nothing speaks against stay too.
     """
-    found: list[tuple[str, int, bool, bool]] = []  # text, signs against it, in an article, in a main part
+    found: list[tuple[str, int, bool, bool, bool]] = []  # text, signs against it, in an article, in a main part, a heading
     stack: list[tuple[str, int, bool, bool]] = []  # tag, signs, article, main
     parts: list[str] = []
     state = (0, False, False)
@@ -106,7 +114,7 @@ def blocks(page: str) -> tuple[list[str], bool]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text and state[0] < OUT:
-                found.append((text, *state))
+                found.append((text, *state, any(e[0] in HEADINGS for e in stack)))
             parts.clear()
 
     def now() -> tuple[int, bool, bool]:
@@ -168,8 +176,10 @@ def blocks(page: str) -> tuple[list[str], bool]:
     signs = [min((b[1] for b in found if b[k]), default=OUT) for k in (2, 3)]
     k = 2 if signs[0] < OTHER or signs[0] <= signs[1] else 3
     if (least := signs[k - 2]) < OUT:
-        return [b[0] for b in found if (b[k] and b[1] == least) or (least and not b[1])], True
-    return [b[0] for b in found if not b[1]], False
+        kept = [b for b in found if (b[k] and b[1] == least) or (least and not b[1])]
+    else:
+        kept = [b for b in found if not b[1]]
+    return [b[0] for b in kept], least < OUT, [b[4] for b in kept]
 
 
 # --- suffixes --------------------------------------------------------------
@@ -190,69 +200,104 @@ def run_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
 class Shard:
-    """The words of some pages of a host in one stream, and the runs that begin in it."""
+    """The words of some pages of a host in one stream, and the runs in it: ``(start, length, page, hash)``, and
+    whether a run stays inside a block."""
 
-    def __init__(self, pages: list[list[str]], depth: int):
+    def __init__(self, pages: list[tuple[list[str], bool, list[bool]]], depth: int):
+        self.depth, self.n_pages = depth, len(pages)
         self.words: list[str] = []
-        self.page: list[int] = []
-        tokens: list[int] = []
+        page, block, tokens, heading, first, sizes = [], [], [], [], [], []
         ids: dict[str, int] = {}
-        gap = -1
-        self.gaps: list[int] = []
-        for k, page in enumerate(pages):
-            for block in page:
-                for w in block.split(" "):
-                    tokens.append(ids.setdefault(w, len(ids)))
-                    self.words.append(w)
-                    self.page.append(k)
-                tokens.append(gap)
-                gap -= 1
-                self.words.append("")
-                self.page.append(k)
-        self.tokens, self.depth = np.array(tokens, np.int64), depth
-        rank = run_ranks(self.tokens, depth) if len(tokens) else np.zeros(0, np.int64)
-        sep = np.cumsum(self.tokens < 0)
-        n = len(tokens)
-        whole = np.zeros(n, bool)
-        if n >= depth:
-            starts = np.arange(n - depth + 1)
-            whole[:n - depth + 1] = (self.tokens[starts] >= 0) & (sep[starts + depth - 1] == sep[starts])
-        self.starts = np.flatnonzero(whole)
-        self.ranks = rank[self.starts]
-
-    def runs(self) -> list[tuple[str, int]]:
-        """Each distinct run's text and the number of distinct pages that hold it."""
-        page = np.array(self.page, np.int64)[self.starts]
-        pairs = np.unique(np.stack([self.ranks, page], axis=1), axis=0) if len(self.starts) else np.zeros((0, 2), np.int64)
-        ranks, counts = np.unique(pairs[:, 0], return_counts=True)
-        first = dict(zip(self.ranks[::-1].tolist(), self.starts[::-1].tolist()))
-        return [(self.text(first[r]), c) for r, c in zip(ranks.tolist(), counts.tolist())]
-
-    def text(self, start: int) -> str:
-        return " ".join(self.words[start:start + self.depth])
-
-    def unique(self, repeated: set[str], n_pages: int) -> list[str]:
-        """Per page, the blocks without the words that repeated runs cover; a page covered whole is a copy and stays."""
-        covered = np.zeros(len(self.words), bool)
-        for s in self.starts.tolist():
-            if self.text(s) in repeated:
-                covered[s:s + self.depth] = True
-        out: list[list[str]] = [[] for _ in range(n_pages)]
-        full: list[list[str]] = [[] for _ in range(n_pages)]
-        kept: list[str] = []
-        every: list[str] = []
-        for w, k, t, c in zip(self.words, self.page, self.tokens.tolist(), covered.tolist()):
-            if t < 0:
-                full[k].append(" ".join(every))
-                if kept:
-                    out[k].append(" ".join(kept))
-                kept, every = [], []
-            else:
-                every.append(w)
-                if not c:
-                    kept.append(w)
-        return ["\n".join(o or f) for o, f in zip(out, full)]
+        for k, (texts, _, heads) in enumerate(pages):
+            for text, head in zip(texts, heads if texts else []):
+                words = text.split(" ")
+                first.append(len(tokens))
+                sizes.append(len(words))
+                tokens += [ids.setdefault(w, len(ids)) for w in words]
+                self.words += words
+                page += [k] * len(words)
+                block += [len(heading)] * len(words)
+                heading.append(head)
+            tokens.append(-1 - k)
+            self.words.append("")
+            page.append(k)
+            block.append(len(heading))
+            heading.append(False)
+            first.append(len(tokens) - 1)
+            sizes.append(0)
+        self.article = np.array([known for _, known, _ in pages], bool)
+        self.page, self.block, self.heading = np.array(page, np.int64), np.array(block, np.int64), np.array(heading, bool)
+        t, n = np.array(tokens, np.int64), len(tokens)
+        self.real = t >= 0
+        starts = np.arange(max(0, n - depth + 1))
+        gaps = np.cumsum(~self.real)
+        starts = starts[self.real[starts] & (gaps[starts + depth - 1] == gaps[starts])] if n >= depth else starts[:0]
+        rank = run_ranks(t, depth)[starts] if n else starts
+        _, where, same = np.unique(rank, return_index=True, return_inverse=True)
+        of = np.array([_hash(w) for w in ids] + [0], np.uint64)[t]
+        run = np.zeros(len(where), np.uint64)
+        for j in range(depth):
+            run = run * np.uint64(0x9E3779B97F4A7C15) + of[starts[where] + j]
+        first_, sizes_ = np.array(first, np.int64), np.array(sizes, np.int64)
+        short = np.flatnonzero((sizes_ > 0) & (sizes_ < depth))
+        alone = np.array([_hash("\n" + " ".join(self.words[first[i]:first[i] + sizes[i]])) for i in short], np.uint64)
+        self.start = np.r_[starts, first_[short]]
+        self.length = np.r_[np.full(len(starts), depth), sizes_[short]]
+        self.hash = np.r_[run[same], alone].view(np.int64) if len(starts) else alone.view(np.int64)
+        self.inside = self.block[self.start] == self.block[self.start + self.length - 1]
+        self.run_page = self.page[self.start]
+
+    def counts(self, on: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The runs' hashes and the number of distinct pages (of those ``on``) that hold each."""
+        take = slice(None) if on is None else on[self.run_page]
+        hashes, at = np.unique(self.hash[take], return_inverse=True)
+        pairs = np.unique(at * max(1, self.n_pages) + self.run_page[take])
+        return hashes, np.bincount(pairs // max(1, self.n_pages), minlength=len(hashes))
+
+    def covered(self, runs: np.ndarray) -> np.ndarray:
+        """Which words the chosen runs cover: within a block, or with all of the block."""
+        def cover(which: np.ndarray) -> np.ndarray:
+            edge = np.zeros(len(self.words) + 1, np.int64)
+            np.add.at(edge, self.start[which], 1)
+            np.add.at(edge, self.start[which] + self.length[which], -1)
+            return np.cumsum(edge)[:-1] > 0
+
+        bare = np.bincount(self.block, ~cover(runs) & self.real, minlength=len(self.heading))
+        return (cover(runs & self.inside) | (bare == 0)[self.block]) & self.real
+
+    def own(self, repeated: np.ndarray, share: float) -> np.ndarray:
+        """The pages with a passage (a block, or a run's length of words) that no repeated run touches, and of an
+        article's words at least ``share``."""
+        free = self.real & ~self.covered(np.isin(self.hash, repeated))
+        words = np.bincount(self.page, self.real, minlength=self.n_pages)
+        bare = np.bincount(self.page, free, minlength=self.n_pages)
+        size = np.bincount(self.block, self.real, minlength=len(self.heading))
+        whole = (np.bincount(self.block, free, minlength=len(self.heading)) == size)[self.block] & self.real
+        sums = np.r_[0, np.cumsum(free)]
+        long = np.flatnonzero(sums[self.depth:] - sums[:-self.depth] == self.depth) if len(free) >= self.depth else np.zeros(0, np.int64)
+        has = np.bincount(self.page[whole], minlength=self.n_pages) > 0
+        has[self.page[long]] = True
+        return has & (~self.article | (bare >= share * words))
+
+    def texts(self, open_runs: np.ndarray, article_runs: np.ndarray) -> list[str]:
+        """Per page, the blocks without the words that boilerplate covers."""
+        article = self.article[self.run_page]
+        gone = self.covered(np.where(article, np.isin(self.hash, article_runs), np.isin(self.hash, open_runs)))
+        keep = self.real & ~(gone & ~(self.heading[self.block] & self.article[self.page]))
+        out: list[list[str]] = [[] for _ in range(self.n_pages)]
+        last = -1
+        for i in np.flatnonzero(keep).tolist():
+            k, at = self.page[i], self.block[i]
+            if at != last:
+                out[k].append([])
+                last = at
+            out[k][-1].append(self.words[i])
+        return ["\n".join(" ".join(b) for b in blocks_) for blocks_ in out]
 
 
 # --- Spark -----------------------------------------------------------------
@@ -262,21 +307,16 @@ def _objects(values) -> pd.Series:
     return pd.Series([v if isinstance(v, str) else None for v in values], dtype=object)
 
 
-def _parsed(pages: DataFrame, settled: bool, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """The pages that markup settles, with their text, or those it leaves open, with their blocks."""
+def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """The pages and what :func:`blocks` finds in them, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for i, u, h in zip(*(b.column(k).to_pylist() for k in range(3))):
-                found, known = blocks(h or "")
-                if (known or not found) == settled:
-                    rows.append((i, u, "\n".join(found) if settled else None, None if settled else found))
-            cols = list(zip(*rows)) if rows else [()] * 4
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.list_(pa.string())))],
-                                  ["page_id", "url", "text", "open"])
+            rows = [(i, u, zlib.compress(pickle.dumps(blocks(h or "")), 1)) for i, u, h in zip(*(b.column(k).to_pylist() for k in range(3)))]
+            cols = list(zip(*rows)) if rows else [()] * 3
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.binary()))], ["page_id", "url", "blocks"])
 
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return src.mapInArrow(run, "page_id long, url string, text string, open array<string>")
+    return src.mapInArrow(run, "page_id long, url string, blocks binary")
 
 
 def main_text(pages: DataFrame, p: PageParams = PageParams(), id_col: str = "page_id", url_col: str = "url",
@@ -288,36 +328,74 @@ def main_text(pages: DataFrame, p: PageParams = PageParams(), id_col: str = "pag
     pages of their host). Other columns are not read.
     """
     prepare(pages.sparkSession)
-    ready = _parsed(pages, True, id_col, url_col, html_col).select("page_id", "url", "text")
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
-    open_ = cut(_parsed(pages, False, id_col, url_col, html_col).select("page_id", "url", "open", host.alias("host")))
-    rest = _unique_runs(open_, p)
-    return ready.unionByName(rest).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
-
-
-def _unique_runs(open_: DataFrame, p: PageParams) -> DataFrame:
-    hosts = open_.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    need = F.greatest(F.lit(p.min_pages), F.ceil(F.col("n") * p.min_share)).alias("need")
-    sized = hosts.select("host", F.ceil(F.col("n") / p.shard_pages).cast("int").alias("shards"), need)
-    shard = F.pmod(F.xxhash64("page_id", "url", "open"), F.col("shards")).cast("int").alias("shard")
-    dealt = cut(open_.join(sized, "host").select("page_id", "url", "open", "host", "need", shard))
-
-    def runs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        got = Shard([list(x) for x in rows["open"]], p.depth).runs()
-        return pd.DataFrame({"host": _objects([key[0]] * len(got)), "shard": key[1], "need": rows["need"].iloc[0],
-                             "run": _objects(r for r, _ in got), "pages": [c for _, c in got]})
-
-    counted = cut(dealt.select("host", "shard", "need", "open").groupBy("host", "shard")
-                  .applyInPandas(runs, "host string, shard int, need long, run string, pages long"))
-    often = (counted.groupBy("host", "run").agg(F.sum("pages").alias("pages"), F.max("need").alias("need")).where("pages >= need")
-             .select(F.col("host").alias("b_host"), F.col("run").alias("b_run")))
-    back = counted.join(often, (F.col("host") == F.col("b_host")) & (F.col("run") == F.col("b_run"))).select(
-        F.col("host").alias("r_host"), F.col("shard").alias("r_shard"), "run")
-
-    def texts(rows: pd.DataFrame, repeated: pd.DataFrame) -> pd.DataFrame:
-        pages = [list(x) for x in rows["open"]]
-        found = Shard(pages, p.depth).unique(set(repeated["run"]), len(pages))
-        return pd.DataFrame({"page_id": rows["page_id"].to_numpy(), "url": _objects(rows["url"]), "text": _objects(found)})
-
-    return dealt.select("page_id", "url", "open", "host", "shard").groupBy("host", "shard").cogroup(back.groupBy("r_host", "r_shard")).applyInPandas(
-        texts, "page_id long, url string, text string")
+    hosts = pages.select(F.col(url_col).alias("url")).groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("n"))
+    sized = hosts.where(F.col("n") > p.shard_pages).select(F.col("host").alias("s_host"), F.ceil(F.col("n") / p.shard_pages).cast("int").alias("n_shards"))
+    parsed = _parsed(pages, id_col, url_col, html_col).withColumn("host", host)
+    of = parsed.join(sized, F.col("host") == F.col("s_host"), "left").withColumn("shards", F.coalesce("n_shards", F.lit(1)))
+    texts = _unique_runs(of.withColumn("shard", F.pmod(F.xxhash64("page_id", "url", "blocks"), F.col("shards")).cast("int")), p)
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+PARTS = "host string, part int, shard int, hashes binary, pages binary"
+NONE = pd.DataFrame({"host": _objects([]), "part": [], "shard": [], "hashes": [], "pages": []})
+
+
+def _unique_runs(dealt: DataFrame, p: PageParams) -> DataFrame:
+    """The texts. Each step reads the same shuffle of ``dealt``; only hosts of several shards exchange runs."""
+    dealt = dealt.select(F.col("page_id").cast("string").alias("page_id"), "url", "blocks", "host", "shard", "shards")
+    by_shard = lambda: dealt.groupBy("host", "shard")
+
+    def read(rows: pd.DataFrame) -> Shard:
+        return Shard([([], *f[1:]) if f[1] else f for f in map(pickle.loads, map(zlib.decompress, rows["blocks"]))], p.depth)
+
+    def parts(key: tuple, rows: pd.DataFrame, hashes: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+        """The counts of a shard's runs, dealt by hash to the parts of its host."""
+        n = -(-int(rows["shards"].iloc[0]) // 16)
+        part = (hashes.view(np.uint64) % np.uint64(n)).astype(np.int64)
+        cols = list(zip(*((key[0], i, key[1], hashes[part == i].tobytes(), counts[part == i].astype(np.int32).tobytes()) for i in range(n))))
+        return pd.DataFrame({"host": _objects(cols[0]), "part": cols[1], "shard": cols[2], "hashes": cols[3], "pages": cols[4]})
+
+    def known(got: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(b"".join(got["hashes"]), np.int64), np.frombuffer(b"".join(got["pages"]), np.int32)
+
+    def all_runs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return parts(key, rows, *read(rows).counts()) if rows["shards"].iloc[0] > 1 else NONE
+
+    def own_runs(key: tuple, rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or rows["shards"].iloc[0] == 1:
+            return NONE
+        shard, repeated = read(rows), known(got)[0]
+        hashes, counts = shard.counts(shard.own(repeated, p.own_share))
+        some = np.isin(hashes, repeated)
+        return parts(key, rows, hashes[some], counts[some])
+
+    def often(counted: DataFrame) -> DataFrame:
+        """For each shard the runs that stand on enough pages of the host, and on how many."""
+        def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+            each = [(np.frombuffer(h, np.int64), np.frombuffer(c, np.int32)) for h, c in zip(rows["hashes"], rows["pages"])]
+            own = [h for h, _ in each]
+            hashes, at = np.unique(np.concatenate(own), return_inverse=True)
+            total = np.bincount(at, np.concatenate([c for _, c in each]), minlength=len(hashes)).astype(np.int32)
+            kept, total = hashes[total >= p.min_pages], total[total >= p.min_pages]
+            return pd.DataFrame({"host": _objects([key[0]] * len(rows)), "part": key[1], "shard": rows["shard"].to_numpy(),
+                                 "hashes": list(kept[np.isin(kept, h)].tobytes() for h in own),
+                                 "pages": list(total[np.isin(kept, h)].tobytes() for h in own)})
+
+        return (counted.groupBy("host", "part").applyInPandas(run, PARTS)
+                .select(F.col("host").alias("r_host"), F.col("shard").alias("r_shard"), "hashes", "pages").groupBy("r_host", "r_shard"))
+
+    def texts(key: tuple, rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+        shard = read(rows)
+        hashes, counts = known(got)
+        if len(rows) and rows["shards"].iloc[0] == 1:
+            hashes, counts = shard.counts()
+            hashes, counts = shard.counts(shard.own(hashes[counts >= p.min_pages], p.own_share))
+        found = shard.texts(hashes[counts >= p.min_pages], hashes[counts >= p.article_pages])
+        settled = [pickle.loads(zlib.decompress(b)) for b in rows["blocks"]]
+        found = ["\n".join(s[0]) if s[1] else x for s, x in zip(settled, found)]  # markup settles an article
+        return pd.DataFrame({"page_id": _objects(rows["page_id"]), "url": _objects(rows["url"]), "text": _objects(found)})
+
+    boiler = often(by_shard().cogroup(often(by_shard().applyInPandas(all_runs, PARTS))).applyInPandas(own_runs, PARTS))
+    return (by_shard().cogroup(boiler).applyInPandas(texts, "page_id string, url string, text string")
+            .select(F.col("page_id").cast("long").alias("page_id"), "url", "text"))

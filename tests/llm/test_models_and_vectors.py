@@ -134,6 +134,20 @@ def test_runs_of_a_host_go_and_copies_stay(spark):
     assert got[2000] == got[2001] == "one two three four five six seven eight nine"
 
 
+def story(i, n=30):
+    return " ".join(f"w{i}x{j}" for j in range(n))
+
+
+@pytest.mark.parametrize("shard_pages", [16, 256])
+def test_short_blocks_and_rare_runs_go_from_open_pages(spark, shard_pages):
+    rows = [(i, "http://a.example/%d" % i, "<ul><li>home<li>world news<li>sport</ul><p>Share this</p>"
+             + ("<p>this section is made by the readers of the town</p>" if i < 4 else "") + f"<p>{story(i)}</p>") for i in range(60)]
+    rows += [(100, "http://a.example/x", "<ul><li>home<li>world news<li>sport</ul><p>Share this</p>")]
+    got = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"),
+                                                      pages.PageParams(shard_pages=shard_pages)).collect()}
+    assert got == {**{i: story(i) for i in range(60)}, 100: ""}
+
+
 def test_ranks_order_suffixes():
     rng = np.random.default_rng(0)
     t = rng.integers(0, 3, 200)
