@@ -214,7 +214,7 @@ class Shard:
         page, block, tokens, heading, first, sizes = [], [], [], [], [], []
         ids: dict[str, int] = {}
         for k, (texts, _, heads) in enumerate(pages):
-            for text, head in zip(texts, heads if texts else []):
+            for text, head in zip(texts, heads):
                 words = text.split(" ")
                 first.append(len(tokens))
                 sizes.append(len(words))
@@ -347,7 +347,7 @@ def _unique_runs(dealt: DataFrame, p: PageParams) -> DataFrame:
     by_shard = lambda: dealt.groupBy("host", "shard")
 
     def read(rows: pd.DataFrame) -> Shard:
-        return Shard([([], *f[1:]) if f[1] else f for f in map(pickle.loads, map(zlib.decompress, rows["blocks"]))], p.depth)
+        return Shard([pickle.loads(zlib.decompress(b)) for b in rows["blocks"]], p.depth)
 
     def parts(key: tuple, rows: pd.DataFrame, hashes: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
         """The counts of a shard's runs, dealt by hash to the parts of its host."""
@@ -392,8 +392,6 @@ def _unique_runs(dealt: DataFrame, p: PageParams) -> DataFrame:
             hashes, counts = shard.counts()
             hashes, counts = shard.counts(shard.own(hashes[counts >= p.min_pages], p.own_share))
         found = shard.texts(hashes[counts >= p.min_pages], hashes[counts >= p.article_pages])
-        settled = [pickle.loads(zlib.decompress(b)) for b in rows["blocks"]]
-        found = ["\n".join(s[0]) if s[1] else x for s, x in zip(settled, found)]  # markup settles an article
         return pd.DataFrame({"page_id": _objects(rows["page_id"]), "url": _objects(rows["url"]), "text": _objects(found)})
 
     boiler = often(by_shard().cogroup(often(by_shard().applyInPandas(all_runs, PARTS))).applyInPandas(own_runs, PARTS))

@@ -148,6 +148,17 @@ def test_short_blocks_and_rare_runs_go_from_open_pages(spark, shard_pages):
     assert got == {**{i: story(i) for i in range(60)}, 100: ""}
 
 
+@pytest.mark.parametrize("shard_pages", [16, 256])
+def test_boilerplate_within_articles_goes_and_copies_stay(spark, shard_pages):
+    note = "<p>Share this</p><div>This story may be read by all members of the house</div>"
+    rows = [(i, "http://a.example/%d" % i, f"<article><h2>Part one</h2><p>{story(i)}</p>{note}</article>") for i in range(40)]
+    copy = [story(1000, 60).replace(f"x{7 + 3 * k} ", f"y{k} ") for k in range(12)]  # near copies of one another
+    rows += [(100 + k, "http://a.example/c%d" % k, f"<article><p>{c}</p>{note}</article>") for k, c in enumerate(copy)]
+    got = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"),
+                                                      pages.PageParams(shard_pages=shard_pages)).collect()}
+    assert got == {**{i: f"Part one\n{story(i)}" for i in range(40)}, **{100 + k: c for k, c in enumerate(copy)}}
+
+
 def test_ranks_order_suffixes():
     rng = np.random.default_rng(0)
     t = rng.integers(0, 3, 200)
