@@ -1,7 +1,8 @@
 """License scans: exact phrases, and an exact set-similarity join with templates.
 
-A text block (a line; a long one in overlapping windows) meets a template if
-it holds at least ``threshold`` of the template's distinct words. Words are
+A text block (any two spans of consecutive words, whatever lines they stand on;
+a span is the longest template's number of words) meets a template if it holds
+at least ``threshold`` of the template's distinct words. Words are
 ordered by their frequency over all documents, rarest first. A block that
 meets a template of n words shares at least o = ceil(threshold * n) of them,
 so it holds one of the n - o + 1 rarest (prefix filter), has at least o words
@@ -65,15 +66,31 @@ def places(joined: bytes, phrase: bytes) -> list[int]:
 
 
 def blocks(text: bytes, span: int) -> Iterator[list[bytes]]:
-    """The words of each line; of a line longer than two spans, of windows two spans long, one span apart:
-    any ``span`` consecutive words are in one."""
-    for line in text.split(b"\n"):
-        words = words_of(line)
-        if len(words) <= 2 * span:
-            yield words
+    """All windows of two spans of words (the words of a shorter text)."""
+    words = words_of(text)
+    for i in range(max(1, len(words) - 2 * span + 1)):
+        yield words[i:i + 2 * span]
+
+
+def held_ranks(words: list[bytes], span: int, rank: dict[bytes, int], least: int) -> set[tuple[int, ...]]:
+    """The ranks that the :func:`blocks` hold, where at least ``least`` of them: of the windows that begin with a ranked
+    word, those that hold one more than the window before."""
+    at = [(i, rank[w]) for i, w in enumerate(words) if w in rank]
+    held: set[tuple[int, ...]] = set()
+    inside: dict[int, int] = {}
+    end = 0
+    for i, r in at:
+        before = end
+        while end < len(at) and at[end][0] < i + 2 * span:
+            inside[at[end][1]] = inside.get(at[end][1], 0) + 1
+            end += 1
+        if end > before and len(inside) >= least:
+            held.add(tuple(sorted(inside)))
+        if inside[r] == 1:
+            del inside[r]
         else:
-            for i in range(0, len(words) - span, span):
-                yield words[i:i + 2 * span]
+            inside[r] -= 1
+    return held
 
 
 def needed(n: int, threshold: float) -> int:
@@ -126,7 +143,7 @@ def _digest(p: ScanParams, sets: dict[str, list[bytes]], rank: dict[bytes, int])
     """Counts and phrases of each text, and of its blocks the ranks of their template words, rarest first, where a
     block's words can suffice for the smallest template."""
     span = max([len(words_of(t.encode())) for t in p.templates.values()] + [1])
-    least = min([needed(len(w), p.threshold) for w in sets.values()] + [1 << 30])
+    least = {name: needed(len(w), p.threshold) for name, w in sets.items()}
     phrases = {b" ".join(words_of(k.encode())): v for k, v in p.phrases.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,11 +160,10 @@ def _digest(p: ScanParams, sets: dict[str, list[bytes]], rank: dict[bytes, int])
                         at += here
                         base.append(label)
                 held: set[tuple[int, ...]] = set()
-                if len(known & set(words)) >= least:
-                    for block in blocks(t, span):
-                        got = known & set(block)
-                        if len(got) >= least:
-                            held.add(tuple(sorted(rank[w] for w in got)))
+                got = known & set(words)
+                if may := [name for name, w in sets.items() if len(got.intersection(w)) >= least[name]]:
+                    some = {w: rank[w] for name in may for w in sets[name]}
+                    held = held_ranks(words, span, some, min(least[name] for name in may))
                 rows.append((i, len(words), len(at), min(at, default=None), max(at, default=None), sorted(set(base)), sorted(held)))
             cols = list(zip(*rows)) if rows else [()] * 7
             kinds = (*[pa.int64()] * 5, pa.list_(pa.string()), pa.list_(pa.list_(pa.int32())))

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -151,6 +152,30 @@ def test_license_scan_equals_brute_force(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def test_wrapped_notices_equal_the_definition(spark):
+    fill = [f"f{i}" for i in range(300)]
+    wrapped = {k: "\n".join(textwrap.wrap(t, 30)) for k, t in licenses.TEMPLATES.items()}
+    texts = [f"{' '.join(fill[:40])}\n{t}\n\n{' '.join(fill[40:150])}" for t in wrapped.values()]
+    mit = licenses.TEMPLATES["mit-text"].split()
+    for gap in (0, 1, 2, 3):  # words spread over a longer stretch, on one line or many
+        for sep in (" ", "\n"):
+            texts.append(" ".join(fill[:61]) + " " + sep.join(w + "".join(f" g{k}" for k in range(gap if i % 2 else 0)) for i, w in enumerate(mit)) + " end" * 70)
+    span = max(len(re.findall(r"\w+", t.replace("-", " ").replace(".", " "))) for t in licenses.TEMPLATES.values())
+    got = {r.doc_id: r for r in licenses.scan(docs(spark, texts)).collect()}
+    word = lambda t: re.findall(r"[a-z0-9]+", t.lower())
+    for i, t in enumerate(texts):
+        words, want = word(t), {}
+        for label, template in licenses.TEMPLATES.items():
+            of = set(word(template))
+            best = max(len(of & set(words[k:k + 2 * span])) / len(of) for k in range(len(words)))
+            if best >= 0.85:
+                want[label] = best
+        base = set(filter(None, base_row(t)[4].split(",")))
+        assert got[i].labels == ",".join(sorted(set(want) | base)), t
+        assert got[i].score == pytest.approx(1.0 if base else max(want.values(), default=0.0))
+    assert all(label in got[i].labels.split(",") for i, label in enumerate(wrapped))
+
+
 # --- byte BPE --------------------------------------------------------------
 
 @pytest.fixture(scope="module")
