@@ -25,8 +25,9 @@ SECRET_VALUE = r"[A-Za-z0-9+/_=-]{8,}"
 # Each starts with a look at one character, so that a place where it cannot match costs little.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    "secret": rf"(?=[taspTASP])\b{SECRET_NAME}[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?{SECRET_VALUE}|(?=[Asg])\b(?:AKIA[0-9A-Z]{{16}}|sk-[A-Za-z0-9]{{20,64}}"
-              r"|gh[pousr]_[A-Za-z0-9]{20,64})\b|(?=[0-9a-fA-F]{8})\b(?=[a-fA-F]{0,31}[0-9])[0-9a-fA-F]{32,128}\b",
+    "secret": rf"(?=[taspTASP])\b{SECRET_NAME}[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?{SECRET_VALUE}|(?=[Asg])\b(?:AKIA[0-9A-Z]{{16}}\b"
+              r"|sk-(?:(?=[A-Za-z0-9]{20})|(?=[a-z_-]*+[0-9A-Z]))[A-Za-z0-9_-]{20,}+|(?:gh[pousr]|github_pat)_[A-Za-z0-9_-]{20,}+)"
+              r"|(?=[0-9a-fA-F]{8})\b(?=[a-fA-F]*+[0-9])[0-9a-fA-F]{32,}+\b",
     "ip": r"(?=\d)(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "phone": r"(?=\+)(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?=\()(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
              r"|(?=\d)(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
@@ -40,7 +41,7 @@ ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 def _possible(text: Column) -> Column:
     """False only where no pattern can match: each needs a digit, one of these marks, or a form of address and a space."""
-    marks = ["@", "=", ":", "sk-", "gh", "AKIA", *(f"{a}{end}" for a in f"{MALE}|{FEMALE}|Dr".split("|") for end in (" ", ". "))]
+    marks = ["@", "=", ":", "sk-", "gh", "github_pat_", "AKIA", *(f"{a}{end}" for a in f"{MALE}|{FEMALE}|Dr".split("|") for end in (" ", ". "))]
     out = text.rlike("[0-9]")
     for m in marks:
         out = out | text.contains(m)

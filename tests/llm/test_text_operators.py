@@ -326,6 +326,19 @@ def test_surrogates(spark):
     assert pii.with_surrogates(df.limit(0), "k").count() == 0
 
 
+LONG_SECRETS = ["sk-" + "aB3dE" * 20, "sk-proj-" + "Ab1_-" * 12 + "x-", "github_pat_" + "Ab" * 30 + "_x", "ghp_" + "q7R" * 40, "0a1b" * 40,
+                "sk-" + "abcde" * 4]
+
+
+def test_long_and_hyphenated_secrets_go(spark):
+    df = docs(spark, [f"use {s} here" for s in LONG_SECRETS] + ["sk-learn-compatible-estimators-and-more stay"])
+    got = {r.doc_id: r.text for r in pii.with_surrogates(df, "k").collect()}
+    for i, s in enumerate(LONG_SECRETS):
+        assert s not in got[i] and s[-12:] not in got[i] and s[12:24] not in got[i]
+        assert len(got[i]) == len(f"use {s} here") and got[i].startswith("use ") and got[i].endswith(" here")
+    assert got[len(LONG_SECRETS)] == "sk-learn-compatible-estimators-and-more stay"
+
+
 def test_colliding_names_stay_distinct(spark):
     names = [f"Mrs. {a}{b}x" for a in ("Ab", "Cd", "Ef", "Gh", "Ij", "Kl", "Mn", "Op", "Qr", "St") for b in "abcdefghijklmnopqrstuvwxyz"]
     names += [f"{n}y" for n in names]
