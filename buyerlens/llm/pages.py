@@ -252,9 +252,9 @@ class Shard:
         self.inside = self.block[self.start] == self.block[self.start + self.length - 1]
         self.run_page = self.page[self.start]
 
-    def counts(self, on: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The runs' hashes and the number of distinct pages (of those ``on``) that hold each."""
-        take = slice(None) if on is None else on[self.run_page]
+    def counts(self, on: np.ndarray | None = None, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The runs' hashes (of those ``of``) and the number of distinct pages (of those ``on``) that hold each."""
+        take = slice(None) if on is None else on[self.run_page] & np.isin(self.hash, of)
         hashes, at = np.unique(self.hash[take], return_inverse=True)
         pairs = np.unique(at * max(1, self.n_pages) + self.run_page[take])
         return hashes, np.bincount(pairs // max(1, self.n_pages), minlength=len(hashes))
@@ -262,9 +262,8 @@ class Shard:
     def covered(self, runs: np.ndarray) -> np.ndarray:
         """Which words the chosen runs cover: within a block, or with all of the block."""
         def cover(which: np.ndarray) -> np.ndarray:
-            edge = np.zeros(len(self.words) + 1, np.int64)
-            np.add.at(edge, self.start[which], 1)
-            np.add.at(edge, self.start[which] + self.length[which], -1)
+            n = len(self.words) + 1
+            edge = np.bincount(self.start[which], minlength=n) - np.bincount(self.start[which] + self.length[which], minlength=n)
             return np.cumsum(edge)[:-1] > 0
 
         bare = np.bincount(self.block, ~cover(runs) & self.real, minlength=len(self.heading))
@@ -291,8 +290,8 @@ class Shard:
         keep = self.real & ~(gone & ~(self.heading[self.block] & self.article[self.page]))
         out: list[list[str]] = [[] for _ in range(self.n_pages)]
         last = -1
-        for i in np.flatnonzero(keep).tolist():
-            k, at = self.page[i], self.block[i]
+        at_ = np.flatnonzero(keep)
+        for i, k, at in zip(at_.tolist(), self.page[at_].tolist(), self.block[at_].tolist()):
             if at != last:
                 out[k].append([])
                 last = at
@@ -332,7 +331,8 @@ def main_text(pages: DataFrame, p: PageParams = PageParams(), id_col: str = "pag
     hosts = pages.select(F.col(url_col).alias("url")).groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("n"))
     sized = hosts.where(F.col("n") > p.shard_pages).select(F.col("host").alias("s_host"), F.ceil(F.col("n") / p.shard_pages).cast("int").alias("n_shards"))
     parsed = _parsed(pages, id_col, url_col, html_col).withColumn("host", host)
-    of = parsed.join(sized, F.col("host") == F.col("s_host"), "left").withColumn("shards", F.coalesce("n_shards", F.lit(1)))
+    # The broadcast, of hosts of several shards alone, leaves a host's rows to be dealt by shard.
+    of = parsed.join(F.broadcast(sized), F.col("host") == F.col("s_host"), "left").withColumn("shards", F.coalesce("n_shards", F.lit(1)))
     texts = _unique_runs(of.withColumn("shard", F.pmod(F.xxhash64("page_id", "url", "blocks"), F.col("shards")).cast("int")), p)
     return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
@@ -366,9 +366,7 @@ def _unique_runs(dealt: DataFrame, p: PageParams) -> DataFrame:
         if not len(rows) or rows["shards"].iloc[0] == 1:
             return NONE
         shard, repeated = read(rows), known(got)[0]
-        hashes, counts = shard.counts(shard.own(repeated, p.own_share))
-        some = np.isin(hashes, repeated)
-        return parts(key, rows, hashes[some], counts[some])
+        return parts(key, rows, *shard.counts(shard.own(repeated, p.own_share), repeated))
 
     def often(counted: DataFrame) -> DataFrame:
         """For each shard the runs that stand on enough pages of the host, and on how many."""
@@ -390,7 +388,8 @@ def _unique_runs(dealt: DataFrame, p: PageParams) -> DataFrame:
         hashes, counts = known(got)
         if len(rows) and rows["shards"].iloc[0] == 1:
             hashes, counts = shard.counts()
-            hashes, counts = shard.counts(shard.own(hashes[counts >= p.min_pages], p.own_share))
+            repeated = hashes[counts >= p.min_pages]
+            hashes, counts = shard.counts(shard.own(repeated, p.own_share), repeated)
         found = shard.texts(hashes[counts >= p.min_pages], hashes[counts >= p.article_pages])
         return pd.DataFrame({"page_id": _objects(rows["page_id"]), "url": _objects(rows["url"]), "text": _objects(found)})
 
