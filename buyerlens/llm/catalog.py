@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from buyerlens.llm import bytebpe, flatgraph, licenses, packing, pages, pii, quality, simhash, toxicity, vptree
+from buyerlens.llm import bytebpe, filter_audit, flatgraph, licenses, packing, pages, pii, quality, simhash, toxicity, vptree
 from buyerlens.llm.base import table
 from buyerlens.llm.training import held_out
 
@@ -76,6 +76,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_pattern())
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vptree_search": op1_vptree_search,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -87,5 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_filter_audit": filter_audit.ORACLE}
