@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from buyerlens.llm import bytebpe, filter_audit, flatgraph, licenses, packing, pages, pii, quality, simhash, toxicity, vptree
+from buyerlens.llm import (
+    alignment,
+    bytebpe,
+    filter_audit,
+    flatgraph,
+    licenses,
+    packing,
+    pages,
+    pii,
+    quality,
+    quality_rules,
+    simhash,
+    toxicity,
+    vptree,
+)
 from buyerlens.llm.base import table
 from buyerlens.llm.training import held_out
 
@@ -76,6 +90,15 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_pattern())
 
 
+def op11_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.filtered(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_pattern(),
+                             tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -91,6 +114,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_risk_rules": op11_risk_rules,
+    "op12_token_alignment": op12_token_alignment,
     "op13_filter_audit": op13_filter_audit,
 }
-ORACLES: dict[str, str] = {"op13_filter_audit": filter_audit.ORACLE}
+ORACLES: dict[str, str] = {"op11_risk_rules": quality_rules.oracle(), "op13_filter_audit": filter_audit.ORACLE}
