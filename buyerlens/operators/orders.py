@@ -43,12 +43,15 @@ def paid_today(params: ProfileParams) -> Column:
 
 
 def _figures(params: ProfileParams) -> list[Column]:
-    """Aggregates of a buyer's orders: all numbers, so they hash-aggregate. Two pay days have two hashes."""
+    """Aggregates of a buyer's orders: all numbers, so they hash-aggregate. A pay day is its day number; a text in
+    the window that is no date is told from others by its hash."""
     in_win, today = paid_in_window(params), paid_today(params)
-    day = F.when(in_win, F.xxhash64(_pay_day()))
+    date = _pay_day().try_cast("date")
+    is_date = F.coalesce(date.cast("string") == _pay_day(), F.lit(False))
+    day, odd = F.when(in_win & is_date, F.unix_date(date)), F.when(in_win & ~is_date, F.xxhash64(_pay_day()))
     return [F.count_if(in_win).alias("_n_win"), F.count_if(today).alias("_n_today"),
             F.sum(F.when(today, F.col("payment"))).alias("_amount_today"),
-            F.min(day).alias("_low_day"), F.max(day).alias("_high_day")]
+            F.min(day).alias("_low_day"), F.max(day).alias("_high_day"), F.min(odd).alias("_low_odd"), F.max(odd).alias("_high_odd")]
 
 
 def _figure_columns() -> list[Column]:
@@ -56,13 +59,15 @@ def _figure_columns() -> list[Column]:
     keyed = F.col("merchant_num").isNotNull() & F.col("user_id").isNotNull()
     has_win = F.col("_n_win") > 0
     has_today = keyed & (F.col("_n_today") > 0)
+    one_day = (F.col("_low_odd").isNull() & (F.col("_low_day") == F.col("_high_day"))) | (
+        F.col("_low_day").isNull() & (F.col("_low_odd") == F.col("_high_odd")))
     return [
         F.when(has_win, F.col("_n_win")).alias("order_num_360"),
         F.when(has_today, F.col("_n_win") - F.col("_n_today")).alias("history_order_num_360"),
         F.when(has_today, F.col("_n_today")).alias("today_order_num"),
         F.when(has_today, F.col("_amount_today")).alias("today_order_amount"),
         # A4: the highest pay-day rank exceeds 1 iff there are >= 2 pay days.
-        F.when(keyed & has_win, F.when(F.col("_low_day") != F.col("_high_day"), F.lit(2)).otherwise(F.lit(1)))
+        F.when(keyed & has_win, F.when(one_day, F.lit(1)).otherwise(F.lit(2)))
         .cast("int").alias("pay_detail"),
     ]
 

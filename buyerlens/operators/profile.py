@@ -54,6 +54,7 @@ MEMBER_KEYS = ["merchant_num", "member_id"]
 STAT_TYPES = {"join_num_90": "int", "exchange_time_list": "string", "exchange_num": "bigint", "interactive_num": "bigint",
               "interactive_time_list": "string", "total_point": "bigint"}
 STAT_COLUMNS = [*ACTIVITY_COLUMNS, *POINTS_COLUMNS]
+LIST_COLUMNS = ["exchange_time_list", "interactive_time_list"]
 JOINED_COLUMNS = [*BASE_COLUMNS, *ORDER_FACT_COLUMNS, *STAT_COLUMNS]
 
 
@@ -73,7 +74,7 @@ def without_figures(side: DataFrame) -> DataFrame:
 
 
 def profile_joined(members_side: DataFrame, nonmembers_side: DataFrame, activity: DataFrame,
-                   points: DataFrame, params: ProfileParams, hot: DataFrame | None = None) -> DataFrame:
+                   points: DataFrame, params: ProfileParams, hot: DataFrame | None = None, lists_apart: bool = False) -> DataFrame:
     """J5-J7 + P1: 45 base columns, the order figures and the activity and
     points figures (55 columns).
 
@@ -82,12 +83,16 @@ def profile_joined(members_side: DataFrame, nonmembers_side: DataFrame, activity
     shuffled. Non-members meet the ``member_id = 0`` rows (one per tenant) by
     a broadcast when a size check proves them small (``hot`` passes rows already
     made), so they do not move at all; beyond the bound, through a salted join.
+    With ``lists_apart`` non-members get the numbers only: the lists, one text
+    for a whole tenant, are left to whoever renders the rows.
     """
     m = (members_side.join(activity, on=MEMBER_KEYS, how="left")
          .join(points, on=MEMBER_KEYS, how="left"))
     if not params.nonmember_figures:
         return m.select(*JOINED_COLUMNS).unionByName(without_figures(nonmembers_side))
     hot = hot_member_figures(activity, points) if hot is None else hot
+    if lists_apart:
+        hot = hot.withColumns({c: F.lit(None).cast("string") for c in LIST_COLUMNS})
     if hot_fits_broadcast(hot, params):
         n = nonmembers_side.join(F.broadcast(hot), on=MEMBER_KEYS, how="left")
     else:
@@ -105,8 +110,9 @@ class Rules:
     rowkey: Column | None = None
 
 
-def label_profile(joined: DataFrame, rules: Rules = Rules(), keyed: bool = False) -> DataFrame:
-    """P2 + P6 + L1-L5: the 56 output columns with their casts and labels; with ``keyed`` also ``rowkey``."""
+def label_profile(joined: DataFrame, rules: Rules = Rules(), keyed: bool = False, tenant: bool = False) -> DataFrame:
+    """P2 + P6 + L1-L5: the 56 output columns with their casts and labels; with ``keyed`` also ``rowkey``, with
+    ``tenant`` also ``_tenant``, the raw tenant text of the non-member rows."""
     to_int = {c: tolerant_cast(c, "int") for c in (
         "merchant_num", "status", "channel", "member_identity", "point", "total_point", "member_grade",
         "receive_province_code", "receive_city_code", "exchange_num", "interactive_num")}
@@ -120,12 +126,14 @@ def label_profile(joined: DataFrame, rules: Rules = Rules(), keyed: bool = False
         "pay_detail": labels.pay_detail_label(),
     }
     key = [(default_rowkey() if rules.rowkey is None else rules.rowkey).alias("rowkey")] if keyed else []
+    if tenant:
+        key.append(F.when(F.coalesce(F.col("is_member") != 1, F.lit(True)), F.col("merchant_num")).alias("_tenant"))
     return joined.select(*[(exprs[c] if c in exprs else F.col(c)).alias(c) for c in PROFILE_COLUMNS], *key)
 
 
-def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cast_early: bool,
-                   tenant_check: bool = False, figures: bool = True) -> tuple[DataFrame, bool]:
-    """The joined profile, and whether tenant texts may be ambiguous.
+def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cast_early: bool, tenant_check: bool = False,
+                   figures: bool = True, lists_apart: bool = False) -> tuple[DataFrame, bool, DataFrame | None]:
+    """The joined profile, whether tenant texts may be ambiguous, and the ``member_id = 0`` rows.
     Without ``figures`` neither log is read.
 
     Guard jobs run next to the work they do not depend on: the city size
@@ -134,19 +142,18 @@ def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cas
     tenant-text check together afterwards.
     """
     spark = inputs.orders.sparkSession
-    aggregates = {
-        "buyer_facts": buyer_facts(inputs.orders, params),
-        "activity_stats": activity_summary(inputs.activity, params).select(*MEMBER_KEYS, *ACTIVITY_COLUMNS),
-        "points_stats": points_total(inputs.points),
-    } if figures else {"buyer_facts": buyer_facts(inputs.orders, params)}
+    aggregates: dict = {"buyer_facts": lambda: buyer_facts(inputs.orders, params)}
+    if figures:
+        aggregates |= {
+            "activity_stats": lambda: activity_summary(inputs.activity, params).select(*MEMBER_KEYS, *ACTIVITY_COLUMNS),
+            "points_stats": lambda: points_total(inputs.points),
+        }
     first: dict = {"city": lambda: city_fits_broadcast(inputs.city_level)}
     if tenant_check:
         first["members_tenants"] = lambda: non_canonical_tenant_text(inputs.members)
-    if materialize:
-        first.update({k: (lambda v=v: materialize_one(v)) for k, v in aggregates.items()})
+    first.update({k: (lambda v=v: materialize_one(v())) if materialize else v for k, v in aggregates.items()})
     done = run_concurrently(spark, first)
-    if materialize:
-        aggregates = {k: done[k] for k in aggregates}
+    aggregates = {k: done[k] for k in aggregates}
     facts = aggregates["buyer_facts"]
     second: dict = {}
     if figures and params.nonmember_figures:
@@ -160,10 +167,10 @@ def _profile_parts(inputs: Inputs, params: ProfileParams, materialize: bool, cas
                                       city_broadcast=done["city"]).distinct()
     nonmembers_side = nonmembers_with_facts(facts, cast_early=cast_early)
     if not figures:
-        return without_figures(members_side).unionByName(without_figures(nonmembers_side)), ambiguous
+        return without_figures(members_side).unionByName(without_figures(nonmembers_side)), ambiguous, None
     joined = profile_joined(members_side, nonmembers_side, aggregates["activity_stats"], aggregates["points_stats"], params,
-                            later.get("hot"))
-    return joined, ambiguous
+                            later.get("hot"), lists_apart)
+    return joined, ambiguous, later.get("hot")
 
 
 def joined_profile(inputs: Inputs, params: ProfileParams, materialize: bool = True, figures: bool = True) -> DataFrame:
@@ -192,9 +199,22 @@ def user_profile(inputs: Inputs, params: ProfileParams, final_distinct: bool | N
     the ``distinct`` only then. The cell sink passes ``False`` (its step per
     rowkey subsumes it) and ``keyed``, as the rowkey is made of the raw texts.
     """
-    joined, ambiguous = _profile_parts(inputs, params, materialize, cast_early=True,
-                                       tenant_check=final_distinct is None)
+    joined, ambiguous, _ = _profile_parts(inputs, params, materialize, cast_early=True, tenant_check=final_distinct is None)
     out = label_profile(joined, rules, keyed)
     if final_distinct is None:
         final_distinct = ambiguous
     return out.distinct() if final_distinct else out
+
+
+def sink_profile(inputs: Inputs, params: ProfileParams, materialize: bool = True,
+                 rules: Rules = Rules()) -> tuple[DataFrame, DataFrame | None]:
+    """The labelled profile for the cell sink, with ``rowkey``, and the tenants' lists apart.
+
+    The ``member_id = 0`` time lists, one text per tenant, belong to every
+    non-member of the tenant. They stay a table ``(_tenant, *LIST_COLUMNS)`` of
+    one row per tenant; a non-member row carries its ``_tenant`` instead, so
+    what the sink shuffles does not grow with list times non-members.
+    """
+    joined, _, hot = _profile_parts(inputs, params, materialize, cast_early=True, lists_apart=True)
+    lists = None if hot is None else hot.where(F.col("merchant_num").isNotNull()).select(F.col("merchant_num").alias("_tenant"), *LIST_COLUMNS)
+    return label_profile(joined, rules, keyed=True, tenant=lists is not None), lists

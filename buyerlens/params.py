@@ -20,6 +20,8 @@ class ProfileParams:
     through a join salted over ``salt_buckets`` tasks. With
     ``nonmember_figures`` off, non-members have no activity and points figures
     (a choice of meaning: the ``member_id = 0`` lists are no buyer's own).
+    A (merchant, member) key of more than ``list_rows`` log rows builds its
+    time lists day by day, over many tasks.
     """
 
     as_of: str = "2024-01-30"
@@ -31,6 +33,7 @@ class ProfileParams:
     hot_broadcast_max_rows: int = 100_000
     hot_broadcast_max_bytes: int = 64 << 20
     nonmember_figures: bool = True
+    list_rows: int = 2_000_000
     paid_status: tuple[int, ...] = field(default=(3, 4, 5, 6, 101))
 
     def __post_init__(self) -> None:

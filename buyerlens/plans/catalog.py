@@ -24,6 +24,7 @@ from buyerlens.operators.points import points_total
 from buyerlens.params import FIXTURE_PARAMS, ProfileParams
 from buyerlens.schema import BASE_COLUMNS
 from buyerlens.session import checkpoint_dir, materialize
+from buyerlens.sources.cellstore import read_cells, write_cells
 from buyerlens.sources.fixtures import fixture_inputs
 from buyerlens.sources.tables import Inputs, scan_inputs
 
@@ -106,15 +107,20 @@ def pay_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- activity and points ---------------------------------------------------
 
 def exchange_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return act.exchange_stats(inputs(spark, sf_dir).activity)
+    return act.exchange_stats(inputs(spark, sf_dir).activity, P)
 
 
 def recent_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return act.recent_interaction(inputs(spark, sf_dir).activity, P)
 
 
+def recent_interaction_90(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 at its default of 90 days."""
+    return act.recent_interaction(inputs(spark, sf_dir).activity, ProfileParams(as_of=P.as_of))
+
+
 def interaction_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return act.interaction_list(inputs(spark, sf_dir).activity)
+    return act.interaction_list(inputs(spark, sf_dir).activity, P)
 
 
 def activity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,9 +209,18 @@ def cell_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.cell_values(ids, ["row_merchant_num", "row_user_id", "row_is_member"])
 
 
+def cell_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays, maps and structs as JSON, NULLs inside kept or left out, mixed-case names in lower case."""
+    m = inputs(spark, sf_dir).members.distinct()
+    typed = m.select(
+        "user_id", F.array(F.col("member_id"), F.col("sex").cast("bigint")).alias("MixedIds"),
+        F.create_map(F.lit("age"), F.col("age"), F.lit("sex"), F.col("sex")).alias("figureMap"),
+        F.struct(F.col("sex").alias("Sex"), F.col("age").alias("age")).alias("PAIR"), F.col("birthday").alias("Birth_Day"))
+    return cl.cell_values(typed, ["user_id"])
+
+
 def cell_family(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = cl.cells(_sink_profile(spark, sf_dir), P.n_buckets)
-    return c.groupBy("family", "qualifier").agg(F.count(F.lit(1)).alias("n_cells"))
+    return cells(spark, sf_dir).groupBy("family", "qualifier").agg(F.count(F.lit(1)).alias("n_cells"))
 
 
 def cell_rowkey_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,22 +229,34 @@ def cell_rowkey_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.cells(_sink_profile(spark, sf_dir), P.n_buckets)
+    profile, lists = prof.sink_profile(inputs(spark, sf_dir), P)
+    return cl.cells(profile, P.n_buckets, tenant_lists=lists)
+
+
+def cells_at_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8 with a store's own region boundaries: cells and first key of each region."""
+    profile, lists = prof.sink_profile(inputs(spark, sf_dir), P)
+    from buyerlens.plans.oracle import SPLITS
+
+    c = cl.cells(profile, P.n_buckets, splits=SPLITS, tenant_lists=lists)
+    return c.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_cells"), F.min("rowkey").alias("first_key"))
 
 
 def cells_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cells written twice to a shared folder and read back: per bucket their number, the first and
-    last rowkey, and the neighbours within a file that are out of order."""
+    """The cells stored twice and read back from the current version: per family and bucket their
+    number, the first and last rowkey, the files' codec, and the neighbours within a file that are out of order."""
     path = f"{checkpoint_dir(spark)}/cells-{uuid.uuid4().hex}"
     c = cells(spark, sf_dir)
     for _ in range(2):
-        cl.write_cells(c, path)
-    back = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+        write_cells(c, path)
+    back = read_cells(spark, path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
     key = F.struct("rowkey", "family", "qualifier")
     nxt = back.select("file", (F.col("at") - 1).alias("at"), key.alias("next"))
-    pairs = back.select("file", "at", "bucket", "rowkey", key.alias("key")).join(nxt, ["file", "at"], "left")
-    return pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_cells"), F.min("rowkey").alias("first_key"), F.max("rowkey").alias("last_key"),
-                                       F.count_if(F.col("next") <= F.col("key")).alias("out_of_order"))
+    pairs = back.select("file", "at", "family", "bucket", "rowkey", key.alias("key")).join(nxt, ["file", "at"], "left")
+    codec = F.regexp_extract("file", r"\.([a-z0-9]+)\.parquet$", 1)
+    return pairs.groupBy("family", "bucket").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.min("rowkey").alias("first_key"), F.max("rowkey").alias("last_key"),
+        F.max(codec).alias("codec"), F.count_if(F.col("next") <= F.col("key")).alias("out_of_order"))
 
 
 QUERIES: dict[str, Query] = {
@@ -266,4 +293,7 @@ QUERIES: dict[str, Query] = {
     "cell_rowkey_bucket": cell_rowkey_bucket,
     "cells": cells,
     "cells_stored": cells_stored,
+    "cell_rendering": cell_rendering,
+    "cells_at_splits": cells_at_splits,
+    "recent_interaction_90": recent_interaction_90,
 }

@@ -16,23 +16,24 @@ Stages and their shuffles:
 2. profile: member rows meet the buyer facts, then activity and points;
    non-member rows meet the ``member_id = 0`` figures by a size-checked
    broadcast, or beyond the bound by a salted join;
-3. cells: a shuffle by rowkey and one by key range, then unpivot, sort within
-   partitions and a partitioned write, one folder per bucket.
+3. cells: one shuffle by computed key range, a sort of whole rows by key, then
+   unpivot and a write of sorted files per family and bucket, as a new version.
 """
 
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from buyerlens.operators.cells import cells, write_cells
-from buyerlens.operators.profile import Rules, user_profile
+from buyerlens.operators.cells import cells
+from buyerlens.operators.profile import Rules, sink_profile
 from buyerlens.schema import DEFAULT_FAMILIES
 from buyerlens.params import ProfileParams
 from buyerlens.session import configure
+from buyerlens.sources.cellstore import write_cells
 from buyerlens.sources.tables import scan_inputs
 
 INPUT_NAMES = ("member_base_info_day", "user_orders", "hd_join_log", "right_change_log", "city_level")
@@ -44,19 +45,21 @@ def read_table(spark: SparkSession, ref: str) -> DataFrame:
 
 
 def build_cells(raw: Mapping[str, DataFrame], params: ProfileParams, families: Mapping[str, str] | None = None,
-                rules: Rules = Rules()) -> DataFrame:
+                rules: Rules = Rules(), splits: Sequence[str] | None = None) -> DataFrame:
     """The cell DataFrame of one run (lazy except for the aggregate tables)."""
     inputs = scan_inputs(dict(raw), params)
-    profile = user_profile(inputs, params, final_distinct=False, rules=rules, keyed=True)
-    return cells(profile, params.n_buckets, families)
+    profile, lists = sink_profile(inputs, params, rules=rules)
+    return cells(profile, params.n_buckets, families, splits=splits, tenant_lists=lists)
 
 
 def run_job(spark: SparkSession, raw: Mapping[str, DataFrame], params: ProfileParams, out_path: str,
-            families: Mapping[str, str] | None = None, compression: str = "snappy", rules: Rules = Rules()) -> None:
-    """Build and write the cells of one day; a rerun replaces the output. ``rules`` and ``families`` are the
-    user's own labels, rowkey and column families."""
+            families: Mapping[str, str] | None = None, compression: str = "snappy", rules: Rules = Rules(),
+            splits: Sequence[str] | None = None) -> int:
+    """Build the cells of one day and store them as the next version of ``out_path``; a run that fails leaves the
+    former one. ``rules``, ``families`` and ``splits`` are the user's own labels, rowkey, column families and
+    region boundaries."""
     configure(spark)
-    write_cells(build_cells(raw, params, families, rules), out_path, compression)
+    return write_cells(build_cells(raw, params, families, rules, splits), out_path, compression)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -72,6 +75,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--buy-charact", help="SQL expression of the label, over the joined profile")
     ap.add_argument("--buy-subdivision", help="SQL expression of the label")
     ap.add_argument("--rowkey", help="SQL expression; it starts with eight hex digits")
+    ap.add_argument("--split", action="append", help="region boundary (a rowkey); repeated, ascending, instead of --buckets")
     ap.add_argument("--checkpoint-dir", help="shared folder, unless spark.checkpoint.dir names one")
     args = ap.parse_args(argv)
     refs = dict(t.split("=", 1) for t in args.table)
@@ -85,7 +89,8 @@ def main(argv: list[str] | None = None) -> None:
         spark.sparkContext.setCheckpointDir(args.checkpoint_dir)
     rules = Rules(*[F.expr(x) if x else None for x in (args.buy_charact, args.buy_subdivision, args.rowkey)])
     families = {**DEFAULT_FAMILIES, **dict(f.split("=", 1) for f in args.family)}
-    run_job(spark, {n: read_table(spark, refs[n]) for n in INPUT_NAMES}, params, args.out, families, rules=rules)
+    run_job(spark, {n: read_table(spark, refs[n]) for n in INPUT_NAMES}, params, args.out, families, rules=rules,
+            splits=args.split)
 
 
 if __name__ == "__main__":

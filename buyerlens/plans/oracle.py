@@ -196,6 +196,8 @@ def _sink_profile() -> str:
 
 
 LABEL_KEYS = "merchant_num, user_id, is_member"
+# Region boundaries of the query with a store's own.
+SPLITS = ("10000000_", "1fffffff_3_", "80000000_", "80000000_2_", "c0ffee00_")
 # Tenants of the tenant-scoped query (T4).
 SCOPED_TENANTS = ("1", "3")
 
@@ -259,5 +261,21 @@ def oracle_sql() -> dict[str, str]:
         "select merchant_num, user_id, is_member, rowkey, bucket from bucketed"
     out["cells"] = _with(_sink_profile(), _cells_stages()) + "select * from cells"
     out["cells_stored"] = _with(_sink_profile(), _cells_stages()) + (
-        "select bucket, count(*) as n_cells, min(rowkey) as first_key, max(rowkey) as last_key, 0::bigint as out_of_order from cells group by bucket")
+        "select family, bucket, count(*) as n_cells, min(rowkey) as first_key, max(rowkey) as last_key, 'snappy' as codec,"
+        " 0::bigint as out_of_order from cells group by family, bucket")
+    below = " + ".join(f"(rowkey >= {_lit(s)})::integer" for s in SPLITS)
+    out["cells_at_splits"] = _with(_sink_profile(), _cells_stages()) + (
+        f"select {below} as bucket, count(*) as n_cells, min(rowkey) as first_key from cells group by 1")
+    number = "coalesce(cast({} as varchar), 'null')"
+    out["cell_rendering"] = _with() + f"""
+select user_id, qualifier, value from (
+  select distinct user_id, unnest(['mixedids', 'figuremap', 'pair', 'birth_day']) as qualifier,
+    unnest(['[' || {number.format("member_id")} || ',' || {number.format("sex")} || ']',
+            '{{"age":' || {number.format("age")} || ',"sex":' || {number.format("sex")} || '}}',
+            '{{' || concat_ws(',', '"Sex":' || sex, '"age":' || age) || '}}', birthday]) as value
+  from members_today) where value is not null"""
+    wide = ProfileParams(as_of=FIXTURE_PARAMS.as_of)
+    out["recent_interaction_90"] = _with() + f"""
+select merchant_num, member_id, 1 as join_num_90, (count(*) filter (status = 1))::bigint as interactive_num from activity
+where created_at[:10] between '{wide.activity_start}' and '{wide.as_of}' group by merchant_num, member_id"""
     return out

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from buyerlens.functions.scalars import sorted_set_text
 from buyerlens.operators import activity as act
 from buyerlens.operators import orders as ords
 from buyerlens.operators.cells import bucket_of, cell_values, family_of
@@ -41,7 +42,11 @@ def order_summary(orders: DataFrame, p: ProfileParams) -> DataFrame:
 
 
 def activity_summary(activity: DataFrame, p: ProfileParams) -> DataFrame:
-    figures = [act.exchange_stats(activity), act.recent_interaction(activity, p), act.interaction_list(activity)]
+    times = sorted_set_text(F.substring("created_at", 1, 19))
+    exchanges = activity.where("activity_type = 2").groupBy(*act.MEMBER_KEYS).agg(
+        times.alias("exchange_time_list"), F.count_if(F.col("status") == 1).alias("exchange_num"))
+    all_times = activity.groupBy(*act.MEMBER_KEYS).agg(times.alias("interactive_time_list"))
+    figures = [exchanges, act.recent_interaction(activity, p), all_times]
     return attach(activity.select(*act.MEMBER_KEYS).distinct(), figures, act.MEMBER_KEYS).select(*act.SUMMARY_COLUMNS)
 
 

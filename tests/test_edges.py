@@ -228,3 +228,54 @@ def test_filters_reach_the_scan_of_single_queries(spark):
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     assert "In(status" in plan(order_summary(o, P)) and "EqualTo(is_member,1)" in plan(latest_member_orders(o))
     assert "SortAggregate" not in plan(order_summary(o, P))
+
+
+def test_lists_of_hot_keys_equal_those_of_one_task(spark):
+    """A key with half the log, NULL keys and odd times among the rows: by day or in one go, the same lists."""
+    from dataclasses import replace
+
+    from buyerlens.operators.activity import exchange_stats, hot_keys, interaction_list
+
+    rows = [("1", 1, 1 + i % 3, i % 2, f"2024-01-{1 + i % 28:02d} {i % 24:02d}:{i % 60:02d}:00") for i in range(600)]
+    rows += [("1", 10 + i % 40, 1 + i % 3, i % 2, f"2024-01-{1 + i % 28:02d} 08:00:00") for i in range(500)]
+    rows += [(None, 5, 2, 1, "2024-01-05 00:00:00")] * 30 + [("2", None, 2, 1, f"2024-01-05 00:00:{i:02d}") for i in range(40)]
+    rows += [("3", 7, 2, 1, t) for t in (None, "", "2024", "2024-01-05", "2024-01-05 08", "not a time at all", "2024-01-05 08:00:00.123")] * 9
+    rows += [("3", 8, 1, None, None)] * 60 + [("3", 9, None, 1, "2024-01-06 00:00:00")] * 60
+    log = make_inputs(spark, activity=rows).activity.repartition(4)
+    few, many = replace(P, list_rows=20), P
+    assert hot_keys(log, 20).count() == 6
+    for whole, by_day in ((activity_summary(log, many), activity_summary(log, few)),
+                          (exchange_stats(log, many), exchange_stats(log, few)),
+                          (interaction_list(log, many), interaction_list(log, few))):
+        assert sorted(map(repr, whole.collect())) == sorted(map(repr, by_day.collect()))
+    # Too many hot keys for a broadcast: every key goes by day.
+    none = replace(P, list_rows=20, hot_broadcast_max_rows=0)
+    assert sorted(map(repr, activity_summary(log, none).collect())) == sorted(map(repr, activity_summary(log, many).collect()))
+
+
+def test_a_hot_keys_seconds_spread_over_tasks(spark):
+    """With half the log in one key, its (key, day) rows stand in several partitions before they meet."""
+    from buyerlens.operators import activity as act
+
+    rows = [("1", 1, 2, 1, f"2024-01-{1 + i % 28:02d} 00:{i // 60 % 60:02d}:{i % 60:02d}") for i in range(4000)]
+    rows += [("1", 2 + i, 2, 1, "2024-01-01 00:00:00") for i in range(4000)]
+    log = make_inputs(spark, activity=rows).activity
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = act._by_day(log, {}, F.col("created_at"), F.lit(None).cast("string"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(merchant_num") == 3 and "_day" in plan
+        days = log.groupBy("merchant_num", "member_id", F.substring("created_at", 1, 10).alias("d")).count()
+        assert days.where("member_id = 1").select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_pay_days_that_are_no_dates(spark):
+    def of(user, *days):
+        return [order(100 + i, user=user, day=d) for i, d in enumerate(days)]
+
+    orders = (of("a", "2023-05-xx", "2023-05-xx") + of("b", "2023-05-xx", "2023-05-yy") + of("c", "2023-05-xx", "2023-05-06")
+              + of("d", "2023-05-06", "2023-05-06") + of("e", "2023-05-06", "2023-05-07") + of("f", "2023-05-6 ", "2023-05-06"))
+    f = buyer_facts(make_inputs(spark, orders=orders).orders, P)
+    assert {r.user_id: r.pay_detail for r in f.collect()} == {"a": 1, "b": 2, "c": 2, "d": 1, "e": 2, "f": 2}

@@ -5,6 +5,7 @@ import tempfile
 from buyerlens.plans.catalog import QUERIES
 from buyerlens.plans.job import INPUT_NAMES, main
 from buyerlens.sources.fixtures import fixture_inputs
+from buyerlens.sources.cellstore import read_cells
 from conftest import SF_SMALL
 
 
@@ -16,7 +17,7 @@ def test_job_cli_writes_the_cells(spark):
         args += ["--table", f"{name}={scratch}/in/{name}"]
     assert {a.split("=")[0] for a in args if "=" in a} >= set(INPUT_NAMES)
     main(args)
-    written = spark.read.parquet(f"{scratch}/cells")
+    written = read_cells(spark, f"{scratch}/cells")
     expected = QUERIES["cells"](spark, SF_SMALL)
     cols = ["rowkey", "family", "qualifier", "value", "bucket"]
     assert written.select(*cols).exceptAll(expected.select(*cols)).count() == 0
@@ -31,7 +32,7 @@ def test_job_cli_tenant_scope(spark):
         df.write.parquet(f"{scratch}/in/{name}")
         args += ["--table", f"{name}={scratch}/in/{name}"]
     main(args)
-    merchants = {r.value for r in spark.read.parquet(f"{scratch}/cells").where("qualifier = 'merchant_num'")
+    merchants = {r.value for r in read_cells(spark, f"{scratch}/cells").where("qualifier = 'merchant_num'")
                  .select("value").distinct().collect()}
     assert merchants == {"2"}
 
@@ -45,7 +46,7 @@ def test_job_cli_takes_own_rules_rowkey_and_families(spark):
         df.write.parquet(f"{scratch}/in/{name}")
         args += ["--table", f"{name}={scratch}/in/{name}"]
     main(args)
-    written = spark.read.parquet(f"{scratch}/cells")
+    written = read_cells(spark, f"{scratch}/cells")
     assert {r.value for r in written.where("qualifier = 'buy_charact'").collect()} == {"7"}
     assert {r.value for r in written.where("qualifier = 'buy_subdivision'").collect()} == {"0", "1"}
     assert {r.family for r in written.where("qualifier = 'nick'").collect()} == {"names"}

@@ -2,11 +2,12 @@
 
 import re
 import tempfile
+from dataclasses import replace
 
 from buyerlens.operators.activity import activity_summary
 from buyerlens.operators.cells import cells
 from buyerlens.operators.orders import buyer_facts
-from buyerlens.operators.profile import joined_profile, user_profile
+from buyerlens.operators.profile import LIST_COLUMNS, joined_profile, sink_profile, user_profile
 from buyerlens.params import FIXTURE_PARAMS as P
 from buyerlens.plans.catalog import QUERIES, inputs
 from conftest import SF_SMALL
@@ -20,12 +21,14 @@ def _exchanges(df) -> int:
     return len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition", _plan(df)))
 
 
-def test_fused_activity_two_small_shuffles(spark):
+def test_fused_activity_one_shuffle(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        # Per (key, second), then per key: no task holds a hot key's raw rows.
         a = activity_summary(inputs(spark, SF_SMALL).activity, P)
-        assert _exchanges(a) == 2 and "SinglePartition" not in _plan(a)
+        assert _exchanges(a) == 1 and "SinglePartition" not in _plan(a)
+        # With hot keys: per second, per day, per key beside it; no sort of a key's seconds in one task.
+        hot = activity_summary(inputs(spark, SF_SMALL).activity, replace(P, list_rows=3))
+        assert _exchanges(hot) == 4
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
@@ -41,20 +44,28 @@ def test_fused_orders_one_shuffle(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_cells_dedupe_then_range_shuffle(spark):
+def test_cells_one_exchange_no_sampling(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         path = tempfile.mkdtemp(prefix="profile-") + "/p"
         user_profile(inputs(spark, SF_SMALL), P, final_distinct=False, keyed=True).write.parquet(path)
         plan = _plan(cells(spark.read.parquet(path), P.n_buckets))
-        # One hash exchange (per-rowkey step, on the rowkey expression), one range exchange.
-        assert len(re.findall(r"Exchange hashpartitioning\(", plan)) == 1
-        assert len(re.findall(r"Exchange rangepartitioning\(rowkey", plan)) == 1
-        assert _exchanges(cells(spark.read.parquet(path), P.n_buckets)) == 2
+        # By the computed range's own number; one sort, of whole rows below the unpivot.
+        assert re.findall(r"Exchange (\w+)", plan) == ["shufflepartitionidpassthrough"]
+        assert len(re.findall(r"\bSort \[", plan)) == 1 and plan.index("Expand") < plan.index("Sort [")
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_tenant_lists_stay_out_of_the_sinks_rows(spark):
+    """Above the aggregates the non-members' lists are NULL literals until the cells are rendered."""
+    i = inputs(spark, SF_SMALL)
+    profile, lists = sink_profile(i, P)
+    assert lists.where("interactive_time_list is not null").count() >= 0 and lists.columns == ["_tenant", *LIST_COLUMNS]
+    others = profile.where("is_member = 0")
+    assert others.where(" or ".join(f"{c} is not null" for c in LIST_COLUMNS)).count() == 0 and others.count() > 0
+
+
 def test_profile_reads_each_aggregate_input_once(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
