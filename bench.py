@@ -38,13 +38,14 @@ from buyerlens.operators import activity as act  # noqa: E402
 from buyerlens.operators import members as mem  # noqa: E402
 from buyerlens.operators import orders as ords  # noqa: E402
 import plain_forms as plain  # noqa: E402
-from buyerlens.operators.cells import cells, write_cells  # noqa: E402
+from buyerlens.operators.cells import cells  # noqa: E402
 from buyerlens.operators.points import points_total  # noqa: E402
-from buyerlens.operators.profile import user_profile  # noqa: E402
+from buyerlens.operators.profile import sink_profile, user_profile  # noqa: E402
 from buyerlens.params import FIXTURE_PARAMS as P  # noqa: E402
 from buyerlens.plans.job import run_job  # noqa: E402
 from buyerlens.session import build_session  # noqa: E402
 from buyerlens.sources.fixtures import FIXTURE_SQL, fixture_inputs  # noqa: E402
+from buyerlens.sources.cellstore import write_cells  # noqa: E402
 from buyerlens.sources.tables import scan_inputs  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -73,6 +74,10 @@ def headline(spark, raw: dict, scratch: str) -> dict:
     def sink():
         return user_profile(inp(), P, final_distinct=False, keyed=True)
 
+    def our_cells():
+        profile, lists = sink_profile(inp(), P)
+        return cells(profile, P.n_buckets, tenant_lists=lists)
+
     def job():
         run_job(spark, raw, P, tempfile.mkdtemp(prefix="cells-", dir=scratch) + "/cells")
 
@@ -87,11 +92,11 @@ def headline(spark, raw: dict, scratch: str) -> dict:
             inp().members, ords.buyer_facts(inp().orders, P), inp().city_level)),
         "user_profile": lambda: _noop(user_profile(inp(), P)),
         "user_profile_unfused": lambda: _noop(plain.user_profile(inp(), P)),
-        "cells": lambda: _noop(cells(sink(), P.n_buckets)),
+        "cells": lambda: _noop(our_cells()),
         "cells_unfused": lambda: _noop(plain.cells(sink(), P.n_buckets)),
         "job": job,
         "job_unfused": lambda: write_cells(plain.cells(sink(), P.n_buckets).repartitionByRange("bucket", "rowkey"),
-                                           tempfile.mkdtemp(prefix="cells-", dir=scratch) + "/cells"),
+                                           tempfile.mkdtemp(prefix="cells-", dir=scratch) + "/cells", in_order=False),
     }
 
 

@@ -141,21 +141,18 @@ def pay_day_rank(orders: DataFrame, params: ProfileParams) -> DataFrame:
     """``rank()`` of each paid order of the window by pay day, newest first.
 
     Computed without a window over all of a buyer's orders: rank = 1 + number
-    of the buyer's orders on later days. Orders are first counted per
-    (buyer, day) with a map-side combine; the running sum then runs over at
-    most ``order_days`` rows per buyer, and the ranks are joined back on
-    (buyer, day), a many-to-one equi-join that AQE can split when skewed.
-    The order rows are read twice (for the counts and for the join back):
-    the price of never putting all of a buyer's orders in one task.
+    of the buyer's orders on later days. The order rows are read and moved once,
+    by (buyer, day), so a buyer's orders spread over as many tasks as it has
+    days. Their counts come out of the same exchange; the running sum over at
+    most ``order_days`` counts per buyer goes back to the (buyer, day) parts.
     """
     keys = ["merchant_num", "platform_open_id"]
-    rows = orders.where(paid_in_window(params)).select(*keys, "order_id", _pay_day().alias("pay_day"))
-    per_day = rows.groupBy(*keys, "pay_day").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy(F.col("pay_day").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = per_day.select(*keys, "pay_day",
-                           (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).cast("int").alias("rn"))
-    r = ranks.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col("pay_day").alias("_r_day"), "rn")
-    # NULL keys form a group of their own in the reference's window: match them null-safely.
-    cond = [rows[k].eqNullSafe(r[f"_r_{k}"]) for k in keys] + [rows["pay_day"] == r["_r_day"]]
-    return rows.join(r, on=cond, how="inner").select(*keys, "order_id", "pay_day", "rn")
-
+    # As one struct: NULL keys form a group of their own in a window, and equal structs may hold NULLs.
+    rows = (orders.where(paid_in_window(params)).select(F.struct(*keys).alias("_buyer"), "order_id", _pay_day().alias("pay_day"))
+            .repartition("_buyer", "pay_day"))
+    # Counted over the same columns that the join below needs, so that both read one exchange.
+    number = F.count("order_id") + F.count_if(F.col("order_id").isNull())
+    per_day = rows.groupBy("_buyer", "pay_day").agg(number.alias("_n"))
+    w = Window.partitionBy("_buyer").orderBy(F.col("pay_day").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = per_day.select("_buyer", "pay_day", (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).cast("int").alias("rn"))
+    return rows.join(ranks, ["_buyer", "pay_day"]).select("_buyer.*", "order_id", "pay_day", "rn")

@@ -20,13 +20,14 @@ from buyerlens.operators import cells as cl
 from buyerlens.operators import members as mem
 from buyerlens.operators import orders as ords
 from buyerlens.operators import profile as prof
+from buyerlens.operators import rolling as roll
 from buyerlens.operators.points import points_total
 from buyerlens.params import FIXTURE_PARAMS, ProfileParams
 from buyerlens.schema import BASE_COLUMNS
-from buyerlens.session import checkpoint_dir, materialize
+from buyerlens.session import materialize, scratch_dir
 from buyerlens.sources.cellstore import read_cells, write_cells
 from buyerlens.sources.fixtures import fixture_inputs
-from buyerlens.sources.tables import Inputs, scan_inputs
+from buyerlens.sources.tables import Inputs, scan_inputs, scan_members
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,6 +120,28 @@ def recent_interaction_90(spark: SparkSession, sf_dir: str) -> DataFrame:
     return act.recent_interaction(inputs(spark, sf_dir).activity, ProfileParams(as_of=P.as_of))
 
 
+def recent_interaction_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3, A7, A8 as sums of daily partials, after three consecutive daily runs."""
+    from dataclasses import replace
+
+    path = f"{scratch_dir(spark)}/daily-{uuid.uuid4().hex}"
+    a = inputs(spark, sf_dir).activity
+    for as_of in ("2024-01-28", "2024-01-29", P.as_of):
+        roll.advance(a, path, replace(P, as_of=as_of))
+    return roll.recent_interaction(spark, path, P)
+
+
+def member_snapshot_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1, T4 on a table stored by day and tenant: only the day's and the tenants' folders are read."""
+    from dataclasses import replace
+
+    from buyerlens.plans.oracle import SCOPED_TENANTS
+
+    path = f"{scratch_dir(spark)}/members-{uuid.uuid4().hex}"
+    fixture_inputs(spark, sf_dir)["member_base_info_day"].write.partitionBy("day_id", "merchant_num").parquet(path)
+    return scan_members(spark.read.parquet(path), replace(P, tenants=SCOPED_TENANTS))
+
+
 def interaction_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return act.interaction_list(inputs(spark, sf_dir).activity, P)
 
@@ -245,7 +268,7 @@ def cells_at_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cells_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cells stored twice and read back from the current version: per family and bucket their
     number, the first and last rowkey, the files' codec, and the neighbours within a file that are out of order."""
-    path = f"{checkpoint_dir(spark)}/cells-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/cells-{uuid.uuid4().hex}"
     c = cells(spark, sf_dir)
     for _ in range(2):
         write_cells(c, path)
@@ -296,4 +319,6 @@ QUERIES: dict[str, Query] = {
     "cell_rendering": cell_rendering,
     "cells_at_splits": cells_at_splits,
     "recent_interaction_90": recent_interaction_90,
+    "recent_interaction_rolled": recent_interaction_rolled,
+    "member_snapshot_partitioned": member_snapshot_partitioned,
 }

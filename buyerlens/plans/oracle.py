@@ -274,6 +274,8 @@ select user_id, qualifier, value from (
             '{{"age":' || {number.format("age")} || ',"sex":' || {number.format("sex")} || '}}',
             '{{' || concat_ws(',', '"Sex":' || sex, '"age":' || age) || '}}', birthday]) as value
   from members_today) where value is not null"""
+    out["recent_interaction_rolled"] = out["recent_interaction"]
+    out["member_snapshot_partitioned"] = (fixture_ctes() + stages(tenants=SCOPED_TENANTS) + "select * from members_today")
     wide = ProfileParams(as_of=FIXTURE_PARAMS.as_of)
     out["recent_interaction_90"] = _with() + f"""
 select merchant_num, member_id, 1 as join_num_90, (count(*) filter (status = 1))::bigint as interactive_num from activity

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -72,6 +73,34 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return d
 
 
+_SCRATCH: set[str] = set()  # folders that go when this process ends
+
+
+def scratch_dir(spark: SparkSession) -> str | None:
+    """This application's folder for intermediate tables, below the shared checkpoint folder; it is deleted when
+    the driver's process ends. None where the checkpoint folder is not known here."""
+    root = checkpoint_dir(spark)
+    if not root:
+        return None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's application outlives this process
+        return root
+    folder = f"{root}/run-{sc.applicationId}"
+    if folder not in _SCRATCH:
+        _SCRATCH.add(folder)
+        atexit.register(_delete, sc._jvm, sc._jsc.hadoopConfiguration(), folder)
+    return folder
+
+
+def _delete(jvm, hadoop_conf, folder: str) -> None:
+    try:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(hadoop_conf).delete(path, True)
+    except Exception:  # the JVM is gone: the folder's name tells whose it was
+        pass
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, as a Parquet table below the shared checkpoint folder, and read it back.
 
@@ -82,7 +111,7 @@ def materialize(df: DataFrame) -> DataFrame:
     ``checkpoint()``.
     """
     spark = df.sparkSession
-    folder = checkpoint_dir(spark)
+    folder = scratch_dir(spark)
     if not folder:
         return df.checkpoint(eager=True)
     path = f"{folder}/tables-{uuid.uuid4().hex}"

@@ -4,12 +4,16 @@ import re
 import tempfile
 from dataclasses import replace
 
+from pyspark.sql import functions as F
+
 from buyerlens.operators.activity import activity_summary
 from buyerlens.operators.cells import cells
-from buyerlens.operators.orders import buyer_facts
+from buyerlens.operators.orders import buyer_facts, pay_day_rank
 from buyerlens.operators.profile import LIST_COLUMNS, joined_profile, sink_profile, user_profile
 from buyerlens.params import FIXTURE_PARAMS as P
 from buyerlens.plans.catalog import QUERIES, inputs
+from buyerlens.sources.fixtures import fixture_inputs
+from buyerlens.sources.tables import scan_members
 from conftest import SF_SMALL
 
 
@@ -80,3 +84,35 @@ def test_no_python_in_plans(spark):
     for name in ("user_profile", "cells", "pay_day_rank", "activity_summary"):
         plan = _plan(QUERIES[name](spark, SF_SMALL))
         assert "Python" not in plan and "ArrowEval" not in plan, name
+
+
+def test_pay_day_rank_reads_and_moves_the_orders_once(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        path = tempfile.mkdtemp(prefix="orders-") + "/o"
+        inputs(spark, SF_SMALL).orders.write.parquet(path)
+        plan = _plan(pay_day_rank(spark.read.parquet(path), P))
+        assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+        # A buyer's orders are dealt by day too, so no task holds all of a hot buyer's.
+        assert re.search(r"Exchange hashpartitioning\(_buyer#\d+, pay_day", plan)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_snapshots_stored_by_day_and_tenant_are_pruned(spark):
+    path = tempfile.mkdtemp(prefix="members-") + "/m"
+    raw = fixture_inputs(spark, SF_SMALL)["member_base_info_day"]
+    raw.write.partitionBy("day_id", "merchant_num").parquet(path)
+    one = scan_members(spark.read.parquet(path), replace(P, tenants=("1", "3")))
+    plan = _plan(one)
+    (filters,) = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan, re.S)
+    assert "day_id" in filters and "merchant_num" in filters and " IN " in filters
+    folders = {f.split("/m/")[1].rsplit("/", 1)[0] for f in one.select("user_id").inputFiles()}
+    assert folders and all(f.startswith("day_id=") for f in folders)
+    rows = raw.where((F.col("day_id") == P.as_of) & F.col("merchant_num").isin("1", "3"))
+    assert one.count() == rows.count() > 0
+    read = spark.read.parquet(path).where((F.col("day_id") == P.as_of) & F.col("merchant_num").isin("1", "3"))
+    assert {r.f.split("/m/")[1].rsplit("/", 1)[0] for r in read.select(F.col("_metadata.file_path").alias("f")).distinct().collect()} == {
+        f"day_id={P.as_of}/merchant_num={t}" for t in ("1", "3")}

@@ -1,5 +1,7 @@
 """The checkpoint folder comes from the session; a scratch one only if unset."""
 
+import os
+
 import pytest
 
 from buyerlens.session import checkpoint_dir
@@ -64,3 +66,24 @@ def test_a_cluster_must_name_its_folder():
 
 def test_connect_session_defers_to_server():
     assert checkpoint_dir(_Session({"spark.checkpoint.dir": "/shared/ckpt"})) == "/shared/ckpt"
+
+
+def test_intermediate_tables_go_with_the_process():
+    """A driver of its own writes a table and ends: nothing is left below the checkpoint folder but Spark's own."""
+    import glob
+    import subprocess
+    import sys
+    import tempfile
+
+    root = tempfile.mkdtemp(prefix="scratch-")
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from buyerlens.session import build_session, materialize
+spark = build_session("local[1]", 1, extra={{"spark.checkpoint.dir": {root!r}}})
+df = materialize(spark.range(5))
+import glob
+assert df.count() == 5 and glob.glob({root!r} + "/run-*/tables-*")
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120, capture_output=True)
+    assert not glob.glob(root + "/run-*")
