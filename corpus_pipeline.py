@@ -2,7 +2,7 @@
 data is replaced, and what is left is packed into sequences.
 
 Each stage takes ``(spark, docs, sf_dir)``; :func:`run` writes every stage's
-rows as Parquet in a fresh folder below the session's checkpoint folder and
+rows as Parquet in a fresh folder below the application's scratch folder and
 reads them again as the next stage's documents. Null texts are scored as empty
 ones; null ids, repeated rows and extra columns pass as each operator says.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from buyerlens.llm import packing, pii, quality, simhash, toxicity
 from buyerlens.llm.base import table
 from buyerlens.llm.catalog import PII_KEY, tokenizer_path, tokenizer_pattern
-from buyerlens.session import checkpoint_dir
+from buyerlens.session import scratch_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
