@@ -83,7 +83,7 @@ from buyerlens.session import build_session, materialize
 spark = build_session("local[1]", 1, extra={{"spark.checkpoint.dir": {root!r}}})
 df = materialize(spark.range(5))
 import glob
-assert df.count() == 5 and glob.glob({root!r} + "/run-*/tables-*")
+assert df.count() == 5 and glob.glob({root!r} + "/**/tables-*", recursive=True)
 """
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120, capture_output=True)
-    assert not glob.glob(root + "/run-*")
+    assert not glob.glob(root + "/**/run-*", recursive=True)
