@@ -1,12 +1,13 @@
 """Two tokenizers' tokens aligned over the bytes they share.
 
-A text's tokens are the arrays of their end offsets. Where both arrays go on
-alike at the present shift between the indexes, one token answers one token:
-such a stretch is jumped over by probes that double while the slices are equal
-and halve after the first that is not. What is left until the next common end
-is an irregular group, resolved by a local walk, after which the shift is
-another. Equal-offset groups, and every pair of tokens that overlap (links),
-come out of this one pass.
+A text's tokens are the arrays of their end offsets, kept as increments: ahead
+of a common end, equal ends are equal increments. Where both arrays go on alike
+at the present shift between the indexes, one token answers one token: such a
+stretch is jumped over by probes that double while the slices are equal and
+halve after the first that is not. What is left until the next common end is an
+irregular group, resolved by a local walk, after which the shift is another.
+Equal-offset groups, and every pair of tokens that overlap (links), come out of
+this one pass.
 
 How often an id pair is linked is a count over the whole corpus. A task keeps
 its texts in blocks (a bounded number of links each, as places in the block's
@@ -17,18 +18,20 @@ up, and a block meets its own lookups again.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from operator import add
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from buyerlens.llm.base import prepare
-from buyerlens.llm.bytebpe import Decoder, encoder, tokenizer_file
+from buyerlens.llm.bytebpe import Decoder, rank_encoder, segments, tokenizer_file
 from buyerlens.session import materialize
 
 SPACE_MARK = "▁"
@@ -36,102 +39,142 @@ SPACE_MARK = "▁"
 
 @dataclass(frozen=True)
 class AlignParams:
-    block_links: int = 1 << 20  # a block is closed once it has so many links
+    block_links: int = 1 << 18  # a block is closed once it has so many links
     block_docs: int = 1 << 16  # or so many rows
 
 
-Run = tuple[int, int, int, int]  # A tokens [i, k), B tokens [j, l): a group, or as many groups as tokens where they answer one to one
+CACHE = 150_000  # segments whose ids a process keeps
+Run = tuple[int, int, int, int]  # A tokens [i, k), B tokens [j, m): a group, or as many groups as tokens where they answer one to one
 
 
-def runs(a: list[int], b: list[int]) -> Iterator[tuple[bool, Run]]:
-    """Groups of two ascending arrays of ends with the same last one: ``(one_to_one, (i, k, j, l))``."""
+def runs(a: Sequence[int], b: Sequence[int]) -> Iterator[tuple[Run, list[bool] | None]]:
+    """Groups of two token sequences of the same bytes, given the tokens' lengths (none is empty).
+
+    ``(run, None)`` is a stretch that answers one to one; ``(run, steps)`` one
+    irregular group: a step to each further overlapping pair, True where the A
+    token ends first.
+    """
     i = j = 0
-    while i < len(a):
-        n, step = 0, 1
-        while i + n < len(a) and a[i + n:i + n + step] == b[j + n:j + n + step]:
+    end = len(a)
+    while i < end:
+        n, step = 0, 4
+        while i + n < end and a[i + n:i + n + step] == b[j + n:j + n + step]:
             n += step
             step *= 2
-        while step > 1 and i + n < len(a):
+        while step > 1 and i + n < end:
             step //= 2
             if a[i + n:i + n + step] == b[j + n:j + n + step]:
                 n += step
         if n:
-            n = min(n, len(a) - i)
-            yield True, (i, i + n, j, j + n)
+            n = min(n, end - i)
+            yield (i, i + n, j, j + n), None
             i, j = i + n, j + n
-        if i < len(a):
-            k, m = i, j
-            while a[k] != b[m]:
-                if a[k] < b[m]:
+        if i < end:
+            k, m, x, y = i, j, a[i], b[j]
+            steps = []
+            while x != y:
+                if x < y:
                     k += 1
+                    x += a[k]
+                    steps.append(True)
                 else:
                     m += 1
-            yield k == i and m == j, (i, k + 1, j, m + 1)
+                    y += b[m]
+                    steps.append(False)
+            yield (i, k + 1, j, m + 1), steps
             i, j = k + 1, m + 1
 
 
-def local_links(a: list[int], b: list[int], run: Run) -> list[tuple[int, int]]:
-    """The overlapping tokens of an irregular group, as index pairs."""
-    i, k, j, m = run
-    out = [(i, j)]
-    while i + 1 < k or j + 1 < m:
-        if a[i] < b[j]:
-            i += 1
-        else:
-            j += 1
-        out.append((i, j))
-    return out
+def links(n: int, inner: list[int], by_a: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+    """The A and the B index of each of ``n`` links in order. From one to the next both tokens change, but at the
+    places ``inner`` to a group, where one alone does (``by_a``: the A token)."""
+    steps = np.ones((2, n), np.int64)
+    steps[:, :1] = 0
+    steps[np.where(by_a, 1, 0) if inner else [], inner] = 0
+    return tuple(steps.cumsum(1))
 
 
 class Aligner:
-    """Ids of both tokenizers and their alignment, for whole texts."""
+    """Ids of both tokenizers and their alignment, for whole texts.
+
+    No piece of B has a space behind another character, so what a single space
+    between visible characters parts is never joined: B's ids of a text are
+    those of its segments, and each distinct segment is encoded once.
+    """
 
     def __init__(self, a_path: str, pattern: str, b_path: str):
         import sentencepiece
 
-        self.a = encoder(a_path, pattern, False)
+        self.a = rank_encoder(a_path, pattern)
         self.a_bytes = Decoder(tokenizer_file(a_path)).table
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_size = self.b.get_piece_size()
-        self.b_bytes = [piece_bytes(self.b.id_to_piece(x), self.b.is_byte(x)) for x in range(self.b_size)]
-        self.a_len, self.b_len = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
-        self.names = [str(x) for x in range(max(len(self.a_bytes), self.b_size))]
-        self.b_names = ["|" + x for x in self.names]
+        pieces = [self.b.id_to_piece(x) for x in range(self.b_size)]
+        sample = "ﬁ ½  x\t Å "
+        if any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces) or self.b.normalize(sample) != (" " + sample).replace(" ", SPACE_MARK):
+            raise ValueError("a piece reaches over a space, or texts are normalised: they cannot be cut at spaces")
+        self.b_bytes = [piece_bytes(p, self.b.is_byte(x)) for x, p in enumerate(pieces)]
+        lengths = [np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes)]
+        if max(x.max() for x in lengths) > 255:
+            raise ValueError("a token of more than 255 bytes")
+        self.a_len, self.b_len = (x.astype(np.uint8) for x in lengths)
+        self.names = np.array([str(x) for x in range(max(len(self.a_bytes), self.b_size))], object)
+        self.b_names = np.array(["|" + x for x in self.names], object)
+        self.known: list[dict[str, bytes | None]] = [{}, {}]  # segments of late, and of the time before
+
+    def _learn(self, parts: list[list[str]]) -> dict[str, bytes | None]:
+        """B's ids of every segment, as bytes; None where they do not spell it."""
+        if len(self.known[0]) > CACHE:
+            self.known = [{}, self.known[0]]
+        seen, before = self.known
+        fresh = []
+        for x in set().union(*parts):
+            if x not in seen:
+                if x in before:
+                    seen[x] = before[x]
+                else:
+                    fresh.append(x)
+        spelling = self.b_bytes.__getitem__
+        for x, ids in zip(fresh, self.b.encode(fresh, num_threads=1)):
+            seen[x] = array("I", ids).tobytes() if b"".join(map(spelling, ids)) == b" " + x.encode() else None
+        return seen
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[list[int], list[int]]]:
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of ``" " + text`` and of the text; none where either's bytes are not those of ``" " + text``."""
         texts = [t or "" for t in texts]
-        first = self.a.encode([" " + t for t in texts])
-        second = self.b.encode(texts, num_threads=1)
-        for t, x, b in zip(texts, first, second):
-            raw, a = b" " + t.encode(), np.frombuffer(x, "<u4").tolist()
-            same = t and raw == b"".join(map(self.a_bytes.__getitem__, a)) == b"".join(map(self.b_bytes.__getitem__, b))
-            yield (a, b) if same else ([], [])
-
-    def ends(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-        return self.a_len[a].cumsum().tolist(), self.b_len[b].cumsum().tolist()
-
-    def aligned(self, a: list[int], b: list[int]) -> tuple[int, str, list[int], list[int]]:
-        """Number of groups, their text, and the A and B ids of all links."""
-        if not a:
-            return 0, "", [], []
-        a_ends, b_ends = self.ends(a, b)
-        a_names, b_names = [self.names[x] for x in a], [self.b_names[x] for x in b]
-        n, parts, left, right = 0, [], [], []
-        for single, run in runs(a_ends, b_ends):
-            i, k, j, m = run
-            if single:
+        parts = [segments(t) for t in texts]
+        known = self._learn(parts)
+        none = np.zeros(0, "<u4")
+        for t, p in zip(texts, parts):
+            b = [known[x] for x in p]
+            if not b or None in b:
+                yield none, none
+                continue
+            a, b = self.a.encode(" " + t, max(map(len, p)) >= self.a.RUN), np.frombuffer(b"".join(b), "<u4")
+            # Byte-level tokens spell whatever they are cut from; B's spell each segment, so the bytes are the same.
+            yield (a, b) if self.a_len[a].sum(dtype=np.int64) == self.b_len[b].sum(dtype=np.int64) else (none, none)
+
+    def runs(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[Run, list[bool] | None]]:
+        return runs(self.a_len[a].tobytes(), self.b_len[b].tobytes())
+
+    def aligned(self, a: np.ndarray, b: np.ndarray) -> tuple[int, str, np.ndarray]:
+        """Number of groups, their text, and the code of every link (A id times B's size plus B id)."""
+        a_names, b_names = self.names[a].tolist(), self.b_names[b].tolist()
+        n = n_links = 0
+        parts, inner, by_a = [], [], []
+        for (i, k, j, m), steps in self.runs(a, b):
+            if steps is None:
                 n += k - i
-                left += a[i:k]
-                right += b[j:m]
+                n_links += k - i
                 parts += map(add, a_names[i:k], b_names[j:m])
             else:
                 n += 1
-                for x, y in local_links(a_ends, b_ends, run):
-                    left.append(a[x])
-                    right.append(b[y])
-                parts.append(",".join(a_names[i:k]) + "|" + ",".join([self.names[y] for y in b[j:m]]))
-        return n, ";".join(parts), left, right
+                inner += range(n_links + 1, n_links + 1 + len(steps))
+                by_a += steps
+                n_links += 1 + len(steps)
+                parts.append(",".join(a_names[i:k]) + b_names[j] + "".join(["," + y[1:] for y in b_names[j + 1:m]]))
+        x, y = links(n_links, inner, by_a)
+        return n, ";".join(parts), a[x].astype(np.int64) * self.b_size + b[y]
 
 
 def piece_bytes(piece: str, is_byte: bool) -> bytes:
@@ -157,7 +200,12 @@ def blocks(docs: DataFrame, a_path: str, pattern: str, b_path: str, p: AlignPara
     """The aligned texts in blocks: per text its figures, per block its distinct id pairs (A id times
     B's size plus B id), how many links each has, and every link's place among them."""
     def block(number: int, rows: list[tuple], codes: list[np.ndarray]) -> pa.RecordBatch:
-        pairs, places, times = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
+        places, pairs = pd.factorize(np.concatenate(codes))
+        order = np.argsort(pairs)
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        places, pairs = rank[places], pairs[order]
+        times = np.bincount(places, minlength=len(pairs))
         ids, *figures, sha = zip(*rows)
         longs, lists = pa.int64(), pa.list_(pa.int64())
         return pa.record_batch([
@@ -173,10 +221,10 @@ def blocks(docs: DataFrame, a_path: str, pattern: str, b_path: str, p: AlignPara
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for i, (a, b) in zip(ids, al.encode(batch.column(1).to_pylist())):
-                n, text, left, right = al.aligned(a, b)
-                rows.append((i, len(a), len(b), n, len(left), hashlib.sha256(text.encode()).hexdigest() if text else ""))
-                codes.append(np.array(left, np.int64) * al.b_size + np.array(right, np.int64))
-                links += len(left)
+                n, text, code = al.aligned(a, b)
+                rows.append((i, len(a), len(b), n, len(code), hashlib.sha256(text.encode()).hexdigest() if text else ""))
+                codes.append(code)
+                links += len(code)
                 if links >= p.block_links or len(rows) >= p.block_docs:
                     yield block(number, rows, codes)
                     rows, codes, links, number = [], [], 0, number + 1
@@ -242,13 +290,13 @@ def alignments(docs: DataFrame, a_path: str, pattern: str, b_path: str, id_col:
         ints = pa.list_(pa.int32())
         for batch in batches:
             for i, (a, b) in zip(batch.column(0).to_pylist(), al.encode(batch.column(1).to_pylist())):
-                ends = al.ends(a, b) if a else ([], [])
+                ends = [0, *al.a_len[a].cumsum(dtype=np.int64).tolist()]
                 rows = []
-                for single, (x, k, y, m) in runs(*ends):
-                    rows += [(x + s, x + s + 1, y + s, y + s + 1) for s in range(k - x)] if single else [(x, k, y, m)]
+                for (x, k, y, m), steps in al.runs(a, b):
+                    rows += [(x, k, y, m)] if steps else [(x + s, x + s + 1, y + s, y + s + 1) for s in range(k - x)]
                 yield pa.record_batch([
-                    pa.array([i] * len(rows), pa.int64()), pa.array([ends[0][x - 1] if x else 0 for x, *_ in rows], pa.int64()),
-                    pa.array([ends[0][k - 1] for _, k, *_ in rows], pa.int64()), pa.array([a[x:k] for x, k, *_ in rows], ints),
+                    pa.array([i] * len(rows), pa.int64()), pa.array([ends[x] for x, *_ in rows], pa.int64()),
+                    pa.array([ends[k] for _, k, *_ in rows], pa.int64()), pa.array([a[x:k] for x, k, *_ in rows], ints),
                     pa.array([b[y:m] for *_, y, m in rows], ints)], ["id", "start", "end", "a_ids", "b_ids"])
 
     prepare(docs.sparkSession)

@@ -29,30 +29,39 @@ def brute_groups(a, b):
     return out
 
 
+def lengths(ends):
+    return bytes(y - x for x, y in zip([0, *ends], ends))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.sets(st.integers(1, 120)), st.sets(st.integers(1, 120)), st.booleans())
 def test_runs_are_the_groups_between_common_ends(a, b, alike):
     a, b = sorted(a | {121}), sorted((a ^ {x for x in b if x % 9 == 0} if alike else b) | {121})
-    got, links = [], set()
-    for single, (i, k, j, m) in alignment.runs(a, b):
-        if single:
+    got, links, inner, by_a, n = [], set(), [], [], 0
+    for (i, k, j, m), steps in alignment.runs(lengths(a), lengths(b)):
+        if steps is None:
             assert k - i == m - j
             got += [(i + s, i + s + 1, j + s, j + s + 1) for s in range(k - i)]
-            links |= {(i + s, j + s) for s in range(k - i)}
+            n += k - i
         else:
             got.append((i, k, j, m))
-            links |= set(alignment.local_links(a, b, (i, k, j, m)))
+            inner += range(n + 1, n + 1 + len(steps))
+            by_a += steps
+            n += 1 + len(steps)
+    links = list(zip(*(x.tolist() for x in alignment.links(n, inner, by_a))))
+    assert len(links) == len(set(links))
     assert got == brute_groups(a, b)
     starts = [[0, *x[:-1]] for x in (a, b)]
-    assert links == {(x, y) for x in range(len(a)) for y in range(len(b)) if max(starts[0][x], starts[1][y]) < min(a[x], b[y])}
+    assert set(links) == {(x, y) for x in range(len(a)) for y in range(len(b)) if max(starts[0][x], starts[1][y]) < min(a[x], b[y])}
 
 
 def test_long_stretches_and_no_tokens():
-    a = list(range(1, 5001))
-    assert list(alignment.runs(a, a)) == [(True, (0, 5000, 0, 5000))]
+    a = [1] * 5000
+    assert list(alignment.runs(a, a)) == [((0, 5000, 0, 5000), None)]
     assert list(alignment.runs([], [])) == []
-    b = [x for x in a if x != 2500]
-    assert list(alignment.runs(a, b)) == [(True, (0, 2499, 0, 2499)), (False, (2499, 2501, 2499, 2500)), (True, (2501, 5000, 2500, 4999))]
+    b = [1] * 2499 + [2] + [1] * 2499
+    assert list(alignment.runs(a, b)) == [((0, 2499, 0, 2499), None), ((2499, 2501, 2499, 2500), [True]),
+                                          ((2501, 5000, 2500, 4999), None)]
 
 
 @pytest.fixture(scope="module")
@@ -110,6 +119,24 @@ def test_odd_texts_equal_brute_force(spark, plain, p):
     assert got == brute(ODD, plain)
 
 
+def test_rank_encoder_equals_the_library(plain):
+    from buyerlens.llm.bytebpe import rank_encoder
+
+    tok = Tokenizer.from_file(ARGS[0])
+    tok.encode_special_tokens = True
+    enc = rank_encoder(*ARGS[:2])
+    for t in [x or "" for x in ODD] + ["z" * 5000 + " end", " " * 4000 + "x", "12345678 " * 30, "\r\n\t\u2028 a\u0301"]:
+        assert enc.encode(t).tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=40))
+def test_any_text_is_encoded_as_by_the_libraries(plain, text):
+    al = alignment.aligner(*ARGS)
+    ((a, b),) = al.encode([text])
+    assert (a.tolist(), b.tolist()) == plain(text)[:2]
+
+
 def test_empty_table(spark):
     assert digests(spark, ["a"]).limit(0).count() == 0
     docs = spark.createDataFrame([], "doc_id long, text string")
@@ -138,3 +165,12 @@ def test_query_rows_and_spans(spark):
     one = spark.createDataFrame([(1, "The Straßenbahn stopped.")], "doc_id long, text string")
     spans = alignment.alignments(one, *ARGS).orderBy("start").collect()
     assert [s.start for s in spans] == [0, *[s.end for s in spans[:-1]]] and spans[-1].end == len(" The Straßenbahn stopped.".encode())
+
+
+def test_long_runs_are_told():
+    from buyerlens.llm.bytebpe import rank_encoder
+
+    enc = rank_encoder(*ARGS[:2])
+    n = enc.RUN
+    assert all(enc._long(t) for t in ("z" * n, "a " + "z" * n + " b", " " * n, "a" + "\n" * n + "b", "a " * 50 + " \t" * n))
+    assert not any(enc._long(t) for t in ("", "a " * 5000, "z" * (n - 1), " " * (n - 3)))
