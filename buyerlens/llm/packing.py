@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from buyerlens.llm.base import cut, prepare, salt_of
-from buyerlens.llm.bytebpe import encoder
+from buyerlens.llm.base import cut, prepare
+from buyerlens.llm.bytebpe import rank_encoder
 
 PIECES = "id long, piece int, start long, length long, ids_crc32 long"
 
@@ -27,7 +27,8 @@ PIECES = "id long, piece int, start long, length long, ids_crc32 long"
 class PackParams:
     size: int = 1024  # tokens of a sequence
     end_id: int = 2  # closes a document
-    salts: int = 64  # parts that a length's pieces are ranked in
+    part_rows: int = 200_000  # pieces of one length that are ranked in one task
+    slot_ranks: int = 4_096  # ranks of a length that share their slots
 
 
 @dataclass(frozen=True)
@@ -52,12 +53,12 @@ def pieces(docs: DataFrame, tokenizer: str, pattern: str, p: PackParams = PackPa
            text_col: str = "text") -> DataFrame:
     """``(id_col, piece, start, length, ids_crc32)``: every document's ids and the end id, cut. A null text has the end id alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, pattern, False)
+        enc = rank_encoder(tokenizer, pattern)
         end = p.end_id.to_bytes(4, "little")
         for b in batches:
             rows = []
-            for i, ids in zip(b.column(0).to_pylist(), enc.encode([t or "" for t in b.column(1).to_pylist()])):
-                ids += end
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                ids = (enc.encode(t).tobytes() if t else b"") + end
                 rows += [(i, k, s, n, zlib.crc32(ids[4 * s:4 * (s + n)])) for k, (s, n) in enumerate(cuts(len(ids) // 4, p.size))]
             cols = list(zip(*rows)) if rows else [()] * 5
             yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
@@ -122,31 +123,40 @@ def plan(counts: dict[int, int], size: int) -> tuple[list[Slot], int]:
 def place(parts: DataFrame, p: PackParams = PackParams(), id_col: str = "doc_id") -> DataFrame:
     """``parts`` (made once, with ``length``) with ``sequence_id`` and ``offset``.
 
-    Ranks: each length's pieces fall into ``salts`` parts by hash, are numbered
-    there, and start where the parts before end; so no task gets a length whole.
-    The counts (at most size x salts rows) and the slots are what is broadcast.
+    A piece of the whole size is a sequence by itself (a negative number, by
+    its place in the table) and needs no rank. The others are counted by
+    length, which is all that best fit needs. Ranks: a length's pieces fall by
+    hash into as many parts as its count asks for, are numbered there, and
+    start where the parts before end. The slots of a length are cut at every
+    ``slot_ranks`` ranks, so that a piece meets those about its own rank alone,
+    however many there are.
     """
     spark = parts.sparkSession
-    salted = parts.withColumn("__salt", salt_of(id_col, "piece", "ids_crc32", n=p.salts))
-    counted = salted.groupBy("length", "__salt").agg(F.count(F.lit(1)).alias("n")).collect()
-    by_length: dict[int, int] = {}
-    before = []
-    for r in sorted(counted, key=lambda r: (r["length"], r["__salt"])):
-        before.append((r["length"], r["__salt"], by_length.get(r["length"], 0)))
-        by_length[r["length"]] = before[-1][2] + r["n"]
-    slots, _ = plan(by_length, p.size)
-    starts = spark.createDataFrame(before, "length long, __salt int, __before long")
-    table = spark.createDataFrame([(s.length, s.lo, s.hi, s.sequence, s.per, s.offset) for s in slots],
-                                  "length long, __lo long, __hi long, __seq long, __per long, __off long")
+    whole = (parts.where(F.col("length") == p.size)
+             .select(*parts.columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
+    rest = parts.where(F.col("length") != p.size)
+    counts = {r["length"]: r["n"] for r in rest.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return whole
+    slots, _ = plan(counts, p.size)
+    deals = spark.createDataFrame([(n, 1 + c // p.part_rows) for n, c in counts.items()], "length long, __parts long")
+    # At most one row per length below ``size``.
+    salted = rest.join(F.broadcast(deals), "length").withColumn("__salt", F.pmod(F.xxhash64(id_col, "piece", "ids_crc32"), F.col("__parts")))
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("__salt")) - F.col("n")
+    starts = (salted.groupBy("length", "__salt").agg(F.count(F.lit(1)).alias("n"))
+              .select("length", "__salt", before.alias("__before")))
     w = Window.partitionBy("length", "__salt").orderBy(id_col, "piece", "ids_crc32")
-    ranked = (salted.withColumn("__r", F.row_number().over(w) - 1)
-              .join(F.broadcast(starts), ["length", "__salt"]).withColumn("__rank", F.col("__r") + F.col("__before")))
-    slot = F.broadcast(table.withColumnRenamed("length", "__l"))
-    fit = (F.col("length") == F.col("__l")) & (F.col("__rank") >= F.col("__lo")) & (F.col("__rank") < F.col("__hi"))
+    ranked = (salted.withColumn("__r", F.row_number().over(w) - 1).join(starts, ["length", "__salt"])
+              .withColumn("__rank", F.col("__r") + F.col("__before")).withColumn("__block", F.expr(f"__rank div {p.slot_ranks}")))
+    table = spark.createDataFrame([(s.length, s.lo, s.hi, s.sequence, s.per, s.offset) for s in slots],
+                                  "__l long, __lo long, __hi long, __seq long, __per long, __off long")
+    table = table.withColumn("__b", F.explode(F.expr(f"sequence(__lo div {p.slot_ranks}, (__hi - 1) div {p.slot_ranks})")))
+    fit = ((F.col("length") == F.col("__l")) & (F.col("__block") == F.col("__b"))
+           & (F.col("__rank") >= F.col("__lo")) & (F.col("__rank") < F.col("__hi")))
     step = F.col("__rank") - F.col("__lo")
-    return ranked.join(slot, fit).select(
+    return whole.unionByName(ranked.join(table, fit).select(
         *parts.columns, (F.col("__seq") + F.expr("(__rank - __lo) div __per")).alias("sequence_id"),
-        (F.col("__off") + (step % F.col("__per")) * F.col("length")).alias("offset"))
+        (F.col("__off") + (step % F.col("__per")) * F.col("length")).alias("offset")))
 
 
 def pack(docs: DataFrame, tokenizer: str, pattern: str, p: PackParams = PackParams(), id_col: str = "doc_id",
