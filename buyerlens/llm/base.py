@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +39,24 @@ def prepare(spark: SparkSession) -> None:
         sc._buyerlens_sent = True
 
 
+def release_memory() -> None:
+    """Give freed memory of a driver-side fit back to the system, where the C library can (glibc)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column of it (case aside)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared checkpoint folder; its lineage ends there."""
     checkpoint_dir(df.sparkSession)

@@ -40,9 +40,9 @@ def tokenizer_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-def _decided(scored: DataFrame, threshold: float) -> DataFrame:
+def _decided(scored: DataFrame, threshold: float, *more: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score",
-                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+                         (F.col("score") >= threshold).cast("int").alias("predicted"), *more)
 
 
 def op1_vptree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,9 @@ def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     p = toxicity.ToxicityParams()
-    return _decided(toxicity.with_score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), p)), p.threshold)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), p)
+    scored = toxicity.with_language_decision(toxicity.with_score(docs, model), model, p)
+    return _decided(scored, p.threshold, "lang_threshold", "lang_predicted")
 
 
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,11 @@ suffixes that agree to it begin the same long run of words. A run may go over
 the borders of blocks that it covers whole, and a shorter block is a run by
 itself. Copies are told from boilerplate by their pages: a run counts on pages
 that have a passage of their own, and an article only if enough of it is. Runs
-on enough such pages of the host, whichever shards hold them, are boilerplate
-(an article's blocks need more pages, its headings stay); what they do not
-cover is the text. Runs meet across shards by 64 bits of hash.
+on enough such pages of the host, whichever shards hold them, are boilerplate;
+what they do not cover is the text. An article loses whole blocks of a run's
+length at its beginning and end alone: its headings, short lines, list items
+and what it quotes between passages of its own stay, however many pages repeat
+them. Runs meet across shards by 64 bits of hash.
 """
 
 from __future__ import annotations
@@ -36,7 +38,6 @@ from buyerlens.llm.base import prepare
 class PageParams:
     depth: int = 8  # words of a run, a power of two
     min_pages: int = 2  # distinct pages that hold a boilerplate run
-    article_pages: int = 3  # and one that goes from an article
     own_share: float = 0.2  # of an article's words that no other page repeats, where it is no copy
     shard_pages: int = 256  # pages of a host whose words are sorted together
 
@@ -283,11 +284,27 @@ class Shard:
         has[self.page[long]] = True
         return has & (~self.article | (bare >= share * words))
 
-    def texts(self, open_runs: np.ndarray, article_runs: np.ndarray) -> list[str]:
+    def ends(self, runs: np.ndarray) -> np.ndarray:
+        """Which blocks of articles are boilerplate by the host's ``runs`` of full length: those they cover whole at
+        an article's beginning (its headings aside) or end. Shorter blocks, and what stands between passages of the
+        article's own, stay."""
+        size = np.bincount(self.block, self.real, minlength=len(self.heading))
+        long = np.isin(self.hash, runs) & (self.length == self.depth)
+        gone = (np.bincount(self.block, self.covered(long) & self.real, minlength=len(size)) == size) & (size >= self.depth)
+        out = np.zeros(len(size), bool)
+        of = np.zeros(len(size), np.int64)
+        of[self.block] = self.page
+        body = np.flatnonzero((size > 0) & ~self.heading & self.article[of])
+        for mine in np.split(body, np.flatnonzero(np.diff(of[body])) + 1):
+            for order in (mine, mine[::-1]):
+                stop = np.flatnonzero(~gone[order])
+                out[order[:stop[0] if len(stop) else len(order)]] = True
+        return out
+
+    def texts(self, runs: np.ndarray) -> list[str]:
         """Per page, the blocks without the words that boilerplate covers."""
-        article = self.article[self.run_page]
-        gone = self.covered(np.where(article, np.isin(self.hash, article_runs), np.isin(self.hash, open_runs)))
-        keep = self.real & ~(gone & ~(self.heading[self.block] & self.article[self.page]))
+        gone = np.where(self.article[self.page], self.ends(runs)[self.block], self.covered(np.isin(self.hash, runs)))
+        keep = self.real & ~gone
         out: list[list[str]] = [[] for _ in range(self.n_pages)]
         last = -1
         at_ = np.flatnonzero(keep)
@@ -390,7 +407,7 @@ def _unique_runs(dealt: DataFrame, p: PageParams) -> DataFrame:
             hashes, counts = shard.counts()
             repeated = hashes[counts >= p.min_pages]
             hashes, counts = shard.counts(shard.own(repeated, p.own_share), repeated)
-        found = shard.texts(hashes[counts >= p.min_pages], hashes[counts >= p.article_pages])
+        found = shard.texts(hashes[counts >= p.min_pages])
         return pd.DataFrame({"page_id": _objects(rows["page_id"]), "url": _objects(rows["url"]), "text": _objects(found)})
 
     boiler = often(by_shard().cogroup(often(by_shard().applyInPandas(all_runs, PARTS))).applyInPandas(own_runs, PARTS))

@@ -16,18 +16,23 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, limit: int, id_col: str = "doc_id",
                     extra: tuple[str, ...] = ()) -> DataFrame:
-    """Texts of at most ``limit`` labelled rows that are not held out, chosen by a hash of the id.
+    """``(__id, target, text, *extra)`` of at most ``limit`` labelled rows that are not held out, by a hash of the id.
 
-    The chosen ids (at most ``limit`` of them: that is what is broadcast) meet
-    the documents in one scan. Ids labelled more than once with different marks
-    and null marks are left out; a document table's repeated rows count once.
+    Labels meet the documents' ids first, so labels of absent documents use up
+    nothing; the chosen ids (at most ``limit``: that is what is broadcast) then
+    meet the texts in one scan. Ids labelled more than once with different
+    marks, null marks and null ids are left out; an id on several rows counts
+    once, with its smallest text. Null texts are empty.
     """
     one = (labels.where(F.col(target).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
            .groupBy(F.col(id_col).alias("__id")).agg(F.min(target).alias("__lo"), F.max(target).alias("__hi"))
            .where("__lo = __hi").select("__id", F.col("__lo").cast("int").alias("target")))
-    chosen = one.orderBy(F.xxhash64("__id"), "__id").limit(limit)
+    present = one.join(docs.select(F.col(id_col).alias("__id")), "__id", "left_semi")
+    chosen = present.orderBy(F.xxhash64("__id"), "__id").limit(limit)
     texts = docs.select(F.col(id_col).alias("__id"), F.coalesce("text", F.lit("")).alias("text"), *extra)
-    return texts.join(F.broadcast(chosen), "__id").dropDuplicates(["__id"]).orderBy(F.xxhash64("__id"), "__id")
+    met = texts.join(F.broadcast(chosen), "__id")
+    one_text = met.groupBy("__id", "target").agg(F.min(F.struct("text", *extra)).alias("__row"))
+    return one_text.select("__id", "target", "__row.*").orderBy(F.xxhash64("__id"), "__id")
 
 
 def folds(n: int, k: int, seed: int) -> np.ndarray:

@@ -87,6 +87,52 @@ def test_classifiers_take_empty_tables_and_odd_labels(spark):
     assert training.labelled_sample(docs, labels, "quality", 10).count() == 0  # the only id has both marks
 
 
+def test_long_texts_alone_are_learned_and_kept_whole(spark):
+    """Labelled texts of thousands of words: none is left out, marks anywhere in them count."""
+    rng = np.random.default_rng(4)
+    words = [f"wo{i}rd" for i in range(800)]
+
+    def text(toxic):
+        w = list(rng.choice(words, 4000))
+        for at in rng.integers(0, 4000, 3) if toxic else []:
+            w[at] = "vexorbad"
+        return " ".join(w)
+
+    rows = [(i, text(i % 4 == 0), "en", int(i % 4 == 0)) for i in range(240)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    p = toxicity.ToxicityParams(buckets=1 << 14, epochs=20, max_words=600_000)
+    model = toxicity.train(docs, labels, p)
+    got = {r.doc_id: r.score >= p.threshold for r in toxicity.with_score(docs, model).collect()}
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 == 1]
+    assert np.mean([got[r[0]] == bool(r[3]) for r in held]) > 0.9
+
+
+def test_sample_is_bounded_by_words_and_repeats(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "a b c " * 10, "en") for i in range(60)] + [(3, "zz", "en"), (3, "aa", "de"), (None, "n", "en")],
+                                 "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(None, 1)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "_fit", lambda seqs, feats, y, langs, p: seen.append((sum(map(len, seqs)), len(y))))
+    toxicity.train(docs, labels, toxicity.ToxicityParams(max_train=30, max_words=100))
+    (words, n), = seen
+    assert 100 <= words < 100 + 31 and n == 4  # the last text counts whole
+    # Labels of absent documents use up nothing; an id on several rows counts once, with its smallest text.
+    rows = training.labelled_sample(docs, labels, "toxic", 1000).collect()
+    assert len(rows) == len({r["__id"] for r in rows}) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(60))
+    assert [r.text for r in rows if r["__id"] == 3] in ([], ["a b c " * 10])
+
+
+def test_language_decisions(spark):
+    m = toxicity._fresh(toxicity.ToxicityParams(buckets=64))
+    m.thresholds = {"de": 0.2}
+    scored = spark.createDataFrame([(1, "de", 0.3), (2, "en", 0.3), (3, None, 0.9), (4, "de", 0.1)], "doc_id long, lang string, score double")
+    got = {r.doc_id: (r.lang_threshold, r.lang_predicted) for r in toxicity.with_language_decision(scored, m).collect()}
+    assert got == {1: (0.2, 1), 2: (0.7, 0), 3: (0.7, 1), 4: (0.2, 0)}
+    m.thresholds = {}
+    assert {r.lang_threshold for r in toxicity.with_language_decision(scored, m).collect()} == {0.7}
+
+
 # --- pages -----------------------------------------------------------------
 
 MARKUP = [
@@ -156,7 +202,22 @@ def test_boilerplate_within_articles_goes_and_copies_stay(spark, shard_pages):
     rows += [(100 + k, "http://a.example/c%d" % k, f"<article><p>{c}</p>{note}</article>") for k, c in enumerate(copy)]
     got = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"),
                                                       pages.PageParams(shard_pages=shard_pages)).collect()}
-    assert got == {**{i: f"Part one\n{story(i)}" for i in range(40)}, **{100 + k: c for k, c in enumerate(copy)}}
+    assert got == {**{i: f"Part one\n{story(i)}\nShare this" for i in range(40)}, **{100 + k: f"{c}\nShare this" for k, c in enumerate(copy)}}
+
+
+@pytest.mark.parametrize("shard_pages", [2, 256])
+def test_articles_keep_what_they_share_but_notices_at_their_ends(spark, shard_pages):
+    quote = "To be or not to be that is the question whether it is nobler"
+    note = "All stories of this paper may be read by its members for free"
+    rows = [(i, "http://a.example/%d" % i, f"<article><h1>Soup</h1><p>{note} today</p><p>{story(i)}</p><ul><li>Salt<li>Two eggs</ul><p>{quote}</p>"
+             f"<p>{story(i + 50)}</p><p>Serve hot.</p><div>{note}</div></article>") for i in range(3)]
+    rows += [(10 + i, "http://b.example/%d" % i, f"<article><p>{story(i)}</p><p>{note}</p></article>") for i in range(2)]
+    rows += [(20 + i, "http://c.example/%d" % i, "<p>No.</p>" + f"<p>{story(200 + i)}</p>") for i in range(1)]
+    rows += [(30, "http://d.example/", f"<article><p>{story(1)}</p><p>{note}</p></article>")]  # a host's only page
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.main_text(df, pages.PageParams(shard_pages=shard_pages)).collect()}
+    assert got == {**{i: f"Soup\n{story(i)}\nSalt\nTwo eggs\n{quote}\n{story(i + 50)}\nServe hot." for i in range(3)},
+                   **{10 + i: story(i) for i in range(2)}, 20: f"No.\n{story(200)}", 30: f"{story(1)}\n{note}"}
 
 
 def test_ranks_order_suffixes():
