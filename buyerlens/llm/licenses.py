@@ -1,8 +1,8 @@
 """License scans: exact phrases, and an exact set-similarity join with templates.
 
 A text block (any two spans of consecutive words, whatever lines they stand on;
-a span is the longest template's number of words) meets a template if it holds
-at least ``threshold`` of the template's distinct words. Words are
+a span is the template's number of words) meets a template if it holds at least
+``threshold`` of the template's distinct words. Words are
 ordered by their frequency over all documents, rarest first. A block that
 meets a template of n words shares at least o = ceil(threshold * n) of them,
 so it holds one of the n - o + 1 rarest (prefix filter), has at least o words
@@ -111,8 +111,8 @@ def scan(docs: DataFrame, p: ScanParams = ScanParams(), id_col: str = "doc_id",
     sets = {name: w for name, w in sets.items() if w}
     rank = _ranks(src, sorted(set().union(*sets.values())) if sets else [])
     digest = src.mapInArrow(_digest(p, sets, rank), "id long, n_words long, n_base long, first_word long, last_word long,"
-                            " base array<string>, blocks array<array<int>>")
-    labelled = digest.withColumn("__met", _join(sets, rank, p.threshold))
+                            " base array<string>, blocks array<struct<span:int,held:array<int>>>")
+    labelled = digest.withColumn("__met", _join(sets, _spans(p), rank, p.threshold))
     names = F.array_sort(F.array_distinct(F.concat("base", F.transform("__met", lambda m: m["label"]))))
     best = F.coalesce(F.array_max(F.transform("__met", lambda m: m["share"])), F.lit(0.0))
     return labelled.select(
@@ -142,7 +142,7 @@ def _ranks(src: DataFrame, vocabulary: list[bytes]) -> dict[bytes, int]:
 def _digest(p: ScanParams, sets: dict[str, list[bytes]], rank: dict[bytes, int]):
     """Counts and phrases of each text, and of its blocks the ranks of their template words, rarest first, where a
     block's words can suffice for the smallest template."""
-    span = max([len(words_of(t.encode())) for t in p.templates.values()] + [1])
+    spans = _spans(p)
     least = {name: needed(len(w), p.threshold) for name, w in sets.items()}
     phrases = {b" ".join(words_of(k.encode())): v for k, v in p.phrases.items()}
 
@@ -159,32 +159,40 @@ def _digest(p: ScanParams, sets: dict[str, list[bytes]], rank: dict[bytes, int])
                     if here := places(joined, phrase):
                         at += here
                         base.append(label)
-                held: set[tuple[int, ...]] = set()
+                held = []
                 got = known & set(words)
-                if may := [name for name, w in sets.items() if len(got.intersection(w)) >= least[name]]:
-                    some = {w: rank[w] for name in may for w in sets[name]}
-                    held = held_ranks(words, span, some, min(least[name] for name in may))
-                rows.append((i, len(words), len(at), min(at, default=None), max(at, default=None), sorted(set(base)), sorted(held)))
+                may = [name for name, w in sets.items() if len(got.intersection(w)) >= least[name]]
+                # Templates of one length share their windows.
+                for span in sorted({spans[name] for name in may}):
+                    own = [name for name in may if spans[name] == span]
+                    some = {w: rank[w] for name in own for w in sets[name]}
+                    held += [{"span": span, "held": h} for h in sorted(held_ranks(words, span, some, min(least[name] for name in own)))]
+                rows.append((i, len(words), len(at), min(at, default=None), max(at, default=None), sorted(set(base)), held))
             cols = list(zip(*rows)) if rows else [()] * 7
-            kinds = (*[pa.int64()] * 5, pa.list_(pa.string()), pa.list_(pa.list_(pa.int32())))
+            kinds = (*[pa.int64()] * 5, pa.list_(pa.string()),
+                     pa.list_(pa.struct([("span", pa.int32()), ("held", pa.list_(pa.int32()))])))
             yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)],
                                   ["id", "n_words", "n_base", "first_word", "last_word", "base", "blocks"])
 
     return run
 
 
-def _join(sets: dict[str, list[bytes]], rank: dict[bytes, int], threshold: float):
+def _spans(p: ScanParams) -> dict[str, int]:
+    return {name: max(1, len(words_of(t.encode()))) for name, t in p.templates.items()}
+
+
+def _join(sets: dict[str, list[bytes]], spans: dict[str, int], rank: dict[bytes, int], threshold: float):
     """``array<struct<label, share>>``: the templates that a row's blocks meet."""
     none = F.array().cast("array<struct<label:string,share:double>>")
     met = none
     for label, words in sorted(sets.items()):
-        share = F.array_max(_shares(sorted(rank[w] for w in words), threshold))
+        share = F.array_max(_shares(sorted(rank[w] for w in words), spans[label], threshold))
         met = F.concat(met, F.when(share.isNotNull(), F.array(F.struct(F.lit(label).alias("label"), share.alias("share")))).otherwise(none))
     return met
 
 
-def _shares(ranks: list[int], threshold: float):
-    """Of the blocks that meet a template: the share they hold; by prefix, length and position, then verified."""
+def _shares(ranks: list[int], span: int, threshold: float):
+    """Of the template's blocks that meet it: the share they hold; by prefix, length and position, then verified."""
     n, o = len(ranks), needed(len(ranks), threshold)
     prefix, whole = F.array(*[F.lit(r) for r in ranks[:n - o + 1]]), F.array(*[F.lit(r) for r in ranks])
     common = lambda block: F.size(F.array_intersect(block, whole))
@@ -196,4 +204,5 @@ def _shares(ranks: list[int], threshold: float):
         may = (F.size(block) >= o) & F.arrays_overlap(block, prefix)
         return F.when(may, F.when(F.least(left, of) >= o, common(block) >= o)).otherwise(False)
 
-    return F.transform(F.filter("blocks", meets), lambda block: common(block) / n)
+    own = F.transform(F.filter("blocks", lambda b: b["span"] == span), lambda b: b["held"])
+    return F.transform(F.filter(own, meets), lambda block: common(block) / n)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from buyerlens.llm.base import cut
+from buyerlens.llm.base import cut, unused
 
 MALE = r"Mr|Herr|Monsieur|Señor|Sr|господин|г-н"
 FEMALE = r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|госпожа|г-жа"
@@ -91,15 +91,15 @@ def _is_upper(c: Column) -> Column:
 
 def _chars(text: Column, digest: Column, hexed: Column) -> Column:
     """Every letter and digit replaced by one of its kind; other characters stay."""
-    def one(i: Column) -> Column:
-        c, b = F.substring(text, i + 1, F.lit(1)), _hex(digest, i + F.floor(i / 64).cast("int") * 7)
-        return _let(c, lambda c: F.when(hexed & c.rlike("[0-9a-f]"), F.lower(F.conv((b % 16).cast("string"), 10, 16)))
-                    .when(c.rlike("[0-9]"), (b % 10).cast("string"))
-                    .when(c.rlike("[a-z]"), F.char(b % 26 + 97))
-                    .when(c.rlike("[A-Z]"), F.char(b % 26 + 65)).otherwise(c))
+    def one(c: Column, i: Column, of_hex: Column) -> Column:
+        b = _hex(digest, i + F.floor(i / 64).cast("int") * 7)
+        return (F.when(of_hex & c.rlike("[0-9a-f]"), F.lower(F.conv((b % 16).cast("string"), 10, 16)))
+                .when(c.rlike("[0-9]"), (b % 10).cast("string"))
+                .when(c.rlike("[a-z]"), F.char(b % 26 + 97))
+                .when(c.rlike("[A-Z]"), F.char(b % 26 + 65)).otherwise(c))
 
-    n = F.length(text)
-    return F.when(n == 0, text).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), n - 1), one), ""))
+    # Split, and looked at as a whole, once: a character costs the same wherever it stands in a long text.
+    return _let(hexed, lambda of_hex: F.array_join(F.transform(F.split(text, ""), lambda c, i: one(c, i, of_hex)), ""))
 
 
 def kind_of(mention: Column) -> Column:
@@ -245,21 +245,25 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text", count_col
     One pass finds the distinct entities, one replaces them; only if some
     collide do their texts' attempts come by a join (on the text's hash, so
     null and repeated ids do not matter). Null texts stay null, empty ones
-    empty; other columns and repeated rows stay as they are.
+    empty; other columns and repeated rows stay as they are, whatever their
+    names; a ``count_col`` that the table has already is refused.
     """
+    if count_col in docs.columns:
+        raise ValueError(f"the table has a column {count_col} already")
+    c_found, c_hash, c_moved = (unused(docs, n) for n in ("__found", "__h", "__moved"))
     moved = exceptions(cut(entities(docs, text_col)), key)
     found = mentions(F.col(text_col))
-    out = docs.withColumn("__found", found)
+    out = docs.withColumn(c_found, found)
     if moved is None:
-        new = _replaced(F.col(text_col), F.col("__found"), lambda e: surrogate(e["kind"], e["norm"], F.lit(0), key))
+        new = _replaced(F.col(text_col), F.col(c_found), lambda e: surrogate(e["kind"], e["norm"], F.lit(0), key))
     else:
-        own = (docs.select(F.xxhash64(text_col).alias("__h"), F.explode(found).alias("m"))
-               .select("__h", F.inline(parts_of(F.col("m")))).distinct().join(moved, ["kind", "norm"])
-               .groupBy("__h").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws(" ", "kind", "norm"), "attempt"))).alias("__moved")))
-        out = out.withColumn("__h", F.xxhash64(text_col)).join(own, "__h", "left")
-        attempt = lambda e: F.coalesce(F.element_at("__moved", F.concat_ws(" ", e["kind"], e["norm"])), F.lit(0))
-        new = _replaced(F.col(text_col), F.col("__found"), lambda e: surrogate(e["kind"], e["norm"], attempt(e), key))
+        own = (docs.select(F.xxhash64(text_col).alias(c_hash), F.explode(found).alias("m"))
+               .select(c_hash, F.inline(parts_of(F.col("m")))).distinct().join(moved, ["kind", "norm"])
+               .groupBy(c_hash).agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws(" ", "kind", "norm"), "attempt"))).alias(c_moved)))
+        out = out.withColumn(c_hash, F.xxhash64(text_col)).join(own, c_hash, "left")
+        attempt = lambda e: F.coalesce(F.element_at(c_moved, F.concat_ws(" ", e["kind"], e["norm"])), F.lit(0))
+        new = _replaced(F.col(text_col), F.col(c_found), lambda e: surrogate(e["kind"], e["norm"], attempt(e), key))
     cols = [new.alias(c) if c == text_col else F.col(c) for c in docs.columns]
     if count_col:
-        cols.append(F.size("__found").alias(count_col))
+        cols.append(F.size(c_found).alias(count_col))
     return out.select(*cols)

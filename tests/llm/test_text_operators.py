@@ -120,8 +120,8 @@ def base_row(text):
 
 def met(text, threshold=0.85):
     out = {}
-    span = max(len(licenses.words_of(t.encode())) for t in licenses.TEMPLATES.values())
     for label, t in licenses.TEMPLATES.items():
+        span = len(licenses.words_of(t.encode()))
         want = set(licenses.words_of(t.encode()))
         shares = [len(want & set(b)) / len(want) for b in licenses.blocks((text or "").encode(), span)]
         if shares and max(shares) >= threshold - 1e-12:
@@ -160,13 +160,12 @@ def test_wrapped_notices_equal_the_definition(spark):
     for gap in (0, 1, 2, 3):  # words spread over a longer stretch, on one line or many
         for sep in (" ", "\n"):
             texts.append(" ".join(fill[:61]) + " " + sep.join(w + "".join(f" g{k}" for k in range(gap if i % 2 else 0)) for i, w in enumerate(mit)) + " end" * 70)
-    span = max(len(re.findall(r"\w+", t.replace("-", " ").replace(".", " "))) for t in licenses.TEMPLATES.values())
     got = {r.doc_id: r for r in licenses.scan(docs(spark, texts)).collect()}
     word = lambda t: re.findall(r"[a-z0-9]+", t.lower())
     for i, t in enumerate(texts):
         words, want = word(t), {}
         for label, template in licenses.TEMPLATES.items():
-            of = set(word(template))
+            of, span = set(word(template)), len(word(template))
             best = max(len(of & set(words[k:k + 2 * span])) / len(of) for k in range(len(words)))
             if best >= 0.85:
                 want[label] = best
@@ -176,6 +175,12 @@ def test_wrapped_notices_equal_the_definition(spark):
     assert all(label in got[i].labels.split(",") for i, label in enumerate(wrapped))
 
 
+def test_words_far_apart_are_no_short_notice(spark):
+    text = "The MIT press released a book yesterday. Under a tree we sat, without any license to fish."
+    (r,) = licenses.scan(docs(spark, [text])).collect()
+    assert (r.labels, r.score) == ("", 0.0)
+
+
 # --- byte BPE --------------------------------------------------------------
 
 @pytest.fixture(scope="module")
@@ -358,3 +363,44 @@ def test_surrogates_leave_clean_documents_alone(spark):
     for r in changed:
         for private in re.findall(r"\S+@\S+\.\w+|\d{16}|\+1 \(\d{3}\) \d{3}-\d{4}|\d+\.\d+\.\d+\.\d+|[0-9a-f]{40}", r.old):
             assert private not in r.text
+
+
+def test_long_secrets_take_time_in_proportion(spark):
+    """A quarter of a million hex digits in one text: every digit has a stand-in, in little more than the time of planning."""
+    import time
+
+    hexed = "0123456789abcdef" * (1 << 14)
+    df = docs(spark, ["token=" + hexed[:64], "key " + hexed, "key " + hexed])
+    start = time.time()
+    got = [r.text for r in pii.with_surrogates(df, "k").orderBy("doc_id").collect()]
+    assert time.time() - start < 120
+    assert got[1] == got[2] and len(got[1]) == len(hexed) + 4 and hexed[:64] not in got[1] and re.fullmatch("key [0-9a-f]+", got[1])
+
+
+def test_surrogates_beside_columns_of_any_name(spark):
+    rows = [(1, "mail ann.lee@example.org now", "f", 5, "m"), (1, "mail ann.lee@example.org now", "f", 5, "m"), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __found string, __h long, __moved string")
+    out = pii.with_surrogates(df, "k", count_col="n")
+    got = out.orderBy(F.col("doc_id").asc_nulls_last()).collect()
+    assert out.columns == [*df.columns, "n"] and [r["__found"] for r in got] == ["f", "f", None]
+    assert got[0] == got[1] and got[0].n == 1 and "ann.lee" not in got[0].text and got[2].text is None
+    with pytest.raises(ValueError):
+        pii.with_surrogates(df.withColumn("n", F.lit(1)), "k", count_col="n")
+
+
+@pytest.mark.parametrize("lengths", [[1024] * 400, [7] * 900, [1024] * 5 + [1000] * 60 + [24] * 55 + [3] * 300])
+def test_packing_of_one_length_is_dealt_and_whole(spark, lengths):
+    """Hot lengths over many parts and slots: no gap, no overlap, as few sequences as the plan says."""
+    parts = spark.createDataFrame([(i, 0, 0, n, i % 9) for i, n in enumerate(lengths)],
+                                  "doc_id long, piece int, start long, length long, ids_crc32 long")
+    p = packing.PackParams(part_rows=50, slot_ranks=16)
+    rows = packing.place(parts, p).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(lengths)))
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for spans in by_sequence.values():
+        ends = np.cumsum([0] + [n for _, n in sorted(spans)])
+        assert [o for o, _ in sorted(spans)] == ends[:-1].tolist() and ends[-1] <= 1024
+    counts = {n: lengths.count(n) for n in set(lengths)}
+    assert len(by_sequence) == packing.plan(counts, 1024)[1]
