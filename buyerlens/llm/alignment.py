@@ -195,6 +195,11 @@ BLOCK = ("block long, ids array<long>, n_a array<long>, n_b array<long>, n_group
 FIGURES = "id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
+def place_type(n_pairs: int) -> str:
+    """Of the links' places in a block of so many distinct pairs: two bytes where they suffice."""
+    return "<u2" if n_pairs <= 1 << 16 else "<u4"
+
+
 def blocks(docs: DataFrame, a_path: str, pattern: str, b_path: str, p: AlignParams = AlignParams(), id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """The aligned texts in blocks: per text its figures, per block its distinct id pairs (A id times
@@ -211,7 +216,7 @@ def blocks(docs: DataFrame, a_path: str, pattern: str, b_path: str, p: AlignPara
         return pa.record_batch([
             pa.array([number], longs), pa.array([ids], lists), *[pa.array([x], lists) for x in figures],
             pa.array([sha], pa.list_(pa.string())), pa.array([pairs], lists), pa.array([times.astype(np.int64)], lists),
-            pa.array([places.astype("<u4").tobytes()], pa.binary())],
+            pa.array([places.astype(place_type(len(pairs))).tobytes()], pa.binary())],
             ["block", "ids", "n_a", "n_b", "n_groups", "n_links", "sha", "pairs", "times", "places"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,8 +273,8 @@ def digests(docs: DataFrame, a_path: str, pattern: str, b_path: str, p: AlignPar
         order = np.argsort(known.column("pair").to_numpy())
         count, best = (known.column(c).to_numpy()[order].astype(np.int64) for c in ("count", "best"))
         for r in block.to_pylist():
-            places = np.frombuffer(r["places"], "<u4")
             ends = np.cumsum([0, *r["n_links"]])
+            places = np.frombuffer(r["places"], place_type(len(count)))
             sums = [np.concatenate([[0], np.cumsum(x[places])]) if len(places) else np.zeros(1, np.int64) for x in (best, count)]
             n_best, count_sum = (np.diff(x[ends]) for x in sums)
             out.append(pa.table({
