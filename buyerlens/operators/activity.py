@@ -85,9 +85,11 @@ def _by_day(activity: DataFrame, figures: dict[str, Column], exchange: Column, o
 def _with_lists(activity: DataFrame, figures: dict[str, Column], exchange: Column, other: Column, params: ProfileParams,
                 hot: DataFrame | None) -> DataFrame:
     """Every key's figures and lists; ``hot`` passes the hot keys where they are known."""
-    hot = materialize(hot_keys(activity, params.list_rows)) if hot is None else hot
+    known = hot is not None
+    hot = hot if known else hot_keys(activity, params.list_rows)
     if hot.isEmpty():
         return _by_key(activity, figures, exchange, other)
+    hot = hot if known else materialize(hot)
     if not fits_broadcast(hot, params.hot_broadcast_max_rows, params.hot_broadcast_max_bytes):
         return _by_day(activity, figures, exchange, other)
     h = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in MEMBER_KEYS]))
