@@ -27,7 +27,7 @@ from buyerlens.schema import BASE_COLUMNS
 from buyerlens.session import materialize, scratch_dir
 from buyerlens.sources.cellstore import read_cells, write_cells
 from buyerlens.sources.fixtures import fixture_inputs
-from buyerlens.sources.tables import Inputs, scan_inputs, scan_members
+from buyerlens.sources.tables import Inputs, scan_inputs, scan_members, store_members
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,7 +138,7 @@ def member_snapshot_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     from buyerlens.plans.oracle import SCOPED_TENANTS
 
     path = f"{scratch_dir(spark)}/members-{uuid.uuid4().hex}"
-    fixture_inputs(spark, sf_dir)["member_base_info_day"].write.partitionBy("day_id", "merchant_num").parquet(path)
+    store_members(fixture_inputs(spark, sf_dir)["member_base_info_day"], path)
     return scan_members(spark.read.parquet(path), replace(P, tenants=SCOPED_TENANTS))
 
 

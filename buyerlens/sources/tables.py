@@ -27,6 +27,7 @@ ORDER_TYPES = {"is_member": "int", "status": "int", "payment": "decimal(15,2)"}
 ACTIVITY_TYPES = {"member_id": "bigint", "activity_type": "int", "status": "int"}
 POINTS_TYPES = {"member_id": "bigint", "right_type": "int", "num_change": "bigint"}
 ACTIVITY_COLUMNS = ["merchant_num", "member_id", "activity_type", "status", "created_at"]
+STORE_PARTS = 16  # parts that a day's rows of a tenant are dealt to
 POINTS_COLUMNS = ["merchant_num", "member_id", "right_type", "num_change"]
 
 
@@ -66,6 +67,17 @@ def scan_members(df: DataFrame, params: ProfileParams) -> DataFrame:
     return _typed(_tenant(df.where(F.col("day_id") == params.as_of), params).select(*MEMBER_COLUMNS), MEMBER_TYPES)
 
 
+def store_members(df: DataFrame, path: str) -> None:
+    """The member snapshots as a table by day and tenant, the form that :func:`scan_members` prunes.
+
+    A write by folder sorts what a task holds, so the rows are dealt first, a
+    folder's over several tasks: a task's share does not depend on how few
+    files the input has.
+    """
+    part = F.pmod(F.xxhash64("user_id", "member_id"), F.lit(STORE_PARTS))
+    df.repartition(F.col("day_id"), F.col("merchant_num"), part).write.partitionBy("day_id", "merchant_num").parquet(path)
+
+
 def scan_orders(df: DataFrame, params: ProfileParams) -> DataFrame:
     """The order snapshot of ``as_of`` (tenant scoped)."""
     today = _tenant(df.where(F.col("day_id") == params.as_of), params)

@@ -13,7 +13,7 @@ from buyerlens.operators.profile import LIST_COLUMNS, joined_profile, sink_profi
 from buyerlens.params import FIXTURE_PARAMS as P
 from buyerlens.plans.catalog import QUERIES, inputs
 from buyerlens.sources.fixtures import fixture_inputs
-from buyerlens.sources.tables import scan_members
+from buyerlens.sources.tables import scan_members, store_members
 from conftest import SF_SMALL
 
 
@@ -116,3 +116,17 @@ def test_snapshots_stored_by_day_and_tenant_are_pruned(spark):
     read = spark.read.parquet(path).where((F.col("day_id") == P.as_of) & F.col("merchant_num").isin("1", "3"))
     assert {r.f.split("/m/")[1].rsplit("/", 1)[0] for r in read.select(F.col("_metadata.file_path").alias("f")).distinct().collect()} == {
         f"day_id={P.as_of}/merchant_num={t}" for t in ("1", "3")}
+
+
+def test_members_of_one_file_are_stored_by_several_tasks(spark):
+    """A day's rows of one tenant, all in one input partition, do not meet in one sort; none is lost, repeats stay."""
+    path = tempfile.mkdtemp(prefix="members-") + "/m"
+    raw = spark.range(4000).selectExpr("cast(id % 1999 as string) user_id", "id % 1999 member_id", "'7' merchant_num", "'d' day_id").coalesce(1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store_members(raw, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    back = spark.read.parquet(path)
+    assert back.select(F.col("_metadata.file_path").alias("f")).distinct().count() > 1
+    assert sorted(r.member_id for r in back.collect()) == sorted(i % 1999 for i in range(4000))
