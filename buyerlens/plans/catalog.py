@@ -25,7 +25,7 @@ from buyerlens.operators.points import points_total
 from buyerlens.params import FIXTURE_PARAMS, ProfileParams
 from buyerlens.schema import BASE_COLUMNS
 from buyerlens.session import materialize, scratch_dir
-from buyerlens.sources.cellstore import read_cells, write_cells
+from buyerlens.sources.cellstore import order_report, write_cells
 from buyerlens.sources.fixtures import fixture_inputs
 from buyerlens.sources.tables import Inputs, scan_inputs, scan_members, store_members
 
@@ -272,14 +272,7 @@ def cells_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = cells(spark, sf_dir)
     for _ in range(2):
         write_cells(c, path)
-    back = read_cells(spark, path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
-    key = F.struct("rowkey", "family", "qualifier")
-    nxt = back.select("file", (F.col("at") - 1).alias("at"), key.alias("next"))
-    pairs = back.select("file", "at", "family", "bucket", "rowkey", key.alias("key")).join(nxt, ["file", "at"], "left")
-    codec = F.regexp_extract("file", r"\.([a-z0-9]+)\.parquet$", 1)
-    return pairs.groupBy("family", "bucket").agg(
-        F.count(F.lit(1)).alias("n_cells"), F.min("rowkey").alias("first_key"), F.max("rowkey").alias("last_key"),
-        F.max(codec).alias("codec"), F.count_if(F.col("next") <= F.col("key")).alias("out_of_order"))
+    return order_report(spark, path)
 
 
 QUERIES: dict[str, Query] = {

@@ -15,7 +15,10 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from buyerlens.operators.cells import sorted_cells
@@ -66,6 +69,55 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CELLS).parquet(f"{path}/{now[1]}")
 
 
+RUNS = ("family string, bucket int, file string, first_at long, last_at long, n long, first struct<k:string,q:string>,"
+        " last struct<k:string,q:string>, low string, high string, falls long")
+
+
+def order_report(spark: SparkSession, path: str) -> DataFrame:
+    """Per family and bucket of the current version: ``(n_cells, first_key, last_key, codec, out_of_order)``, the last one
+    the neighbours within a file whose keys (rowkey, family, qualifier) do not ascend.
+
+    Files are read in order, so neighbours are compared where they are read: the cells do not move, only the ends of the
+    runs that a batch holds meet by file. A file has one family.
+    """
+    def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each batch as runs of neighbouring rows of one file: their ends, and how often a key is not above the one before it."""
+        types = pa.schema([("family", pa.string()), ("bucket", pa.int32()), ("file", pa.string()), ("first_at", pa.int64()), ("last_at", pa.int64()),
+                           ("n", pa.int64()), *[(c, pa.struct([("k", pa.string()), ("q", pa.string())])) for c in ("first", "last")],
+                           ("low", pa.string()), ("high", pa.string()), ("falls", pa.int64())])
+        for b in batches:
+            if not b.num_rows:
+                continue
+            family, bucket, file, at, key, qualifier = b.columns
+            place = at.to_numpy()
+            near = pc.equal(file[1:], file[:-1]).to_numpy(zero_copy_only=False) & (np.diff(place) == 1)
+            near &= np.diff(bucket.to_numpy()) == 0
+            near &= pc.equal(family[1:], family[:-1]).to_numpy(zero_copy_only=False)
+            less, same = pc.less(key[1:], key[:-1]), pc.equal(key[1:], key[:-1])
+            fall = pc.or_(less, pc.and_(same, pc.less_equal(qualifier[1:], qualifier[:-1]))).to_numpy(zero_copy_only=False) & near
+            starts = np.r_[0, np.flatnonzero(~near) + 1]
+            rows = []
+            for i, j in zip(starts.tolist(), [*starts[1:].tolist(), b.num_rows]):
+                ends = pc.min_max(key[i:j].filter(pc.not_equal(key[i:j], "")))
+                rows.append({"family": family[i].as_py(), "bucket": bucket[i].as_py(), "file": file[i].as_py(),
+                             "first_at": int(place[i]), "last_at": int(place[j - 1]), "n": j - i,
+                             "first": {"k": key[i].as_py(), "q": qualifier[i].as_py()}, "last": {"k": key[j - 1].as_py(), "q": qualifier[j - 1].as_py()},
+                             "low": ends["min"].as_py(), "high": ends["max"].as_py(), "falls": int(fall[i:j - 1].sum())})
+            yield pa.RecordBatch.from_pylist(rows, types)
+
+    # A null rowkey goes before all others.
+    key = F.coalesce(F.concat(F.lit("!"), "rowkey"), F.lit(""))
+    back = read_cells(spark, path).select("family", "bucket", F.col("_metadata.file_name").alias("file"),
+                                          F.col("_metadata.row_index").alias("at"), key.alias("k"), "qualifier")
+    by_file = Window.partitionBy("family", "bucket", "file").orderBy("first_at")
+    met = (F.lead("first_at").over(by_file) == F.col("last_at") + 1) & (F.lead("first").over(by_file) <= F.col("last"))
+    runs = back.mapInArrow(runs_of, RUNS).withColumn("met", F.coalesce(met, F.lit(False)).cast("long"))
+    codec = F.regexp_extract("file", r"\.([a-z0-9]+)\.parquet$", 1)
+    return runs.groupBy("family", "bucket").agg(
+        F.sum("n").alias("n_cells"), F.substring(F.min("low"), 2, 1 << 30).alias("first_key"), F.substring(F.max("high"), 2, 1 << 30).alias("last_key"),
+        F.max(codec).alias("codec"), F.sum(F.col("falls") + F.col("met")).alias("out_of_order"))
+
+
 def write_cells(cell_df: DataFrame, path: str, compression: str = "snappy", in_order: bool = True, keep: int = 2) -> int:
     """Store ``cell_df`` as the next version of ``path`` and return its number.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from buyerlens.functions.scalars import default_rowkey
 from buyerlens.operators.cells import PREFIX_SPACE, bucket_of, cell_values, cells, range_of
-from buyerlens.sources.cellstore import current_version, read_cells, write_cells
+from buyerlens.sources.cellstore import current_version, order_report, read_cells, write_cells
 
 
 def keyed(df):
@@ -229,6 +229,30 @@ def test_cells_of_any_order_are_sorted_for_the_store(spark):
         assert keys == sorted(keys)
 
 
+def test_order_report_counts_every_fall_without_moving_cells(spark):
+    """Neighbours in files of several batches, in and out of order, null keys too, are those of a plain reading."""
+    out = tempfile.mkdtemp(prefix="cells-report-") + "/cells"
+    rows = cells(users(spark, 300), 3, FAM).union(spark.createDataFrame([(None, "basic", "q", "v", 0)] * 2, "rowkey string, family string, qualifier string, value string, bucket int"))
+    write_cells(rows.repartition(2, F.xxhash64("value", "rowkey")), out)  # said to be in order, but is not
+    want = {}
+    for f in glob.glob(os.path.join(out, "versions", "*", "family=*", "bucket=*", "*.parquet")):
+        keys = [(r["rowkey"], r["qualifier"]) for r in pq.ParquetFile(f).read(["rowkey", "qualifier"]).to_pylist()]
+        family, bucket = (x.split("=")[1] for x in f.split("/")[-3:-1])
+        w = want.setdefault((family, int(bucket)), [0, [], 0])
+        w[0] += len(keys)
+        w[1] += [k for k, _ in keys if k is not None]
+        w[2] += sum((b[0] or "", b[1]) <= (a[0] or "", a[1]) for a, b in zip(keys, keys[1:]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        report = order_report(spark, out)
+        got = {(r.family, r.bucket): (r.n_cells, r.first_key, r.last_key, r.out_of_order, r.codec) for r in report.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {k: (n, min(keys, default=None), max(keys, default=None), falls, "snappy") for k, (n, keys, falls) in want.items()}
+    assert sum(r[3] for r in got.values()) > 0
+    assert "Join" not in report._jdf.queryExecution().executedPlan().toString()
+
+
 def test_partitions_are_key_ranges_in_cell_order(spark):
     c = cells(users(spark, 500), 5, FAM, per_bucket=3).withColumn("part", F.spark_partition_id())
     rows = c.collect()
