@@ -123,6 +123,51 @@ def test_sample_is_bounded_by_words_and_repeats(spark, monkeypatch):
     assert [r.text for r in rows if r["__id"] == 3] in ([], ["a b c " * 10])
 
 
+def test_all_labelled_rows_are_learned(spark):
+    """What makes a text toxic stands only in rows beyond the first 8,000 labelled ones (by the hash of their ids)."""
+    ids = spark.range(13_500).where(~training.held_out("id")).orderBy(F.xxhash64("id")).select("id").collect()
+    late = {r.id for r in ids[8_000:]}
+    held = {r.id for r in spark.range(13_500).where(training.held_out("id")).collect()}
+    rng = np.random.default_rng(5)
+    words = [f"wo{i}rd" for i in range(300)]
+
+    def text(i):
+        w = list(rng.choice(words, 12))
+        if (i in late or i in held) and i % 2:
+            w[i % 12] = "vexorbad"
+        return " ".join(w)
+
+    rows = [(i, text(i), "en") for i in range(13_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(i, int("vexor" in t)) for i, t, _ in rows], "doc_id long, toxic int")
+    p = toxicity.ToxicityParams(buckets=1 << 14)
+    model = toxicity.train(docs, labels, p)
+    got = toxicity.with_score(docs.where(training.held_out()), model).collect()
+    assert len(got) == len(held) and np.mean([(r.score >= p.threshold) == ("vexor" in r.text) for r in got]) > 0.97
+    assert 0 < model.thresholds["en"] < 1
+
+
+def test_units_hold_every_labelled_row_once(spark):
+    docs = spark.createDataFrame([(i, f"Word{'x' * i} b\nc", "en") for i in range(90)] + [(4, "aa", "de"), (5, None, None), (None, "x", "en")],
+                                 "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(6, 1), (7, None), (None, 1)], "doc_id long, toxic int")
+    rows = toxicity._unit_table(docs, labels, toxicity.ToxicityParams(), "doc_id", "toxic", ("lang",), 3).collect()
+    want = {i for i in range(90) if zlib.crc32(str(i).encode()) % 3 != 1 and i != 6}
+    got = sorted(zlib.decompress(r.words).decode() for r in rows)
+    assert len(got) == len(want) and {r.unit for r in rows} == {0, 1, 2}
+    assert set(got) - {"", "aa"} <= {f"word{'x' * i} b c" for i in want} and len(set(got)) == len(got)
+    assert all(r.target == (len(zlib.decompress(r.words)) - 8) % 2 for r in rows if r.words and zlib.decompress(r.words) not in (b"", b"aa"))
+
+
+def test_halves_together_score_their_mean():
+    p = toxicity.ToxicityParams(buckets=1 << 10)
+    texts = ["one two three four", "five", "", "six one two seven eight nine"]
+    halves = [toxicity._fresh(toxicity.ToxicityParams(buckets=1 << 10, seed=k)) for k in (1, 2)]
+    halves[0].out_bias = 0.5
+    logit = lambda m: np.log(s := toxicity.Scorer(m).scores(texts)) - np.log1p(-s)
+    assert np.allclose(logit(toxicity._together(halves)), (logit(halves[0]) + logit(halves[1])) / 2, atol=1e-5) and p.dim == 8
+
+
 def test_language_decisions(spark):
     m = toxicity._fresh(toxicity.ToxicityParams(buckets=64))
     m.thresholds = {"de": 0.2}
