@@ -12,14 +12,13 @@ on enough such pages of the host, whichever shards hold them, are boilerplate;
 what they do not cover is the text. An article loses whole blocks of a run's
 length at its beginning and end alone: its headings, short lines, list items
 and what it quotes between passages of its own stay, however many pages repeat
-them. Runs meet across shards by 64 bits of hash.
+them. Runs meet across shards by 64 bits of hash, of which the first ones go
+around for all runs and the others for those that may be repeated.
 """
 
 from __future__ import annotations
 
-import hashlib
 import html
-import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -191,79 +190,98 @@ def run_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
     _, rank = np.unique(tokens, return_inverse=True)
     size = 1
     while size < depth:
-        nxt = np.full(len(rank), -1, np.int64)
-        nxt[:-size] = rank[size:] if size < len(rank) else nxt[:-size]
-        order = np.lexsort((nxt, rank))
-        new = np.r_[False, (rank[order][1:] != rank[order][:-1]) | (nxt[order][1:] != nxt[order][:-1])]
-        rank = np.empty_like(rank)
-        rank[order] = np.cumsum(new)
+        nxt = np.zeros(len(rank), np.int64)
+        nxt[:-size] = rank[size:] + 1 if size < len(rank) else nxt[:-size]
+        _, rank = np.unique(rank * (len(rank) + 1) + nxt, return_inverse=True)
         size *= 2
     return rank
 
 
-def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+_TABLE = np.random.default_rng(0x70616765).integers(0, 1 << 64, 64 << 8, np.uint64)  # by a byte's place in its word (to 64) and the byte
+_MIX, _MIX_ALONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+SHORT = 28  # bits of a run's hash that shards show one another first
+
+
+def _word_hashes(data: np.ndarray, first: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits of hash for each of the words ``data[first:end]``, each of which one byte follows."""
+    place = np.arange(len(data)) - np.repeat(first, ends - first + 1)
+    each = _TABLE[((place & 63) << 8) + data]
+    if len(data) and place.max() > 64:
+        each *= (place >> 6).astype(np.uint64) * _MIX_ALONE | np.uint64(1)
+    each[ends] = 0
+    return np.add.reduceat(each, first) if len(first) else np.zeros(0, np.uint64)
+
+
+def _among(values: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Which values are among the chosen ones."""
+    if not len(chosen):
+        return np.zeros(len(values), bool)
+    chosen = np.sort(chosen)
+    return chosen[np.minimum(np.searchsorted(chosen, values), len(chosen) - 1)] == values
 
 
 class Shard:
     """The words of some pages of a host in one stream, and the runs in it: ``(start, length, page, hash)``, and
-    whether a run stays inside a block."""
-
-    def __init__(self, pages: list[tuple[list[str], bool, list[bool]]], depth: int):
-        self.depth, self.n_pages = depth, len(pages)
-        self.words: list[str] = []
-        page, block, tokens, heading, first, sizes = [], [], [], [], [], []
-        ids: dict[str, int] = {}
-        for k, (texts, _, heads) in enumerate(pages):
-            for text, head in zip(texts, heads):
-                words = text.split(" ")
-                first.append(len(tokens))
-                sizes.append(len(words))
-                tokens += [ids.setdefault(w, len(ids)) for w in words]
-                self.words += words
-                page += [k] * len(words)
-                block += [len(heading)] * len(words)
-                heading.append(head)
-            tokens.append(-1 - k)
-            self.words.append("")
-            page.append(k)
-            block.append(len(heading))
-            heading.append(False)
-            first.append(len(tokens) - 1)
-            sizes.append(0)
-        self.article = np.array([known for _, known, _ in pages], bool)
-        self.page, self.block, self.heading = np.array(page, np.int64), np.array(block, np.int64), np.array(heading, bool)
-        t, n = np.array(tokens, np.int64), len(tokens)
-        self.real = t >= 0
+    whether a run stays inside a block. ``texts``: the pages' blocks in UTF-8, one a line; ``marks``: see :func:`_parsed`."""
+
+    def __init__(self, texts: list[bytes], marks: list[bytes], depth: int):
+        self.depth, self.n_pages = depth, len(texts)
+        # An empty word stands behind each page, in a block of its own.
+        self.data = np.frombuffer(b"".join(t + b"\n\n" if t else b"\n" for t in texts), np.uint8)
+        self.ends = np.flatnonzero((self.data == 0x20) | (self.data == 0x0A))
+        self.first = np.r_[0, self.ends + 1][:-1]
+        self.real = self.ends > self.first
+        line = self.data[self.ends] == 0x0A
+        self.block, self.page = np.cumsum(line) - line, np.cumsum(~self.real) - ~self.real
+        self.heading = np.frombuffer(b"".join(m[1:] + b"\0" for m in marks), bool)
+        self.article = np.array([m[0] for m in marks], bool)
+        self.word = _word_hashes(self.data, self.first, self.ends)
+        n = len(self.word)
         starts = np.arange(max(0, n - depth + 1))
         gaps = np.cumsum(~self.real)
         starts = starts[self.real[starts] & (gaps[starts + depth - 1] == gaps[starts])] if n >= depth else starts[:0]
-        rank = run_ranks(t, depth)[starts] if n else starts
-        _, where, same = np.unique(rank, return_index=True, return_inverse=True)
-        of = np.array([_hash(w) for w in ids] + [0], np.uint64)[t]
-        run = np.zeros(len(where), np.uint64)
+        run = np.zeros(len(starts), np.uint64)
         for j in range(depth):
-            run = run * np.uint64(0x9E3779B97F4A7C15) + of[starts[where] + j]
-        first_, sizes_ = np.array(first, np.int64), np.array(sizes, np.int64)
-        short = np.flatnonzero((sizes_ > 0) & (sizes_ < depth))
-        alone = np.array([_hash("\n" + " ".join(self.words[first[i]:first[i] + sizes[i]])) for i in short], np.uint64)
-        self.start = np.r_[starts, first_[short]]
-        self.length = np.r_[np.full(len(starts), depth), sizes_[short]]
-        self.hash = np.r_[run[same], alone].view(np.int64) if len(starts) else alone.view(np.int64)
+            run = run * _MIX + self.word[starts + j]
+        sizes = np.bincount(self.block, self.real, minlength=len(self.heading)).astype(np.int64)
+        first = np.flatnonzero(np.diff(self.block, prepend=-1))
+        short = np.flatnonzero((sizes > 0) & (sizes < depth))
+        alone = sizes[short].astype(np.uint64)
+        for j in range(depth - 1):
+            more = j < sizes[short]
+            alone[more] = alone[more] * _MIX_ALONE + self.word[first[short[more]] + j]
+        self.start = np.r_[starts, first[short]]
+        self.length = np.r_[np.full(len(starts), depth), sizes[short]]
+        self.hash = np.r_[run, alone].view(np.int64)
         self.inside = self.block[self.start] == self.block[self.start + self.length - 1]
         self.run_page = self.page[self.start]
 
-    def counts(self, on: np.ndarray | None = None, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The runs' hashes (of those ``of``) and the number of distinct pages (of those ``on``) that hold each."""
-        take = slice(None) if on is None else on[self.run_page] & np.isin(self.hash, of)
+    def all_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of all runs, from the sorted suffixes, and the number of distinct pages that hold each."""
+        _, tokens = np.unique(self.word, return_inverse=True)
+        tokens[~self.real] = -1 - self.page[~self.real]
+        full = self.length == self.depth
+        _, alone = np.unique(self.hash[~full], return_inverse=True)
+        at = np.r_[run_ranks(tokens, self.depth)[self.start[full]], len(tokens) + alone].astype(np.int64)
+        size = len(tokens) + len(alone)
+        hashes = np.zeros(size, np.int64)
+        hashes[at] = self.hash
+        counts = self._pages(at, self.run_page, size)
+        return hashes[counts > 0], counts[counts > 0]
+
+    def counts(self, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of some of the runs and the number of distinct pages that hold each of these."""
         hashes, at = np.unique(self.hash[take], return_inverse=True)
-        pairs = np.unique(at * max(1, self.n_pages) + self.run_page[take])
-        return hashes, np.bincount(pairs // max(1, self.n_pages), minlength=len(hashes))
+        return hashes, self._pages(at, self.run_page[take], len(hashes))
+
+    def _pages(self, runs: np.ndarray, pages: np.ndarray, size: int) -> np.ndarray:
+        pairs = np.unique(runs * max(1, self.n_pages) + pages)
+        return np.bincount(pairs // max(1, self.n_pages), minlength=size)
 
     def covered(self, runs: np.ndarray) -> np.ndarray:
         """Which words the chosen runs cover: within a block, or with all of the block."""
         def cover(which: np.ndarray) -> np.ndarray:
-            n = len(self.words) + 1
+            n = len(self.word) + 1
             edge = np.bincount(self.start[which], minlength=n) - np.bincount(self.start[which] + self.length[which], minlength=n)
             return np.cumsum(edge)[:-1] > 0
 
@@ -273,7 +291,7 @@ class Shard:
     def own(self, repeated: np.ndarray, share: float) -> np.ndarray:
         """The pages with a passage (a block, or a run's length of words) that no repeated run touches, and of an
         article's words at least ``share``."""
-        free = self.real & ~self.covered(np.isin(self.hash, repeated))
+        free = self.real & ~self.covered(_among(self.hash, repeated))
         words = np.bincount(self.page, self.real, minlength=self.n_pages)
         bare = np.bincount(self.page, free, minlength=self.n_pages)
         size = np.bincount(self.block, self.real, minlength=len(self.heading))
@@ -284,12 +302,12 @@ class Shard:
         has[self.page[long]] = True
         return has & (~self.article | (bare >= share * words))
 
-    def ends(self, runs: np.ndarray) -> np.ndarray:
+    def edges(self, runs: np.ndarray) -> np.ndarray:
         """Which blocks of articles are boilerplate by the host's ``runs`` of full length: those they cover whole at
         an article's beginning (its headings aside) or end. Shorter blocks, and what stands between passages of the
         article's own, stay."""
         size = np.bincount(self.block, self.real, minlength=len(self.heading))
-        long = np.isin(self.hash, runs) & (self.length == self.depth)
+        long = _among(self.hash, runs) & (self.length == self.depth)
         gone = (np.bincount(self.block, self.covered(long) & self.real, minlength=len(size)) == size) & (size >= self.depth)
         out = np.zeros(len(size), bool)
         of = np.zeros(len(size), np.int64)
@@ -303,17 +321,16 @@ class Shard:
 
     def texts(self, runs: np.ndarray) -> list[str]:
         """Per page, the blocks without the words that boilerplate covers."""
-        gone = np.where(self.article[self.page], self.ends(runs)[self.block], self.covered(np.isin(self.hash, runs)))
-        keep = self.real & ~gone
-        out: list[list[str]] = [[] for _ in range(self.n_pages)]
-        last = -1
-        at_ = np.flatnonzero(keep)
-        for i, k, at in zip(at_.tolist(), self.page[at_].tolist(), self.block[at_].tolist()):
-            if at != last:
-                out[k].append([])
-                last = at
-            out[k][-1].append(self.words[i])
-        return ["\n".join(" ".join(b) for b in blocks_) for blocks_ in out]
+        gone = np.where(self.article[self.page], self.edges(runs)[self.block], self.covered(_among(self.hash, runs)))
+        keep = np.flatnonzero(self.real & ~gone)
+        data = self.data.copy()
+        data[self.ends[keep]] = np.where(np.diff(self.block[keep], append=-1) != 0, 0x0A, 0x20)
+        bytes_ = self.ends - self.first + 1
+        kept = np.zeros(len(bytes_), bool)
+        kept[keep] = True
+        out = data[np.repeat(kept, bytes_)].tobytes()
+        stops = np.cumsum(np.bincount(self.page[keep], bytes_[keep], minlength=self.n_pages).astype(np.int64)).tolist()
+        return [out[a:max(a, b - 1)].decode("utf-8", "surrogatepass") for a, b in zip([0, *stops], stops)]
 
 
 # --- Spark -----------------------------------------------------------------
@@ -324,15 +341,21 @@ def _objects(values) -> pd.Series:
 
 
 def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """The pages and what :func:`blocks` finds in them, packed."""
+    """The pages and what :func:`blocks` finds in them: the blocks, one a line, packed; and in a byte each whether
+    they are an article's, and which are headings."""
+    def pack(page: str) -> tuple[bytes, bytes]:
+        texts, known, heads = blocks(page)
+        return zlib.compress("\n".join(texts).encode("utf-8", "surrogatepass"), PACK), bytes([known, *heads])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(i, u, zlib.compress(pickle.dumps(blocks(h or "")), 1)) for i, u, h in zip(*(b.column(k).to_pylist() for k in range(3)))]
-            cols = list(zip(*rows)) if rows else [()] * 3
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.binary()))], ["page_id", "url", "blocks"])
+            rows = [(i, u, *pack(h or "")) for i, u, h in zip(*(b.column(k).to_pylist() for k in range(3)))]
+            cols = list(zip(*rows)) if rows else [()] * 4
+            types = (pa.int64(), pa.string(), pa.binary(), pa.binary())
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], ["page_id", "url", "blocks", "marks"])
 
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return src.mapInArrow(run, "page_id long, url string, blocks binary")
+    return src.mapInArrow(run, "page_id long, url string, blocks binary, marks binary")
 
 
 def main_text(pages: DataFrame, p: PageParams = PageParams(), id_col: str = "page_id", url_col: str = "url",
@@ -354,62 +377,116 @@ def main_text(pages: DataFrame, p: PageParams = PageParams(), id_col: str = "pag
     return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-PARTS = "host string, part int, shard int, hashes binary, pages binary"
-NONE = pd.DataFrame({"host": _objects([]), "part": [], "shard": [], "hashes": [], "pages": []})
+PACK = 6  # zlib's level for what goes through the shuffle
+PARTS = "host string, part int, shard int, runs binary, pages binary"
+NONE = pd.DataFrame({"host": _objects([]), "part": [], "shard": [], "runs": [], "pages": []})
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers by planes of bytes, of which those that are the same throughout nearly vanish."""
+    z = zlib.compressobj(1, strategy=zlib.Z_RLE)
+    return z.compress(values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()) + z.flush()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
+def _packed_runs(runs: np.ndarray) -> bytes:
+    """Sorted numbers by their differences, which wrap around."""
+    return _packed(np.diff(runs, prepend=0))
+
+
+def _unpacked_runs(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(packed))
 
 
 def _unique_runs(dealt: DataFrame, p: PageParams) -> DataFrame:
-    """The texts. Each step reads the same shuffle of ``dealt``; only hosts of several shards exchange runs."""
-    dealt = dealt.select(F.col("page_id").cast("string").alias("page_id"), "url", "blocks", "host", "shard", "shards")
+    """The texts. Each step reads the same shuffle of ``dealt``; only hosts of several shards exchange runs.
+
+    Shards first show one another some bits of all their runs' hashes, sorted and as differences, and then the whole
+    hashes of those runs alone whose bits stand on enough pages of the host.
+    """
+    dealt = dealt.select(F.col("page_id").cast("string").alias("page_id"), "url", "blocks", "marks", "host", "shard", "shards")
     by_shard = lambda: dealt.groupBy("host", "shard")
 
     def read(rows: pd.DataFrame) -> Shard:
-        return Shard([pickle.loads(zlib.decompress(b)) for b in rows["blocks"]], p.depth)
+        return Shard([zlib.decompress(b) for b in rows["blocks"]], rows["marks"].tolist(), p.depth)
+
+    def several(rows: pd.DataFrame) -> bool:
+        return bool(len(rows)) and rows["shards"].iloc[0] > 1
+
+    def n_parts(rows: pd.DataFrame) -> int:
+        return -(-int(rows["shards"].iloc[0]) // 16)
 
-    def parts(key: tuple, rows: pd.DataFrame, hashes: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
-        """The counts of a shard's runs, dealt by hash to the parts of its host."""
-        n = -(-int(rows["shards"].iloc[0]) // 16)
-        part = (hashes.view(np.uint64) % np.uint64(n)).astype(np.int64)
-        cols = list(zip(*((key[0], i, key[1], hashes[part == i].tobytes(), counts[part == i].astype(np.int32).tobytes()) for i in range(n))))
-        return pd.DataFrame({"host": _objects(cols[0]), "part": cols[1], "shard": cols[2], "hashes": cols[3], "pages": cols[4]})
+    def part_of(hashes: np.ndarray, n: int) -> np.ndarray:
+        return (hashes.view(np.uint64) % np.uint64(n)).astype(np.int64)
 
-    def known(got: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        return np.frombuffer(b"".join(got["hashes"]), np.int64), np.frombuffer(b"".join(got["pages"]), np.int32)
+    def short(hashes: np.ndarray, n: int) -> np.ndarray:
+        """The part of a hash, and its first bits."""
+        return part_of(hashes, n) << SHORT | (hashes.view(np.uint64) >> np.uint64(64 - SHORT)).astype(np.int64)
 
-    def all_runs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return parts(key, rows, *read(rows).counts()) if rows["shards"].iloc[0] > 1 else NONE
+    def parts(key: tuple, n: int, part: np.ndarray, runs: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+        """The counts of a shard's sorted runs, dealt to the parts of its host."""
+        counts = np.minimum(counts, p.min_pages)
+        cols = list(zip(*((key[0], i, key[1], _packed_runs(runs[part == i]), _packed(counts[part == i])) for i in range(n))))
+        return pd.DataFrame({"host": _objects(cols[0]), "part": cols[1], "shard": cols[2], "runs": cols[3], "pages": cols[4]})
+
+    def exact(key: tuple, n: int, hashes: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+        return parts(key, n, part_of(hashes, n), hashes, counts)
+
+    def known(got: pd.DataFrame) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int64), *map(_unpacked_runs, got["runs"])])
+
+    def short_runs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        if not several(rows):
+            return NONE
+        n = n_parts(rows)
+        hashes, counts = read(rows).all_counts()
+        runs, at = np.unique(short(hashes, n), return_inverse=True)
+        counts = np.bincount(at, counts, minlength=len(runs))
+        return parts(key, n, runs >> SHORT, runs & ((1 << SHORT) - 1), counts)
+
+    def all_runs(key: tuple, rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+        if not several(rows):
+            return NONE
+        n, shard = n_parts(rows), read(rows)
+        likely = np.concatenate([np.zeros(0, np.int64), *(i << SHORT | _unpacked_runs(r) for i, r in zip(got["part"].tolist(), got["runs"]))])
+        return exact(key, n, *shard.counts(_among(short(shard.hash, n), likely)))
 
     def own_runs(key: tuple, rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows) or rows["shards"].iloc[0] == 1:
+        if not several(rows):
             return NONE
-        shard, repeated = read(rows), known(got)[0]
-        return parts(key, rows, *shard.counts(shard.own(repeated, p.own_share), repeated))
+        shard, repeated = read(rows), known(got)
+        on = shard.own(repeated, p.own_share)
+        return exact(key, n_parts(rows), *shard.counts(on[shard.run_page] & _among(shard.hash, repeated)))
 
     def often(counted: DataFrame) -> DataFrame:
-        """For each shard the runs that stand on enough pages of the host, and on how many."""
+        """For each shard those of its runs that stand on enough pages of the host."""
         def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            each = [(np.frombuffer(h, np.int64), np.frombuffer(c, np.int32)) for h, c in zip(rows["hashes"], rows["pages"])]
-            own = [h for h, _ in each]
+            own = [_unpacked_runs(r) for r in rows["runs"]]
+            counts = np.concatenate([_unpacked(c) for c in rows["pages"]])
             hashes, at = np.unique(np.concatenate(own), return_inverse=True)
-            total = np.bincount(at, np.concatenate([c for _, c in each]), minlength=len(hashes)).astype(np.int32)
-            kept, total = hashes[total >= p.min_pages], total[total >= p.min_pages]
-            return pd.DataFrame({"host": _objects([key[0]] * len(rows)), "part": key[1], "shard": rows["shard"].to_numpy(),
-                                 "hashes": list(kept[np.isin(kept, h)].tobytes() for h in own),
-                                 "pages": list(total[np.isin(kept, h)].tobytes() for h in own)})
+            enough = (np.bincount(at, counts, minlength=len(hashes)) >= p.min_pages)[at]
+            stops = np.cumsum([len(r) for r in own]).tolist()
+            kept = [_packed_runs(r[enough[a:b]]) for r, a, b in zip(own, [0, *stops], stops)]
+            return pd.DataFrame({"host": _objects([key[0]] * len(rows)), "part": key[1], "shard": rows["shard"].to_numpy(), "runs": kept})
 
-        return (counted.groupBy("host", "part").applyInPandas(run, PARTS)
-                .select(F.col("host").alias("r_host"), F.col("shard").alias("r_shard"), "hashes", "pages").groupBy("r_host", "r_shard"))
+        return (counted.groupBy("host", "part").applyInPandas(run, "host string, part int, shard int, runs binary")
+                .select(F.col("host").alias("r_host"), F.col("shard").alias("r_shard"), "part", "runs").groupBy("r_host", "r_shard"))
 
     def texts(key: tuple, rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        shard = read(rows)
-        hashes, counts = known(got)
-        if len(rows) and rows["shards"].iloc[0] == 1:
-            hashes, counts = shard.counts()
+        shard, often_ = read(rows), known(got)
+        if len(rows) and not several(rows):
+            hashes, counts = shard.all_counts()
             repeated = hashes[counts >= p.min_pages]
-            hashes, counts = shard.counts(shard.own(repeated, p.own_share), repeated)
-        found = shard.texts(hashes[counts >= p.min_pages])
-        return pd.DataFrame({"page_id": _objects(rows["page_id"]), "url": _objects(rows["url"]), "text": _objects(found)})
+            hashes, counts = shard.counts(shard.own(repeated, p.own_share)[shard.run_page] & _among(shard.hash, repeated))
+            often_ = hashes[counts >= p.min_pages]
+        return pd.DataFrame({"page_id": _objects(rows["page_id"]), "url": _objects(rows["url"]), "text": _objects(shard.texts(often_))})
 
-    boiler = often(by_shard().cogroup(often(by_shard().applyInPandas(all_runs, PARTS))).applyInPandas(own_runs, PARTS))
+    likely = often(by_shard().applyInPandas(short_runs, PARTS))
+    repeated = often(by_shard().cogroup(likely).applyInPandas(all_runs, PARTS))
+    boiler = often(by_shard().cogroup(repeated).applyInPandas(own_runs, PARTS))
     return (by_shard().cogroup(boiler).applyInPandas(texts, "page_id string, url string, text string")
             .select(F.col("page_id").cast("long").alias("page_id"), "url", "text"))

@@ -265,6 +265,38 @@ def test_articles_keep_what_they_share_but_notices_at_their_ends(spark, shard_pa
                    **{10 + i: story(i) for i in range(2)}, 20: f"No.\n{story(200)}", 30: f"{story(1)}\n{note}"}
 
 
+def shuffled_bytes(plan):
+    """What the exchanges of a plan that has run have written."""
+    name, total = plan.getClass().getSimpleName(), 0
+    if name == "AdaptiveSparkPlanExec":
+        return shuffled_bytes(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return shuffled_bytes(plan.plan())
+    if name == "ShuffleExchangeExec":
+        total = plan.metrics().apply("shuffleBytesWritten").value()
+    children = plan.children()
+    return total + sum(shuffled_bytes(children.apply(i)) for i in range(children.size()))
+
+
+def test_shards_exchange_less_than_whole_hashes_of_runs(spark):
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 1000, (400, 400))
+    note = "this paper may be read by all of the members of the house"
+    rows = [(i, "http://a.example/%d" % i, f"<article><p>{' '.join(map(str, w))}</p><p>{note}</p></article>") for i, w in enumerate(words.tolist())]
+    got = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), pages.PageParams(shard_pages=25))
+    assert {r.page_id: r.text for r in got.collect()} == {i: " ".join(map(str, w)) for i, w in enumerate(words.tolist())}
+    text = sum(len(zlib.compress(" ".join(map(str, w)).encode(), 1)) for w in words.tolist())
+    assert text < shuffled_bytes(got._jdf.queryExecution().executedPlan()) < text + 4 * words.size
+
+
+def test_words_of_any_length_and_place_keep_their_hashes_apart():
+    texts = ["a" * k for k in range(1, 200)] + ["ab", "ba", "é", "e\u0301", "x" * 64 + "a" * 64 + "b" * 64, "x" * 64 + "b" * 64 + "a" * 64]
+    shard = pages.Shard([" ".join(texts).encode(), b"", " ".join(reversed(texts)).encode()], [b"\1\0", b"\0", b"\0\0"], 8)
+    assert shard.real.sum() == 2 * len(texts) and len(np.unique(shard.word[shard.real])) == len(texts)
+    assert (shard.word[:len(texts)] == shard.word[-2:-2 - len(texts):-1]).all()
+    assert shard.texts(np.zeros(0, np.int64)) == [" ".join(texts), "", " ".join(reversed(texts))]
+
+
 def test_ranks_order_suffixes():
     rng = np.random.default_rng(0)
     t = rng.integers(0, 3, 200)
