@@ -378,8 +378,8 @@ def main_text(pages: DataFrame, p: PageParams = PageParams(), id_col: str = "pag
 
 
 PACK = 6  # zlib's level for what goes through the shuffle
-PARTS = "host string, part int, shard int, runs binary, pages binary"
-NONE = pd.DataFrame({"host": _objects([]), "part": [], "shard": [], "runs": [], "pages": []})
+PARTS = "host string, part int, shard int, runs binary, pages binary, asks binary"
+NONE = pd.DataFrame({"host": _objects([]), "part": [], "shard": [], "runs": [], "pages": [], "asks": []})
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -406,7 +406,8 @@ def _unique_runs(dealt: DataFrame, p: PageParams) -> DataFrame:
     """The texts. Each step reads the same shuffle of ``dealt``; only hosts of several shards exchange runs.
 
     Shards first show one another some bits of all their runs' hashes, sorted and as differences, and then the whole
-    hashes of those runs alone whose bits stand on enough pages of the host.
+    hashes of those runs alone whose bits stand on enough pages of the host. For runs that are on none of its pages
+    with passages of their own, a shard asks by these bits, too.
     """
     dealt = dealt.select(F.col("page_id").cast("string").alias("page_id"), "url", "blocks", "marks", "host", "shard", "shards")
     by_shard = lambda: dealt.groupBy("host", "shard")
@@ -423,18 +424,23 @@ def _unique_runs(dealt: DataFrame, p: PageParams) -> DataFrame:
     def part_of(hashes: np.ndarray, n: int) -> np.ndarray:
         return (hashes.view(np.uint64) % np.uint64(n)).astype(np.int64)
 
+    def bits(hashes: np.ndarray) -> np.ndarray:
+        return (hashes.view(np.uint64) >> np.uint64(64 - SHORT)).astype(np.int64)
+
     def short(hashes: np.ndarray, n: int) -> np.ndarray:
         """The part of a hash, and its first bits."""
-        return part_of(hashes, n) << SHORT | (hashes.view(np.uint64) >> np.uint64(64 - SHORT)).astype(np.int64)
+        return part_of(hashes, n) << SHORT | bits(hashes)
 
-    def parts(key: tuple, n: int, part: np.ndarray, runs: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
-        """The counts of a shard's sorted runs, dealt to the parts of its host."""
-        counts = np.minimum(counts, p.min_pages)
-        cols = list(zip(*((key[0], i, key[1], _packed_runs(runs[part == i]), _packed(counts[part == i])) for i in range(n))))
-        return pd.DataFrame({"host": _objects(cols[0]), "part": cols[1], "shard": cols[2], "runs": cols[3], "pages": cols[4]})
+    def parts(key: tuple, n: int, part: np.ndarray, runs: np.ndarray, counts: np.ndarray,
+              asks: np.ndarray = np.zeros(0, np.int64)) -> pd.DataFrame:
+        """The counts of a shard's sorted runs, and the bits of runs it asks for, dealt to the parts of its host."""
+        counts, of = np.minimum(counts, p.min_pages), part_of(asks, n)
+        cols = list(zip(*((key[0], i, key[1], _packed_runs(runs[part == i]), _packed(counts[part == i]),
+                           _packed_runs(np.unique(bits(asks[of == i])))) for i in range(n))))
+        return pd.DataFrame({"host": _objects(cols[0]), "part": cols[1], "shard": cols[2], "runs": cols[3], "pages": cols[4], "asks": cols[5]})
 
-    def exact(key: tuple, n: int, hashes: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
-        return parts(key, n, part_of(hashes, n), hashes, counts)
+    def exact(key: tuple, n: int, hashes: np.ndarray, counts: np.ndarray, *asks: np.ndarray) -> pd.DataFrame:
+        return parts(key, n, part_of(hashes, n), hashes, counts, *asks)
 
     def known(got: pd.DataFrame) -> np.ndarray:
         return np.concatenate([np.zeros(0, np.int64), *map(_unpacked_runs, got["runs"])])
@@ -460,17 +466,20 @@ def _unique_runs(dealt: DataFrame, p: PageParams) -> DataFrame:
             return NONE
         shard, repeated = read(rows), known(got)
         on = shard.own(repeated, p.own_share)
-        return exact(key, n_parts(rows), *shard.counts(on[shard.run_page] & _among(shard.hash, repeated)))
+        hashes, counts = shard.counts(on[shard.run_page] & _among(shard.hash, repeated))
+        return exact(key, n_parts(rows), hashes, counts, np.setdiff1d(repeated, hashes))
 
     def often(counted: DataFrame) -> DataFrame:
-        """For each shard those of its runs that stand on enough pages of the host."""
+        """For each shard those of its runs that stand on enough pages of the host, and any with the bits it asks for."""
         def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             own = [_unpacked_runs(r) for r in rows["runs"]]
             counts = np.concatenate([_unpacked(c) for c in rows["pages"]])
             hashes, at = np.unique(np.concatenate(own), return_inverse=True)
-            enough = (np.bincount(at, counts, minlength=len(hashes)) >= p.min_pages)[at]
+            enough = np.bincount(at, counts, minlength=len(hashes)) >= p.min_pages
+            found, enough = hashes[enough], enough[at]
             stops = np.cumsum([len(r) for r in own]).tolist()
-            kept = [_packed_runs(r[enough[a:b]]) for r, a, b in zip(own, [0, *stops], stops)]
+            asked = [found[_among(bits(found), _unpacked_runs(r))] for r in rows["asks"]]
+            kept = [_packed_runs(np.union1d(r[enough[a:b]], more)) for r, more, a, b in zip(own, asked, [0, *stops], stops)]
             return pd.DataFrame({"host": _objects([key[0]] * len(rows)), "part": key[1], "shard": rows["shard"].to_numpy(), "runs": kept})
 
         return (counted.groupBy("host", "part").applyInPandas(run, "host string, part int, shard int, runs binary")

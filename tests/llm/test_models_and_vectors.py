@@ -251,6 +251,16 @@ def test_boilerplate_within_articles_goes_and_copies_stay(spark, shard_pages):
     assert got == {**{i: f"Part one\n{story(i)}\nShare this" for i in range(40)}, **{100 + k: f"{c}\nShare this" for k, c in enumerate(copy)}}
 
 
+@pytest.mark.parametrize("shard_pages", [1, 2, 5, 256])
+def test_notices_go_from_copies_whatever_shard_holds_them(spark, shard_pages):
+    note = "<div>This story may be read by all members of the house</div>"
+    rows = [(i, "http://a.example/%d" % i, f"<article><p>{story(i)}</p>{note}</article>") for i in range(20)]
+    rows += [(100 + k, "http://a.example/c%d" % k, f"<article><p>{story(1000)}</p>{note}</article>") for k in range(30)]
+    got = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"),
+                                                      pages.PageParams(shard_pages=shard_pages)).collect()}
+    assert got == {**{i: story(i) for i in range(20)}, **{100 + k: story(1000) for k in range(30)}}
+
+
 @pytest.mark.parametrize("shard_pages", [2, 256])
 def test_articles_keep_what_they_share_but_notices_at_their_ends(spark, shard_pages):
     quote = "To be or not to be that is the question whether it is nobler"
